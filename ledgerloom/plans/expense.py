@@ -106,10 +106,9 @@ def ads_invoice_detail(t: Tables, since: date, main: str, main_company: str, sel
 
     The amount that belongs to a partner's portfolios is split off its invoice into a row of its own.
     """
-    seller = F.lit(None).cast("string")
+    seller = F.lit(other_company)
     for token, company in reversed(list(seller_rules)):
-        seller = F.when(contains(F.upper("accountinfo_name"), F.lit(token)), F.lit(company)).otherwise(
-            F.lit(other_company) if seller_rules[-1][0] == token else seller)
+        seller = F.when(contains(F.upper("accountinfo_name"), F.lit(token)), F.lit(company)).otherwise(seller)
     profiles = t["ads_profiles"].select(
         F.col("profileid").alias("profile_id"), F.col("accountinfo_type"), F.col("accountinfo_name").alias("account_name"),
         "countrycode",

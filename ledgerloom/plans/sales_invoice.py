@@ -26,6 +26,7 @@ from ledgerloom.operators.windows import line_numbers
 from ledgerloom.plans import config as c
 from ledgerloom.plans.config import ChannelConfig
 from ledgerloom.schemas import HEADER, LINE, SNAPSHOT, conform
+from ledgerloom.sources.io import SNAPSHOT_COL, SNAPSHOT_PARTITION
 
 Tables = Mapping[str, DataFrame]
 
@@ -130,7 +131,9 @@ def run_channel(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, as_of
     """
     rows = candidates
     if snapshot_log is not None:
-        rows = latest_snapshot(snapshot_log, "data_updated_time", F.col("internal_sales_channel").isin(*cfg.channels))
+        stamp = SNAPSHOT_PARTITION if SNAPSHOT_PARTITION in snapshot_log.columns else SNAPSHOT_COL
+        rows = latest_snapshot(snapshot_log, stamp, F.col("internal_sales_channel").isin(*cfg.channels))
+        rows = rows.drop(SNAPSHOT_PARTITION)
     own = stage_own(rows, tables, cfg, as_of)
     if cfg.evidence:
         places = warehouse_locations(tables["transactions"], cfg.evidence, evidence_since or cfg.date_from)

@@ -58,9 +58,12 @@ ESTIMATE = _struct(
 
 def conform(df, schema: StructType):
     """Select the columns of a layout by name and cast them; missing columns become typed nulls."""
-    from pyspark.sql import functions as F
-
-    present = set(df.columns)
-    return df.select([
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
-    ])
+    present = {f.name: f.dataType for f in df.schema.fields}
+    texts = []
+    for f in schema.fields:
+        if present.get(f.name) == f.dataType:
+            texts.append(f"`{f.name}`")
+        else:
+            source = f"`{f.name}`" if f.name in present else "null"
+            texts.append(f"cast({source} as {f.dataType.simpleString()}) as `{f.name}`")
+    return df.selectExpr(*texts)
