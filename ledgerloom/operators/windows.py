@@ -30,15 +30,20 @@ def dense_rank_global(df: DataFrame, key: str, out: str = "rank", partitions: in
 
 def allocate(df: DataFrame, part: str, total: str, base: str, weight: str, out: str = "allocated") -> DataFrame:
     """Spread what is left of an invoice total over its rows by weight:
-    ``(total - sum(base)) / sum(weight) * weight`` per invoice. A zero weight sum gives null."""
+    ``(total - sum(base)) / sum(weight) * weight`` per invoice. A zero weight sum gives null.
+
+    The product is taken before the division, so decimals are rounded once.
+    """
     summed = with_group_totals(df, [part], {"_base": F.sum(base), "_weight": F.sum(weight)})
-    rate = (F.col(total) - F.col("_base")) / F.when(F.col("_weight") != 0, F.col("_weight"))
-    return summed.withColumn(out, rate * F.col(weight)).drop("_base", "_weight")
+    left = F.col(total) - F.col("_base")
+    share = left * F.col(weight) / F.when(F.col("_weight") != 0, F.col("_weight"))
+    return summed.withColumn(out, share).drop("_base", "_weight")
 
 
 def share_allocate(df: DataFrame, part: Sequence[str], total: str, spend: str,
                    pct: str = "spend_pct", out: str = "allocated") -> DataFrame:
     """Spread a campaign amount over items by their share of its spend."""
     summed = with_group_totals(df, part, {"_spend": F.sum(spend)})
-    share = F.col(spend) / F.when(F.col("_spend") != 0, F.col("_spend"))
-    return summed.withColumn(pct, share).withColumn(out, F.col(total) * F.col(pct)).drop("_spend")
+    whole = F.when(F.col("_spend") != 0, F.col("_spend"))
+    return summed.withColumns({
+        pct: F.col(spend) / whole, out: F.col(total) * F.col(spend) / whole}).drop("_spend")

@@ -69,7 +69,7 @@ def promo_invoice_by_sku(t: Tables, since: date) -> DataFrame:
         .join(agreements, "agreement_id", "left").join(clips, "invoice_number", "left")
         .join(totals, "invoice_number", "left"))
     per_unit = lambda amount: F.round(
-        F.col("promotion_cost") + amount / F.when(F.col("total_quantity") != 0, F.col("total_quantity")) * F.col("quantity"), 2)
+        F.col("promotion_cost") + amount * F.col("quantity") / F.when(F.col("total_quantity") != 0, F.col("total_quantity")), 2)
     residual = F.col("cop_ovr_amt") - F.col("total_cost")
     day = F.coalesce("order_date", "ship_date").cast("date")
     promotion = F.coalesce("agreed_promotion", "promotion_id")

@@ -1,6 +1,6 @@
 """Registered queries on the driver tables."""
 
-MODULES = ("channels",)
+MODULES = ("channels", "sources")
 
 
 def load_all() -> None:
