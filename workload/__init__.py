@@ -1,6 +1,6 @@
 """Registered queries on the driver tables."""
 
-MODULES = ("channels", "sources")
+MODULES = ("channels", "sources", "derivations")
 
 
 def load_all() -> None:

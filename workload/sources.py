@@ -48,10 +48,9 @@ def adjustment_ingest(t):
 @query("append_sink", f"select {LINE_COLS} from lineitem")
 def append_sink(t):
     path = stage(t, "append")
-    lines = t["lineitem"].select(*LINE_COLS.split(", "))
-    io.append(lines.where("l_linestatus = 'F'") if "l_linestatus" in lines.columns else
-              t["lineitem"].where("l_linestatus = 'F'").select(*lines.columns), path)
-    io.append(t["lineitem"].where("l_linestatus <> 'F'").select(*reversed(lines.columns)), path)
+    columns = LINE_COLS.split(", ")
+    io.append(t["lineitem"].where("l_linestatus = 'F'").select(*columns), path)
+    io.append(t["lineitem"].where("l_linestatus <> 'F'").select(*reversed(columns)), path)
     return t.spark.read.parquet(path)
 
 
