@@ -1,6 +1,6 @@
 """Registered queries on the driver tables."""
 
-MODULES = ("channels", "sources", "derivations")
+MODULES = ("channels", "sources", "derivations", "relational")
 
 
 def load_all() -> None:

@@ -177,4 +177,22 @@ STANDINS = {
         case when l_linenumber > 3 then 'Accrual' else 'Order' end as document_type, 'AVC WH' as internal_sales_channel,
         'CHAN-AVC' as sales_channel from {OL} where o_orderdate < date '1996-07-01'""",
     "exc_avc": excluded(VENDOR_DOC, OL),
+    # ---- rates, outbound notes ----
+    # no rates on the 13th of a month
+    "fx": " union all ".join(
+        f"""select distinct cast(o_orderdate as date) as run_date, '{ccy}' as currency_code,
+          cast({base} + 0.01 * cast(day(o_orderdate) as decimal(10,0)) as decimal(10,4)) as to_usd from {{orders}} where day(o_orderdate) <> 13"""
+        for ccy, base in (("USD", "1.00"), ("CAD", "0.50"), ("GBP", "1.20"))),
+    "notes": f"""select {key('N', 'o_orderkey')} as note_id, {key('ISN', 'o_orderkey')} as issue_code,
+        case when o_orderstatus = 'P' then 'DRAFT' else 'COMPLETED' end as status,
+        case when o_orderpriority = '5-LOW' then 'TRANSFER' else 'SALES_ORDERS' end as issue_type,
+        cast(o_orderdate as date) as issue_date, cast(o_orderdate as date) as created_date,
+        o_orderpriority as warehouse_from_id from {{orders}}
+      union all select {key('M', 'o_orderkey')}, {key('ISM', 'o_orderkey')}, 'COMPLETED', 'SALES_ORDERS', cast(o_orderdate as date), cast(o_orderdate as date),
+        '5-LOW' from {{orders}} where o_orderstatus = 'F'""",
+    "note_items": f"""select {key('N', 'l_orderkey')} as note_id, {key('INV', 'l_orderkey')} as sale_order_number, {code('l_partkey')} as sku,
+        cast(l_quantity as int) as actual_exported_qty from {{lineitem}}
+      union all select {key('M', 'l_orderkey')}, {key('INV', 'l_orderkey')}, {code('l_partkey')}, 1 from {{lineitem}} where l_returnflag = 'N'""",
+    "warehouses": "select distinct o_orderpriority as warehouse_id, concat('S', substr(o_orderpriority, 1, 1)) as short_name from {orders}",
+    "warehouse_dim": "select distinct concat('S', substr(o_orderpriority, 1, 1)) as dim_short, concat('156-', substr(o_orderpriority, 3, 3)) as erp_warehouse from {orders}",
 }
