@@ -1,6 +1,6 @@
 """Registered queries on the driver tables."""
 
-MODULES = ("channels", "sources", "derivations", "relational")
+MODULES = ("channels", "sources", "derivations", "relational", "reconciliation", "expenses")
 
 
 def load_all() -> None:

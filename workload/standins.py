@@ -196,3 +196,138 @@ STANDINS = {
     "warehouses": "select distinct o_orderpriority as warehouse_id, concat('S', substr(o_orderpriority, 1, 1)) as short_name from {orders}",
     "warehouse_dim": "select distinct concat('S', substr(o_orderpriority, 1, 1)) as dim_short, concat('156-', substr(o_orderpriority, 3, 3)) as erp_warehouse from {orders}",
 }
+
+
+# ---- booked daily documents per channel ----
+def daily(name: str, doc: str, original: str, channel: str, amount: str, where: str, sales_channel: str) -> None:
+    """Booked headers and lines of a channel: some documents are missing, some amounts are off."""
+    source = f"{OL} join {{part}} on l_partkey = p_partkey"
+    STANDINS[f"dly_{name}_h"] = f"""select distinct {doc} as external_doc_no, {original} as original_external_doc_no,
+        '{channel}' as internal_sales_channel, '{sales_channel}' as sales_channel, 'Order' as document_type, cast(o_orderdate as date) as order_date,
+        cast(o_orderdate as date) as posting_date, cast(o_orderdate as date) as document_date, 'CUSTOMER' as bill_to_customer,
+        case when o_orderpriority = '3-MEDIUM' then 'Unidentified' else '156-USA-CA' end as location, 'CO1' as original_company_id,
+        'MAIN' as belong_to_company, 'REG-USA' as country, case when o_orderpriority = '1-URGENT' then 1 else 0 end as is_processed
+      from {source} where not (o_orderstatus = 'F' and o_orderpriority = '2-HIGH')"""
+    STANDINS[f"dly_{name}_l"] = f"""select {doc} as document_no, {code('l_partkey')} as no, cast(l_quantity as int) as quantity,
+        {amount} + case when l_linenumber = 7 then 0.50 else 0.00 end as amount, cast(p_retailprice as decimal(18,2)) as unit_price,
+        {key('PO', 'l_orderkey')} as po_number, cast(l_discount as decimal(18,2)) as discount,
+        case when o_orderpriority = '3-MEDIUM' then 'Unidentified' else '156-USA-CA' end as location_code from {source} where {where}"""
+
+
+RETAIL = "cast(p_retailprice as decimal(18,2))"
+daily("wfs", SETTLED_DOC, key("OR", "o_orderkey"), "WM WFS", f"case when l_linestatus = 'O' then {AMOUNT} + 1.00 else {AMOUNT} + 0.00 end",
+      "l_returnflag <> 'R'", "CHAN-WMMKP")
+daily("dsv", key("PO", "o_orderkey"), key("PO", "o_orderkey"), "WM DSV", f"{RETAIL} * cast(l_quantity as int)", "l_returnflag is not null", "CHAN-WMDSV")
+daily("wf", INV, INV, "WF", f"({RETAIL} + case when o_orderdate >= date '1998-07-01' then 10.00 else 0.00 end) * cast(l_quantity as int)",
+      "l_returnflag <> 'A'", "CHAN-WAYFAIR")
+daily("ds", key("DF", "o_orderkey"), key("DF", "o_orderkey"), "AVC DS", AMOUNT, "l_returnflag is not null", "CHAN-AVC")
+daily("avc", VENDOR_DOC, VENDOR_DOC, "AVC WH", AMOUNT, "l_returnflag is not null", "CHAN-AVC")
+daily("asc", ORD_DATED, key("ORD", "o_orderkey"), "ASC FBM", f"case when l_linestatus = 'O' then {AMOUNT} + 0.00 else {AMOUNT} + 2.00 end",
+      "l_returnflag <> 'R'", "CHAN-ASC")
+
+PROMO_COUNTRY = "case when o_totalprice > 300000 then 'USA' when o_totalprice > 200000 then 'CAN' when o_totalprice > 100000 then 'JPN' else 'MEX' end"
+FUNDING = """case o_orderpriority when '1-URGENT' then 'STRAIGHT PAYMENT' when '2-HIGH' then 'Vendor Funded Sales Discount' when '3-MEDIUM' then 'Price Protection'
+  when '4-NOT SPECIFIED' then 'Guaranteed margin' else 'Damage allowance' end"""
+
+STANDINS |= {
+    "vendor_summary": f"""select {VENDOR_DOC} as invoice_number, sum({AMOUNT}) + case when max(l_linenumber) = 6 then 5.00 else 0.00 end as invoice_amount
+      from {OL} group by 1""",
+    "vendor_deleted": f"select distinct {VENDOR_DOC} as invoice_number from {OL} where o_totalprice between 100000 and 110000",
+    "inv_as_po": "select po_num as invoice_num, invoice_date, amount from {invoices}",
+    "suffixed": f"select {key('PO', 'o_orderkey')} as document_no from {{orders}} where o_totalprice < 5000",
+    # ---- promotions ----
+    "promo_overview": f"""select {key('CO', 'o_orderkey')} as invoice_id, cast(o_orderdate as date) as invoice_date, {FUNDING} as funding_type,
+        {key('AG', 'o_custkey')} as agreement_id,
+        case o_orderstatus when 'F' then concat('Merchandising:M', cast(o_custkey as string)) when 'O' then 'VPC coupon' else 'Vine plan' end as agreement_title,
+        case when o_orderpriority = '5-LOW' then null when o_orderpriority = '1-URGENT' then 'USA' else 'CAD' end as currency,
+        {PROMO_COUNTRY} as country, cast(o_totalprice as decimal(18,2)) as original_balance from {{orders}}""",
+    "promo_detail": f"""select {key('CO', 'l_orderkey')} as invoice_number, cast(o_orderdate as date) as invoice_date, {FUNDING} as funding_type,
+        case when l_linestatus = 'O' then cast(l_shipdate as date) end as order_date, cast(l_shipdate as date) as ship_date,
+        case when l_returnflag = 'N' then {key('PR', 'l_suppkey')} end as promotion_id, {key('B', 'l_partkey')} as asin, {PROMO_COUNTRY} as country, 'USD' as cost_currency,
+        cast(l_quantity as int) as quantity, {AMOUNT} as promotion_cost from {OL}""",
+    "clip_fees": f"""select {key('CO', 'l_orderkey')} as invoice_number, cast(l_quantity as decimal(18,2)) as total_clip_fee from {OL} where o_orderstatus = 'O'""",
+    "promo_info": f"select {key('AG', 'c_custkey')} as funding_agreement, {key('PI', 'c_custkey')} as promotion_id from {{customer}} where c_mktsegment = 'BUILDING'",
+    "promo_stream": f"select {key('CO', 'o_orderkey')} as invoice_number, 'AVS - SVS' as transaction_type from {{orders}} where o_totalprice > 250000",
+    "promo_spend": f"""select cast(l_shipdate as date) as report_date, case when l_returnflag = 'N' then {key('PR', 'l_suppkey')} end as promotion_id, {PROMO_COUNTRY} as country,
+        'AMZ' as platform, 'AVC' as sale_channel, {key('B', 'l_partkey')} as platform_prd_id, {key('CO', 'l_orderkey')} as invoices_list,
+        {AMOUNT} as pro_est_adj_usd, {AMOUNT} + 1.00 as pro_est_adj_lc, case when l_linestatus = 'F' then {AMOUNT} - 5.00 end as invoiced_amt_usd,
+        case when l_linestatus = 'F' then {AMOUNT} + 5.00 end as invoiced_amt_lc from {OL}""",
+    "estimate_log": """select *, timestamp '2001-07-20 05:00:00' as run_time from {promo_spend}
+      union all select report_date, promotion_id, country, platform, sale_channel, platform_prd_id, invoices_list, pro_est_adj_usd + 3.00, pro_est_adj_lc, invoiced_amt_usd, invoiced_amt_lc,
+        timestamp '2001-05-25 05:00:00' from {promo_spend}""",
+    # ---- advertising ----
+    "countries": """select case r_name when 'AMERICA' then 'US' when 'ASIA' then 'CA' when 'EUROPE' then 'GB' when 'AFRICA' then 'SG' else 'JP' end as country_code_2,
+        case r_name when 'AMERICA' then 'USA' when 'ASIA' then 'CAN' when 'EUROPE' then 'GBR' when 'AFRICA' then 'SGP' else 'JPN' end as country_code_3,
+        case r_name when 'AMERICA' then 'USD' when 'ASIA' then 'CAD' when 'EUROPE' then 'GBP' when 'AFRICA' then 'SGD' else 'JPY' end as major_currency_code from {region}""",
+    "ads_invoice_detail": f"""select {key('AD', 'o_orderkey')} as summary_id, cast(o_orderdate as date) as invoicedate, case when o_orderstatus = 'P' then 'WRITTEN_OFF' else 'ISSUED' end as status,
+        case when o_orderpriority = '1-URGENT' then 0 else 1 end as remaining, cast(o_totalprice as decimal(18,2)) as amount, cast(1.25 as decimal(18,2)) as tax,
+        case o_orderpriority when '1-URGENT' then 'USD' when '2-HIGH' then 'CAD' when '3-MEDIUM' then 'SGD' else 'USD' end as currency,
+        case when o_orderstatus = 'F' then null when o_orderpriority = '2-HIGH' then 'CA' else 'US' end as issuer_countrycode from {{orders}}""",
+    "ads_invoices": f"select {key('AD', 'o_orderkey')} as invoice_id, {key('PF', 'o_custkey')} as profile_id, cast(o_orderdate as date) as invoicedate from {{orders}}",
+    "ads_profiles": f"""select {key('PF', 'c_custkey')} as profileid, case when c_mktsegment in ('BUILDING', 'MACHINERY') then 'vendor' else 'seller' end as accountinfo_type,
+        concat('Services - ', c_mktsegment) as accountinfo_name, case when c_nationkey < 12 then 'GB' else 'JP' end as countrycode from {{customer}}""",
+    "ads_portfolios": f"""select {key('AD', 'l_orderkey')} as invoice_id, {key('FO', 'l_partkey')} as portfolio_id, case when l_returnflag = 'R' then 'plan HMD 1' else 'Core' end as name,
+        {AMOUNT} as totalamount, cast(0.75 as decimal(18,2)) as feeamount from {{lineitem}}""",
+    "ads_adjustments": f"select {key('AD', 'l_orderkey')} as invoice_id, {key('FO', 'l_partkey')} as portfolioid, cast(2.50 as decimal(18,2)) as amount from {{lineitem}} where l_linenumber = 2",
+    "closed_bills": f"""select {key('CB', 'o_orderkey')} as document_number, cast(o_orderdate as date) as document_date, case o_orderpriority when '1-URGENT' then 'WIC - AR'
+        when '2-HIGH' then 'Walmart Connect SS' else 'Other' end as doc_type_desc, case when o_orderstatus = 'F' then 'US' else 'CA' end as country_key, 'USD' as currency,
+        cast(o_totalprice as decimal(18,2)) as invoice_amount from {{orders}}""",
+    "open_bills": f"""select {key('OB', 'o_orderkey')} as document_number, cast(o_orderdate as date) as document_date, case when o_orderpriority = '3-MEDIUM' then 'Advertising Billing'
+        else 'Other' end as reason_code_description, 'US' as country_key, 'USD' as currency, cast(o_totalprice as decimal(18,2)) as open_amount from {{orders}}""",
+    "ads_wallet": f"""select {key('PAY', 'event_id')} as externalpaymentid, cast(ts as date) as report_date, case when user_id < 75 then 'ACCT_US' else 'ACCT_CA' end as account_name,
+        'USD' as currencyid, cast(value as decimal(18,2)) as amount, case when event_type = 'purchase' then 'Paid' else 'Open' end as status from {{events}}""",
+    "ads_spend": """select cast(ts as date) as report_date, case when event_type = 'error' then 'WM' else 'AMZ' end as platform,
+        case when user_id < 50 then 'USA' when user_id < 100 then 'CAN' else 'GBR' end as country_code, case when event_type = 'error' then 'WM 1P' when user_id > 140 then 'GG Ads' else 'Main' end as accname,
+        concat('C', cast(user_id as string)) as campaignid, case when value > 40 then 'Unallocated-1' when value > 20 then 'unallocated-2' else concat('B', cast(user_id as string)) end as platform_item_id,
+        case when event_type = 'view' then 'Affiliate' else 'SP' end as advertisingtype, cast(value as decimal(18,2)) as spend, cast(value as decimal(18,2)) + 0.10 as spend_usd,
+        1 as unitssold14d, case when user_id < 75 then 'T1' else 'T2' end as team, concat('S', cast(user_id as string)) as sku from {events} where event_type <> 'signup'""",
+    "ads_invoice_log": """select *, timestamp '2024-02-25 05:00:00' as run_time from {ads_billed} union all select *, timestamp '2024-01-25 05:00:00' from {ads_billed}""",
+    "ads_billed": """select concat('S', cast(event_id as string)) as summary_id, cast(ts as date) as summary_invoicedate, cast(ts as date) as report_date, concat('C', cast(user_id as string)) as campaignid,
+        case when user_id < 50 then 'USA' when user_id < 100 then 'CAN' else 'GBR' end as country, case when user_id < 50 then 'USD' when user_id < 100 then 'CAD' else 'GBP' end as currency,
+        case when value > 40 then 'Unallocated-1' else concat('B', cast(user_id as string)) end as platform_item_id, cast(value as decimal(18,2)) as asin_allocated_inv_amt
+      from {events} where event_type = 'purchase'""",
+    "ads_fx": " union all ".join(
+        f"""select distinct cast(ts as date) as run_date, '{ccy}' as currency_code, cast({base} + 0.01 * cast(day(ts) as decimal(10,0)) as decimal(10,4)) as to_usd
+          from {{events}} where day(ts) <> 13""" for ccy, base in (("USD", "1.00"), ("CAD", "0.50"), ("GBP", "1.20"))),
+    "search_costs": """select cast(ts as date) as segments_date, concat('ACC', cast(user_id as string)) as de_accountid, event_id as campaign_id,
+        cast(round(value * 1000000) as bigint) as metrics_costmicros from {events} where event_type = 'signup'""",
+    # ---- ledgers ----
+    "old_invoices": f"""select {key('CO', 'o_orderkey')} as original_invoice from {{orders}} where o_totalprice < 20000
+      union all select {key('AD', 'o_orderkey')} from {{orders}} where o_totalprice < 20000""",
+    "withdrawn": f"select {key('CO', 'o_orderkey')} as invoice_id from {{orders}} where o_orderdate < date '1995-06-01'",
+    "dimensions": """select country_code_3 as db, concat('REG-', country_code_3) as erp from {countries}
+      union all select distinct 'Amazon', 'PLF-AMZ-1' from {region} union all select distinct 'Walmart', 'PLF-WM-1' from {region} union all select distinct 'Wayfair', 'PLF-WF-1' from {region}
+      union all select distinct 'AVC', 'CHAN-AVC' from {region} union all select distinct 'ASC', 'CHAN-ASC' from {region} union all select distinct 'WM - DSV', 'CHAN-WMDSV' from {region}
+      union all select distinct 'WF - DSV', 'CHAN-WAYFAIR' from {region}""",
+    "journals": """select concat('J-', major_currency_code) as id, case when major_currency_code = 'CAD' then 'CADATA' else concat(major_currency_code, '-DATA') end as code,
+        'cid-AMERICA' as company_id, concat('batch ', country_code_3) as displayname from {countries}""",
+    "gl_accounts": " union all ".join(
+        f"""select distinct case when pims_company in ('SIDE', 'JOINT') or pims_company is null then 'MAIN' else pims_company end as company, 'G/L Account' as account_type, '{no}' as account_no,
+          '{label}' as account_name, '3311-MER' as posting_group, 'Vendor' as bal_account_type, concat('V-', country) as bal_account_no, '{ccy}' as currency_code, '{chan}' as channel_code,
+          concat('REG-', country) as region_code, 'PLF-AMZ-1' as platform_code, 'CO1' as original_company_id, concat('{label}', country) as other_name from {{profiles}}"""
+        for no, label, chan in (("64160102", "Selling exp_Promotions", "CHAN-AVC"), ("64160103", "Selling exp_Marketing", "CHAN-AVC"), ("64160104", "Selling exp_Marketing", "CHAN-ASC"))
+        for ccy in ("USD", "CAD")) + """ union all select distinct 'OBH', 'Vendor', '331', 'Vendor contra', '3311-MER', '', '', 'USD', 'CHAN-AVC', concat('REG-', country), 'PLF-AMZ-1', 'CO1',
+          'contra' from {profiles}""",
+    "expense_daily": f"""select concat('AVC-USA: ', case when l_linestatus = 'F' then 'Promotions exps' else 'Selling Marketing, Inv#' end) as d0,
+        concat(case when l_linestatus = 'F' then 'CHAN-AVC-USA: Booking Promotions exps, Inv# ' else 'CHAN-AVC-USA: Selling exp_Marketing, Inv# ' end, cast(l_orderkey as string)) as descriptions,
+        concat('Services - ', c_mktsegment) as accounts, concat('REG-', {PROMO_COUNTRY.replace("'MEX'", "'MXN'")}) as region_code,
+        concat('AD', cast(l_orderkey as string), '_', case when l_returnflag = 'R' then 'HMD' else 'MAIN' end) as original_invoice_company,
+        case when l_linenumber = 5 then - {AMOUNT} else {AMOUNT} end as amount, cast(o_orderdate as date) as document_date, case when l_linenumber = 6 then 0 else 2 end as is_processed
+      from {OL} join {{customer}} on o_custkey = c_custkey""",
+    # ---- accrual estimate and damage ----
+    "est_header": f"""select concat('DOC', cast(o_orderkey as string), case when {LOW_PARTIAL} then '_Return' else '' end) as external_doc_no, cast(o_orderdate as date) as posting_date,
+        cast(o_orderdate as date) as document_date, case o_orderstatus when 'O' then 'REG-DEU' when 'P' then 'REG-JPN' else 'REG-USA' end as country, 'USD' as currency,
+        case when o_orderpriority = '4-NOT SPECIFIED' then 'CHAN-WAYFAIR' else 'CHAN-AVC' end as sales_channel,
+        case o_orderpriority when '1-URGENT' then 'AVC DS' when '2-HIGH' then 'AVC WH' when '3-MEDIUM' then 'AVC DI' when '4-NOT SPECIFIED' then 'WF' else 'ASC FBM' end as internal_sales_channel,
+        case when o_totalprice < 30000 then 0 else 1 end as is_processed, 'CO1' as original_company_id,
+        case when o_totalprice > 400000 then 'Booking accrual revenue' else 'Booking revenue' end as posting_description,
+        case when o_totalprice between 300000 and 310000 then '136INTC-X' else '131US' end as bill_to_customer,
+        case when {LOW_PARTIAL} then 'Sales Return' else 'Order' end as document_type, {key('INV', 'o_orderkey')} as original_external_doc_no, 'PLF-WF-1' as platform,
+        case when o_orderstatus = 'O' then 'MAIN' when o_orderstatus = 'F' then 'SIDE' else 'HMD' end as belong_to_company from {{orders}}""",
+    "est_line": f"""select concat('DOC', cast(l_orderkey as string), case when {LOW_PARTIAL} then '_Return' else '' end) as document_no,
+        case when l_linenumber = 2 then 'DROPSHIP-1' else {key('P', 'l_suppkey')} end as po_number, {code('l_partkey')} as no, cast(p_retailprice as decimal(18,2)) as unit_price,
+        cast(l_quantity as int) as quantity, {AMOUNT} as amount, case o_orderstatus when 'O' then 'REG-DEU' when 'P' then 'REG-JPN' else 'REG-USA' end as country, 'CHAN-AVC' as sales_channel,
+        'PLF-AMZ-1' as platform from {OL} join {{part}} on l_partkey = p_partkey""",
+    "furniture_items": f"select distinct {code('p_partkey')} as pims_sku from {{part}} where p_type = 'LARGE'",
+    "expense_ledger": f"select {INV} as original_invoice_company from {{orders}} where o_totalprice < 50000",
+}
