@@ -43,8 +43,8 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: list[int]) -> tuple[DataF
 def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | None = None) -> DataFrame:
     """Add ``_slice`` and ``_pos``, the 0-based position of every row in the total order.
 
-    A range shuffle with a tie-breaker spreads even equal rows; the ranged frame is checkpointed,
-    so that slices and positions stay fixed if executors are lost. Only one row per partition is
+    A range shuffle with a tie-breaker spreads even equal rows; the ranged frame is written
+    out, so that slices and positions stay fixed if executors are lost. Only one row per partition is
     used to turn positions inside a slice into global ones.
     """
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -52,7 +52,8 @@ def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | N
     keys = [*order, F.col("_tie")]
     ranged = cut_lineage(
         tied.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
-        .drop("_tie").withColumn("_mid", F.monotonically_increasing_id())
+        .drop("_tie").withColumn("_mid", F.monotonically_increasing_id()),
+        "positions",
     )
     placed = (
         ranged.withColumn("_slice", F.shiftright("_mid", 33))

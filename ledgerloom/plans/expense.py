@@ -18,6 +18,7 @@ from ledgerloom.plans import config as c
 from ledgerloom.plans.accrual import gl_line
 from ledgerloom.plans.config import GlConfig
 from ledgerloom.schemas import GL_LINE, conform
+from ledgerloom.session import cut_lineage
 
 Tables = Mapping[str, DataFrame]
 
@@ -236,6 +237,9 @@ def gl_format_log(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], as
     and a contra line against the vendor. Document numbers rank the invoices across the whole log.
     """
     rows = promotion_gl(t, cfg, main, merged).unionByName(advertising_gl(t, cfg, main, merged), allowMissingColumns=True)
+    # every branch below keeps all invoices, so they can be ranked before their accounts are known;
+    # the invoice-level rows are fixed once and read by the ranking and by the three branches
+    rows = dense_rank_global(cut_lineage(rows), "original_invoice_company", "_rank", partitions)
     company = part("original_invoice_company", "_", 2)
     own = F.col("original_invoice_company").like(f"%{main}")
     codes = [(F.col(name), name) for name in ("currency_code", "channel_code", "region_code", "platform_code")]
@@ -249,9 +253,7 @@ def gl_format_log(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], as
     vendors = accounts.where((F.col("company") == "OBH") & (F.col("account_type") == "Vendor"))
     contra = text_rule_join(obh, vendors, codes).withColumns({
         "account_type": F.col("rule_account_type"), "amount": -F.col("amount")})
-    full = by_text.unionByName(expense).unionByName(contra)
-    ranked = dense_rank_global(full, "original_invoice_company", "_rank", partitions)
-    lines = ranked.withColumns({
+    lines = by_text.unionByName(expense).unionByName(contra).withColumns({
         **{name: F.col(f"rule_{name}") for name in (
             "account_no", "account_name", "posting_group", "bal_account_type", "bal_account_no", "other_name")},
         "document_no": concat_skip_null(F.lit("GJNLGEN"), date_text("posting_date", "YY"), date_text("posting_date", "MM"),

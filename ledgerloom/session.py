@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Runtime SQL settings the plans rely on; all may be changed on a live session.
 RUNTIME_CONF = {
@@ -53,9 +53,13 @@ def new_stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the frame is fixed and survives the loss of executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a stage to the shared folder and read it back.
+
+    The rows are fixed and survive the loss of executors; as columnar files they can be read by
+    later branches one column at a time. Columns without a type are stored as text.
+    """
+    path = new_stage_path(df.sparkSession, name)
+    void = [f.name for f in df.schema.fields if f.dataType.simpleString() == "void"]
+    df.withColumns({c: F.col(c).cast("string") for c in void}).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
