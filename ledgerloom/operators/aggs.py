@@ -32,6 +32,13 @@ def string_distinct(value: ColumnLike, separator: str) -> Column:
     return F.when(F.size(texts) > 0, F.array_join(texts, separator))
 
 
+def merged_lists(lists: ColumnLike, separator: str) -> Column:
+    """Distinct entries of the group's arrays in ascending order, joined."""
+    texts = F.array_sort(F.array_distinct(F.flatten(F.collect_set(as_col(lists)))))
+    texts = F.filter(texts, lambda x: x.isNotNull())
+    return F.when(F.size(texts) > 0, F.array_join(texts, separator))
+
+
 def string_list(value: ColumnLike, separator: str) -> Column:
     """All values in ascending order (a stated order makes the result repeatable)."""
     texts = F.array_sort(F.collect_list(as_col(value).cast("string")))

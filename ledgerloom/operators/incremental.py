@@ -30,23 +30,30 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None = No
     """``key NOT IN (select other_key from other)``.
 
     A null in the list empties the result; a null key passes only against an empty list. Done as
-    a shuffled anti join and two scalar facts about the list, so the list is never broadcast whole.
+    a shuffled anti join and scalar facts about the list, so the list is never broadcast whole.
     """
     other_key = other_key or key
     listed = other.select(F.col(other_key).alias(key))
     kept = df.join(listed.where(F.col(key).isNotNull()).distinct(), key, "left_anti")
     if not null_aware:
         return kept
-    has_null = listed.agg(F.coalesce(F.bool_or(F.col(key).isNull()), F.lit(False))).scalar()
-    has_rows = listed.agg(F.count(F.lit(1)) > 0).scalar()
+    facts = list_facts(listed, key)
     columns = df.columns
     return (
-        kept.withColumns({"_has_null": has_null, "_has_rows": has_rows})
-        .where(~F.col("_has_rows") | (~F.col("_has_null") & F.col(key).isNotNull()))
+        kept.withColumn("_facts", facts)
+        .where(~F.col("_facts.has_rows") | (~F.col("_facts.has_null") & F.col(key).isNotNull()))
         .select(*columns)
     )
 
 
+def list_facts(listed: DataFrame, key: str) -> Column:
+    """Whether a list has rows and has a null, as one scalar read in one pass."""
+    return listed.agg(F.struct(
+        F.coalesce(F.bool_or(F.col(key).isNull()), F.lit(False)).alias("has_null"),
+        (F.count(F.lit(1)) > 0).alias("has_rows"),
+    )).scalar()
+
+
 def composite_anti(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows without a partner on all keys; a null key part never finds one."""
     return df.join(other.select(*keys).distinct(), list(keys), "left_anti")

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import ColumnLike, as_col, contains
+from ledgerloom.operators.incremental import list_facts
 
 
 def interval_join(left: DataFrame, right: DataFrame, equi: Sequence[tuple[str, str]], at: str,
@@ -140,12 +141,8 @@ def reconcile(source: DataFrame, booked: DataFrame, keys: Sequence[tuple[str, st
     if posted is None:
         return joined.where(differs | missing)
     listed = posted.select(F.col(posted_key or src_key).alias("_posted"))
-    facts = listed.agg(F.struct(
-        F.coalesce(F.bool_or(F.col("_posted").isNull()), F.lit(False)).alias("has_null"),
-        (F.count(F.lit(1)) > 0).alias("has_rows"),
-    ))
     joined = joined.join(listed.where(F.col("_posted").isNotNull()).distinct(), F.col(src_key) == F.col("_posted"), "left")
-    joined = joined.withColumn("_facts", facts.scalar())
+    joined = joined.withColumn("_facts", list_facts(listed, "_posted"))
     unlisted = ~F.col("_facts.has_rows") | (
         ~F.col("_facts.has_null") & F.col(src_key).isNotNull() & F.col("_posted").isNull())
     keep = (differs | (missing & unlisted)) if guard == "missing" else (missing | (differs & unlisted))

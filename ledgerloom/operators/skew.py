@@ -40,18 +40,22 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: list[int]) -> tuple[DataF
     return df.where(is_hot), df.where(~is_hot)
 
 
-def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | None = None) -> DataFrame:
+def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | None = None,
+                     ties: bool = True) -> DataFrame:
     """Add ``_slice`` and ``_pos``, the 0-based position of every row in the total order.
 
-    A range shuffle with a tie-breaker spreads even equal rows; the ranged frame is written
-    out, so that slices and positions stay fixed if executors are lost. Only one row per partition is
-    used to turn positions inside a slice into global ones.
+    The ranged rows are written out, so that slices and positions stay fixed if executors are
+    lost. With ``ties`` a tie-breaker spreads even equal rows over the ranges; it is taken from
+    written rows, so a task that runs again gives the same value. Only one row per range is used
+    to turn positions inside a slice into global ones.
     """
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    keys = [*order, F.col("_tie")]
+    keys = list(order)
+    if ties:
+        df = cut_lineage(df, "ties").withColumn("_tie", F.monotonically_increasing_id())
+        keys.append(F.col("_tie"))
     ranged = cut_lineage(
-        tied.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+        df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
         .drop("_tie").withColumn("_mid", F.monotonically_increasing_id()),
         "positions",
     )

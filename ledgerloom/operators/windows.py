@@ -23,7 +23,7 @@ def dense_rank_global(df: DataFrame, key: str, out: str = "rank", partitions: in
     """``dense_rank() over (order by key)`` without one partition for all rows: the distinct keys
     are ranged and numbered, and the ranks joined back. A null key ranks last."""
     keys = df.select(key).distinct()
-    ranks = global_positions(keys, [F.col(key).asc_nulls_last()], partitions)
+    ranks = global_positions(keys, [F.col(key).asc_nulls_last()], partitions, ties=False)
     ranks = ranks.select(F.col(key).alias("_rank_key"), (F.col("_pos") + 1).alias(out))
     return df.join(ranks, F.col(key).eqNullSafe(F.col("_rank_key")), "left").drop("_rank_key")
 

@@ -11,9 +11,9 @@ from ledgerloom.functions.scalars import (
     ColumnLike, as_col, concat_skip_null, contains, date_text, in_period, matches, not_matches, part, period_day,
     positive_gap, shift_period, tail,
 )
-from ledgerloom.operators.aggs import nonzero_sum, string_distinct
+from ledgerloom.operators.aggs import merged_lists, nonzero_sum, string_distinct
 from ledgerloom.operators.derive import code_map, rate_columns, sku_or_unallocated, unpivot_rates
-from ledgerloom.operators.incremental import composite_anti, latest_snapshot
+from ledgerloom.operators.incremental import composite_anti, keys_of, latest_snapshot
 from ledgerloom.operators.joins import member_flag, rate_join
 from ledgerloom.operators.windows import allocate, share_allocate
 from ledgerloom.plans import config as c
@@ -134,12 +134,12 @@ def promo_invoices(t: Tables) -> DataFrame:
         F.col("invoice_id").alias("o_invoice"), F.col("invoice_date").alias("o_date"),
         F.when(F.col("promo_type") == "Base Merchandising Fee", part("agreement_title", ":", 2)).alias("o_promotion"),
         F.col("country").alias("o_country"), F.col("currency").alias("o_currency"), "original_balance", "promo_type")
-    both = detail.join(overview, F.col("invoice_number") == F.col("o_invoice"), "full")
-    # rows without detail have no group to share a fee with
-    fee = allocate(both.where(F.col("invoice_number").isNotNull()), "invoice_number", "original_balance",
-                   "promotion_cost", "quantity", "clip")
-    rest = both.where(F.col("invoice_number").isNull()).withColumn("clip", F.lit(None).cast(fee.schema["clip"].dataType))
-    rows = fee.unionByName(rest)
+    # the full join in two halves: a left join that may be split on a hot invoice, and the overview
+    # rows without detail, which have no group to share a fee with
+    billed = detail.join(overview, F.col("invoice_number") == F.col("o_invoice"), "left")
+    fee = allocate(billed, "invoice_number", "original_balance", "promotion_cost", "quantity", "clip")
+    bare = overview.join(keys_of(detail, "invoice_number", "o_invoice"), "o_invoice", "left_anti")
+    rows = fee.unionByName(bare, allowMissingColumns=True)
     return rows.select(
         F.coalesce("invoice_number", "o_invoice").alias("invoice_number"), F.coalesce("d_date", "o_date").alias("invoice_date"),
         "report_date", F.coalesce("d_promotion", "o_promotion", F.lit("VM Promotion")).alias("promotion_id"), "asin",
@@ -158,13 +158,23 @@ def promo_accrual(t: Tables, period: str, run_ts: datetime, own: Sequence[str],
     low, high = (F.lit(x) for x in frozen_range)
     frozen = t["estimate_log"].where(in_period("run_time", frozen_period) & F.col("report_date").between(low, high))
     keys = ["promotion_id", "country", "platform", "sale_channel", "platform_prd_id", "report_date"]
-    safe = lambda df: df.withColumn("_promo", F.coalesce("promotion_id", F.lit("")))
-    booked = safe(t["promo_spend"].where(F.col("report_date").between(low, high))).select(
-        "_promo", *keys[1:], F.col("invoices_list"), "invoiced_amt_usd", "invoiced_amt_lc")
-    frozen = safe(frozen.drop("invoices_list", "invoiced_amt_usd", "invoiced_amt_lc")).join(
-        booked, ["_promo", *keys[1:]], "left").drop("_promo")
+
+    # the source joins estimate rows to invoice rows of one key and then sums: each sum is the sum
+    # of one side times the row count of the other, so both sides are summed before they meet
+    estimates = frozen.groupBy("promotion_id", *keys[1:]).agg(
+        F.count(F.lit(1)).alias("_est"), F.sum("pro_est_adj_usd").alias("pro_est_adj_usd"),
+        F.sum("pro_est_adj_lc").alias("pro_est_adj_lc")).withColumn("_promo", F.coalesce("promotion_id", F.lit("")))
+    # a blank promotion stands for a null one
+    invoiced = t["promo_spend"].where(F.col("report_date").between(low, high)).groupBy(
+        F.coalesce("promotion_id", F.lit("")).alias("_promo"), *keys[1:]).agg(
+        F.count(F.lit(1)).alias("_inv"), F.collect_set("invoices_list").alias("lists"),
+        F.sum("invoiced_amt_usd").alias("invoiced_amt_usd"), F.sum("invoiced_amt_lc").alias("invoiced_amt_lc"))
+    frozen = estimates.join(invoiced, ["_promo", *keys[1:]], "left")
+    times = lambda c, n: (F.col(c) * F.coalesce(F.col(n), F.lit(1))).alias(c)
+    frozen = frozen.select(*keys, "lists", times("pro_est_adj_usd", "_inv"), times("pro_est_adj_lc", "_inv"),
+                           times("invoiced_amt_usd", "_est"), times("invoiced_amt_lc", "_est"))
     fresh = latest_snapshot(t["estimate_log"], "run_time").where(
-        F.col("report_date").between(F.lit(open_from), F.lit(day)))
+        F.col("report_date").between(F.lit(open_from), F.lit(day))).withColumn("lists", F.array("invoices_list"))
 
     def summed(rows: DataFrame) -> DataFrame:
         owners = t["profiles"].select(
@@ -174,7 +184,7 @@ def promo_accrual(t: Tables, period: str, run_ts: datetime, own: Sequence[str],
             date_text("report_date", "YYYY-MM").alias("report_month"), "promotion_id", "platform_prd_id", "platform",
             "country",
         ).agg(
-            string_distinct("invoices_list", "|").alias("list_invoice_number"),
+            merged_lists("lists", "|").alias("list_invoice_number"),
             F.sum("pro_est_adj_usd").alias("est_amt_usd"), F.sum("pro_est_adj_lc").alias("est_amt_lcy"),
             F.sum("invoiced_amt_usd").alias("invoiced_amt_usd"), F.sum("invoiced_amt_lc").alias("invoiced_amt_lcy"))
         return grouped.withColumns({

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import concat_skip_null, date_text, in_period, matches, not_matches, part, period_day, shift_period
-from ledgerloom.operators.aggs import group_constant, pivot_sum, string_distinct, string_list
+from ledgerloom.operators.aggs import group_constant, merged_lists, pivot_sum, string_distinct, string_list
 from ledgerloom.operators.derive import code_map
 from ledgerloom.operators.incremental import keys_of, not_in
 from ledgerloom.operators.joins import interval_join, reconcile
@@ -114,16 +114,21 @@ def unidentified_location(t: Tables) -> DataFrame:
         "document_no", F.col("no").alias("sku"), "location_code")
     heads = t["daily_header"].select(
         F.col("external_doc_no").alias("document_no"), "original_external_doc_no", "internal_sales_channel")
-    pos = t["settlements"].select(F.col("order_id").alias("original_external_doc_no"), "po_id")
+    pos = t["settlements"].select(F.col("order_id").alias("original_external_doc_no"), "po_id").distinct()
     rows = lines.join(heads, "document_no", "left").join(pos, "original_external_doc_no", "left")
-    rows = rows.withColumn("transaction_id", F.coalesce("po_id", "original_external_doc_no")).distinct()
-    # only distinct values are listed, so both sides can be deduplicated before they meet
-    moves = t["transactions"].select("transaction_id", "warehouse", "ims_id").distinct()
-    rows = rows.join(moves, "transaction_id", "left")
-    out = rows.groupBy(F.col("original_external_doc_no").alias("invoice_number")).agg(
+    rows = rows.withColumn("transaction_id", F.coalesce("po_id", "original_external_doc_no"))
+    # the lists of the two sides do not depend on each other: each is gathered by itself, so no
+    # pairs of items and movements are formed
+    doc = F.col("original_external_doc_no").alias("invoice_number")
+    items = rows.groupBy(doc).agg(
         string_distinct("sku", ",").alias("sku"), string_distinct("location_code", ",").alias("location"),
-        string_distinct("internal_sales_channel", ",").alias("sales_channel"),
-        string_distinct("warehouse", ",").alias("warehouse"), string_distinct("ims_id", "|").alias("ims_id"))
+        string_distinct("internal_sales_channel", ",").alias("sales_channel"))
+    moves = t["transactions"].groupBy("transaction_id").agg(
+        F.collect_set("warehouse").alias("places"), F.collect_set(F.col("ims_id").cast("string")).alias("ims"))
+    evidence = rows.select(doc, "transaction_id").distinct().join(moves, "transaction_id", "left")
+    evidence = evidence.groupBy("invoice_number").agg(
+        merged_lists("places", ",").alias("warehouse"), merged_lists("ims", "|").alias("ims_id"))
+    out = items.join(evidence, "invoice_number", "left")
     out = out.withColumn("sales_channel", code_map("sales_channel", {"WM WFS": "WM MKP"}, F.col("sales_channel")))
     return out.orderBy(F.asc_nulls_last("sales_channel"), F.asc_nulls_last("invoice_number"))
 
