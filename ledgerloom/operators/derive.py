@@ -61,12 +61,12 @@ def obh_expand(df: DataFrame, owner: str, stock: Column, gl_account: str, zero_p
     )
     item = F.struct(
         F.lit("ITEM").alias("type"), F.col("no").alias("no"), F.lit("pcs").alias("uom"),
-        (F.round(price, 2) * 0 if zero_price else F.round(price, 2)).cast("decimal(38,2)").alias("unit_price"),
+        (F.round(price, 2) * 0 if zero_price else F.round(price, 2)).cast("decimal(18,2)").alias("unit_price"),
         (F.lit(0) if zero_price else F.col("discount")).cast(df.schema["discount"].dataType).alias("discount"),
-        F.col("quantity").alias("quantity"), F.lit(0).cast("decimal(38,2)").alias("amount"),
+        F.col("quantity").alias("quantity"), F.lit(0).cast("decimal(18,2)").alias("amount"),
     )
-    gl = gl.withField("unit_price", gl["unit_price"].cast("decimal(38,2)")).withField(
-        "amount", gl["amount"].cast("decimal(38,2)"))
+    gl = gl.withField("unit_price", gl["unit_price"].cast("decimal(18,2)")).withField(
+        "amount", gl["amount"].cast("decimal(18,2)"))
     both = F.when(stock, F.array(gl, item)).otherwise(F.array(gl))
     changed = ["type", "no", "uom", "unit_price", "discount", "quantity", "amount"]
     kept = [c for c in df.columns if c not in changed]

@@ -291,7 +291,7 @@ def search_ads_accrual(costs: DataFrame, period: str, run_ts: datetime, account_
         "external_doc_no": F.lit("MKTACRGGADS" + day.strftime("%Y%m")), "posting_date": F.lit(day),
         "report_date": F.col("segments_date").cast("date"),
         "account_name": code_map("de_accountid", account_names, F.col("de_accountid")),
-        "ad_cost": (F.col("metrics_costmicros").cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(38,6)"),
+        "ad_cost": (F.col("metrics_costmicros").cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(18,6)"),
         "run_time": F.lit(run_ts)})
 
 

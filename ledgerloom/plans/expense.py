@@ -140,8 +140,8 @@ def ads_invoice_detail(t: Tables, since: date, main: str, main_company: str, sel
 
     # one pass: each invoice gives its own row and, if there is an amount, the partner's row
     own = F.struct(code_map("account_name", account_owner, F.lit(main)).alias("company"),
-                   (F.col("amount") - F.col("partner_amt")).cast("decimal(38,2)").alias("invoice_amount"))
-    other = F.struct(F.lit(split_owner).alias("company"), F.col("partner_amt").cast("decimal(38,2)").alias("invoice_amount"))
+                   (F.col("amount") - F.col("partner_amt")).cast("decimal(18,2)").alias("invoice_amount"))
+    other = F.struct(F.lit(split_owner).alias("company"), F.col("partner_amt").cast("decimal(18,2)").alias("invoice_amount"))
     split = F.when(F.col("partner_amt") != 0, F.array(own, other)).otherwise(F.array(own))
     keep = ["invoice_number", "invoice_date", "acc_id", "country", "currency", "channel", "platform", "account_name",
             "original_company_id"]
@@ -155,7 +155,7 @@ def ads_invoice_detail(t: Tables, since: date, main: str, main_company: str, sel
             df = df.where(~F.col("document_number").isin(*skip_documents))
         return df.join(region, "country_key", "left").select(
             F.col("document_number").alias("invoice_number"), F.col("document_date").cast("date").alias("invoice_date"),
-            "country", "currency", F.col(amount).cast("decimal(38,2)").alias("invoice_amount"), F.lit("WM - DSV").alias("channel"),
+            "country", "currency", F.col(amount).cast("decimal(18,2)").alias("invoice_amount"), F.lit("WM - DSV").alias("channel"),
             F.lit("Walmart").alias("platform"), F.lit("Walmart").alias("account_name"), F.lit(main).alias("company"),
             F.lit(main_company).alias("original_company_id"))
 
@@ -164,7 +164,7 @@ def ads_invoice_detail(t: Tables, since: date, main: str, main_company: str, sel
     wallet = t["ads_wallet"].where((F.col("status") == "Paid") & (F.col("report_date") >= F.lit(since))).select(
         F.col("externalpaymentid").alias("invoice_number"), F.col("report_date").cast("date").alias("invoice_date"),
         code_map("account_name", wallet_region or {}).alias("country"), F.col("currencyid").alias("currency"),
-        F.col("amount").cast("decimal(38,2)").alias("invoice_amount"), F.lit("WF - DSV").alias("channel"),
+        F.col("amount").cast("decimal(18,2)").alias("invoice_amount"), F.lit("WF - DSV").alias("channel"),
         F.lit("Wayfair").alias("platform"), F.lit("Wayfair").alias("account_name"), F.lit(main).alias("company"),
         F.lit(seller_company).alias("original_company_id"))
     rows = ads

@@ -26,6 +26,7 @@ from ledgerloom.operators.windows import line_numbers
 from ledgerloom.plans import config as c
 from ledgerloom.plans.config import ChannelConfig
 from ledgerloom.schemas import HEADER, LINE, SNAPSHOT, conform
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources.io import SNAPSHOT_COL, SNAPSHOT_PARTITION
 
 Tables = Mapping[str, DataFrame]
@@ -122,10 +123,13 @@ def _stage(rows: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date, own
 
 def run_channel(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date,
                 snapshot_log: DataFrame | None = None, evidence_since: date | None = None,
-                extra_invoices: DataFrame | None = None, shipments: DataFrame | None = None
+                extra_invoices: DataFrame | None = None, shipments: DataFrame | None = None, stage: bool = False
                 ) -> tuple[DataFrame, DataFrame]:
     """Headers and lines of one channel as of a day.
 
+    ``stage`` writes the staged rows once; use it when headers and lines are written by separate
+    jobs, which would otherwise each run the joins again.
+
     ``snapshot_log``, when given, is the log the candidates were written to: the newest load *of
     this channel* is read from it, so a channel without new rows does not pick up another's load.
     """
@@ -139,13 +143,15 @@ def run_channel(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, as_of
         places = warehouse_locations(tables["transactions"], cfg.evidence, evidence_since or cfg.date_from)
         own = update_from(own, places, cfg.evidence_key, "transaction_id", "wh_location", "location",
                           F.col("wh_location") == c.UNIDENTIFIED)
+    fix = cut_lineage if stage else (lambda df, name: df)
+    own = fix(own, "own")
     header_rows = line_rows = own
     if extra_invoices is not None:
         header_rows, line_rows = reclass_extra(own, extra_invoices)
     header = header_layout(header_rows, F.lit(None).cast("string"))
     line = line_layout(line_rows)
 
-    obh = stage_on_behalf(rows, tables, cfg, as_of)
+    obh = fix(stage_on_behalf(rows, tables, cfg, as_of), "on-behalf")
     header = header.unionByName(header_layout(obh, F.col("bill_to_customer")))
     stock = cfg.obh_stock() if cfg.obh_stock else F.lit(False)
     line = line.unionByName(line_layout(

@@ -5,7 +5,9 @@ from pyspark.sql.types import (
 )
 
 _S, _D, _B, _T, _I, _L = StringType(), DateType(), BooleanType(), TimestampType(), IntegerType(), LongType()
-_MONEY, _NUM = DecimalType(38, 2), DecimalType(38, 10)
+# Compact decimals (8 bytes, hashed and compared as integers) hold 16 digits before the cents;
+# a larger value raises instead of being cut.
+_MONEY, _NUM = DecimalType(18, 2), DecimalType(18, 6)
 
 
 def _struct(*groups) -> StructType:
@@ -52,7 +54,7 @@ ESTIMATE = _struct(
     (_D, "posting_date"), (_S, "sales_channel internal_sales_channel platform invoice_number po_number country "
                               "currency company original_company_id"),
     (_D, "document_date"), (_S, "sku"), (_NUM, "unit_price quantity"), (_MONEY, "amount"), (_I, "is_processed"),
-    (DecimalType(6, 4), "rate"), (DecimalType(38, 6), "accrual_amt"), (_S, "original_invoice note type"),
+    (DecimalType(6, 4), "rate"), (DecimalType(18, 6), "accrual_amt"), (_S, "original_invoice note type"),
 )
 
 

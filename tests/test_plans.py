@@ -37,7 +37,8 @@ CFG = ChannelConfig(channels=["T"], own=["M", "S"], main="M", date_from=date(202
 D = date(2025, 1, 5)
 
 
-def test_channel_routes_posts_and_expands(spark):
+@pytest.mark.parametrize("stage", [False, True])
+def test_channel_routes_posts_and_expands(spark, stage):
     cand = snapshot(spark, [
         ("own1", "M", "A", Decimal("10.00"), D, c.UNIDENTIFIED, "T"), ("own2", "S", "A", Decimal("10.00"), date(2024, 12, 5), c.UNIDENTIFIED, "T"),
         ("posted", "M", "A", Decimal("1.00"), D, c.UNIDENTIFIED, "T"), ("manual", "M", "A", Decimal("1.00"), D, c.UNIDENTIFIED, "T"),
@@ -45,7 +46,7 @@ def test_channel_routes_posts_and_expands(spark):
         ("obh1", "HMD", "B", Decimal("7.00"), D, "loc", "T"), ("obh2", "Bitis", "B", Decimal("8.00"), D, "loc", "T")])
     moves = [("T", "own1", "CRA", D, 1, 1, 1), ("T", "own1", "CRA", D, 0, 0, 9), ("T", "own2", "CRA", D, 1, 1, 1), ("T", "own2", "FLO", D, 1, 1, 1)]
     t = tables(spark, [("posted", "posted", "order", "T"), ("obh1", "obh1", "Return", "X")], ["manual"], moves)
-    header, line = si.run_channel(cand, t, CFG, AS_OF)
+    header, line = si.run_channel(cand, t, CFG, AS_OF, stage=stage)
     assert header.columns == [f.name for f in HEADER.fields] and line.columns == [f.name for f in LINE.fields]
     # obh1 is held back: any posted document with its number counts for on-behalf goods
     assert rows(header, "external_doc_no", "location", "name", "posting_date") == [
