@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import ColumnLike, as_col
+from ledgerloom.operators.skew import lookup
 
 
 def completeness(df: DataFrame, doc: str, status: str, ok: Sequence[str], cancelled: Sequence[str]) -> DataFrame:
@@ -69,7 +70,7 @@ def drop_secondary_owners(header: DataFrame, doc: str, owner: str, main: str, se
     """Of documents with the main and a secondary owner, remove the secondary owners' headers."""
     second = F.col(owner).isin(*secondary)
     mixed = mixed_owner_docs(header, doc, owner, main, secondary).withColumn("_mixed", F.lit(True))
-    joined = header.join(mixed, doc, "left")
+    joined = lookup(header, mixed, [doc])
     return joined.where(F.col("_mixed").isNull() | ~F.coalesce(second, F.lit(False))).select(*header.columns)
 
 

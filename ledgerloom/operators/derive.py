@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import ColumnLike, as_col, concat_skip_null, head
+from ledgerloom.operators.skew import lookup
 
 
 def code_map(col: ColumnLike, mapping: Mapping[str, str], default: ColumnLike | None = None) -> Column:
@@ -93,7 +94,7 @@ def update_from(df: DataFrame, other: DataFrame, key: str, other_key: str, col:
                 only_if: Column) -> DataFrame:
     """Fill ``col`` from a frame with one row per key, only where ``only_if`` holds and a row exists."""
     source = other.select(F.col(other_key).alias(key), F.col(value).alias("_new"), F.lit(True).alias("_hit"))
-    joined = df.join(source, key, "left")
+    joined = lookup(df, source, [key])
     return joined.withColumn(
         col, F.when(F.col("_hit") & only_if, F.col("_new")).otherwise(F.col(col))
     ).select(*df.columns)

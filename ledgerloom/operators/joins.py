@@ -93,7 +93,8 @@ def fallback_join(df: DataFrame, dim: DataFrame, dim_key: str, value: str, key_e
     columns, hits = df.columns, []
     for i, expr in enumerate(key_exprs):
         side = dim.select(F.col(dim_key).alias(f"_fk{i}"), F.col(value).alias(f"_fv{i}"))
-        df = df.join(side, expr == F.col(f"_fk{i}"), "left")
+        # null-safe, so that a hot key can be split although the dimension is grouped by its key
+        df = df.join(side.where(F.col(f"_fk{i}").isNotNull()), expr.eqNullSafe(F.col(f"_fk{i}")), "left")
         hits.append(F.col(f"_fv{i}"))
     if default is not None:
         hits.append(as_col(default))
@@ -119,7 +120,7 @@ def constant_dim(df: DataFrame, dim: DataFrame, condition: Column, cols: Sequenc
 def member_flag(df: DataFrame, key: Column, members: DataFrame, member_key: str, out: str) -> DataFrame:
     """``key IN (select member_key ..)`` as a column, for use inside an expression."""
     side = members.select(F.col(member_key).alias("_member")).where(F.col("_member").isNotNull()).distinct()
-    joined = df.join(side, key == F.col("_member"), "left")
+    joined = df.join(side, key.eqNullSafe(F.col("_member")), "left")   # see skew.lookup
     return joined.withColumn(out, F.col("_member").isNotNull()).drop("_member")
 
 

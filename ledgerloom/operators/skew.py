@@ -40,6 +40,22 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: list[int]) -> tuple[DataF
     return df.where(is_hot), df.where(~is_hot)
 
 
+def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Equality join to a side that was grouped by the same keys, in a form that can be split.
+
+    With plain equality the grouped side keeps its partitioning, its aggregate sits between the
+    join and the shuffle, and adaptive execution then leaves a hot key of the left side whole.
+    Null-safe keys make the small side shuffle once more, after which a hot key is split. Null
+    keys do not match.
+    """
+    on = list(on)
+    named = right.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in on])).withColumnsRenamed(
+        {k: f"_on_{k}" for k in on})
+    condition = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in on])
+    joined = left.join(named, condition, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_on_{k}" for k in on])
+
+
 def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | None = None,
                      ties: bool = True) -> DataFrame:
     """Add ``_slice`` and ``_pos``, the 0-based position of every row in the total order.

@@ -13,6 +13,7 @@ from ledgerloom.functions.scalars import (
 from ledgerloom.operators.derive import code_map, is_own
 from ledgerloom.operators.incremental import not_in
 from ledgerloom.operators.joins import text_rule_join
+from ledgerloom.operators.skew import lookup
 from ledgerloom.operators.windows import dense_rank_global
 from ledgerloom.plans import config as c
 from ledgerloom.plans.accrual import gl_line
@@ -64,11 +65,9 @@ def promo_invoice_by_sku(t: Tables, since: date) -> DataFrame:
         F.col("funding_agreement").alias("agreement_id"), F.col("promotion_id").alias("agreed_promotion")).distinct()
 
     detail = t["promo_detail"].where(F.col("invoice_date") >= F.lit(since))
-    rows = (
-        detail.drop("funding_type")
-        .join(overview.drop("invoice_date"), "invoice_number", "left")
-        .join(agreements, "agreement_id", "left").join(clips, "invoice_number", "left")
-        .join(totals, "invoice_number", "left"))
+    rows = detail.drop("funding_type").join(overview.drop("invoice_date"), "invoice_number", "left")
+    rows = rows.join(agreements, "agreement_id", "left")
+    rows = lookup(lookup(rows, clips, ["invoice_number"]), totals, ["invoice_number"])
     per_unit = lambda amount: F.round(
         F.col("promotion_cost") + amount * F.col("quantity") / F.when(F.col("total_quantity") != 0, F.col("total_quantity")), 2)
     residual = F.col("cop_ovr_amt") - F.col("total_cost")

@@ -12,6 +12,7 @@ from ledgerloom.operators.aggs import group_constant, merged_lists, pivot_sum, s
 from ledgerloom.operators.derive import code_map
 from ledgerloom.operators.incremental import keys_of, not_in
 from ledgerloom.operators.joins import interval_join, reconcile
+from ledgerloom.operators.skew import lookup
 
 Tables = Mapping[str, DataFrame]
 NET_CHANNELS = ("CHAN-WAYFAIR", "CHAN-WMDSV")   # fixed values: channels whose net sales differ from gross
@@ -110,7 +111,7 @@ def unidentified_location(t: Tables) -> DataFrame:
     """Documents without a location and the warehouse evidence there is for them."""
     open_docs = t["daily_header"].where(F.col("location") == "Unidentified").select(
         F.col("external_doc_no").alias("document_no")).distinct()
-    lines = t["daily_line"].join(open_docs, "document_no", "left_semi").select(
+    lines = lookup(t["daily_line"], open_docs, ["document_no"], "left_semi").select(
         "document_no", F.col("no").alias("sku"), "location_code")
     heads = t["daily_header"].select(
         F.col("external_doc_no").alias("document_no"), "original_external_doc_no", "internal_sales_channel")
@@ -125,7 +126,7 @@ def unidentified_location(t: Tables) -> DataFrame:
         string_distinct("internal_sales_channel", ",").alias("sales_channel"))
     moves = t["transactions"].groupBy("transaction_id").agg(
         F.collect_set("warehouse").alias("places"), F.collect_set(F.col("ims_id").cast("string")).alias("ims"))
-    evidence = rows.select(doc, "transaction_id").distinct().join(moves, "transaction_id", "left")
+    evidence = lookup(rows.select(doc, "transaction_id").distinct(), moves, ["transaction_id"])
     evidence = evidence.groupBy("invoice_number").agg(
         merged_lists("places", ",").alias("warehouse"), merged_lists("ims", "|").alias("ims_id"))
     out = items.join(evidence, "invoice_number", "left")
@@ -280,8 +281,8 @@ def cent_adjust(line: DataFrame, invoices: DataFrame, recon: DataFrame) -> DataF
     single = recon.where(F.length("sku_list") < 6).select(
         F.col("invoice_num").alias("po_number"), F.left("sku_list", F.lit(4)).alias("no"), F.lit(True).alias("_single")).distinct()
     totals = invoices.select(F.col("invoice_num").alias("document_no"), F.col("amount").alias("_total")).distinct()
-    keys = line.join(single, ["po_number", "no"], "left").join(totals, "document_no", "left")
+    keys = lookup(line, single, ["po_number", "no"]).join(totals, "document_no", "left")
     gap = (F.col("_total") - F.col("unit_price") * F.col("quantity")) / F.when(F.col("quantity") != 0, F.col("quantity"))
     hits = keys.where(F.col("_single") & (gap == cent)).select("document_no", "no", F.lit(True).alias("_hit")).distinct()
-    out = line.join(hits, ["document_no", "no"], "left")
+    out = lookup(line, hits, ["document_no", "no"])
     return out.withColumn("unit_price", F.when(F.col("_hit"), F.col("unit_price") + cent).otherwise(F.col("unit_price"))).select(*line.columns)

@@ -21,7 +21,7 @@ from ledgerloom.operators.derive import (
 )
 from ledgerloom.operators.incremental import exclude_posted, keys_of, latest_per_key, latest_snapshot, not_in
 from ledgerloom.operators.joins import constant_dim, contains_join, fallback_join, interval_join, member_flag
-from ledgerloom.operators.skew import HOT_ROWS, hot_hashes
+from ledgerloom.operators.skew import HOT_ROWS, hot_hashes, lookup
 from ledgerloom.operators.windows import line_numbers
 from ledgerloom.plans import config as c
 from ledgerloom.plans.config import ChannelConfig
@@ -270,7 +270,7 @@ def dropship_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, o
         F.col("sku_supplier_stock_id").alias("sheet_sku"), "funding_amount",
         F.col("promo_start_1").alias("sheet_start"), F.col("promo_end_1").alias("sheet_end"))
 
-    rows = lines.where(F.col("order_date") >= F.lit(since)).join(settled, "purchase_order_id", "left_semi")
+    rows = lookup(lines.where(F.col("order_date") >= F.lit(since)), settled, ["purchase_order_id"], "left_semi")
     posted = t["posted_header"].where(
         (F.col("document_type") == "Order") & (F.col("internal_sales_channel") == "WM DSV"))
     rows = not_in(rows, "purchase_order_id", posted, "original_external_doc_no")

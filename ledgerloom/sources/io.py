@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.functions.scalars import blank_to_null
+from ledgerloom.operators.skew import lookup
 from ledgerloom.session import cut_lineage
 
 SNAPSHOT_COL = "data_updated_time"
@@ -116,7 +117,7 @@ def cutoff_delete(header: DataFrame, line: DataFrame, line_doc: str, header_doc:
     late = F.col(date_col) >= F.lit(cutoff)
     dropped = header.where(late).select(F.col(header_doc).alias(line_doc)).distinct()
     kept = header.where(~late | F.col(date_col).isNull())
-    return kept, line.join(dropped, line_doc, "left_anti")
+    return kept, lookup(line, dropped, [line_doc], "left_anti")
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:

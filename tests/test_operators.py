@@ -283,3 +283,31 @@ def test_unpivot_keeps_rate_tested_zero_amounts(spark):
                                "id int, r1 decimal(6,4), a1 decimal(10,2), r2 decimal(6,4), a2 decimal(10,2)")
     out = derive.unpivot_rates(df, [("r1", "a1", "by amount", "a1"), ("r2", "a2", "by rate", "r2")], ["id"])
     assert rows(out, "id", "note") == [(1, "by rate")]
+
+
+def test_lookup_splits_a_hot_key(spark):
+    """The hot key of the left side must not stay in one task, with a grouped right side."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(60000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.rand(1).alias("v")).repartition(8)
+        side = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        for how in ("left", "left_anti"):
+            out = skew.lookup(df, side.where("k <> '1'"), ["k"], how).where("v >= 0")
+            count = len(out.collect())
+            assert count == (60000 if how == "left" else 1)
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_lookup_ignores_null_keys(spark):
+    left = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    right = spark.createDataFrame([("a", 5), (None, 6)], "k string, w int")
+    assert rows(skew.lookup(left, right, ["k"]), "k", "v", "w") == [(None, 2, None), ("a", 1, 5)]
+    assert rows(skew.lookup(left, right, ["k"], "left_anti")) == [(None, 2)]
+    assert rows(skew.lookup(left, right, ["k"], "left_semi")) == [("a", 1)]
