@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import decontam
+from ledgerloom.llm import decontam, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_near_dedup", r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+  from documents
+), s as (
+  select distinct doc_id, array_to_string(words[i:i + least(5, len(words)) - 1], ' ') as g
+  from (select *, unnest(range(1, len(words) - least(5, len(words)) + 2)) as i from w where len(words) > 0)
+), n as (select doc_id, count(*) as n from s group by doc_id),
+pairs as (select x.doc_id as a, y.doc_id as b, count(*) as c from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by all),
+link as (select a, b from pairs join n p on p.doc_id = a join n q on q.doc_id = b where 100 * c >= 85 * (p.n + q.n - c)),
+both_ways as (select a, b from link union all select b, a from link),
+reach as (select doc_id as a, doc_id as b from documents union select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a),
+comp as (select a, min(b) as c from reach group by a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c as component_id, d.doc_id = c as kept
+from documents d left join n using (doc_id) join comp on comp.a = d.doc_id
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @query("op6_decontaminate", rf"""
 with w as (
   select 'd' as side, doc_id as id, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents
