@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import decontam, near_dedup
+from ledgerloom.llm import decontam, license_scan, near_dedup, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +73,26 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    rank = F.array(*map(F.lit, secret_scan.KINDS))
+    every = F.array_sort(F.transform(F.concat("base", "more"), lambda s: F.struct(
+        s["start"].alias("start"), F.coalesce(F.nullif(F.array_position(rank, s["kind"]), F.lit(0)), F.lit(9)).alias("rank"),
+        s["end"].alias("end"), s["kind"].alias("kind"))))
+    return out.select("doc_id", *[count(k) for k in secret_scan.KINDS], F.sha2(listed("base"), 256).alias("base_sha256"),
+                      listed(every).alias("spans"))
