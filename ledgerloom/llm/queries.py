@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import decontam, license_scan, near_dedup, secret_scan
+from ledgerloom.llm import decontam, license_scan, mixing, near_dedup, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -96,3 +96,36 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         s["end"].alias("end"), s["kind"].alias("kind"))))
     return out.select("doc_id", *[count(k) for k in secret_scan.KINDS], F.sha2(listed("base"), 256).alias("base_sha256"),
                       listed(every).alias("spans"))
+
+
+@query("op5_mix", r"""
+with base as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+         (cast(cast('0x' || substr(md5('mix|' || coalesce(cast(doc_id as varchar), '') || '|' || md5(coalesce(text, ''))), 1, 13) as bigint) as double)
+          + 0.5) / 4503599627370496.0 as u
+  from documents
+), s as (
+  select source, cast(sum(size) as bigint) as source_size, (row_number() over (order by source is null, source) - 1) % 3 as turn from base group by source
+), w as (select *, case turn when 0 then 3 when 1 then 1 else 2 end as weight from s),
+o as (
+  select *, sum(source_size) over () as total, sum(weight) over () as weights,
+         coalesce(sum(source_size) over prior, 0) as capped_before, coalesce(sum(weight) over prior, 0) as weight_before
+  from w window prior as (order by source_size / weight, source is null, source rows between unbounded preceding and 1 preceding)
+), l as (select *, cast(3 * total - 4 * capped_before as bigint) as rest_words, cast(weights - weight_before as bigint) as rest from o),
+c as (select *, weight * rest_words >= 4 * source_size * rest as capped from l),
+f as (select *, max(case when not capped then rest end) over () as fr from c),
+g as (select *, max(case when not capped and rest = fr then rest_words end) over () as fl from f),
+t as (select source, source_size, case when capped then cast(2 * source_size as double) else cast(weight * fl as double) / cast(2 * fr as double) end as target from g),
+p as (select *, case when source_size = 0 then 0.0 else target / source_size end as ratio from t),
+d as (
+  select doc_id, base.source, size, source_size, target, floor(ratio) as whole, ratio - floor(ratio) as part, target - floor(ratio) * source_size as remain, u
+  from base join p on base.source is not distinct from p.source
+), e as (
+  select *, coalesce(sum(size) over (partition by source order by u, doc_id, size rows between unbounded preceding and 1 preceding), 0) as reached from d
+)
+select doc_id, cast(size as bigint) as size, source_size, target,
+       cast(case when size = 0 then 0 else size * least(whole + case when part > 0 and 2 * reached + size <= 2 * remain then 1 else 0 end, 2) end as bigint) as taken
+from e
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
