@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import decontam, license_scan, mixing, near_dedup, secret_scan
+from ledgerloom.llm import decontam, license_scan, mixing, near_dedup, secret_scan, token_lengths, warc
+from ledgerloom.session import new_stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -129,3 +130,29 @@ from e
 """)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_token_lengths")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_lengths.suffix_sums(token_lengths.lengths(table(spark, sf_dir, "documents")))
+
+
+@query("op10_warc", r"""
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha1(coalesce(html, '')) as h from pages),
+b as (
+  select *, array_to_string([list_extract(
+    ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'],
+    strpos('0123456789abcdef', substr(h, i, 1))) for i in range(1, 41)], '') as bits, min(page_id) over (partition by h) as head from p
+)
+select page_id, cast(n as bigint) as payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+         16 * cast(substr(bits, 5 * i + 1, 1) as int) + 8 * cast(substr(bits, 5 * i + 2, 1) as int) + 4 * cast(substr(bits, 5 * i + 3, 1) as int) +
+         2 * cast(substr(bits, 5 * i + 4, 1) as int) + cast(substr(bits, 5 * i + 5, 1) as int), 1) for i in range(0, 32)], '') as payload_digest,
+       case when page_id = head then 'response' else 'revisit' end as record_type, case when page_id = head then null else head end as refers_to
+from b
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = table(spark, sf_dir, "pages"), new_stage_path(spark, "warc")
+    warc.write_warc(pages, folder)
+    out = warc.read_warc(spark, folder, pages.schema["page_id"].dataType.simpleString(), payloads=False)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
