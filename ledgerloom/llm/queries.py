@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import decontam, license_scan, mixing, near_dedup, secret_scan, token_lengths, warc
+from ledgerloom.llm import decontam, langid, license_scan, mixing, near_dedup, secret_scan, token_lengths, warc
 from ledgerloom.session import new_stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_warc(pages, folder)
     out = warc.read_warc(spark, folder, pages.schema["page_id"].dataType.simpleString(), payloads=False)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def checksum(name: str, parts: int):
+    return F.pmod(F.crc32(F.col(name).cast("string")), F.lit(parts))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(checksum("doc_id", 4) == 2, F.lit(False))
+    model = langid.train(docs.where(~held_out))
+    return langid.predict(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
