@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import decontam, langid, license_scan, mixing, near_dedup, secret_scan, token_lengths, warc
+from ledgerloom.llm import decontam, langid, license_scan, mixing, near_dedup, secret_scan, token_lengths, toxicity, warc
 from ledgerloom.session import new_stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(checksum("doc_id", 4) == 2, F.lit(False))
     model = langid.train(docs.where(~held_out))
     return langid.predict(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(checksum("doc_id", 5) == 0, F.lit(False))
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"), checksum("id", 5) != 0)
+    return toxicity.score(docs, lexicon, {"doc_id": F.col("doc_id"), "held_out": held_out})
