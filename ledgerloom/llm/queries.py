@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import decontam, langid, license_scan, mixing, near_dedup, secret_scan, token_lengths, toxicity, warc
+from ledgerloom.llm import (
+    ann_forest, decontam, langid, license_scan, mixing, near_dedup, secret_scan, token_lengths, toxicity, warc,
+)
 from ledgerloom.session import new_stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +178,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(checksum("doc_id", 5) == 0, F.lit(False))
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"), checksum("id", 5) != 0)
     return toxicity.score(docs, lexicon, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+@query("op3_nearest")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
