@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import itertools
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.session import new_stage_path
@@ -87,11 +87,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def fresh(prefix: str, taken: Iterable[str]) -> str:
-    """A column name that no given column has."""
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """A column name that none of the given columns has, whatever its case."""
     taken = {c.lower() for c in taken}
-    return prefix if prefix.lower() not in taken else f"{prefix}_{uuid.uuid4().hex[:8]}"
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-def as_text(name: str) -> Column:
-    return F.col(f"`{name}`").cast("string")
+def as_is(df: DataFrame) -> dict[str, Column]:
+    """All columns of a frame by name."""
+    return {c: F.col(f"`{c}`") for c in df.columns}
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """The frame with a column that is different in every row and the same whenever the frame is read, and its name.
+
+    Rows of files are named by file and place. Other frames are written first.
+    """
+    name = fresh("row_name", df.columns)
+    try:
+        place = F.concat_ws("-", F.hex(F.xxhash64(F.col("_metadata.file_path"))), F.col("_metadata.row_index"))
+        return df.withColumn(name, place), name
+    except AnalysisException:
+        return written(df.withColumn(name, F.monotonically_increasing_id().cast("string")), "numbered"), name

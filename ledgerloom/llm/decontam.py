@@ -148,7 +148,8 @@ def candidates(docs: DataFrame, prefixes: Bitmap, sizes: list[int], size: int, d
                      f"row long, doc_id {kind}, n_words long, shingle array<long>, place array<int>, lead array<int>, around array<string>")
 
 
-def contained(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, bits: int = 24) -> tuple[DataFrame, DataFrame, DataFrame]:
+def contained(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, bits: int = 24,
+              doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(texts, hits, owners).
 
     ``texts``: row, doc_id, n_words for every row of ``docs``. ``hits``: row, start, n, owner for
@@ -159,19 +160,18 @@ def contained(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, bits: int
     tokens = windows.select(F.explode("shingles").alias("shingle")).distinct()
     counts = shingle_counts(docs, Bitmap.of(tokens, "shingle", bits), sizes)
     prefixes = written(prefix_table(windows, counts), "prefixes")
-    texts = written(candidates(docs, Bitmap.of(prefixes.select("shingle"), "shingle", bits), sizes, size), "texts")
+    texts = written(candidates(docs, Bitmap.of(prefixes.select("shingle"), "shingle", bits), sizes, size, doc_id), "texts")
     places = texts.where(F.size("shingle") > 0).select(
         "row", "n_words", F.explode(F.arrays_zip("shingle", "place", "lead", "around")).alias("c")
     ).select("row", "n_words", "c.*")
     met = lookup(places, prefixes, ["shingle"], "inner")
-    start, spelt = F.col("place") - F.col("w.offset"), F.split("around", " ")
 
     def fits(w):
         begin = F.col("place") - w["offset"]
         return F.when((begin >= 0) & (begin + w["n"] <= F.col("n_words")),
                       F.array_join(F.slice("spelt", F.col("lead") - w["offset"] + 1, w["n"]), " ") == w["words"])
 
-    hits = (met.withColumn("spelt", spelt).withColumn("w", F.filter("windows", fits))
+    hits = (met.withColumn("spelt", F.split("around", " ")).withColumn("w", F.filter("windows", fits))
             .select("row", F.transform("w", lambda w: F.struct(
                 (F.col("place") - w["offset"]).alias("start"), w["n"].alias("n"), w["owner"].alias("owner"))).alias("hits"))
             .where(F.size("hits") > 0))
@@ -190,3 +190,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, bits:
     return (texts.join(per_row.drop("owners"), "row", "left").join(items, "row", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, bits: int = 24, doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id,) of the rows that hold a window of a benchmark item."""
+    texts, hits, _ = contained(docs, benchmark, size, bits, doc_id)
+    return texts.join(hits.select("row").distinct(), "row", "left_semi").select("doc_id")

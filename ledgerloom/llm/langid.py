@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import map_texts
+from ledgerloom.llm.common import fresh, map_texts
 
 WINDOW = 256
 EMBED = 8
@@ -145,7 +145,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
 def predict(docs: DataFrame, model: Model | None, columns: dict[str, Column], text: str = "text") -> DataFrame:
     """``columns`` of each row (none of them an input), lang_pred and score."""
-    kept = docs.select(F.col(f"`{text}`").alias("_text"), *[c.alias(n) for n, c in columns.items()])
+    kept = docs.select(F.col(f"`{text}`").alias(fresh("text", columns)), *[c.alias(n) for n, c in columns.items()])
     names = list(columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:])
 

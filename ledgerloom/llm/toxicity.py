@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.llm.common import map_texts
+from ledgerloom.llm.common import fresh, map_texts
 from ledgerloom.llm.words import ALNUM, U64, Hasher, Words, chunks, encoded, mix
 
 TOXIC, CLEAN, LEXICON = 1500, 4500, 4000
@@ -253,9 +253,10 @@ def score_texts(texts: list[bytes], hasher: Hasher, tags: dict[int, np.ndarray],
     return out
 
 
-def score(docs: DataFrame, lexicon: list[tuple[int, float]], columns: dict[str, Column], text: str = "text") -> DataFrame:
+def score(docs: DataFrame, lexicon: list[tuple[int, float]], columns: dict[str, Column], text: str = "text",
+          name: str = "score", verdict: str = "predicted") -> DataFrame:
     """``columns`` of each row (none of them an input), score and predicted (1 from one half on)."""
-    kept = docs.select(F.col(f"`{text}`").alias("_text"), *[c.alias(n) for n, c in columns.items()])
+    kept = docs.select(F.col(f"`{text}`").alias(fresh("text", columns)), *[c.alias(n) for n, c in columns.items()])
     schema, names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:]), list(columns)
     hasher, grammar = Hasher(ALNUM), Grammar()
     tags = {t: hasher([w.encode()]).hash for t, w in WORDS_OF.items()}
@@ -264,6 +265,6 @@ def score(docs: DataFrame, lexicon: list[tuple[int, float]], columns: dict[str,
 
     def per_batch(batch: pa.RecordBatch):
         scores = score_texts(encoded(batch.column(0)), hasher, tags, known, weights, grammar)
-        yield {**{n: batch.column(n) for n in names}, "score": scores, "predicted": [int(s >= 0.5) for s in scores]}
+        yield {**{n: batch.column(n) for n in names}, name: scores, verdict: [int(s >= 0.5) for s in scores]}
 
-    return map_texts(kept, per_batch, f"{schema}, score double, predicted int")
+    return map_texts(kept, per_batch, f"{schema}, `{name}` double, `{verdict}` int")
