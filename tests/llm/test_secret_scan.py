@@ -1,0 +1,86 @@
+import base64
+import bz2
+import gzip
+import re
+from urllib.parse import quote
+
+from ledgerloom.llm import secret_scan as ss
+from tests.llm.data import empty, frame, messy
+
+TOKEN = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+SECRET = f'token = "{TOKEN}"'
+
+
+def b64(data):
+    return base64.b64encode(data if isinstance(data, bytes) else data.encode()).decode()
+
+
+def brute(text):
+    """The base patterns as they are stated, one start after the other."""
+    found = []
+    for kind, pattern, flags, enough in (
+            ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, lambda m: len(m[2]) >= 12),
+            ("access", r"AKIA[A-Z0-9]+", 0, lambda m: len(m[0]) >= 18), ("hex", r"[0-9a-f]+", 0, lambda m: len(m[0]) >= 16)):
+        found += [(m.start(), m.end(), kind) for m in re.finditer(pattern, text, flags) if enough(m)]
+    return sorted(found, key=lambda s: (s[0], ss.KINDS.index(s[2])))
+
+
+CASES = [SECRET, f"x PassWD:'{'a' * 12}' y", "password=short", "AKIA" + "B" * 14, "AKIA" + "B" * 13, "f" * 16, "f" * 15 + "F" * 9,
+         "toſen=abcdefabcdefabcdef", "api_key : abcdefghijkl, APIKEY=abcdefghijkl" * 3, "é" * 10 + SECRET, "token=token=aaaaaaaaaaaaaaa", "%" * 50, "\\u" * 20, "=" * 99]
+
+
+def test_base_spans_match_the_stated_patterns(spark):
+    rows = messy() + [(800 + i, t, "en", "a") for i, t in enumerate(CASES)]
+    got = ss.scan(frame(spark, rows)).collect()
+    as_text = lambda spans: [(s[0], s[1], s[2]) for s in spans]
+    assert sorted([(r.doc_id, as_text(r.base)) for r in got], key=str) == sorted([(i, brute(t or "")) for i, t, *_ in rows], key=str)
+    assert ss.scan(empty(spark)).collect() == []
+
+
+def layered(inner, *steps):
+    for step in steps:
+        inner = step(inner)
+    return inner
+
+
+def test_layers_are_unwrapped_and_mapped_to_the_original():
+    url = lambda s: "".join(f"%{b:02X}" for b in s.encode())
+    uni = lambda s: "".join(f"\\u{ord(c):04x}" for c in s)
+    ent = lambda s: "".join(f"&#{ord(c)};" for c in s)
+    packed = lambda s: b64(gzip.compress(s.encode(), mtime=0))
+    bz = lambda s: b64(bz2.compress(s.encode()))
+    for steps in ((url,), (uni,), (ent,), (b64,), (packed,), (bz,), (b64, b64), (url, b64), (b64, url), (packed, b64, quote), (uni, packed), (url, url)):
+        hidden = layered(SECRET, *steps)
+        text = f"päd {hidden} end"
+        base, more = ss.all_spans(text)
+        kinds = {k.split("/")[1] for _, _, k in more}
+        assert {"assign", "hex"} <= kinds | {k for _, _, k in base}, steps
+        for start, end, _ in more:
+            assert 4 <= start < end <= 4 + len(hidden)
+        assert TOKEN not in ss.redacted(text, "[SECRET]") and ss.redacted(text, "#").startswith("päd ") and ss.redacted(text, "#").endswith(" end")
+
+
+def test_partly_escaped_secret_is_found_at_its_place():
+    text = "see token%20%3D%20abcdefabcdefXYZ there"
+    base, more = ss.all_spans(text)
+    assert base == [] and [(a, b, k) for a, b, k in more if k.endswith("assign")] == [(4, 33, "url/assign")]
+    assert text[4:33] == "token%20%3D%20abcdefabcdefXYZ"
+
+
+def test_cycles_bombs_and_plain_words_end():
+    assert ss.all_spans("%2525" * 200 + "%41") == ([], [])
+    bomb = b64(gzip.compress(b"a" * 30_000_000 + f" {SECRET} ".encode() + b"b" * 1000, mtime=0))
+    assert {k for _, _, k in ss.all_spans(bomb)[1]} >= {"packed/assign", "packed/hex"}
+    cut = b64(gzip.compress(SECRET.encode() * 50)[:60])
+    ss.all_spans(cut)
+    assert ss.all_spans("Donaudampfschifffahrtsgesellschaft Krankenversicherung") == ([], [])
+
+
+def test_redact_keeps_all_columns_and_rows(spark):
+    rows = messy() + [(800 + i, t, "en", "a") for i, t in enumerate(CASES)]
+    df = frame(spark, rows)
+    got = ss.redact(df).collect()
+    assert len(got) == len(rows) and got[0].__fields__ == df.columns
+    plain = {(r.doc_id, r.text): r for r in got}
+    assert plain[800, "[SECRET]\""].n_chars == 9 and plain[1, None].n_chars is None
+    assert sum(r.text is None for r in got) == sum(t is None for _, t, *_ in rows)
