@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,23 +27,35 @@ def unique_or_unknown(df: DataFrame, key: str, value: str) -> DataFrame:
     return bounds.where(F.col(value) == F.col("_max")).drop("_max")
 
 
-def string_distinct(value: ColumnLike, separator: str) -> Column:
-    """Distinct values in ascending order, joined; nulls are skipped and an empty group is null."""
-    texts = F.array_sort(F.collect_set(as_col(value).cast("string")))
-    return F.when(F.size(texts) > 0, F.array_join(texts, separator))
+def string_distinct(name: str, separator: str) -> Column:
+    """Distinct values in ascending order, joined; nulls are skipped and an empty group is null.
 
+    Spark makes the pairs of group and value distinct before it lists them, over all tasks.
+    """
+    text = f"cast(`{name}` as string)"
+    return F.expr(f"listagg(distinct {text}, '{separator}') within group (order by {text})")
 
-def merged_lists(lists: ColumnLike, separator: str) -> Column:
-    """Distinct entries of the group's arrays in ascending order, joined."""
-    texts = F.array_sort(F.array_distinct(F.flatten(F.collect_set(as_col(lists)))))
-    texts = F.filter(texts, lambda x: x.isNotNull())
-    return F.when(F.size(texts) > 0, F.array_join(texts, separator))
 
+def distinct_lists(df: DataFrame, keys: Sequence[str], lists: Mapping[str, tuple[str, str]],
+                   counts: Mapping[str, str] | None = None) -> DataFrame:
+    """Several lists like :func:`string_distinct` per group: ``lists`` names column and separator of each,
+    ``counts`` the output for the number of entries of a list.
 
-def string_list(value: ColumnLike, separator: str) -> Column:
+    The frame is read once; triples of group, list and value are made distinct over all tasks before
+    they are listed.
+    """
+    entries = [F.struct(F.lit(out).alias("_what"), F.col(name).cast("string").alias("_value")) for out, (name, _) in lists.items()]
+    pairs = df.select(*keys, F.explode(F.array(*entries)).alias("_p")).select(*keys, "_p.*").distinct()
+    value = lambda out: f"case when _what = '{out}' then _value end"
+    listed = [F.expr(f"listagg({value(out)}, '{sep}') within group (order by {value(out)})").alias(out) for out, (_, sep) in lists.items()]
+    counted = [F.count(F.expr(value(out))).alias(name) for out, name in (counts or {}).items()]
+    return pairs.groupBy(*keys).agg(*listed, *counted)
+
+
+def string_list(name: str, separator: str) -> Column:
     """All values in ascending order (a stated order makes the result repeatable)."""
-    texts = F.array_sort(F.collect_list(as_col(value).cast("string")))
-    return F.when(F.size(texts) > 0, F.array_join(texts, separator))
+    text = f"cast(`{name}` as string)"
+    return F.expr(f"listagg({text}, '{separator}') within group (order by {text})")
 
 
 def group_constant(df: DataFrame, label: str, name: str, *aggs: Column) -> DataFrame:

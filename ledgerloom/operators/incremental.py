@@ -1,4 +1,8 @@
-"""Snapshot, incremental and state operators: what is newest, what is already posted, what is new."""
+"""Snapshot, incremental and state operators: what is newest, what is already posted, what is new.
+
+Lists go into anti and semi joins as they are: a distinct before them would cost an exchange and keep
+adaptive execution from splitting a hot key.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.operators.skew import lookup
-
 
 def latest_snapshot(df: DataFrame, ts: str, within: Column | None = None) -> DataFrame:
     """Rows carrying the newest stamp, ties kept; ``within`` limits which rows count (a channel)."""
@@ -24,7 +26,7 @@ def keys_of(df: DataFrame, key: str, alias: str | None = None) -> DataFrame:
 def exclude_posted(df: DataFrame, key: str, *lists: tuple[DataFrame, str]) -> DataFrame:
     """Rows whose key is in none of the lists; each list is ``(frame, key column)``. Null keys stay."""
     seen = reduce(DataFrame.union, [other.select(F.col(k).alias(key)) for other, k in lists])
-    return lookup(df, seen.distinct(), [key], "left_anti")
+    return df.join(seen, key, "left_anti")
 
 
 def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None = None,
@@ -36,7 +38,7 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None = No
     """
     other_key = other_key or key
     listed = other.select(F.col(other_key).alias(key))
-    kept = lookup(df, listed.distinct(), [key], "left_anti")
+    kept = df.join(listed, key, "left_anti")
     if not null_aware:
         return kept
     facts = list_facts(listed, key)
@@ -58,7 +60,7 @@ def list_facts(listed: DataFrame, key: str) -> Column:
 
 def composite_anti(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows without a partner on all keys; a null key part never finds one."""
-    return lookup(df, other.select(*keys).distinct(), keys, "left_anti")
+    return df.join(other.select(*keys), list(keys), "left_anti")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -76,7 +78,7 @@ def promote(daily_h: DataFrame, daily_l: DataFrame, final_h: DataFrame, final_l:
     open_h = daily_h.where(F.col(flag) == 0)
     new_h = not_in(open_h, header_doc, final_h, header_doc)
     new_l = not_in(daily_l, line_doc, final_l, line_doc)
-    new_l = lookup(new_l, keys_of(open_h, header_doc, line_doc), [line_doc], "left_semi")
+    new_l = new_l.join(open_h.select(F.col(header_doc).alias(line_doc)), line_doc, "left_semi")
     return new_h, new_l.select(*daily_l.columns).distinct()
 
 
@@ -106,15 +108,15 @@ def status_flip(daily: DataFrame, final: DataFrame, keys: Sequence[str], cutoff:
 
 def incremental(df: DataFrame, ledger: DataFrame, key: str, ledger_key: str | None = None) -> DataFrame:
     """Rows whose key is not in the ledger, with null equal to null."""
-    seen = keys_of(ledger, ledger_key or key, "_seen")
+    seen = ledger.select(F.col(ledger_key or key).alias("_seen"))
     return df.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
 
 
 def unbooked(detail: DataFrame, detail_key: str, paid: DataFrame, paid_key: str,
              *booked: tuple[DataFrame, str]) -> DataFrame:
     """Detail rows of keys that are paid but in none of the booked sets."""
-    open_keys = exclude_posted(keys_of(paid, paid_key, detail_key), detail_key, *booked)
-    return lookup(detail, open_keys, [detail_key], "left_semi")
+    open_keys = exclude_posted(paid.select(F.col(paid_key).alias(detail_key)), detail_key, *booked)
+    return detail.join(open_keys, detail_key, "left_semi")
 
 
 def next_month(as_of: date) -> date:

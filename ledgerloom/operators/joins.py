@@ -47,7 +47,8 @@ def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col:
 
     A needle of length n lies in a text exactly if it equals one of the text's pieces of length n.
     The texts are cut into the distinct pieces of the lengths that occur among the needles, and
-    the pieces meet the needles in an equality join.
+    the pieces meet the needles in an equality join. A text of n characters gives up to n pieces for each
+    length, so this is meant for lists of ids, not for long texts.
     """
     needle = needles.select(F.col(needle_col).alias("_piece")).where(F.col("_piece").isNotNull()).distinct()
     # at most one entry per string length: a scalar, not data
@@ -58,17 +59,21 @@ def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col:
         n <= size, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substr(F.col("_hay"), i, n)))
     cut = (
         texts.withColumn("_lengths", lengths.scalar())
-        .select("_hay", F.explode(F.array_distinct(F.flatten(
-            F.filter(F.transform("_lengths", pieces), lambda p: p.isNotNull())))).alias("_piece"))
+        .select("_hay", F.explode("_lengths").alias("_n"))
+        .select("_hay", F.explode(F.array_distinct(pieces(F.col("_n")))).alias("_piece"))
     )
     return cut.join(needle, "_piece")
 
 
 def contains_join(left: DataFrame, right: DataFrame, hay: str, needle: str,
-                  window: tuple[str, str, str] | None = None, how: str = "left") -> DataFrame:
+                  window: tuple[str, str, str] | None = None, how: str = "left",
+                  texts: DataFrame | None = None) -> DataFrame:
     """Theta join ``position(right.needle in left.hay) > 0`` with an optional inclusive date window
-    ``(left date, right start, right end)``. Substring semantics: id 12 is found in 512."""
-    pairs = contains_pairs(left, hay, right, needle)
+    ``(left date, right start, right end)``. Substring semantics: id 12 is found in 512.
+
+    ``texts``, a frame with the column ``hay``, names a smaller source of all texts of ``left``, which
+    then need not be evaluated to find the pairs."""
+    pairs = contains_pairs(left if texts is None else texts, hay, right, needle)
     matched = pairs.join(right, F.col("_piece") == F.col(needle)).drop("_piece")
     if window is None:
         joined = left.join(matched, F.col(hay) == F.col("_hay"), how)
@@ -109,12 +114,13 @@ def rate_join(df: DataFrame, fx: DataFrame, ccy: str, day: str, fx_ccy: str, fx_
 
 
 def constant_dim(df: DataFrame, dim: DataFrame, condition: Column, cols: Sequence[str]) -> DataFrame:
-    """Attach one row of a dimension picked by a constant; null columns if there is none.
+    """Left join to the rows of a dimension that a constant picks; null columns if there is none.
 
-    The row is read as a scalar, so the main frame is neither shuffled nor multiplied.
+    The few rows of one constant are read as a scalar list, so the main frame is not shuffled. It
+    is multiplied if the dimension lists the constant more than once, as a join does.
     """
-    picked = dim.where(condition).agg(F.first(F.struct(*cols)).alias("d")).scalar()
-    return df.withColumn("_dim", picked).select(*df.columns, *[F.col(f"_dim.{c}").alias(c) for c in cols])
+    picked = dim.where(condition).agg(F.array_sort(F.array_agg(F.struct(*cols))).alias("d")).scalar()
+    return df.withColumn("_dims", picked).withColumn("_dim", F.explode_outer("_dims")).select(*df.columns, *[F.col(f"_dim.{c}").alias(c) for c in cols])
 
 
 def member_flag(df: DataFrame, key: Column, members: DataFrame, member_key: str, out: str) -> DataFrame:

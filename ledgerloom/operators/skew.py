@@ -1,9 +1,8 @@
 """Helpers that keep one hot key from landing in one task.
 
 Joins leave skew to adaptive execution, which splits a hot join partition. A window cannot be
-split that way, so numbering looks for hot keys first: a fixed-size frequent-items sketch in one
-pass, without a shuffle of the keys. The sketch only decides which route a row takes; each route
-gives the exact result.
+split that way, so rows are numbered in range slices of bounded size and the slices are chained by
+one offset each. There is one route for every key, however many rows it has.
 """
 
 from __future__ import annotations
@@ -15,31 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.session import cut_lineage
 
-MAX_HOT_KEYS = 1000      # bound of what is sent to the driver and written into the plan
-TRACKED_KEYS = 10_000    # sketch size: every key above about 0.05 % of the rows is seen
-HOT_ROWS = 2_000_000     # groups below this size fit one task
-
-
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
-
-
-def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys that hold more than ``hot_rows`` rows (at most ``MAX_HOT_KEYS``)."""
-    top = (
-        df.select(key_hash(keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top"))
-        .select(F.transform(F.filter("top", lambda t: t["count"] > hot_rows), lambda t: t["item"]).alias("hot"))
-        .first()
-    )
-    return list(top["hot"] or []) if top else []
-
-
-def split_hot(df: DataFrame, keys: Sequence[str], hot: list[int]) -> tuple[DataFrame, DataFrame]:
-    is_hot = key_hash(keys).isin(hot)
-    return df.where(is_hot), df.where(~is_hot)
-
-
 def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equality join to a side that was grouped by the same keys, in a form that can be split.
 
@@ -56,14 +30,12 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "lef
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_on_{k}" for k in on])
 
 
-def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | None = None,
-                     ties: bool = True) -> DataFrame:
-    """Add ``_slice`` and ``_pos``, the 0-based position of every row in the total order.
+def _ranged(df: DataFrame, order: Sequence[Column], partitions: int | None = None, ties: bool = True) -> DataFrame:
+    """Add ``_slice`` and ``_in_slice``, the 0-based place of every row in its slice of the total order.
 
-    The ranged rows are written out, so that slices and positions stay fixed if executors are
+    The ranged rows are written out, so that slices and places stay fixed if executors are
     lost. With ``ties`` a tie-breaker spreads even equal rows over the ranges; it is taken from
-    written rows, so a task that runs again gives the same value. Only one row per range is used
-    to turn positions inside a slice into global ones.
+    written rows, so a task that runs again gives the same value.
     """
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = list(order)
@@ -75,11 +47,20 @@ def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | N
         .drop("_tie").withColumn("_mid", F.monotonically_increasing_id()),
         "positions",
     )
-    placed = (
+    return (
         ranged.withColumn("_slice", F.shiftright("_mid", 33))
         .withColumn("_in_slice", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
         .drop("_mid")
     )
+
+
+def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | None = None,
+                     ties: bool = True) -> DataFrame:
+    """Add ``_slice`` and ``_pos``, the 0-based position of every row in the total order.
+
+    Only one row per range is used to turn positions inside a slice into global ones.
+    """
+    placed = _ranged(df, order, partitions, ties)
     sizes = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
@@ -90,35 +71,26 @@ def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | N
     )
 
 
-def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
-                  hot_rows: int = HOT_ROWS, hot: list[int] | None = None,
-                  route: Sequence[str] | None = None) -> DataFrame:
+def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` that survives a hot key.
 
-    ``hot`` may be given when it is known. ``route`` names columns that decide the route in place
-    of the keys; they must be the same on all rows of a key, as a raw document id is on the rows of
-    a document number derived from it. The sketch can then be taken over the bare source column.
+    Rows are sorted by keys and order over range slices, numbered per key inside their slice, and
+    the rows of a key that began in an earlier slice are moved on by what that slice held of it. Equal rows are
+    spread over slices as well.
     """
     keys = list(keys)
-    route = list(route or keys)
-    if hot is None:
-        hot = hot_hashes(df, route, hot_rows)
-    plain = Window.partitionBy(*keys).orderBy(*order)
-    if not hot:
-        return df.withColumn(out, F.row_number().over(plain))
-    hot_df, cold_df = split_hot(df, route, hot)
-    cold = cold_df.withColumn(out, F.row_number().over(plain))
-    placed = global_positions(hot_df, [*[F.col(k) for k in keys], *order])
-    # rows of a key are contiguous in the total order: the number is the distance to its first row
-    first = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"))
-    first = first.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first")
-    condition = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    numbered = (
-        placed.join(first, condition)
-        .withColumn(out, (F.col("_pos") - F.col("_first") + 1).cast("int"))
-        .drop("_pos", "_slice", "_first", *[f"_k_{k}" for k in keys])
-    )
-    return cold.unionByName(numbered)
+    placed = _ranged(df, [*[F.col(k) for k in keys], *order])
+    inside = F.row_number().over(Window.partitionBy("_slice", *keys).orderBy("_in_slice"))
+    held = placed.groupBy("_slice", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # only the first key of a slice can have begun before it: one row per slice at most
+    moved = held.withColumn("_moved", F.sum("_n").over(before)).where("_moved > 0").select(
+        F.col("_slice").alias("_s"), *[F.col(k).alias(f"_k_{k}") for k in keys], "_moved")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_slice") == F.col("_s"))
+    numbered = placed.withColumn("_inside", inside).join(F.broadcast(moved), same, "left")
+    number = (F.col("_inside") + F.coalesce("_moved", F.lit(0))).cast("int")
+    return numbered.withColumn(out, number).drop(
+        "_slice", "_in_slice", "_inside", "_moved", "_s", *[f"_k_{k}" for k in keys])
 
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], totals: dict[str, Column]) -> DataFrame:

@@ -6,16 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.operators.skew import HOT_ROWS, global_positions, row_number_by, with_group_totals
+from ledgerloom.operators.skew import global_positions, lookup, row_number_by, with_group_totals
 
 
 def line_numbers(df: DataFrame, doc: str | Sequence[str], order: Sequence[Column], step: int = 10000,
-                 out: str = "line_no", hot_rows: int = HOT_ROWS, hot: list[int] | None = None,
-                 route: Sequence[str] | None = None) -> DataFrame:
+                 out: str = "line_no") -> DataFrame:
     """Line numbers in steps per document. The order should cover all business columns: rows that
     still tie are identical, so any numbering of them is the same result."""
     keys = [doc] if isinstance(doc, str) else list(doc)
-    numbered = row_number_by(df, keys, order, out, hot_rows, hot, route)
+    numbered = row_number_by(df, keys, order, out)
     return numbered.withColumn(out, F.col(out).cast("long") * step)
 
 
@@ -28,13 +27,18 @@ def dense_rank_global(df: DataFrame, key: str, out: str = "rank", partitions: in
     return df.join(ranks, F.col(key).eqNullSafe(F.col("_rank_key")), "left").drop("_rank_key")
 
 
-def allocate(df: DataFrame, part: str, total: str, base: str, weight: str, out: str = "allocated") -> DataFrame:
+def allocate(df: DataFrame, part: str, total: str, base: str, weight: str, out: str = "allocated",
+             sums: DataFrame | None = None) -> DataFrame:
     """Spread what is left of an invoice total over its rows by weight:
     ``(total - sum(base)) / sum(weight) * weight`` per invoice. A zero weight sum gives null.
 
-    The product is taken before the division, so decimals are rounded once.
+    The product is taken before the division, so decimals are rounded once. ``sums``, rows of
+    (``part``, ``_base``, ``_weight``), spares the second evaluation of ``df`` where a smaller frame has them.
     """
-    summed = with_group_totals(df, [part], {"_base": F.sum(base), "_weight": F.sum(weight)})
+    if sums is None:
+        summed = with_group_totals(df, [part], {"_base": F.sum(base), "_weight": F.sum(weight)})
+    else:
+        summed = lookup(df, sums, [part], "left")
     left = F.col(total) - F.col("_base")
     share = left * F.col(weight) / F.when(F.col("_weight") != 0, F.col("_weight"))
     return summed.withColumn(out, share).drop("_base", "_weight")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,9 +12,9 @@ from ledgerloom.functions.scalars import (
     ColumnLike, as_col, concat_skip_null, contains, date_text, in_period, matches, not_matches, part, period_day,
     positive_gap, shift_period, tail,
 )
-from ledgerloom.operators.aggs import merged_lists, nonzero_sum, string_distinct
+from ledgerloom.operators.aggs import nonzero_sum, string_distinct
 from ledgerloom.operators.derive import code_map, rate_columns, sku_or_unallocated, unpivot_rates
-from ledgerloom.operators.incremental import composite_anti, keys_of, latest_snapshot
+from ledgerloom.operators.incremental import composite_anti, latest_snapshot
 from ledgerloom.operators.joins import member_flag, rate_join
 from ledgerloom.operators.windows import allocate, share_allocate
 from ledgerloom.plans import config as c
@@ -137,8 +138,13 @@ def promo_invoices(t: Tables) -> DataFrame:
     # the full join in two halves: a left join that may be split on a hot invoice, and the overview
     # rows without detail, which have no group to share a fee with
     billed = detail.join(overview, F.col("invoice_number") == F.col("o_invoice"), "left")
-    fee = allocate(billed, "invoice_number", "original_balance", "promotion_cost", "quantity", "clip")
-    bare = overview.join(keys_of(detail, "invoice_number", "o_invoice"), "o_invoice", "left_anti")
+    # the sums of the joined rows, from both sides before the join
+    titled = overview.groupBy(F.col("o_invoice").alias("invoice_number")).agg(F.count(F.lit(1)).alias("_times"))
+    once = detail.groupBy("invoice_number").agg(F.sum("promotion_cost").alias("_base"), F.sum("quantity").alias("_weight"))
+    times = lambda name: (F.col(name) * F.col("_times")).cast(once.schema[name].dataType).alias(name)
+    sums = once.join(titled, "invoice_number").select("invoice_number", times("_base"), times("_weight"))
+    fee = allocate(billed, "invoice_number", "original_balance", "promotion_cost", "quantity", "clip", sums)
+    bare = overview.join(detail.select(F.col("invoice_number").alias("o_invoice")), "o_invoice", "left_anti")
     rows = fee.unionByName(bare, allowMissingColumns=True)
     return rows.select(
         F.coalesce("invoice_number", "o_invoice").alias("invoice_number"), F.coalesce("d_date", "o_date").alias("invoice_date"),
@@ -150,8 +156,8 @@ def promo_invoices(t: Tables) -> DataFrame:
 
 
 def promo_accrual(t: Tables, period: str, run_ts: datetime, own: Sequence[str], frozen_period: str,
-                  frozen_range: tuple[date, date], open_from: date, end_day: int = 25, main: str | None = None
-                  ) -> DataFrame:
+                  frozen_range: tuple[date, date], open_from: date, end_day: int = 25, main: str | None = None,
+                  platform_short: str = "AMZ") -> DataFrame:
     """Promotion accrual detail: a frozen estimate against today's invoices for the frozen range,
     and the newest estimate log for everything after it."""
     day = period_day(period, end_day)
@@ -167,31 +173,39 @@ def promo_accrual(t: Tables, period: str, run_ts: datetime, own: Sequence[str],
     # a blank promotion stands for a null one
     invoiced = t["promo_spend"].where(F.col("report_date").between(low, high)).groupBy(
         F.coalesce("promotion_id", F.lit("")).alias("_promo"), *keys[1:]).agg(
-        F.count(F.lit(1)).alias("_inv"), F.collect_set("invoices_list").alias("lists"),
+        F.count(F.lit(1)).alias("_inv"),
         F.sum("invoiced_amt_usd").alias("invoiced_amt_usd"), F.sum("invoiced_amt_lc").alias("invoiced_amt_lc"))
     frozen = estimates.join(invoiced, ["_promo", *keys[1:]], "left")
     times = lambda c, n: (F.col(c) * F.coalesce(F.col(n), F.lit(1))).alias(c)
-    frozen = frozen.select(*keys, "lists", times("pro_est_adj_usd", "_inv"), times("pro_est_adj_lc", "_inv"),
+    listed = frozen.select(*keys, "_promo").join(
+        t["promo_spend"].where(F.col("report_date").between(low, high)).select(
+            F.coalesce("promotion_id", F.lit("")).alias("_promo"), *keys[1:], "invoices_list").distinct(), ["_promo", *keys[1:]])
+    frozen = frozen.select(*keys, times("pro_est_adj_usd", "_inv"), times("pro_est_adj_lc", "_inv"),
                            times("invoiced_amt_usd", "_est"), times("invoiced_amt_lc", "_est"))
     fresh = latest_snapshot(t["estimate_log"], "run_time").where(
-        F.col("report_date").between(F.lit(open_from), F.lit(day))).withColumn("lists", F.array("invoices_list"))
+        F.col("report_date").between(F.lit(open_from), F.lit(day)))
+    # a product may be listed on several platforms with different owners
+    owners = t["profiles"].where(F.col("platform_short") == platform_short).select(
+        F.col("platform_product_id").alias("platform_prd_id"), F.col("pims_company").alias("_owner"))
+    group = ["report_month", "promotion_id", "platform_prd_id", "platform", "country"]
 
-    def summed(rows: DataFrame) -> DataFrame:
-        owners = t["profiles"].select(
-            F.col("platform_product_id").alias("platform_prd_id"), F.col("pims_company").alias("_owner"))
+    def owned(rows: DataFrame) -> DataFrame:
         rows = rows.join(owners, "platform_prd_id", "left").where(F.coalesce("_owner", F.lit(main or own[0])).isin(*own))
-        grouped = rows.groupBy(
-            date_text("report_date", "YYYY-MM").alias("report_month"), "promotion_id", "platform_prd_id", "platform",
-            "country",
-        ).agg(
-            merged_lists("lists", "|").alias("list_invoice_number"),
+        return rows.withColumn("report_month", date_text("report_date", "YYYY-MM"))
+
+    def summed(rows: DataFrame, lists: DataFrame) -> DataFrame:
+        texts = owned(lists).select(*group, "invoices_list").distinct().groupBy(*[F.col(k).alias(f"_l_{k}") for k in group]).agg(
+            string_distinct("invoices_list", "|").alias("list_invoice_number"))
+        grouped = owned(rows).groupBy(*group).agg(
             F.sum("pro_est_adj_usd").alias("est_amt_usd"), F.sum("pro_est_adj_lc").alias("est_amt_lcy"),
             F.sum("invoiced_amt_usd").alias("invoiced_amt_usd"), F.sum("invoiced_amt_lc").alias("invoiced_amt_lcy"))
+        grouped = grouped.join(texts, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_l_{k}")) for k in group]), "left").select(
+            *group, "list_invoice_number", "est_amt_usd", "est_amt_lcy", "invoiced_amt_usd", "invoiced_amt_lcy")
         return grouped.withColumns({
             "accrual_usd": positive_gap("est_amt_usd", "invoiced_amt_usd"),
             "accrual_lcy": positive_gap("est_amt_lcy", "invoiced_amt_lcy")})
 
-    rows = summed(frozen).unionByName(summed(fresh)).distinct()
+    rows = summed(frozen, listed).unionByName(summed(fresh, fresh)).distinct()
     return rows.withColumns({
         "posting_date": F.lit(day), "run_time": F.lit(run_ts),
         "external_doc_no": concat_skip_null(F.lit("PROMOACRAMZ"), "country", F.lit(day.strftime("%Y%m")))})

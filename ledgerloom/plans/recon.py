@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import concat_skip_null, date_text, in_period, matches, not_matches, part, period_day, shift_period
-from ledgerloom.operators.aggs import group_constant, merged_lists, pivot_sum, string_distinct, string_list
+from ledgerloom.operators.aggs import distinct_lists, group_constant, pivot_sum, string_list
 from ledgerloom.operators.derive import code_map
-from ledgerloom.operators.incremental import keys_of, not_in
+from ledgerloom.operators.incremental import not_in
 from ledgerloom.operators.joins import interval_join, reconcile
 from ledgerloom.operators.skew import lookup
 
@@ -56,7 +57,7 @@ def consistent_invoices(summary: DataFrame, detail: DataFrame, deleted: DataFram
     """Invoices whose header and detail amounts agree within the tolerance and that are not deleted."""
     sums = detail.groupBy("invoice_number").agg(F.sum("total_amount").alias("_detail"))
     bad = summary.join(sums, "invoice_number").where(F.abs(F.col("invoice_amount") - F.col("_detail")) > tolerance)
-    dropped = keys_of(bad, "invoice_number").union(keys_of(deleted, "invoice_number")).distinct()
+    dropped = bad.select("invoice_number").union(deleted.select("invoice_number"))
     return summary.join(dropped, "invoice_number", "left_anti")
 
 
@@ -121,14 +122,13 @@ def unidentified_location(t: Tables) -> DataFrame:
     # the lists of the two sides do not depend on each other: each is gathered by itself, so no
     # pairs of items and movements are formed
     doc = F.col("original_external_doc_no").alias("invoice_number")
-    items = rows.groupBy(doc).agg(
-        string_distinct("sku", ",").alias("sku"), string_distinct("location_code", ",").alias("location"),
-        string_distinct("internal_sales_channel", ",").alias("sales_channel"))
-    moves = t["transactions"].groupBy("transaction_id").agg(
-        F.collect_set("warehouse").alias("places"), F.collect_set(F.col("ims_id").cast("string")).alias("ims"))
-    evidence = lookup(rows.select(doc, "transaction_id").distinct(), moves, ["transaction_id"])
-    evidence = evidence.groupBy("invoice_number").agg(
-        merged_lists("places", ",").alias("warehouse"), merged_lists("ims", "|").alias("ims_id"))
+    items = distinct_lists(rows.withColumn("invoice_number", doc), ["invoice_number"], {
+        "sku": ("sku", ","), "location": ("location_code", ","), "sales_channel": ("internal_sales_channel", ",")})
+    # movements of open documents alone, each place and number once
+    opened = rows.select(doc, "transaction_id").distinct()
+    moves = t["transactions"].select("transaction_id", "warehouse", "ims_id").join(opened, "transaction_id", "left_semi").distinct()
+    evidence = distinct_lists(opened.join(moves, "transaction_id"), ["invoice_number"], {
+        "warehouse": ("warehouse", ","), "ims_id": ("ims_id", "|")})
     out = items.join(evidence, "invoice_number", "left")
     out = out.withColumn("sales_channel", code_map("sales_channel", {"WM WFS": "WM MKP"}, F.col("sales_channel")))
     return out.orderBy(F.asc_nulls_last("sales_channel"), F.asc_nulls_last("invoice_number"))
@@ -145,14 +145,15 @@ def outbound_notes(t: Tables, by_sku: bool, low: date, high: date, date_col: str
     rows = rows.withColumn("day", F.col("issue_date").cast("date"))
     keys = ["sale_order_number", "ob_sku"] if by_sku else ["sale_order_number"]
     rows = rows.withColumnRenamed("sku", "ob_sku")
-    aggs = [F.sum("actual_exported_qty").alias("ob_qty"), F.max("day").alias("ob_date"),
-            string_distinct("day", ",").alias("outbound_date"), F.countDistinct("day").alias("cnt_date"),
-            string_distinct("issue_code", ",").alias("issue_code"), F.countDistinct("issue_code").alias("cnt_ob"),
-            string_distinct("erp_warehouse", ",").alias("erp_warehouse"),
-            F.countDistinct("erp_warehouse").alias("cnt_wh")]
+    aggs = [F.sum("actual_exported_qty").alias("ob_qty"), F.max("day").alias("ob_date")]
     if not by_sku:
         aggs.append(string_list("ob_sku", ",").alias("ob_sku"))
-    return rows.groupBy(*keys).agg(*aggs)
+    lists = distinct_lists(rows, keys, {
+        "outbound_date": ("day", ","), "issue_code": ("issue_code", ","), "erp_warehouse": ("erp_warehouse", ",")},
+        {"outbound_date": "cnt_date", "issue_code": "cnt_ob", "erp_warehouse": "cnt_wh"})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_l_{k}")) for k in keys])
+    return rows.groupBy(*keys).agg(*aggs).join(lists.withColumnsRenamed({k: f"_l_{k}" for k in keys}), same).drop(
+        *[f"_l_{k}" for k in keys])
 
 
 def invoiced_by_sku(header: DataFrame, line: DataFrame, period: str, channels: Sequence[str]) -> DataFrame:

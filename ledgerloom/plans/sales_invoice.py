@@ -19,9 +19,9 @@ from ledgerloom.operators.aggs import completeness, drop_secondary_owners, strin
 from ledgerloom.operators.derive import (
     code_map, doc_number, obh_expand, owner_route, parent_sku, promo_price, update_from, update_where,
 )
-from ledgerloom.operators.incremental import exclude_posted, keys_of, latest_per_key, latest_snapshot, not_in
+from ledgerloom.operators.incremental import exclude_posted, latest_per_key, latest_snapshot, not_in
 from ledgerloom.operators.joins import constant_dim, contains_join, fallback_join, interval_join, member_flag
-from ledgerloom.operators.skew import HOT_ROWS, hot_hashes, lookup
+from ledgerloom.operators.skew import lookup
 from ledgerloom.operators.windows import line_numbers
 from ledgerloom.plans import config as c
 from ledgerloom.plans.config import ChannelConfig
@@ -34,19 +34,18 @@ Tables = Mapping[str, DataFrame]
 
 # ---- shared pieces ------------------------------------------------------------------------------
 def as_candidates(df: DataFrame, fixed: Mapping[str, object], line_order: Sequence[str], run_ts: datetime,
-                  raw_docs: Column, raw: DataFrame, number_by: str = "external_doc_no",
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add the channel's constants and the line numbers, in the snapshot layout.
+                  number_by: str = "external_doc_no", numbered: bool = True) -> DataFrame:
+    """Add the channel's constants and, if ``numbered``, the line numbers, in the snapshot layout.
 
-    Hot documents are looked for in the raw table by its bare document column ``raw_docs``.
+    Numbering writes the rows. A reader of amounts alone does without it; line numbers are then null.
     """
     base = {"document_type": "Order", "source_code": "DATAMART_SI", "type": "ITEM", "uom": "pcs",
             "vat_product_posting_group": "VAT-NOT", "is_valid_record": True, "data_updated_time": run_ts}
     values = {k: v if isinstance(v, Column) else F.lit(v) for k, v in {**base, **fixed}.items()}
-    hot = hot_hashes(raw.select(raw_docs.alias("original_external_doc_no")), ["original_external_doc_no"], hot_rows)
-    numbered = line_numbers(df.withColumns(values), number_by, [F.col(o) for o in line_order], hot=hot,
-                            route=["original_external_doc_no"])
-    return conform(numbered, SNAPSHOT)
+    rows = df.withColumns(values)
+    if numbered:
+        rows = line_numbers(rows, number_by, [F.col(o) for o in line_order])
+    return conform(rows, SNAPSHOT)
 
 
 def item_owners(items: DataFrame, company: str) -> DataFrame:
@@ -97,13 +96,11 @@ def stage_on_behalf(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, a
 
 def _stage(rows: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date, own_goods: bool) -> DataFrame:
     posted = tables["posted_header"]
-    if own_goods:
+    # an original number is shared with returns, so there the document type counts for both branches
+    if own_goods or cfg.posted_key != "external_doc_no":
         posted = posted.where(F.upper("document_type").isin(*cfg.posted_types))
         for name, values in cfg.posted_scope.items():
             posted = posted.where(F.col(name).isin(*values))
-    elif cfg.posted_key != "external_doc_no":
-        for name, values in cfg.posted_scope.items():
-            posted = posted.where(F.col(name).isin(*values))
     lists = [(posted, cfg.posted_key)]
     if own_goods and cfg.use_excluded:
         lists.append((tables["excluded"], "external_doc_no"))
@@ -123,12 +120,10 @@ def _stage(rows: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date, own
 
 def run_channel(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date,
                 snapshot_log: DataFrame | None = None, evidence_since: date | None = None,
-                extra_invoices: DataFrame | None = None, shipments: DataFrame | None = None, stage: bool = False
-                ) -> tuple[DataFrame, DataFrame]:
+                extra_invoices: DataFrame | None = None, shipments: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Headers and lines of one channel as of a day.
 
-    ``stage`` writes the staged rows once; use it when headers and lines are written by separate
-    jobs, which would otherwise each run the joins again.
+    The staged rows of both branches are written once; headers and lines are read from them.
 
     ``snapshot_log``, when given, is the log the candidates were written to: the newest load *of
     this channel* is read from it, so a channel without new rows does not pick up another's load.
@@ -143,15 +138,16 @@ def run_channel(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, as_of
         places = warehouse_locations(tables["transactions"], cfg.evidence, evidence_since or cfg.date_from)
         own = update_from(own, places, cfg.evidence_key, "transaction_id", "wh_location", "location",
                           F.col("wh_location") == c.UNIDENTIFIED)
-    fix = cut_lineage if stage else (lambda df, name: df)
-    own = fix(own, "own")
+    both = own.withColumn("_own", F.lit(True)).unionByName(
+        stage_on_behalf(rows, tables, cfg, as_of).withColumn("_own", F.lit(False)))
+    both = cut_lineage(both, "staged")
+    own, obh = both.where("_own").drop("_own"), both.where("not _own").drop("_own")
     header_rows = line_rows = own
     if extra_invoices is not None:
         header_rows, line_rows = reclass_extra(own, extra_invoices)
     header = header_layout(header_rows, F.lit(None).cast("string"))
     line = line_layout(line_rows)
 
-    obh = fix(stage_on_behalf(rows, tables, cfg, as_of), "on-behalf")
     header = header.unionByName(header_layout(obh, F.col("bill_to_customer")))
     stock = cfg.obh_stock() if cfg.obh_stock else F.lit(False)
     line = line.unionByName(line_layout(
@@ -234,8 +230,8 @@ def document_lines(header: DataFrame, line: DataFrame) -> DataFrame:
 
 
 # ---- candidates per channel ---------------------------------------------------------------------
-def settlement_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, owner: str, company: str
-                          ) -> DataFrame:
+def settlement_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, owner: str, company: str,
+                          numbered: bool = True) -> DataFrame:
     """Settled sale rows; one document per purchase order and report date."""
     rows = t["settlements"].where(
         (F.col("transaction_type") == "SALE") & F.col("settlement_date").between(F.lit(since), F.lit(as_of)))
@@ -252,11 +248,11 @@ def settlement_candidates(t: Tables, as_of: date, run_ts: datetime, since: date,
         "customer_posting_group": c.POSTING_GROUP, "payment_term": "14D", "wh_location": c.UNIDENTIFIED,
         "sales_channel": "CHAN-WMMKP", "country": "REG-USA", "internal_sales_channel": "WM WFS",
         "original_company_id": company, "belong_to_company": owner,
-    }, ["asin", "amount", "quantity", "order_date"], run_ts, F.col("po_id"), t["settlements"])
+    }, ["asin", "amount", "quantity", "order_date"], run_ts, numbered=numbered)
 
 
 def dropship_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, owner: str, company: str,
-                        orders_since: date, sku_alias: Mapping[str, str] | None = None) -> DataFrame:
+                        orders_since: date, sku_alias: Mapping[str, str] | None = None, numbered: bool = True) -> DataFrame:
     """Lines of fully settled orders, priced with promotions found through the catalogue item ids."""
     lines = t["order_lines"].where(F.col("order_date").cast("date").between(F.lit(orders_since), F.lit(as_of)))
     settled = completeness(lines, "purchase_order_id", "order_line_status", ["Delivered", "Shipped"], ["Cancelled"])
@@ -278,7 +274,7 @@ def dropship_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, o
         "item_sku", code_map("item_sku", sku_alias, F.col("item_sku")) if sku_alias else F.col("item_sku"))
     rows = fallback_join(rows, ids, "supplier_stock_id", "item_ids",
                          [F.col("item_sku"), head("item_sku", 4)], "item_ids")
-    rows = contains_join(rows, log, "item_ids", "promo_item", ("order_date", "log_start", "log_end"))
+    rows = contains_join(rows, log, "item_ids", "promo_item", ("order_date", "log_start", "log_end"), texts=ids)
     rows = rows.withColumn("order_day", F.col("order_date").cast("date"))
     rows = interval_join(rows, sheet, [("item_sku", "sheet_sku")], "order_day", "sheet_start", "sheet_end")
     rows = member_flag(rows, F.col("item_sku"), sheet.withColumnRenamed("sheet_sku", "_s"), "_s", "funded")
@@ -302,12 +298,12 @@ def dropship_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, o
         "customer_posting_group": c.POSTING_GROUP, "payment_term": "60D", "wh_location": c.UNIDENTIFIED,
         "sales_channel": "CHAN-WMDSV", "country": "REG-USA", "internal_sales_channel": "WM DSV",
         "original_company_id": company, "belong_to_company": owner,
-    }, ["asin", "order_line_id", "unit_price", "quantity", "amount"], run_ts, F.col("purchase_order_id"), t["order_lines"])
+    }, ["asin", "order_line_id", "unit_price", "quantity", "amount"], run_ts, numbered=numbered)
 
 
 def basecost_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str], company: str,
                         item_company: str, accounts: Mapping[str, str], castle_locations: Mapping[str, str],
-                        skip_invoices: Sequence[str] = ()) -> DataFrame:
+                        skip_invoices: Sequence[str] = (), numbered: bool = True) -> DataFrame:
     """Invoices priced with the base cost valid when the order was placed.
 
     ``accounts`` maps account name to region, ``castle_locations`` account name to the location of
@@ -348,11 +344,11 @@ def basecost_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, o
     return as_candidates(rows, {
         "bill_to_customer": "131US-MER0001-WF", "sell_to_customer": "131US-MER0001-WF", "platform": "PLF-WF-1",
         "payment_term": "60D", "sales_channel": "CHAN-WAYFAIR", "original_company_id": company,
-    }, ["asin", "unit_price", "quantity", "amount"], run_ts, num, sold, number_by="numbering_doc")
+    }, ["asin", "unit_price", "quantity", "amount"], run_ts, number_by="numbering_doc", numbered=numbered)
 
 
 def direct_fulfil_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str], company: str,
-                             no_stock: Sequence[str] = ("HMD", "MOONKEY")) -> DataFrame:
+                             no_stock: Sequence[str] = ("HMD", "MOONKEY"), numbered: bool = True) -> DataFrame:
     """Item lines of accepted direct-fulfilment invoices."""
     heads = t["df_summary"].where(
         F.col("invoicedate").cast("date").between(F.lit(since), F.lit(as_of)) & (F.col("status") != "REJECTED"))
@@ -379,11 +375,11 @@ def direct_fulfil_candidates(t: Tables, as_of: date, run_ts: datetime, since: da
         "bill_to_customer": "131US-MER0001-AMZ", "sell_to_customer": "131US-MER0001-AMZ", "platform": "PLF-AMZ-1",
         "payment_term": "60D", "sales_channel": "CHAN-AVC", "internal_sales_channel": "AVC DS",
         "original_company_id": company,
-    }, ["asin", "amount", "quantity"], run_ts, F.col("invoicenumber"), t["df_items"], number_by="numbering_doc")
+    }, ["asin", "amount", "quantity"], run_ts, number_by="numbering_doc", numbered=numbered)
 
 
 def payment_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str],
-                       no_stock: Sequence[str] = ("HMD", "MOONKEY")) -> DataFrame:
+                       no_stock: Sequence[str] = ("HMD", "MOONKEY"), numbered: bool = True) -> DataFrame:
     """Payment rows of type Order; seller SKU to product id to item through two order extracts."""
     payments = t["payments"].where(
         F.col("date_time").cast("date").between(F.lit(since), F.lit(as_of)) & (F.col("type") == "Order"))
@@ -424,12 +420,12 @@ def payment_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, ow
     return as_candidates(rows, {
         "bill_to_customer": "131US-MER0001-AMZ", "sell_to_customer": "131US-MER0001-AMZ", "platform": "PLF-AMZ-1",
         "payment_term": "14D", "sales_channel": "CHAN-ASC",
-    }, ["asin", "amount", "quantity", "discount", "internal_sales_channel"], run_ts, F.col("order_id"), t["payments"])
+    }, ["asin", "amount", "quantity", "discount", "internal_sales_channel"], run_ts, numbered=numbered)
 
 
 def vendor_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str], company: str,
                       stock_vendors: Sequence[str], gpe_vendors: Sequence[str], skip_invoices: Sequence[str] = (),
-                      no_stock: Sequence[str] = ("HMD", "MOONKEY"), home: str = "USA") -> DataFrame:
+                      no_stock: Sequence[str] = ("HMD", "MOONKEY"), home: str = "USA", numbered: bool = True) -> DataFrame:
     """Vendor invoices by purchase order; the vendor code tells import, stock or GPE channel."""
     channel = (
         F.when(F.col("vendor").isin(*stock_vendors), F.lit("AVC WH"))
@@ -474,4 +470,4 @@ def vendor_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own
     return as_candidates(rows, {
         "bill_to_customer": "131US-MER0001-AMZ", "sell_to_customer": "131US-MER0001-AMZ", "platform": "PLF-AMZ-1",
         "sales_channel": "CHAN-AVC", "original_company_id": company,
-    }, ["asin", "amount", "quantity", "po_number"], run_ts, F.col("invoice_number"), t["vendor_invoice_detail"])
+    }, ["asin", "amount", "quantity", "po_number"], run_ts, numbered=numbered)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,18 +33,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session (tests) may fall back to a temporary folder of this machine.
-    """
+    """A folder every executor can reach: ``spark.checkpoint.dir`` of the session, else a folder in
+    the session's warehouse. Nothing is put into a machine's temporary folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
 
 
 def new_stage_path(spark: SparkSession, name: str) -> str:
@@ -53,13 +44,14 @@ def new_stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write a stage to the shared folder and read it back.
+def cut_lineage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
+    """Write a stage to the shared folder (or to ``path``, for a caller that clears it later) and read it back.
 
     The rows are fixed and survive the loss of executors; as columnar files they can be read by
     later branches one column at a time. Columns without a type are stored as text.
     """
-    path = new_stage_path(df.sparkSession, name)
+    path = path or new_stage_path(df.sparkSession, name)
     void = [f.name for f in df.schema.fields if f.dataType.simpleString() == "void"]
-    df.withColumns({c: F.col(c).cast("string") for c in void}).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df = df.withColumns({c: F.col(c).cast("string") for c in void})
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

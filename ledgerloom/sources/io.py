@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
@@ -9,8 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.functions.scalars import blank_to_null
-from ledgerloom.operators.skew import lookup
-from ledgerloom.session import cut_lineage
 
 SNAPSHOT_COL = "data_updated_time"
 SNAPSHOT_PARTITION = "load_stamp"
@@ -80,23 +79,47 @@ def ingest_adjustments(spark: SparkSession, path: str, key: str, n_cols: int | N
 
 
 def append(df: DataFrame, path: str) -> None:
-    """Append by column name: the frame is put in the column order of the target, if it exists."""
+    """Append by column name. A frame whose names or types differ from the target's is refused."""
     target = _existing(df.sparkSession, path)
-    (df.select(*target.columns) if target is not None else df).write.mode("append").parquet(path)
-
-
-def replace(df: DataFrame, path: str, reads_target: bool = False) -> None:
-    """Full replacement. A frame that reads its own target is checkpointed before the overwrite."""
-    (cut_lineage(df) if reads_target else df).write.mode("overwrite").parquet(path)
-
-
-def snapshot_append(df: DataFrame, path: str, run_ts: datetime, stamp: str = SNAPSHOT_COL) -> DataFrame:
-    """Append with one load stamp for the whole write; one directory per stamp, so reading the
-    newest load prunes all others."""
+    if target is not None:
+        kinds = lambda frame: {f.name: f.dataType for f in frame.schema.fields}
+        ours, theirs = kinds(df), kinds(target)
+        wrong = sorted(c for c in {*ours, *theirs} if ours.get(c) != theirs.get(c))
+        if wrong:
+            raise ValueError(f"cannot append to {path}: names or types differ in {', '.join(wrong)}")
+        df = df.select(*target.columns)
+    df.write.mode("append").parquet(path)
+
+
+def replace(df: DataFrame, path: str) -> None:
+    """Full replacement: the frame is written beside the target and then takes its place. The
+    frame may read its own target, and a job that dies before the swap leaves the old rows."""
+    spark = df.sparkSession
+    new, old = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}", f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    store = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = store.exists(hadoop(path))
+    for source, goal in ([(path, old)] if there else []) + [(new, path)]:
+        if not store.rename(hadoop(source), hadoop(goal)):
+            raise OSError(f"cannot rename {source} to {goal}")
+    if there:
+        store.delete(hadoop(old), True)
+    spark.catalog.refreshByPath(path)
+
+
+def snapshot_append(df: DataFrame, path: str, run_ts: datetime, stamp: str = SNAPSHOT_COL,
+                    within: Sequence[str] = ()) -> DataFrame:
+    """Append with one load stamp for the whole write.
+
+    One directory per value of ``within`` (a channel) and stamp, so reading the newest load of a
+    channel prunes all others. Writing a stamp again replaces its rows instead of doubling them.
+    """
     stamped = df.withColumn(stamp, F.lit(run_ts)).withColumn(
         SNAPSHOT_PARTITION, F.lit(run_ts.strftime("%Y%m%d%H%M%S%f")))
-    stamped.write.mode("append").partitionBy(SNAPSHOT_PARTITION).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*within, SNAPSHOT_PARTITION).parquet(path)
+    # the given schema keeps codes in directory names from being read as numbers
+    return df.sparkSession.read.schema(stamped.schema).parquet(path).select(*stamped.columns)
 
 
 def report_frame(df: DataFrame) -> DataFrame:
@@ -115,9 +138,9 @@ def cutoff_delete(header: DataFrame, line: DataFrame, line_doc: str, header_doc:
                   cutoff) -> tuple[DataFrame, DataFrame]:
     """Drop documents dated on or after the cut-off, and their lines. Undated documents stay."""
     late = F.col(date_col) >= F.lit(cutoff)
-    dropped = header.where(late).select(F.col(header_doc).alias(line_doc)).distinct()
+    dropped = header.where(late).select(F.col(header_doc).alias(line_doc))
     kept = header.where(~late | F.col(date_col).isNull())
-    return kept, lookup(line, dropped, [line_doc], "left_anti")
+    return kept, line.join(dropped, line_doc, "left_anti")
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:

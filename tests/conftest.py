@@ -9,9 +9,10 @@ from ledgerloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[4]", **{
-        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4"})
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("stages"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

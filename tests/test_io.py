@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.incremental import latest_snapshot
@@ -28,10 +29,29 @@ def test_append_is_by_name(spark, tmp_path):
     assert rows(spark.read.parquet(path), "a", "b") == [(1, "x"), (2, "y")]
 
 
+def test_append_refuses_other_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    io.append(spark.range(2), path)
+    for other in (spark.range(1).withColumn("x", F.lit(1)), spark.range(1).withColumnRenamed("id", "no"), spark.range(1).select(F.col("id").cast("int"))):
+        with pytest.raises(ValueError, match="differ"):
+            io.append(other, path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_snapshot_of_one_stamp_is_repeatable_per_channel(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows_ = spark.createDataFrame([("1", 5), ("02", 6), (None, 7)], "channel string, n int")
+    for stamp in (datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 2)):
+        log = io.snapshot_append(rows_, path, stamp, within=["channel"])
+    assert log.count() == 6 and rows(log.select("channel").distinct()) == [(None,), ("02",), ("1",)]
+    newest = latest_snapshot(log, io.SNAPSHOT_PARTITION, F.col("channel") == "02")
+    assert rows(newest, "n") == [(6,)]
+
+
 def test_replace_may_read_its_target(spark, tmp_path):
     path = str(tmp_path / "t")
     io.replace(spark.range(5), path)
-    io.replace(spark.read.parquet(path).where("id > 2"), path, reads_target=True)
+    io.replace(spark.read.parquet(path).where("id > 2"), path)
     assert rows(spark.read.parquet(path)) == [(3,), (4,)]
 
 

@@ -19,23 +19,18 @@ def skewed(spark):
     return spark.createDataFrame(data, "doc string, a int, b string").repartition(7)
 
 
-def test_hot_hashes_finds_only_hot_keys(spark):
-    df = skewed(spark)
-    hot = skew.hot_hashes(df, ["doc"], hot_rows=200)
-    expected = df.where("doc = 'hot'").select(F.xxhash64("doc")).first()[0]
-    assert hot == [expected]
-    assert skew.hot_hashes(df, ["doc"], hot_rows=10_000) == []
-    assert skew.hot_hashes(df.limit(0), ["doc"]) == []
-
-
-@pytest.mark.parametrize("hot_rows", [10_000, 200, 20])
-def test_line_numbers_match_window_on_every_route(spark, hot_rows):
-    df = skewed(spark)
+def test_line_numbers_match_window(spark):
+    """One route for a hot, a null and an all-equal document that lie over several slices."""
+    equal = spark.createDataFrame([("same", 7, "z")] * 700, "doc string, a int, b string")
+    df = skewed(spark).unionByName(equal)
     order = [F.col("a").asc_nulls_first(), F.col("b")]
-    got = windows.line_numbers(df, "doc", order, hot_rows=hot_rows)
+    got = windows.line_numbers(df, "doc", order)
     want = df.withColumn("line_no", F.row_number().over(Window.partitionBy("doc").orderBy(*order)).cast("long") * 10000)
     cols = ["doc", "a", "b", "line_no"]
     assert rows(got, *cols) == rows(want, *cols)
+    placed = skew._ranged(df, [F.col("doc"), *order])
+    slices = {r["doc"]: r["n"] for r in placed.groupBy("doc").agg(F.countDistinct("_slice").alias("n")).collect()}
+    assert slices["hot"] > 1 and slices["same"] > 1
 
 
 def test_hot_document_is_spread(spark):
@@ -46,16 +41,6 @@ def test_hot_document_is_spread(spark):
     assert rows(placed, "_pos") == sorted(((i,) for i in range(500)), key=lambda r: (True, str(r[0])))
 
 
-def test_route_by_base_document(spark):
-    df = skewed(spark).withColumn("part_doc", F.concat("doc", F.lit("-"), F.col("a") % 3))
-    hot = skew.hot_hashes(df, ["doc"], hot_rows=200)
-    order = [F.col("a"), F.col("b")]
-    got = windows.line_numbers(df, "part_doc", order, hot=hot, route=["doc"])
-    want = df.withColumn("line_no", F.row_number().over(Window.partitionBy("part_doc").orderBy(*order)).cast("long") * 10000)
-    cols = ["part_doc", "a", "b", "line_no"]
-    assert rows(got, *cols) == rows(want, *cols)
-
-
 def test_dense_rank_global(spark):
     df = skewed(spark)
     got = windows.dense_rank_global(df, "doc", partitions=3)

@@ -37,8 +37,7 @@ CFG = ChannelConfig(channels=["T"], own=["M", "S"], main="M", date_from=date(202
 D = date(2025, 1, 5)
 
 
-@pytest.mark.parametrize("stage", [False, True])
-def test_channel_routes_posts_and_expands(spark, stage):
+def test_channel_routes_posts_and_expands(spark):
     cand = snapshot(spark, [
         ("own1", "M", "A", Decimal("10.00"), D, c.UNIDENTIFIED, "T"), ("own2", "S", "A", Decimal("10.00"), date(2024, 12, 5), c.UNIDENTIFIED, "T"),
         ("posted", "M", "A", Decimal("1.00"), D, c.UNIDENTIFIED, "T"), ("manual", "M", "A", Decimal("1.00"), D, c.UNIDENTIFIED, "T"),
@@ -46,7 +45,7 @@ def test_channel_routes_posts_and_expands(spark, stage):
         ("obh1", "HMD", "B", Decimal("7.00"), D, "loc", "T"), ("obh2", "Bitis", "B", Decimal("8.00"), D, "loc", "T")])
     moves = [("T", "own1", "CRA", D, 1, 1, 1), ("T", "own1", "CRA", D, 0, 0, 9), ("T", "own2", "CRA", D, 1, 1, 1), ("T", "own2", "FLO", D, 1, 1, 1)]
     t = tables(spark, [("posted", "posted", "order", "T"), ("obh1", "obh1", "Return", "X")], ["manual"], moves)
-    header, line = si.run_channel(cand, t, CFG, AS_OF, stage=stage)
+    header, line = si.run_channel(cand, t, CFG, AS_OF)
     assert header.columns == [f.name for f in HEADER.fields] and line.columns == [f.name for f in LINE.fields]
     # obh1 is held back: any posted document with its number counts for on-behalf goods
     assert rows(header, "external_doc_no", "location", "name", "posting_date") == [
@@ -141,7 +140,8 @@ def test_promo_accrual_with_repeated_keys_equals_pairwise_sum(spark):
     d, one = date(2023, 7, 1), Decimal("1.00")
     spend = [(d, None, "USA", "AMZ", "AVC", "B1", f"i{i}", one, one, Decimal(i), Decimal(i)) for i in (1, 2, 3)] + [(d, "p", "USA", "AMZ", "AVC", "B2", "i9", one, one, None, None)]
     log = [(d, None, "USA", "AMZ", "AVC", "B1", None, Decimal(10 * i), Decimal(i), None, None) for i in (1, 2)] + [(d, "p", "USA", "AMZ", "AVC", "B3", None, Decimal(4), one, None, None)]
-    t = {"promo_spend": spark.createDataFrame(spend, schema), "profiles": spark.createDataFrame([("B9", "M")], "platform_product_id string, pims_company string"),
+    t = {"promo_spend": spark.createDataFrame(spend, schema), "profiles": spark.createDataFrame(
+        [("B9", "AMZ", "M"), ("B1", "WM", "M"), ("B1", "AMZ", "M"), ("B1", "X", "other")], "platform_product_id string, platform_short string, pims_company string"),
          "estimate_log": spark.createDataFrame(log, schema).withColumn("run_time", F.lit(datetime(2024, 4, 5)))}
     out = accrual.promo_accrual(t, "2025-01", RUN, ["M"], "2024-04", (date(2023, 6, 1), date(2023, 12, 31)), date(2024, 1, 1))
     assert rows(out, "platform_prd_id", "est_amt_usd", "invoiced_amt_usd", "list_invoice_number", "accrual_usd") == [

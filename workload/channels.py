@@ -94,7 +94,7 @@ def unposted(pst: str, exc: str | None, types: str = "'ORDER'", key: str = "exte
 
 def booked(t, cand, tables, cfg, **more):
     """Write the candidates to a snapshot log once, then book the newest load from it."""
-    log = snapshot_append(cand, new_stage_path(t.spark, "snapshot_log"), RUN_TS)
+    log = snapshot_append(cand, new_stage_path(t.spark, "snapshot_log"), RUN_TS, within=["internal_sales_channel"])
     return si.document_lines(*si.run_channel(cand, tables, cfg, AS_OF, snapshot_log=log, **more)).select(*SHOWN)
 
 
@@ -236,7 +236,7 @@ cand as (select order_date, case when belong_to_company in ('MAIN', 'SIDE', 'JOI
     pims_sku as no, {cents('subtotal', 'quantity')} as unit_price, cast(null as double) as discount, quantity, subtotal as amount,
     num as po_number, 'AVC DS' as internal_sales_channel, num as original_external_doc_no, asin, belong_to_company,
     '60D' as payment_term, '131US-MER0001-AMZ' as bill_to from base)"""
-DF_OPEN = """s.original_external_doc_no not in (select original_external_doc_no from pst_ds)"""
+DF_OPEN = """s.original_external_doc_no not in (select original_external_doc_no from pst_ds where document_type = 'Order')"""
 
 
 @query("si_direct_fulfil", f"""{DF_CAND}

@@ -182,12 +182,12 @@ acc as (select report_month, promotion_id, platform_prd_id, platform, country, s
       and a.platform_prd_id = b.platform_prd_id and a.report_date = b.report_date and b.report_date between date '1995-01-01' and date '1997-12-31'
     where a.run_time < timestamp '2001-06-01' and a.report_date between date '1995-01-01' and date '1997-12-31'
   union all select strftime(report_date, '%Y-%m'), promotion_id, platform_prd_id, platform, country, invoices_list, pro_est_adj_usd, pro_est_adj_lc, invoiced_amt_usd, invoiced_amt_lc from estimate_log
-    where run_time > timestamp '2001-06-01' and report_date between date '1998-01-01' and date '2001-07-25') x left join product_owner o on x.platform_prd_id = o.platform_product_id
+    where run_time > timestamp '2001-06-01' and report_date between date '1998-01-01' and date '2001-07-25') x left join product_listings o on x.platform_prd_id = o.platform_product_id and o.platform_short = 'AMZ'
   where coalesce(o.pims_company, 'MAIN') in ('MAIN', 'SIDE', 'JOINT') group by 1, 2, 3, 4, 5)"""
 
 
 def promo_detail(t, period="2001-07"):
-    tables = t.pick(estimate_log="estimate_log", promo_spend="promo_spend", profiles="product_owner")
+    tables = t.pick(estimate_log="estimate_log", promo_spend="promo_spend", profiles="product_listings")
     return accrual.promo_accrual(tables, period, RUN_TS, MERGED, "2001-05", (date(1995, 1, 1), date(1997, 12, 31)), date(1998, 1, 1))
 
 

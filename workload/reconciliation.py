@@ -31,12 +31,12 @@ def recon_query(t, cand, name, channel, pst, doc="external_doc_no", key="externa
 @query("recon_wm_dsv", recon_sql(ch.DROPSHIP_CAND, "external_doc_no", "dsv", "external_doc_no", None))
 def recon_wm_dsv(t):
     raw = t.pick(order_lines="order_lines", catalogue="catalogue", promo_log="promo_log", promo_sheet="promo_sheet", companies="companies", posted_header="pst_dsv")
-    return recon_query(t, si.dropship_candidates(raw, AS_OF, RUN_TS, SINCE, "MAIN", "CO1", SINCE), "dsv", ["WM DSV"], None)
+    return recon_query(t, si.dropship_candidates(raw, AS_OF, RUN_TS, SINCE, "MAIN", "CO1", SINCE, numbered=False), "dsv", ["WM DSV"], None)
 
 
 @query("recon_wm_wfs", recon_sql(ch.SETTLEMENT_CAND, "external_doc_no", "wfs", "external_doc_no", "pst_wfs"))
 def recon_wm_wfs(t):
-    cand = si.settlement_candidates(t.pick(settlements="settlements", companies="companies"), AS_OF, RUN_TS, SINCE, "MAIN", "CO1")
+    cand = si.settlement_candidates(t.pick(settlements="settlements", companies="companies"), AS_OF, RUN_TS, SINCE, "MAIN", "CO1", numbered=False)
     return recon_query(t, cand, "wfs", ["WM WFS"], "pst_wfs")
 
 
@@ -44,14 +44,14 @@ def recon_wm_wfs(t):
 def recon_wf(t):
     raw = t.pick(invoices="invoices", orders_export="orders_export", base_cost="base_cost", items="items", companies="companies", dropship_export="dropship_export")
     cand = si.basecost_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO2", "CO1", {"ACCT_US": "REG-USA", "ACCT_CA": "REG-CAN"},
-                                  {"ACCT_US": "157-WFC-US", "ACCT_CA": "157-WF-CAN"})
+                                  {"ACCT_US": "157-WFC-US", "ACCT_CA": "157-WF-CAN"}, numbered=False)
     return recon_query(t, cand, "wf", ["WF", "WF CG"], "pst_wf", "original_external_doc_no", "original_external_doc_no")
 
 
 @query("recon_avc_ds", recon_sql(ch.DF_CAND, "original_external_doc_no", "ds", "original_external_doc_no", "pst_ds"))
 def recon_avc_ds(t):
     raw = t.pick(df_items="df_items", df_summary="df_summary", profiles="profiles", items="items", companies="companies")
-    cand = si.direct_fulfil_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1")
+    cand = si.direct_fulfil_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", numbered=False)
     return recon_query(t, cand, "ds", ["AVC DS"], "pst_ds", "original_external_doc_no", "original_external_doc_no")
 
 
@@ -69,7 +69,7 @@ def recon_avc_di_wh(t):
     detail = t["vendor_invoice_detail"].select("invoice_number", F.col("invoice_price").alias("total_amount"))
     good = recon.consistent_invoices(t["vendor_summary"], detail, t["vendor_deleted"])
     raw["vendor_invoices"] = t["vendor_invoices"].join(good, "invoice_number", "left_semi")
-    cand = si.vendor_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", ["VENA", "VENB"], ["VENG"])
+    cand = si.vendor_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", ["VENA", "VENB"], ["VENG"], numbered=False)
     return recon_query(t, cand, "avc", ["AVC DI", "AVC WH", "AVC GPE"], "pst_avc", "original_external_doc_no", "original_external_doc_no")
 
 
@@ -81,7 +81,7 @@ def recon_avc_di_wh(t):
     and source_month = booked_month where booked_doc is null or (source_amount <> booked_amount and source_doc not in (select original_external_doc_no from pst_asc))""")
 def recon_asc(t):
     raw = t.pick(payments="payments", seller_orders_a="seller_orders_a", seller_orders_b="seller_orders_b", profiles="profiles", items="items", companies="companies")
-    cand = si.payment_candidates(raw, AS_OF, RUN_TS, SINCE, CORE)
+    cand = si.payment_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, numbered=False)
     booked = recon.booked_totals(t["dly_asc_h"], t["dly_asc_l"], "original_external_doc_no", "sales_channel", ["CHAN-ASC"], month=True)
     return recon.recon_by_month(cand, booked, t["pst_asc"], "original_external_doc_no", "order_date", "amount")
 

@@ -91,10 +91,12 @@ def join_rate_asof_day(t):
     return out.select("invoice_num", "currency", "to_usd", (F.col("amount") * F.col("to_usd")).alias("amount_usd"))
 
 
-@query("join_constant_dim", "select o_orderkey, 'cid-AMERICA' as company_id, cast(null as varchar) as missing_id from orders")
+@query("join_constant_dim", """select o_orderkey, 'cid-AMERICA' as company_id, cast(null as varchar) as missing_id, twice as twice_id
+  from orders cross join (select unnest(['cid-EUROPE', 'cid-SECOND']) as twice)""")
 def join_constant_dim(t):
     rows = joins.constant_dim(t["orders"].select("o_orderkey"), t["companies"], F.col("company_code") == "CO1", ["company_id"])
-    return joins.constant_dim(rows, t["companies"].withColumnRenamed("company_id", "missing_id"), F.col("company_code") == "none", ["missing_id"])
+    rows = joins.constant_dim(rows, t["companies"].withColumnRenamed("company_id", "missing_id"), F.col("company_code") == "none", ["missing_id"])
+    return joins.constant_dim(rows, t["companies"].withColumnRenamed("company_id", "twice_id"), F.col("company_code") == "CO3", ["twice_id"])
 
 
 FULL_SQL = """with src as (select l_orderkey as doc, sum(cast(l_extendedprice as decimal(18,2))) as src from lineitem where l_linestatus = 'O' group by 1),
@@ -197,7 +199,7 @@ def agg_unique_or_unknown(t):
 
 @query("agg_string_distinct", "select supplier_stock_id, string_agg(distinct item_id, ',' order by item_id) as items, string_agg(distinct product_gtin, ',' order by product_gtin) as gtins from catalogue group by 1")
 def agg_string_distinct(t):
-    return t["catalogue"].groupBy("supplier_stock_id").agg(aggs.string_distinct("item_id", ",").alias("items"), aggs.string_distinct("product_gtin", ",").alias("gtins"))
+    return aggs.distinct_lists(t["catalogue"], ["supplier_stock_id"], {"items": ("item_id", ","), "gtins": ("product_gtin", ",")})
 
 
 @query("agg_string", "select po_number, string_agg(item_number, ' | ' order by item_number) as sku_list from orders_export group by 1")

@@ -68,7 +68,9 @@ STANDINS = {
     "items": f"""select item_id, 'CO1' as original_company_id, {OWNER.format(b='brand')} as belong_to_company,
         '1311-MER' as customer_posting_group, 'cid-AMERICA' as company_id
       from (select {code('p_partkey')} as item_id, min(p_brand) as brand from {{part}} group by 1) x""",
-    "companies": "select concat('CO', cast(r_regionkey as string)) as company_code, concat('cid-', r_name) as company_id from {region}",
+    # CO3 is listed twice
+    "companies": """select concat('CO', cast(r_regionkey as string)) as company_code, concat('cid-', r_name) as company_id from {region}
+      union all select 'CO3', 'cid-SECOND'""",
     "profiles": " union all ".join(
         f"""select concat('B', cast(p_partkey as string)) as platform_prd_id, concat('B', cast(p_partkey as string)) as
           platform_product_id, 'Amazon' as platform, 'AMZ' as platform_short, '{country}' as country,
@@ -76,6 +78,10 @@ STANDINS = {
         for country in ("USA", "CAN", "GBR")),
     "product_owner": f"""select concat('B', cast(p_partkey as string)) as platform_product_id, 'AMZ' as platform_short,
         {OWNER.format(b='p_brand')} as pims_company from {{part}}""",
+    # every product is listed on a second platform as well, by the same or another owner
+    "product_listings": f"""select concat('B', cast(p_partkey as string)) as platform_product_id, 'AMZ' as platform_short,
+        {OWNER.format(b='p_brand')} as pims_company from {{part}} union all
+      select concat('B', cast(p_partkey as string)), 'WM', case when p_size > 25 then 'HMD' else 'MAIN' end from {{part}}""",
     # ---- settlements ----
     "settlements": f"""select {key('PO', 'l_orderkey')} as po_id, {key('OR', 'l_orderkey')} as order_id, {sku('l_partkey')} as sku,
         case when l_returnflag = 'R' then 'REFUND' else 'SALE' end as transaction_type,
@@ -138,7 +144,10 @@ STANDINS = {
         case when {LOW_PARTIAL} then 'REJECTED' else 'APPROVED' end as status,
         case when o_orderpriority = '1-URGENT' then 'CAN' else 'USA' end as country from {{orders}}""",
     "txn_ds": transactions("AVC DS", key("DF", "l_orderkey")),
-    "pst_ds": posted(key("DF", "o_orderkey"), "AVC DS", "CHAN-AVC", key("DF", "o_orderkey")),
+    # returns are posted for later orders too: they do not make their orders posted
+    "pst_ds": posted(key("DF", "o_orderkey"), "AVC DS", "CHAN-AVC", key("DF", "o_orderkey")) + f""" union all
+      select {key("RT", "o_orderkey")}, {key("DF", "o_orderkey")}, 'Sales Return', 'AVC DS', 'CHAN-AVC' from {{orders}}
+      where o_orderdate >= date '1997-01-01' and o_orderpriority = '2-HIGH'""",
     # ---- payment report ----
     "payments": f"""select cast(o_orderdate as date) as date_time, {key('ORD', 'l_orderkey')} as order_id, {sku('l_partkey')} as sku,
         {COUNTRY} as country, case when l_linenumber = 6 then 'CO2' else 'CO1' end as company,
