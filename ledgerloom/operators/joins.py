@@ -132,12 +132,13 @@ def member_flag(df: DataFrame, key: Column, members: DataFrame, member_key: str,
 
 def reconcile(source: DataFrame, booked: DataFrame, keys: Sequence[tuple[str, str]], measure: tuple[str, str],
               posted: DataFrame | None = None, posted_key: str | None = None,
-              guard: str = "missing", tolerance: float = 0) -> DataFrame:
+              guard: str = "missing", tolerance: float = 0, booked_only: bool = False) -> DataFrame:
     """Full outer comparison of source totals and booked totals, keeping what disagrees.
 
     A row stays if the amounts differ by more than the tolerance or the source document is not
     booked. Documents in ``posted`` are ignored on the arm named by ``guard`` (``missing`` or
-    ``differs``). Rows that exist only on the booked side have no source amount and drop out.
+    ``differs``). Rows that exist only on the booked side have no source amount and drop out, unless ``booked_only`` asks
+    for them as well.
     """
     src_key, booked_key = keys[0]
     on = reduce(Column.__and__, [F.col(a) == F.col(b) for a, b in keys])
@@ -145,15 +146,16 @@ def reconcile(source: DataFrame, booked: DataFrame, keys: Sequence[tuple[str, st
     gap = F.col(measure[0]) - F.col(measure[1])
     differs = (F.abs(gap) > tolerance) if tolerance else (F.col(measure[0]) != F.col(measure[1]))
     missing = F.col(booked_key).isNull()
+    alone = F.col(src_key).isNull() & ~missing if booked_only else F.lit(False)
     if posted is None:
-        return joined.where(differs | missing)
+        return joined.where(differs | missing | alone)
     listed = posted.select(F.col(posted_key or src_key).alias("_posted"))
     joined = joined.join(listed.where(F.col("_posted").isNotNull()).distinct(), F.col(src_key) == F.col("_posted"), "left")
     joined = joined.withColumn("_facts", list_facts(listed, "_posted"))
     unlisted = ~F.col("_facts.has_rows") | (
         ~F.col("_facts.has_null") & F.col(src_key).isNotNull() & F.col("_posted").isNull())
     keep = (differs | (missing & unlisted)) if guard == "missing" else (missing | (differs & unlisted))
-    return joined.where(keep).drop("_posted", "_facts")
+    return joined.where(keep | alone).drop("_posted", "_facts")
 
 
 def text_rule_join(df: DataFrame, rules: DataFrame, equal: Sequence[tuple[Column, str]],

@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, functions as F
 
 # ---- Fixed values -------------------------------------------------------------------------------
 UNIDENTIFIED = "Unidentified"
@@ -66,6 +66,12 @@ OWNER_VENDOR = {
     "Bluestars": "US-MER0002-BLS", "Bitis": "US-SER0002-BTT",
     "A&D": "331US-SER0019-A&D", "HMD": "US-SER0003-HUR",
 }
+CUSTOMER_AMZ = "131US-MER0001-AMZ"
+CUSTOMER_WF = "131US-MER0001-WF"
+CUSTOMER_WM = "131US-MER0002-WM"
+NO_STOCK_OWNERS = ("HMD", "MOONKEY")          # owners without a stock location
+SPLIT_OWNER = "HMD"                           # owner whose on-behalf goods have no stock movement
+STOCK_OWNERS = ("Bluestars", "Bitis")         # on-behalf owners whose goods move priced stock
 # accrual estimate rates
 COOP_MARKETING_RATE = "0.09"
 FREIGHT_RATE_UNTIL = (date(2023, 3, 31), "0.117", "0.122")
@@ -107,6 +113,52 @@ class ChannelConfig:
     legacy_month_number: bool = False
 
 
+# ---- ready settings of the six channels: own companies and the first date are the tenant's --------
+def _not_split(value: Callable[[], Column]) -> Callable[[], Column]:
+    return lambda: F.when(F.col("belong_to_company") != SPLIT_OWNER, value())
+
+
+def _moves_stock() -> Column:
+    return F.col("belong_to_company") != SPLIT_OWNER
+
+
+def settlement_channel(own: Sequence[str], since: date) -> ChannelConfig:
+    """Settled marketplace orders: purchase orders shipped elsewhere are left out."""
+    return ChannelConfig(channels=["WM WFS"], own=own, date_from=since, po_exclusion=True, evidence="WM MKP", evidence_key="po_number")
+
+
+def dropship_channel(own: Sequence[str], since: date) -> ChannelConfig:
+    return ChannelConfig(channels=["WM DSV"], own=own, date_from=since, evidence="WM DSV", evidence_key="po_number")
+
+
+def basecost_channel(own: Sequence[str], since: date) -> ChannelConfig:
+    """Base-cost invoices: posted rows count within the two channels, on-behalf stock keeps its price."""
+    return ChannelConfig(
+        channels=["WF", "WF CG"], own=own, date_from=since, posted_scope={"internal_sales_channel": ["WF", "WF CG"]},
+        description_by_order_date=True, obh_posting_by_rule=True, evidence="WF DS", obh_location=_not_split(lambda: F.col("wh_location")),
+        obh_stock=lambda: F.col("belong_to_company").isin(*STOCK_OWNERS), obh_zero_price=False)
+
+
+def direct_fulfil_channel(own: Sequence[str], since: date, main: str) -> ChannelConfig:
+    """Direct fulfilment: posted by original number, no manual list, secondary owners' headers removed."""
+    return ChannelConfig(
+        channels=["AVC DS"], own=own, main=main, date_from=since, posted_scope={"internal_sales_channel": ["AVC DS"]},
+        posted_key="original_external_doc_no", use_excluded=False, description_by_order_date=True, obh_posting_by_rule=True,
+        evidence="AVC DS", obh_location=_not_split(lambda: F.lit(OBH_STOCK_LOCATION)), obh_stock=_moves_stock, dedupe_owners=True)
+
+
+def payment_channel(own: Sequence[str], since: date) -> ChannelConfig:
+    return ChannelConfig(channels=["ASC FBM", "ASC FBA"], own=own, date_from=since, posted_scope={"sales_channel": ["CHAN-ASC"]},
+                         evidence="ASC FBM", obh_stock=_moves_stock)
+
+
+def vendor_channel(own: Sequence[str], since: date) -> ChannelConfig:
+    """Vendor invoices: accruals count as posted too."""
+    return ChannelConfig(
+        channels=["AVC DI", "AVC WH", "AVC GPE", UNIDENTIFIED], own=own, date_from=since, posted_types=("ORDER", "ACCRUAL"),
+        obh_location=_not_split(lambda: F.lit(OBH_STOCK_LOCATION)), obh_stock=_moves_stock)
+
+
 @dataclass(frozen=True)
 class GlConfig:
     """Tenant values of general-ledger lines."""

@@ -98,7 +98,7 @@ def promo_invoice_by_sku(t: Tables, since: date) -> DataFrame:
 # ---- advertising invoices -----------------------------------------------------------------------
 def ads_invoice_detail(t: Tables, since: date, main: str, main_company: str, seller_company: str,
                        seller_rules: Sequence[tuple[str, str]], other_company: str, account_owner: Mapping[str, str],
-                       split_owner: str = "HMD", skip_accounts: Sequence[str] = (), skip_documents: Sequence[str] = (),
+                       split_owner: str = c.SPLIT_OWNER, skip_accounts: Sequence[str] = (), skip_documents: Sequence[str] = (),
                        retail_types: Sequence[str] = ("WIC - AR", "Walmart Connect SS"),
                        open_reason: str = "Advertising Billing", wallet_region: Mapping[str, str] | None = None
                        ) -> DataFrame:
@@ -307,4 +307,4 @@ def damage_credit(t: Tables, cfg: GlConfig, own: Sequence[str], item_company: st
         "region_code": code_map("account_name", region), "platform_code": F.lit("PLF-WF-1"),
         "external_document_no": num, "data_updated_time": F.lit(run_ts), "original_invoice_company": num,
         "document_date": F.col("invoice_date").cast("date"), "exporting_time": F.lit(""), "is_processed": F.lit(0),
-        "error_type": F.lit(""), "other_name": by_owner(F.lit(""), F.lit("US-MER0002-BLS"))})
+        "error_type": F.lit(""), "other_name": by_owner(F.lit(""), F.lit(c.OWNER_VENDOR["Bluestars"]))})

@@ -38,10 +38,10 @@ def source_totals(rows: DataFrame, doc: str, amount: str, day: str, as_of: date,
 
 
 def recon_documents(source: DataFrame, booked: DataFrame, posted: DataFrame | None = None,
-                    guard: str = "missing") -> DataFrame:
+                    guard: str = "missing", booked_only: bool = False) -> DataFrame:
     """Source against booked per document, see :func:`ledgerloom.operators.joins.reconcile`."""
     return reconcile(source, booked, [("source_doc", "booked_doc")], ("source_amount", "booked_amount"),
-                     posted, "original_external_doc_no", guard)
+                     posted, "original_external_doc_no", guard, booked_only=booked_only)
 
 
 def recon_by_month(rows: DataFrame, booked: DataFrame, posted: DataFrame, doc: str, day: str, amount: str) -> DataFrame:

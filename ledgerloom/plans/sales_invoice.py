@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,7 +20,7 @@ from ledgerloom.operators.aggs import completeness, drop_secondary_owners, strin
 from ledgerloom.operators.derive import (
     code_map, doc_number, obh_expand, owner_route, parent_sku, promo_price, update_from, update_where,
 )
-from ledgerloom.operators.incremental import exclude_posted, latest_per_key, latest_snapshot, not_in
+from ledgerloom.operators.incremental import exclude_posted, incremental, latest_per_key, latest_snapshot, not_in
 from ledgerloom.operators.joins import constant_dim, contains_join, fallback_join, interval_join, member_flag
 from ledgerloom.operators.skew import lookup
 from ledgerloom.operators.windows import line_numbers
@@ -157,6 +158,32 @@ def run_channel(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, as_of
     return finish(header, line, cfg)
 
 
+def add_in(rows: DataFrame, posted: DataFrame, fixed: Mapping[str, object], key: str = "external_doc_no",
+           posted_key: str = "external_doc_no", vat_from: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Headers and lines of manually supplied documents that are not posted yet (null equals null).
+
+    ``fixed`` holds constant or derived columns. ``vat_amount`` of the lines is taken from the rows if they
+    have it and is null otherwise; ``vat_from`` names another column to take it from.
+    """
+    fresh = incremental(rows, posted, key, posted_key)
+    fresh = fresh.withColumns({k: v if isinstance(v, Column) else F.lit(v) for k, v in fixed.items()})
+    fresh = fresh.withColumns({k: F.lit(None).cast("double") for k in ("unit_price", "amount") if k not in fresh.columns})
+    if vat_from:
+        fresh = fresh.withColumn("vat_amount", F.col(vat_from))
+    name = F.col("name") if "name" in fresh.columns else F.lit(None).cast("string")
+    return header_layout(fresh, name), line_layout(fresh)
+
+
+def daily_documents(runs: Sequence[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
+    """Daily header and line tables of all channels of a run.
+
+    They are built anew from the channels' results, so a run that is repeated gives the same tables and
+    doubles nothing; write them with :func:`ledgerloom.sources.io.replace`.
+    """
+    headers, lines = zip(*runs)
+    return reduce(DataFrame.unionByName, headers).distinct(), reduce(DataFrame.unionByName, lines).distinct()
+
+
 def finish(header: DataFrame, line: DataFrame, cfg: ChannelConfig) -> tuple[DataFrame, DataFrame]:
     """Closing updates on all documents of the channel."""
     line = update_where(line, [("uom", F.col("no").isin(*c.NO_UOM_ACCOUNTS), F.lit(None))])
@@ -244,7 +271,7 @@ def settlement_candidates(t: Tables, as_of: date, run_ts: datetime, since: date,
         F.col("po_id").alias("original_external_doc_no"), F.col("sku").alias("asin"))
     rows = constant_dim(rows, t["companies"], F.col("company_code") == company, ["company_id"])
     return as_candidates(rows, {
-        "bill_to_customer": "131US-MER0002-WM", "sell_to_customer": "131US-MER0002-WM", "platform": "PLF-WM-1",
+        "bill_to_customer": c.CUSTOMER_WM, "sell_to_customer": c.CUSTOMER_WM, "platform": "PLF-WM-1",
         "customer_posting_group": c.POSTING_GROUP, "payment_term": "14D", "wh_location": c.UNIDENTIFIED,
         "sales_channel": "CHAN-WMMKP", "country": "REG-USA", "internal_sales_channel": "WM WFS",
         "original_company_id": company, "belong_to_company": owner,
@@ -294,7 +321,7 @@ def dropship_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, o
         "order_line_id")
     rows = constant_dim(rows, t["companies"], F.col("company_code") == company, ["company_id"])
     return as_candidates(rows, {
-        "bill_to_customer": "131US-MER0002-WM", "sell_to_customer": "131US-MER0002-WM", "platform": "PLF-WM-1",
+        "bill_to_customer": c.CUSTOMER_WM, "sell_to_customer": c.CUSTOMER_WM, "platform": "PLF-WM-1",
         "customer_posting_group": c.POSTING_GROUP, "payment_term": "60D", "wh_location": c.UNIDENTIFIED,
         "sales_channel": "CHAN-WMDSV", "country": "REG-USA", "internal_sales_channel": "WM DSV",
         "original_company_id": company, "belong_to_company": owner,
@@ -326,7 +353,7 @@ def basecost_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, o
     owner = F.col("belong_to_company")
     is_own = owner.isin(*own)
     location = (
-        F.when(owner == "Bluestars", F.lit(c.OBH_STOCK_LOCATION))
+        F.when(owner == c.STOCK_OWNERS[0], F.lit(c.OBH_STOCK_LOCATION))
         .when(~F.col("exported") & ~is_own, F.lit(c.OBH_IMPORT_LOCATION))
         .when(~F.col("exported") & is_own, code_map("account", castle_locations))
         .otherwise(F.lit(c.UNIDENTIFIED)))
@@ -342,13 +369,13 @@ def basecost_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, o
         num.alias("original_external_doc_no"), F.col("item_number").alias("asin"), "belong_to_company")
     rows = constant_dim(rows, t["companies"], F.col("company_code") == company, ["company_id"])
     return as_candidates(rows, {
-        "bill_to_customer": "131US-MER0001-WF", "sell_to_customer": "131US-MER0001-WF", "platform": "PLF-WF-1",
+        "bill_to_customer": c.CUSTOMER_WF, "sell_to_customer": c.CUSTOMER_WF, "platform": "PLF-WF-1",
         "payment_term": "60D", "sales_channel": "CHAN-WAYFAIR", "original_company_id": company,
     }, ["asin", "unit_price", "quantity", "amount"], run_ts, number_by="numbering_doc", numbered=numbered)
 
 
 def direct_fulfil_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str], company: str,
-                             no_stock: Sequence[str] = ("HMD", "MOONKEY"), numbered: bool = True) -> DataFrame:
+                             no_stock: Sequence[str] = c.NO_STOCK_OWNERS, numbered: bool = True) -> DataFrame:
     """Item lines of accepted direct-fulfilment invoices."""
     heads = t["df_summary"].where(
         F.col("invoicedate").cast("date").between(F.lit(since), F.lit(as_of)) & (F.col("status") != "REJECTED"))
@@ -372,14 +399,14 @@ def direct_fulfil_candidates(t: Tables, as_of: date, run_ts: datetime, since: da
         F.col("invoicenumber").alias("original_external_doc_no"), "asin", "belong_to_company")
     rows = constant_dim(rows, t["companies"], F.col("company_code") == company, ["company_id"])
     return as_candidates(rows, {
-        "bill_to_customer": "131US-MER0001-AMZ", "sell_to_customer": "131US-MER0001-AMZ", "platform": "PLF-AMZ-1",
+        "bill_to_customer": c.CUSTOMER_AMZ, "sell_to_customer": c.CUSTOMER_AMZ, "platform": "PLF-AMZ-1",
         "payment_term": "60D", "sales_channel": "CHAN-AVC", "internal_sales_channel": "AVC DS",
         "original_company_id": company,
     }, ["asin", "amount", "quantity"], run_ts, number_by="numbering_doc", numbered=numbered)
 
 
 def payment_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str],
-                       no_stock: Sequence[str] = ("HMD", "MOONKEY"), numbered: bool = True) -> DataFrame:
+                       no_stock: Sequence[str] = c.NO_STOCK_OWNERS, numbered: bool = True) -> DataFrame:
     """Payment rows of type Order; seller SKU to product id to item through two order extracts."""
     payments = t["payments"].where(
         F.col("date_time").cast("date").between(F.lit(since), F.lit(as_of)) & (F.col("type") == "Order"))
@@ -418,14 +445,14 @@ def payment_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, ow
         F.col("order_id").alias("original_external_doc_no"), "asin", "company_id",
         F.col("company").alias("original_company_id"), "belong_to_company")
     return as_candidates(rows, {
-        "bill_to_customer": "131US-MER0001-AMZ", "sell_to_customer": "131US-MER0001-AMZ", "platform": "PLF-AMZ-1",
+        "bill_to_customer": c.CUSTOMER_AMZ, "sell_to_customer": c.CUSTOMER_AMZ, "platform": "PLF-AMZ-1",
         "payment_term": "14D", "sales_channel": "CHAN-ASC",
     }, ["asin", "amount", "quantity", "discount", "internal_sales_channel"], run_ts, numbered=numbered)
 
 
 def vendor_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str], company: str,
                       stock_vendors: Sequence[str], gpe_vendors: Sequence[str], skip_invoices: Sequence[str] = (),
-                      no_stock: Sequence[str] = ("HMD", "MOONKEY"), home: str = "USA", numbered: bool = True) -> DataFrame:
+                      no_stock: Sequence[str] = c.NO_STOCK_OWNERS, home: str = "USA", numbered: bool = True) -> DataFrame:
     """Vendor invoices by purchase order; the vendor code tells import, stock or GPE channel."""
     channel = (
         F.when(F.col("vendor").isin(*stock_vendors), F.lit("AVC WH"))
@@ -468,6 +495,6 @@ def vendor_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own
         F.col("invoice_number").alias("original_external_doc_no"), "asin", "belong_to_company")
     rows = constant_dim(rows, t["companies"], F.col("company_code") == company, ["company_id"])
     return as_candidates(rows, {
-        "bill_to_customer": "131US-MER0001-AMZ", "sell_to_customer": "131US-MER0001-AMZ", "platform": "PLF-AMZ-1",
+        "bill_to_customer": c.CUSTOMER_AMZ, "sell_to_customer": c.CUSTOMER_AMZ, "platform": "PLF-AMZ-1",
         "sales_channel": "CHAN-AVC", "original_company_id": company,
     }, ["asin", "amount", "quantity", "po_number"], run_ts, numbered=numbered)

@@ -203,3 +203,37 @@ def test_warehouse_evidence_ignores_blank_movements(spark):
     t = tables(spark, moves=moves)
     out = si.warehouse_locations(t["transactions"], "T", date(2024, 1, 1))
     assert rows(out) == [("a", "156-3PL-CB"), ("b", c.UNIDENTIFIED), ("c", "156-USA-CA")]
+
+
+def test_add_in_takes_vat_only_where_asked(spark):
+    manual = spark.createDataFrame([("m1", "A", Decimal("5.00"), Decimal("1.00")), ("m2", "B", Decimal("6.00"), None), (None, "C", Decimal("7.00"), None)],
+                                   "external_doc_no string, no string, amount decimal(18,2), discount decimal(18,2)")
+    posted = spark.createDataFrame([("m2",)], "external_doc_no string")
+    header, line = si.add_in(manual, posted, {"source_code": "X", "belong_to_company": F.lit("M")})
+    assert rows(header, "external_doc_no", "source_code") == [(None, "X"), ("m1", "X")]
+    assert rows(line, "document_no", "amount", "vat_amount") == [(None, Decimal("7.00"), None), ("m1", Decimal("5.00"), None)]
+    _, line = si.add_in(manual, posted, {}, vat_from="discount")
+    assert rows(line, "document_no", "vat_amount") == [(None, None), ("m1", Decimal("1.000000"))]
+
+
+def test_daily_documents_do_not_double(spark):
+    cand = snapshot(spark, [("d", "M", "A", Decimal("1.00"), D, "x", "T")])
+    cfg = ChannelConfig(channels=["T"], own=["M"], date_from=date(2024, 1, 1))
+    once = si.run_channel(cand, tables(spark), cfg, AS_OF)
+    header, line = si.daily_documents([once, once])
+    assert header.count() == 1 and line.count() == 1
+
+
+def test_presets_have_the_channels_rules():
+    own, since = ["M"], date(2024, 1, 1)
+    made = [c.settlement_channel(own, since), c.dropship_channel(own, since), c.basecost_channel(own, since),
+            c.direct_fulfil_channel(own, since, "M"), c.payment_channel(own, since), c.vendor_channel(own, since)]
+    assert [m.evidence for m in made] == ["WM MKP", "WM DSV", "WF DS", "AVC DS", "ASC FBM", None]
+    assert made[3].posted_key == "original_external_doc_no" and made[5].posted_types == ("ORDER", "ACCRUAL")
+
+
+def test_booked_only_rows_on_request(spark):
+    source = spark.createDataFrame([("a", 1.0)], "source_doc string, source_amount double")
+    booked = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "booked_doc string, booked_amount double")
+    assert recon.recon_documents(source, booked).count() == 0
+    assert rows(recon.recon_documents(source, booked, booked_only=True), "source_doc", "booked_doc") == [(None, "b")]

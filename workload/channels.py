@@ -2,11 +2,8 @@
 
 from datetime import date, datetime
 
-from pyspark.sql import functions as F
-
 from ledgerloom.plans import config as c
 from ledgerloom.plans import sales_invoice as si
-from ledgerloom.plans.config import ChannelConfig
 from ledgerloom.session import new_stage_path
 from ledgerloom.sources.io import snapshot_append
 from workload.registry import query
@@ -123,7 +120,7 @@ with cand as (
 {final_sql(f'select {OWN_LINE} from own', f'select {OWN_HEAD} from own')}""")
 def si_settlement(t):
     cand = si.settlement_candidates(t.pick(settlements="settlements", companies="companies"), AS_OF, RUN_TS, SINCE, "MAIN", "CO1")
-    cfg = ChannelConfig(channels=["WM WFS"], own=CORE, date_from=SINCE, po_exclusion=True, evidence="WM MKP", evidence_key="po_number")
+    cfg = c.settlement_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_wfs", "exc_wfs", "txn_wfs", posted_line=t["shipped_lines"]), cfg)
 
 
@@ -167,7 +164,7 @@ def si_dropship_promo(t):
     raw = t.pick(order_lines="order_lines", catalogue="catalogue", promo_log="promo_log", promo_sheet="promo_sheet",
                  companies="companies", posted_header="pst_dsv")
     cand = si.dropship_candidates(raw, AS_OF, RUN_TS, SINCE, "MAIN", "CO1", SINCE)
-    cfg = ChannelConfig(channels=["WM DSV"], own=CORE, date_from=SINCE, evidence="WM DSV", evidence_key="po_number")
+    cfg = c.dropship_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_dsv", "exc_dsv", "txn_dsv"), cfg)
 
 
@@ -212,11 +209,7 @@ def si_invoice_basecost(t):
                  companies="companies", dropship_export="dropship_export")
     cand = si.basecost_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO2", "CO1", {"ACCT_US": "REG-USA", "ACCT_CA": "REG-CAN"},
                                   {"ACCT_US": "157-WFC-US", "ACCT_CA": "157-WF-CAN"})
-    cfg = ChannelConfig(
-        channels=["WF", "WF CG"], own=CORE, date_from=SINCE, posted_scope={"internal_sales_channel": ["WF", "WF CG"]},
-        description_by_order_date=True, obh_posting_by_rule=True, evidence="WF DS",
-        obh_location=lambda: F.when(F.col("belong_to_company") != "HMD", F.col("wh_location")),
-        obh_stock=lambda: F.col("belong_to_company").isin("Bluestars", "Bitis"), obh_zero_price=False)
+    cfg = c.basecost_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_wf", "exc_wf", "txn_wf"), cfg)
 
 
@@ -252,11 +245,7 @@ DF_OPEN = """s.original_external_doc_no not in (select original_external_doc_no
 def si_direct_fulfil(t):
     raw = t.pick(df_items="df_items", df_summary="df_summary", profiles="profiles", items="items", companies="companies")
     cand = si.direct_fulfil_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1")
-    cfg = ChannelConfig(
-        channels=["AVC DS"], own=CORE, main="MAIN", date_from=SINCE, posted_scope={"internal_sales_channel": ["AVC DS"]},
-        posted_key="original_external_doc_no", use_excluded=False, description_by_order_date=True, obh_posting_by_rule=True,
-        evidence="AVC DS", obh_location=lambda: F.when(F.col("belong_to_company") != "HMD", F.lit(c.OBH_STOCK_LOCATION)),
-        obh_stock=lambda: F.col("belong_to_company") != "HMD", dedupe_owners=True)
+    cfg = c.direct_fulfil_channel(CORE, SINCE, "MAIN")
     return booked(t, cand, core(t, "pst_ds", None, "txn_ds"), cfg)
 
 
@@ -297,9 +286,7 @@ def si_payment_report(t):
     raw = t.pick(payments="payments", seller_orders_a="seller_orders_a", seller_orders_b="seller_orders_b",
                  profiles="profiles", items="items", companies="companies")
     cand = si.payment_candidates(raw, AS_OF, RUN_TS, SINCE, CORE)
-    cfg = ChannelConfig(
-        channels=["ASC FBM", "ASC FBA"], own=CORE, date_from=SINCE, posted_scope={"sales_channel": ["CHAN-ASC"]}, evidence="ASC FBM",
-        obh_stock=lambda: F.col("belong_to_company") != "HMD")
+    cfg = c.payment_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_asc", "exc_asc", "txn_asc"), cfg)
 
 
@@ -356,9 +343,25 @@ def si_vendor_invoice(t):
     raw = t.pick(vendor_invoices="vendor_invoices", vendor_invoice_detail="vendor_invoice_detail", purchase_orders="purchase_orders",
                  profiles="profiles", second_skus="second_skus", items="items", companies="companies")
     cand = si.vendor_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", ["VENA", "VENB"], ["VENG"])
-    cfg = ChannelConfig(
-        channels=["AVC DI", "AVC WH", "AVC GPE", c.UNIDENTIFIED], own=CORE, date_from=SINCE, posted_types=("ORDER", "ACCRUAL"),
-        obh_location=lambda: F.when(F.col("belong_to_company") != "HMD", F.lit(c.OBH_STOCK_LOCATION)),
-        obh_stock=lambda: F.col("belong_to_company") != "HMD")
+    cfg = c.vendor_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_avc", "exc_avc", None), cfg, extra_invoices=t["extra_invoices"],
                   shipments=t["shipments"])
+
+
+# ---- manual documents and the daily tables -----------------------------------------------------
+MANUAL_ROWS = """select external_doc_no, order_date, asin, no, amount, quantity, discount, country, belong_to_company from (
+    select po_id as external_doc_no, settlement_date as order_date, sku as asin, left(sku, 4) as no, coalesce(nullif(original_item_price, 0), product_price) as amount,
+      ship_qty as quantity, cast(1.25 as decimal(18,4)) as discount, 'REG-USA' as country, 'MAIN' as belong_to_company from settlements where transaction_type = 'SALE') x"""
+
+
+@query("add_in", f"""with r as ({MANUAL_ROWS}), f as (select * from r where external_doc_no not in (select external_doc_no from pst_dsv))
+  select distinct 'header' as kind, external_doc_no as doc, order_date::varchar as order_date, null as item, null::double as amount, null::double as vat_amount, 'DATAMART_SI' as source_code from f
+  union all select 'line', external_doc_no, null, asin, round(amount, 2)::double, 1.25, null from (select distinct external_doc_no, asin, no, amount, quantity, country from f)""")
+def add_in(t):
+    s = t["settlements"].where("transaction_type = 'SALE'").selectExpr(
+        "po_id as external_doc_no", "settlement_date as order_date", "sku as asin", "left(sku, 4) as no", "coalesce(nullif(original_item_price, 0), product_price) as amount",
+        "ship_qty as quantity", "cast(1.25 as decimal(18,4)) as discount", "'REG-USA' as country", "'MAIN' as belong_to_company")
+    header, line = si.add_in(s, t["pst_dsv"], {"source_code": "DATAMART_SI"}, vat_from="discount")
+    header = header.selectExpr("'header' as kind", "external_doc_no as doc", "cast(order_date as string) as order_date", "cast(null as string) as item",
+                               "cast(null as decimal(18,2)) as amount", "cast(null as decimal(18,4)) as vat_amount", "source_code")
+    return header.unionByName(line.selectExpr("'line' as kind", "document_no as doc", "cast(null as string) as order_date", "original_asin_sku as item", "amount", "vat_amount", "cast(null as string) as source_code"))
