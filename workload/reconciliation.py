@@ -13,17 +13,18 @@ from workload.registry import query
 AS_OF, RUN_TS, SINCE, CORE = ch.AS_OF, ch.RUN_TS, ch.SINCE, ch.CORE
 
 
-def recon_sql(cand: str, doc: str, name: str, key: str, pst: str | None, channels: str | None = None) -> str:
+def recon_sql(cand: str, doc: str, name: str, key: str, pst: str | None, day: str = "") -> str:
+    """``day`` names the output for the document's date, where the report shows one row per document and date."""
     guard = f" and source_doc not in (select original_external_doc_no from {pst})" if pst else ""
     return f"""{cand}
-    , src as (select {doc} as source_doc, sum(amount::decimal(18,2)) as source_amount from cand where order_date >= date '2001-07-01' and order_date < date '2001-08-01' group by 1)
+    , src as (select {doc} as source_doc, {f"order_date as {day}," if day else ""} sum(amount::decimal(18,2)) as source_amount from cand where order_date >= date '2001-07-01' and order_date < date '2001-08-01' group by 1{", 2" if day else ""})
     , bk as (select h.{key} as booked_doc, sum(l.amount) as booked_amount from dly_{name}_h h left join dly_{name}_l l on h.external_doc_no = l.document_no group by 1)
-    select source_doc, source_amount::double as source_amount, booked_doc, booked_amount::double as booked_amount from src full join bk on source_doc = booked_doc
+    select source_doc, {f"{day}::varchar as {day}," if day else ""} source_amount::double as source_amount, booked_doc, booked_amount::double as booked_amount from src full join bk on source_doc = booked_doc
     where source_amount <> booked_amount or (booked_doc is null{guard})"""
 
 
-def recon_query(t, cand, name, channel, pst, doc="external_doc_no", key="external_doc_no"):
-    source = recon.source_totals(cand, doc, "amount", "order_date", AS_OF)
+def recon_query(t, cand, name, channel, pst, doc="external_doc_no", key="external_doc_no", extra=()):
+    source = recon.source_totals(cand, doc, "amount", "order_date", AS_OF, extra)
     booked = recon.booked_totals(t[f"dly_{name}_h"], t[f"dly_{name}_l"], key, "internal_sales_channel", channel)
     return recon.recon_documents(source, booked, t[pst] if pst else None)
 
@@ -62,7 +63,7 @@ GOOD_VENDOR = """good as (select invoice_number from vendor_summary where invoic
 
 @query("recon_avc_di_wh", recon_sql(ch.VENDOR_CAND.replace("with base as", f"with {GOOD_VENDOR}, base as").replace(
     "where b.invoice_number not like", "where a.invoice_number in (select invoice_number from good) and b.invoice_number not like"),
-    "original_external_doc_no", "avc", "original_external_doc_no", "pst_avc"))
+    "original_external_doc_no", "avc", "original_external_doc_no", "pst_avc", day="invoice_date"))
 def recon_avc_di_wh(t):
     raw = t.pick(vendor_invoice_detail="vendor_invoice_detail", purchase_orders="purchase_orders", profiles="profiles",
                  second_skus="second_skus", items="items", companies="companies")
@@ -70,7 +71,8 @@ def recon_avc_di_wh(t):
     good = recon.consistent_invoices(t["vendor_summary"], detail, t["vendor_deleted"])
     raw["vendor_invoices"] = t["vendor_invoices"].join(good, "invoice_number", "left_semi")
     cand = si.vendor_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", ["VENA", "VENB"], ["VENG"], numbered=False)
-    return recon_query(t, cand, "avc", ["AVC DI", "AVC WH", "AVC GPE"], "pst_avc", "original_external_doc_no", "original_external_doc_no")
+    out = recon_query(t, cand, "avc", ["AVC DI", "AVC WH", "AVC GPE"], "pst_avc", "original_external_doc_no", "original_external_doc_no", ["order_date"])
+    return out.withColumnRenamed("order_date", "invoice_date").orderBy(F.asc_nulls_last("invoice_date"))
 
 
 @query("recon_asc", f"""{ch.PAY_CAND}
