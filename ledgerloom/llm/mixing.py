@@ -13,7 +13,7 @@ source's mean, if that is given), taken until the words reach what is left. The
 reruns and other partitionings agree.
 
 The order is cut without sorting a source in one task: ranks are counted in ``SLOTS`` slots a source, sums of
-words locate the slot where the target is reached, and only the documents in that slot are ordered.
+words locate, in two levels of 256, the slot where the target is reached, and only the documents in that slot are ordered.
 
 Defined results: a null or empty text has size 0 and takes 0 words; a null source is a source; equal rows count
 each for itself; a source of size 0 has target 0. Extra columns stay where ``keep`` names them.
@@ -69,6 +69,13 @@ def uniform(doc_id: str, text: str, seed: str) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
+def reached(slots: DataFrame) -> DataFrame:
+    """The slot of each source in which the words, from ``start`` on, reach what is left; ``before`` are the words below it."""
+    below = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    sums = slots.withColumn("before", F.col("start") + F.coalesce(F.sum("words").over(below), F.lit(0)))
+    return sums.where((F.col("before") < F.col("left")) & (F.col("before") + F.col("words") >= F.col("left")))
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: tuple[int, int] = SHARE, most: int = MOST, seed: str = "mix",
         keep: Sequence[str] = (), importance: str | None = None, doc_id: str = "doc_id", text: str = "text",
         source: str = "source") -> DataFrame:
@@ -94,13 +101,13 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: tuple[int, int
     place = F.when(rank == F.lit(float("inf")), 1.0).otherwise(rank / (1 + rank))
     docs_ = docs_.withColumn("place", place).withColumn("slot", F.least(F.floor(F.col("place") * SLOTS), F.lit(SLOTS - 1)).cast("int"))
 
-    counted = docs_.groupBy("source", "slot").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
-    before = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    sums = counted.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    # the slot in which the words reach what is left; slots below it are taken, slots above it are not
-    cut = sums.where((F.col("before") < F.col("left")) & (F.col("before") + F.col("words") >= F.col("left"))).select(
-        F.col("source").alias("s"), F.col("slot").alias("cut"), "before")
-    full = sums.groupBy("source").agg(F.max(F.struct("slot", (F.col("before") + F.col("words")).alias("all"))).alias("m"), F.first("left").alias("left"))
+    counted = written(docs_.groupBy("source", "slot").agg(F.sum("size").alias("words"), F.first("left").alias("left")), "mix-slots")
+    coarse = counted.groupBy("source", F.shiftright("slot", 8).alias("slot")).agg(F.sum("words").alias("words"), F.first("left").alias("left"))
+    group = reached(coarse.withColumn("start", F.lit(0).cast("long"))).select(F.col("source").alias("s"), F.col("slot").alias("group"), F.col("before").alias("start"))
+    fine = counted.join(group, F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("slot", 8) == F.col("group"))).drop("s")
+    # slots below the cut are taken, slots above it are not
+    cut = reached(fine).select(F.col("source").alias("s"), F.col("slot").alias("cut"), "before")
+    full = plan.select(F.col("s").alias("source"), "left")
     ends = written(full.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").select(
         F.col("source").alias("s"), F.coalesce("cut", F.when(F.col("left") > 0, SLOTS).otherwise(-1)).alias("cut"), F.coalesce("before", F.lit(0)).alias("before")), "mix-cuts")
     docs_ = docs_.join(ends, F.col("source").eqNullSafe(F.col("s"))).drop("s")
