@@ -1,6 +1,6 @@
 """Language identification with a byte-level convolutional network in numpy.
 
-*Model.* A window of ``WINDOW`` bytes is embedded byte by byte, filters of several widths run over it, each
+*Model.* A window of ``WINDOW`` bytes, A-Z lower-cased, is embedded byte by byte, filters of several widths run over it, each
 keeps its largest response (max pooling), and a softmax layer names the language. Filters narrower than
 the widest one are stored with zeros at their end, so all run in one matrix product.
 
@@ -24,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.llm.common import fresh, map_texts
+from ledgerloom.llm.words import LOWER
 
 WINDOW = 256
 EMBED = 8
 WIDTHS = {2: 8, 3: 12, 4: 12}      # filters of each width
-DOCS, WINDOWS, MOST = 250, 6, 60_000
+DOCS, WINDOWS, MOST = 400, 6, 60_000
 EPOCHS, BATCH, RATE = 8, 64, 0.01
 UNKNOWN = "und"
 AT_ONCE = 64                       # windows in one matrix product
@@ -75,7 +76,8 @@ def probabilities(x: np.ndarray, model: Model) -> np.ndarray:
 
 
 def padded(parts: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(p.ljust(WINDOW, b"\0") for p in parts), np.uint8).reshape(len(parts), WINDOW)
+    data = b"".join(p.ljust(WINDOW, b"\0") for p in parts)
+    return LOWER[np.frombuffer(data, np.uint8)].reshape(len(parts), WINDOW)
 
 
 def fit(windows: list[bytes], labels: list[str], seed: int = 1) -> Model | None:
@@ -117,23 +119,29 @@ def fit(windows: list[bytes], labels: list[str], seed: int = 1) -> Model | None:
 
 def training_windows(docs: DataFrame, doc_id: str, text: str, lang: str) -> tuple[list[bytes], list[str]]:
     """The bounded sample. A text is cut in its task; only windows reach the driver."""
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    ids = (docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{lang}`").alias("lang")).where("lang is not null and id is not null")
-           .distinct().withColumn("rank", rank).where(F.col("rank") <= DOCS).select("id", "lang"))
+    named = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{lang}`").alias("lang")).where("lang is not null and id is not null")
+    # of a large language only a slice of the hashes, of about 4 * DOCS rows, goes into the ranking; the
+    # broadcast has a row a language and MOST // WINDOWS rows at most
+    sizes = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST // WINDOWS)
+    part = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("part", "id"))
+    ids = (named.join(F.broadcast(sizes), "lang").withColumn("part", part).where(F.col("part") * F.col("n") < 4 * DOCS).select("lang", "id", "part").distinct()
+           .withColumn("rank", rank).where(F.col("rank") <= DOCS).orderBy("rank", "lang", "id").limit(MOST // WINDOWS).select("id", "lang"))
 
     def cut(batch: pa.RecordBatch):
         out = {"window": [], "lang": []}
         for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
             rng = np.random.default_rng(len(raw))
             for _ in range(WINDOWS):
-                size = min(len(raw), int(rng.choice([24, 48, 96, WINDOW, WINDOW, WINDOW])))
+                size = min(len(raw), int(rng.choice([12, 24, 48, 96, WINDOW, WINDOW])))
                 at = int(rng.integers(0, len(raw) - size + 1))
                 out["window"].append(raw[at:at + size])
                 out["lang"].append(name)
         yield out
 
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
-    sample = texts.join(ids, ["id", "lang"]).where("text rlike '\\\\p{L}'").select("lang", "text")
+    # at most MOST // WINDOWS ids, so the broadcast has a bound
+    sample = texts.join(F.broadcast(ids), ["id", "lang"]).where("text rlike '\\\\p{L}'").select("lang", "text")
     rows = map_texts(sample, cut, "window binary, lang string").limit(MOST).collect()
     rows = sorted((bytes(r.window), r.lang) for r in rows)
     return [w for w, _ in rows], [name for _, name in rows]
@@ -158,7 +166,7 @@ def predict(docs: DataFrame, model: Model | None, columns: dict[str, Column], te
             raw = [texts[i].encode() for i in part]
             counts = np.array([-(-len(r) // WINDOW) for r in raw])
             data = b"".join(r.ljust(int(n) * WINDOW, b"\0") for r, n in zip(raw, counts))
-            x = np.frombuffer(data, np.uint8).reshape(-1, WINDOW)
+            x = LOWER[np.frombuffer(data, np.uint8)].reshape(-1, WINDOW)
             weight = (x != 0).sum(axis=1)[:, None]
             start = np.concatenate([[0], np.cumsum(counts)[:-1]])
             mean = np.add.reduceat(probabilities(x, model) * weight, start) / np.maximum(np.add.reduceat(weight, start), 1)
