@@ -30,17 +30,20 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "lef
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_on_{k}" for k in on])
 
 
-def _ranged(df: DataFrame, order: Sequence[Column], partitions: int | None = None, ties: bool = True) -> DataFrame:
+def _ranged(df: DataFrame, order: Sequence[Column], partitions: int | None = None, ties: bool = True,
+            scanned: bool = False) -> DataFrame:
     """Add ``_slice`` and ``_in_slice``, the 0-based place of every row in its slice of the total order.
 
     The ranged rows are written out, so that slices and places stay fixed if executors are
     lost. With ``ties`` a tie-breaker spreads even equal rows over the ranges; it is taken from
-    written rows, so a task that runs again gives the same value.
+    written rows, so a task that runs again gives the same value. ``scanned`` says that ``df`` itself only reads written
+    files, row by row (a scan, filters and projections), so that they need not be written once more.
     """
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = list(order)
     if ties:
-        df = cut_lineage(df, "ties").withColumn("_tie", F.monotonically_increasing_id())
+        df = df if scanned else cut_lineage(df, "ties")
+        df = df.withColumn("_tie", F.monotonically_increasing_id())
         keys.append(F.col("_tie"))
     ranged = cut_lineage(
         df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
@@ -71,7 +74,7 @@ def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | N
     )
 
 
-def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, scanned: bool = False) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` that survives a hot key.
 
     Rows are sorted by keys and order over range slices, numbered per key inside their slice, and
@@ -79,7 +82,7 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], o
     spread over slices as well.
     """
     keys = list(keys)
-    placed = _ranged(df, [*[F.col(k) for k in keys], *order])
+    placed = _ranged(df, [*[F.col(k) for k in keys], *order], scanned=scanned)
     inside = F.row_number().over(Window.partitionBy("_slice", *keys).orderBy("_in_slice"))
     held = placed.groupBy("_slice", *keys).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

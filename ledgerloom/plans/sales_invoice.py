@@ -43,10 +43,12 @@ def as_candidates(df: DataFrame, fixed: Mapping[str, object], line_order: Sequen
     base = {"document_type": "Order", "source_code": "DATAMART_SI", "type": "ITEM", "uom": "pcs",
             "vat_product_posting_group": "VAT-NOT", "is_valid_record": True, "data_updated_time": run_ts}
     values = {k: v if isinstance(v, Column) else F.lit(v) for k, v in {**base, **fixed}.items()}
-    rows = df.withColumns(values)
+    rows = df
     if numbered:
-        rows = line_numbers(rows, number_by, [F.col(o) for o in line_order])
-    return conform(rows, SNAPSHOT)
+        # numbering writes its rows, so what it does not need is added after it
+        early = {k: values.pop(k) for k in (number_by, *line_order) if k in values}
+        rows = line_numbers(rows.withColumns(early), number_by, [F.col(o) for o in line_order])
+    return conform(rows.withColumns(values), SNAPSHOT)
 
 
 def item_owners(items: DataFrame, company: str) -> DataFrame:

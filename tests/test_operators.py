@@ -33,6 +33,15 @@ def test_line_numbers_match_window(spark):
     assert slices["hot"] > 1 and slices["same"] > 1
 
 
+def test_line_numbers_of_scanned_rows(spark, tmp_path):
+    """Rows read from files are numbered alike without the first of the two writes."""
+    skewed(spark).write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows").where("a < 40")
+    order = [F.col("a").asc_nulls_first(), F.col("b")]
+    got = windows.line_numbers(df, "doc", order, scanned=True)
+    assert rows(got, "doc", "a", "b", "line_no") == rows(windows.line_numbers(df, "doc", order), "doc", "a", "b", "line_no")
+
+
 def test_hot_document_is_spread(spark):
     df = skewed(spark).where("doc = 'hot'")
     placed = skew.global_positions(df, [F.col("a"), F.col("b")], partitions=4)

@@ -281,7 +281,8 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_sh
 
 @query("win_line_no", f"select l_orderkey, l_partkey, l_suppkey, 10000 * row_number() over (partition by l_orderkey order by {', '.join(LINE_ORDER)}) as line_no from lineitem")
 def win_line_no(t):
-    return windows.line_numbers(t["lineitem"], "l_orderkey", [F.col(c) for c in LINE_ORDER]).select("l_orderkey", "l_partkey", "l_suppkey", "line_no")
+    lines = t["lineitem"].select("l_orderkey", *LINE_ORDER)
+    return windows.line_numbers(lines, "l_orderkey", [F.col(c) for c in LINE_ORDER], scanned=True).select("l_orderkey", "l_partkey", "l_suppkey", "line_no")
 
 
 @query("win_latest", """select o_custkey, o_orderkey from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn from orders) where rn = 1""")
