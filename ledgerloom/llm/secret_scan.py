@@ -3,7 +3,9 @@ r"""Secret scan with a recursive decoding worklist.
 Every text is scanned for secrets of three kinds. Then encoded stretches are looked for: URL escapes,
 Unicode and HTML escapes, base64, and what base64 hides when it unpacks as gzip, zlib, bzip2 or xz. Each
 stretch is decoded to a layer of its own, which is put on a worklist, scanned in its turn and searched for
-further layers, until nothing new appears. A layer that was seen before is not taken up again, so cycles end.
+further layers, until nothing new appears. A layer with the same text from the same place as one before is not taken
+up again: escapes only shorten a layer and all that lies below base64 has one place, so cycles end, and a stretch that is
+repeated in the text is reported wherever it stands.
 Escapes are undone over the whole layer, because they often cover only part of a secret, and every
 character of a layer knows the stretch of the original text that it came from: spans found in a layer are
 reported there, as ``layer/kind``.
@@ -19,6 +21,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import hashlib
 import html
 import lzma
 import re
@@ -80,6 +83,16 @@ class Layer:
         return low, high
 
 
+def merged(origin: list[tuple[int, int, int | None]]) -> list[tuple[int, int, int | None]]:
+    """The same origin in as few runs as possible."""
+    out = origin[:1]
+    for first, at, whole in origin[1:]:
+        before = out[-1]
+        if whole != before[2] or at != (before[1] if whole is not None else before[1] + first - before[0]):
+            out.append((first, at, whole))
+    return out
+
+
 def undone(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | None:
     """The layer with every match of an escape pattern replaced by what it stands for."""
     out, origin, size, last = [], [], 0, 0
@@ -100,7 +113,7 @@ def undone(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | None
         return None
     origin += [(size + x, a, b) for x, a, b in pieces(layer, last, len(layer.text))]
     out.append(layer.text[last:])
-    return Layer(name, "".join(out), origin)
+    return Layer(name, "".join(out), merged(origin))
 
 
 def pieces(layer: Layer, start: int, end: int) -> list[tuple[int, int, int | None]]:
@@ -183,8 +196,8 @@ def from_base64(token: str) -> Iterator[tuple[str, str]]:
 
 
 def layers(text: str) -> Iterator[Layer]:
-    """All layers below a text, each once: a worklist until nothing new appears."""
-    todo, seen = [Layer("", text, [(0, 0, None)])], {text}
+    """All layers below a text, each once for every place it comes from: a worklist until nothing new appears."""
+    todo, seen = [Layer("", text, [(0, 0, None)])], set()
     while todo:
         layer = todo.pop()
         below = []
@@ -198,8 +211,9 @@ def layers(text: str) -> Iterator[Layer]:
                 at = layer.span(m.start(), m.end())
                 below += [Layer(name, plain, [(0, *at)]) for name, plain in from_base64(token)]
         for found in below:
-            if found and found.text not in seen:
-                seen.add(found.text)
+            key = found and (hashlib.blake2b(found.text.encode(errors="surrogatepass"), digest_size=16).digest(), tuple(found.origin))
+            if found and key not in seen:
+                seen.add(key)
                 todo.append(found)
                 yield found
 

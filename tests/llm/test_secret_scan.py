@@ -84,3 +84,13 @@ def test_redact_keeps_all_columns_and_rows(spark):
     plain = {(r.doc_id, r.text): r for r in got}
     assert plain[800, "[SECRET]\""].n_chars == 9 and plain[1, None].n_chars is None
     assert sum(r.text is None for r in got) == sum(t is None for _, t, *_ in rows)
+
+
+def test_repeated_blobs_are_reported_wherever_they_stand():
+    for hide in (b64, lambda s: b64(gzip.compress(s.encode(), mtime=0)), lambda s: b64(b64(s))):
+        blob = hide(SECRET)
+        for times in (2, 3):
+            text = " and then ".join([blob] * times)
+            places = [m.span() for m in re.finditer(re.escape(blob), text)]
+            assert {(a, b) for a, b, k in ss.all_spans(text)[1] if k.endswith("/assign")} == set(places)
+            assert ss.redacted(text, "#") == " and then ".join(["#"] * times)
