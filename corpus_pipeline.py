@@ -1,7 +1,7 @@
 """Corpus pipeline: each stage applies one operator to the documents that its predecessor kept.
 
 1. toxicity: documents that score one half or more are dropped;
-2. near_dedup: of each group of near copies the first document stays;
+2. near_dedup: of each group of near copies (Jaccard similarity of five-word shingles from 0.85 on) the first document stays;
 3. decontaminate: documents that hold a window of a benchmark item are dropped;
 4. secrets: found secrets are replaced by a mark (``n_chars`` follows where the text changed);
 5. mix: each document is repeated as often as its source's target asks for, and dropped where that is never;
@@ -21,6 +21,8 @@ from ledgerloom.llm import decontam, mixing, near_dedup, secret_scan, toxicity
 from ledgerloom.llm.common import as_is, fresh, numbered, written
 from ledgerloom.session import new_stage_path
 
+NEAR_PERCENT = 85      # similarity that links two documents
+
 #: The stages learn a classifier and estimate similarities: SQL cannot express them.
 ORACLE_SQL = None
 
@@ -40,11 +42,11 @@ def drop(rows: DataFrame, number: str, dropped: DataFrame) -> DataFrame:
     return rows.join(listed.withColumnRenamed(listed.columns[0], number), number, "left_anti")
 
 
-def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = NEAR_PERCENT) -> DataFrame:
     rows, number = numbered(docs)
     # the kept row of a group is the first in this order
     key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(number).alias("name"))
-    groups = near_dedup.near_groups(rows.select(key.alias("doc_id"), "text"))
+    groups = near_dedup.near_groups(rows.select(key.alias("doc_id"), "text"), percent=percent)
     return drop(rows, number, groups.where("not kept").select("doc_id.name")).select(*as_is(docs).values())
 
 

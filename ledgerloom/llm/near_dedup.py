@@ -13,8 +13,8 @@
    a task returns at most one link a member: no list of pairs is ever made.
 5. Links are contracted to components in rounds of joins.
 
-A pair at the threshold is missed by all bands with a probability below 1e-6 at the default settings
-(24 bands of 5, similarity 0.85), and less above it.
+A pair at the threshold is missed by all bands with a probability below 1e-6 (24 bands of 5 at the default
+similarity of 0.85, 40 at 0.80; ``bands_for`` gives the number), and less above it.
 
 Defined results: null texts and texts without words have an empty set, belong to no link and form a
 component of their own; fewer words than a shingle make one shingle; equal rows are linked like other
@@ -23,6 +23,7 @@ copies, and of a component the row with the smallest id (null last, then any fix
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +36,21 @@ from ledgerloom.llm.words import SPACED, U64, Hasher, chunks, encoded, grams, mi
 from ledgerloom.operators.skew import lookup
 
 WORDS = 5
-BANDS, ROWS = 24, 5
+BANDS, ROWS = 24, 5            # for similarities from 0.85 on
+MISSED = 1.5e-7                # below 0.85: chance of a miss that ``bands_for`` aims at; borrowed values of short texts add to it
 MANTISSA = 10
 BLOCK_SHINGLES = 1_500_000     # shingles of one block of a bucket: bounds the memory of a task
 CHANCE = 0.6768                # chance of equal compressed minima of sizes n, m: CHANCE * n m / (n + m)**2 / 2**MANTISSA
 EMPTY = np.uint16(0xFFFF)
 
 
+def bands_for(percent: int, rows: int = ROWS) -> int:
+    """The number of bands that a threshold needs."""
+    if percent >= 85 and rows == ROWS:
+        return BANDS
+    return math.ceil(math.log(MISSED) / math.log1p(-(min(percent, 99) / 100) ** rows))
+
+
 def shingle_sets(texts: list[bytes], hasher: Hasher, k: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     for _, part in chunks(texts):
@@ -197,12 +206,13 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def near_groups(docs: DataFrame, percent: int = 85, words: int = WORDS, bands: int = BANDS, rows: int = ROWS,
+def near_groups(docs: DataFrame, percent: int = 85, words: int = WORDS, bands: int | None = None, rows: int = ROWS,
                 block_shingles: int = BLOCK_SHINGLES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest id of its component), kept (one row each).
 
-    Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets.
+    Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets. ``bands`` follows from ``percent``.
     """
+    bands = bands_for(percent, rows) if bands is None else bands
     base = written(sketches(docs, words, bands, rows, doc_id, text), "sketches")
     fp = ["fp", "fp2"]
     reps = base.where("n_shingles > 0").groupBy(*fp).agg(

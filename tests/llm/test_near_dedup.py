@@ -73,3 +73,16 @@ def test_components_of_paths_stars_and_loops(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{n: 0 for n in nodes}, **{n: 100 for n in range(100, 140)}, 201: 201, 202: 201}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_bands_find_pairs_at_lower_thresholds():
+    assert nd.bands_for(85) == nd.BANDS and nd.bands_for(80) == 40
+    rng = np.random.default_rng(1)
+    bands = nd.bands_for(80)
+    order = nd.donors(bands * nd.ROWS)
+    for shared, own in ((16, 2), (40, 5), (80, 10)):
+        for _ in range(150):
+            values = mix(rng.integers(0, 1 << 62, shared + 2 * own).astype(U64))
+            a, b = values[:shared + own], np.concatenate([values[:shared], values[shared + own:]])
+            keys = [nd.band_keys(nd.sketch(np.unique(x), bands * nd.ROWS), order, bands, nd.ROWS) for x in (a, b)]
+            assert (keys[0] == keys[1]).any()

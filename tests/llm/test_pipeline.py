@@ -58,3 +58,17 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     assert cp.run(spark, folder).collect() == []
+
+
+def test_near_dedup_stage_links_from_a_given_similarity(spark, tmp_path):
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    # 100 shared shingles of 120, 0.833; then 0.75 beside it
+    near = [words("a", 104) + words("b", 10), words("a", 104) + words("c", 10)]
+    far = [words("d", 94) + words("e", 15), words("d", 94) + words("f", 15)]
+    rows = [(i, " ".join(w), "en", "a") for i, w in enumerate(near + far)]
+    data = [(i, t, lang, s, len(t), 7, None, -1.0, 3, "x", None, "y", 2) for i, t, lang, s in rows]
+    spark.createDataFrame(data, SCHEMA).write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    for percent, kept in ((80, [0, 2, 3]), (85, [0, 1, 2, 3])):
+        assert groups(rows, percent)[1] == len(kept)
+        assert sorted(r.doc_id for r in cp.one_of_each_group(spark, docs, "", percent).collect()) == kept
