@@ -10,7 +10,9 @@ Escapes are undone over the whole layer, because they often cover only part of a
 character of a layer knows the stretch of the original text that it came from: spans found in a layer are
 reported there, as ``layer/kind``.
 
-Compressed data is unpacked in pieces of ``PIECE`` bytes that overlap, so a bomb costs time but no memory.
+Runs of base64 are read line by line and over line ends, and at all four alignments, so that what stands before or
+behind them (a path, a key, a dash) does no harm. Compressed data is unpacked in pieces of
+``PIECE`` bytes that overlap, so a bomb costs time but no memory.
 
 Defined results: a null or empty text has no spans; repeated rows count each for itself; other columns are
 kept as they are by ``redact``.
@@ -18,15 +20,16 @@ kept as they are by ``redact``.
 
 from __future__ import annotations
 
-import base64
 import binascii
+import bisect
 import bz2
 import hashlib
 import html
+import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -44,9 +47,15 @@ ASSIGN_VALUE = 12
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+", re.A)
 UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};", re.A)
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}", re.A)
-PACKED = ((b"\x1f\x8b", lambda: zlib.decompressobj(47)), (b"x\x01", zlib.decompressobj), (b"x\x9c", zlib.decompressobj),
-          (b"x\xda", zlib.decompressobj), (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ\x00", lzma.LZMADecompressor))
-PIECE, OVERLAP = 1 << 20, 1 << 12
+# a run over line ends, also written as \n, with up to 64 blanks beside a line end
+LINE_END = re.compile(r"(?:[\x20\t]{0,64}(?:\r?\n|(?:\\r)?\\n))+[\x20\t]{0,64}", re.A)
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]+(?:{LINE_END.pattern}[A-Za-z0-9+/_-]+)+={{0,2}}", re.A)
+CODED = re.compile(r"[A-Z0-9+/_-]")      # a run without any of these is taken for a word
+JOINT = re.compile(r"[/_-]")
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
+# every secret and every encoded one is 16 ASCII characters or more, one beside the other
+STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{16,}")
+PIECE, OVERLAP, FED = 1 << 20, 1 << 12, 1 << 16
 WORDS_OF_ASSIGN = ("password", "passwd", "secret", "token", "api")
 
 
@@ -149,23 +158,56 @@ def unescape(s: str) -> str | None:
         return None
 
 
-def unpacked(data: bytes) -> Iterator[bytes]:
-    """Compressed data in overlapping pieces; nothing if it isn't compressed."""
-    make = next((make for magic, make in PACKED if data.startswith(magic)), None)
-    if make is None:
-        return
-    unpacker, tail, rest = make(), b"", data
-    try:
-        while not unpacker.eof:
-            piece = unpacker.decompress(rest, PIECE)
-            rest = getattr(unpacker, "unconsumed_tail", b"")
-            if piece:
-                yield tail + piece
-                tail = (tail + piece)[-OVERLAP:]
-            elif not rest:
-                return
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
-        return
+def opener(data: bytes):
+    """A decompressor for data that begins like a compressed one, or None."""
+    if data[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if data[:2] in (b"x\x01", b"x\x9c", b"x\xda"):
+        return zlib.decompressobj()
+    return None
+
+
+def unpacked(data: bytes) -> Generator[bytes, None, int]:
+    """Compressed data piece by piece; nothing if it isn't compressed.
+    Returns the number of bytes that were read."""
+    at = 0
+    if (unpacker := opener(data[at:at + 6])) is not None:
+        rest, at = data[at:at + FED], at + FED
+        try:
+            while not unpacker.eof:
+                piece = unpacker.decompress(rest, PIECE)
+                rest = getattr(unpacker, "unconsumed_tail", b"")
+                if piece:
+                    yield piece
+                if not unpacker.eof and not rest and getattr(unpacker, "needs_input", True):
+                    if at >= len(data) and not piece:
+                        return len(data)
+                    rest, at = data[at:at + FED], at + FED
+        except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
+            return len(data)
+        at = min(at, len(data)) - len(unpacker.unused_data)
+    return at
+
+
+def packed_size(data: bytes) -> int:
+    pieces_of = unpacked(data)
+    while True:
+        try:
+            next(pieces_of)
+        except StopIteration as done:
+            return done.value
+
+
+def whole_runs(data: Iterator[bytes]) -> Iterator[str]:
+    """Unpacked data as texts that overlap."""
+    tail = b""
+    for piece in data:
+        yield (tail + piece).decode(errors="replace")
+        tail = (tail + piece)[-OVERLAP:]
 
 
 def as_text(data: bytes) -> str | None:
@@ -178,44 +220,87 @@ def as_text(data: bytes) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
-def from_base64(token: str) -> Iterator[tuple[str, str]]:
-    """(layer name, text) of a token that decodes to text or to compressed text."""
-    body = token.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
+def from_base64(run: str, starts: list[int]) -> Iterator[tuple[str, int, int, str]]:
+    """(layer name, start, end, text) of what a run of base64 characters hides, at every alignment: text, stretches of text
+    after a prefix or before a suffix, and compressed data from the beginning, the given ``starts``, or behind a joint."""
+    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+    places = [[0], [], [], []]
+    for s in itertools.chain(starts, (m.end() for m in JOINT.finditer(run))):
+        places[s % 4].append((s - s % 4) // 4 * 3)
+    for shift in range(min(4, len(body))):
+        size = (len(body) - shift) // 4 * 4 + (0, 0, 2, 3)[(len(body) - shift) % 4]
+        if size < 2:
+            continue
+        data = binascii.a2b_base64(body[shift:shift + size] + "=" * (-size % 4))
+        packed = set(places[shift])
+        packed.update(m.start() for m in MAGIC.finditer(data) if m.start() % 3 == 0)
+        whole = True
+        for s in sorted(packed):
+            if opener(data[s:s + 6]) is None:
+                continue
+            read = s + packed_size(data[s:])
+            end = len(run) if read == len(data) else shift + -(-read // 3) * 4
+            for text in whole_runs(unpacked(data[s:])):
+                whole = whole and s > 0
+                yield "packed", shift + s // 3 * 4, min(end, len(run)), text
+        if shift == 0 and whole and (text := as_text(data)):
+            yield "base64", 0, len(run), text
+            continue
+        for m in STRETCH.finditer(data):
+            end = len(run) if m.end() == len(data) else shift + -(-m.end() * 4 // 3)
+            yield "base64", shift + m.start() * 4 // 3, end, m.group().decode()
+
+
+def base64_layers(layer: Layer) -> Iterator[Layer]:
+    for m in BASE64.finditer(layer.text):
+        run = m.group()
+        if CODED.search(run, 1):
+            for name, a, b, plain in from_base64(run, []):
+                yield Layer(name, plain, [(0, *layer.span(m.start() + a, m.start() + b))])
+    if "\n" not in layer.text and "\\n" not in layer.text:
         return
-    packed = False
-    for piece in unpacked(data):
-        packed = True
-        yield "packed", piece.decode(errors="replace")
-    if not packed and (text := as_text(data)):
-        yield "base64", text
+    for m in WRAPPED.finditer(layer.text):
+        lines, places, last = [], [], 0
+        for x in [*LINE_END.finditer(m.group()), None]:
+            end = x.start() if x else len(m.group())
+            lines.append(m.group()[last:end])
+            places.append(m.start() + last)
+            last = x.end() if x else end
+        run = "".join(lines)
+        if len(run) < 16 or not CODED.search(run, 1):
+            continue
+        first = list(itertools.accumulate(map(len, lines[:-1]), initial=0))
+
+        def place(i: int) -> int:
+            line = bisect.bisect_right(first, i) - 1
+            return places[line] + i - first[line]
+
+        for name, a, b, plain in from_base64(run, first):
+            yield Layer(name, plain, [(0, *layer.span(place(a), place(b - 1) + 1))])
+
+
+def below(layer: Layer) -> Iterator[Layer]:
+    """The layers right below one."""
+    if "%" in layer.text and (found := undone(layer, URL, url, "url")):
+        yield found
+    if ("\\" in layer.text or "&#" in layer.text) and (found := undone(layer, UNICODE, unescape, "unicode")):
+        yield found
+    yield from base64_layers(layer)
 
 
 def layers(text: str) -> Iterator[Layer]:
-    """All layers below a text, each once for every place it comes from: a worklist until nothing new appears."""
-    todo, seen = [Layer("", text, [(0, 0, None)])], set()
+    """All layers below a text, each once for every place it comes from, depth first until nothing new appears."""
+    todo, seen = [below(Layer("", text, [(0, 0, None)]))], set()
     while todo:
-        layer = todo.pop()
-        below = []
-        if "%" in layer.text:
-            below.append(undone(layer, URL, url, "url"))
-        if "\\" in layer.text or "&#" in layer.text:
-            below.append(undone(layer, UNICODE, unescape, "unicode"))
-        for m in BASE64.finditer(layer.text):
-            token = m.group()
-            if any(c.isdigit() or c in "+/_-" or c.isupper() for c in token[1:]):
-                at = layer.span(m.start(), m.end())
-                below += [Layer(name, plain, [(0, *at)]) for name, plain in from_base64(token)]
-        for found in below:
-            key = found and (hashlib.blake2b(found.text.encode(errors="surrogatepass"), digest_size=16).digest(), tuple(found.origin))
-            if found and key not in seen:
-                seen.add(key)
-                todo.append(found)
-                yield found
+        found = next(todo[-1], None)
+        if found is None:
+            todo.pop()
+            continue
+        key = (hashlib.blake2b(found.text.encode(errors="surrogatepass"), digest_size=16).digest(), tuple(found.origin))
+        if key not in seen:
+            seen.add(key)
+            yield found
+            todo.append(below(found))
 
 
 def all_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:

@@ -1,6 +1,7 @@
 import base64
 import bz2
 import gzip
+import random
 import re
 from urllib.parse import quote
 
@@ -94,3 +95,36 @@ def test_repeated_blobs_are_reported_wherever_they_stand():
             places = [m.span() for m in re.finditer(re.escape(blob), text)]
             assert {(a, b) for a, b, k in ss.all_spans(text)[1] if k.endswith("/assign")} == set(places)
             assert ss.redacted(text, "#") == " and then ".join(["#"] * times)
+
+
+def noise(n, seed=5):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("ghijklmnop") for _ in range(7)) for _ in range(n // 8))
+
+
+def found(text):
+    return {k for _, _, k in ss.all_spans(text)[1]}
+
+
+def test_wrapped_and_prefixed_base64_is_read_whole():
+    plain = noise(60) + " " + SECRET + " " + noise(90)
+    for hidden, kind in ((b64(plain), "base64/assign"), (b64(gzip.compress(plain.encode(), mtime=0)), "packed/assign"), (b64(bz2.compress(plain.encode())), "packed/assign")):
+        for width in (10, 41, 64, 76):
+            lines = [hidden[i:i + width] for i in range(0, len(hidden), width)]
+            for end in ("\n", "\r\n", "\n    ", "\\n"):
+                for before, after in (("", ""), ("see: ", " end"), ("-----BEGIN DATA-----\n", "\n-----END DATA-----")):
+                    text = before + end.join(lines) + after
+                    spans = [(a, b) for a, b, k in ss.all_spans(text)[1] if k == kind]
+                    at = len(before)
+                    assert any(a <= at + len(hidden) // 3 and b > at + len(hidden) // 3 for a, b in spans), (kind, width, end, before)
+        for prefix in ("x/", "xy/", "host/path/", "name-", "a_key_", "one/two-three_"):
+            text = f"see {prefix}{hidden} end"
+            assert kind in found(text) and hidden[-20:] not in ss.redacted(text, "#") and ss.redacted(text, "#").endswith(" end"), (kind, prefix)
+    assert "base64/assign" in found(f"see {b64(plain + 'x' * (-len(plain) % 3))}/tail end")
+
+
+def test_words_on_the_next_line_stay():
+    for hidden in (b64(gzip.compress((noise(90) + SECRET + "x").encode(), mtime=0)), b64(SECRET)):
+        assert ss.redacted(f"see\n{hidden}\nNext line", "#") == "see\n#\nNext line", hidden
+        bare = hidden.rstrip("=")
+        assert ss.redacted(f"see\n{bare}\n\nNext line", "#").endswith("line")
