@@ -12,7 +12,8 @@ reported there, as ``layer/kind``.
 
 Runs of base64 are read line by line and over line ends, and at all four alignments, so that what stands before or
 behind them (a path, a key, a dash) does no harm. Compressed data is unpacked in pieces of
-``PIECE`` bytes that overlap, so a bomb costs time but no memory.
+about ``PIECE`` bytes that end where nothing can go on, so a bomb costs time and as much memory as its longest unbroken
+run of base64 or escape characters.
 
 Defined results: a null or empty text has no spans; repeated rows count each for itself; other columns are
 kept as they are by ``redact``.
@@ -55,7 +56,10 @@ JOINT = re.compile(r"[/_-]")
 MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
 # every secret and every encoded one is 16 ASCII characters or more, one beside the other
 STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{16,}")
-PIECE, OVERLAP, FED = 1 << 20, 1 << 12, 1 << 16
+# in unpacked data: a byte that is in no secret and no encoded stretch, or blanks between two words
+BREAK = re.compile(rb"""[^A-Za-z0-9+/_.=%\\{}&#;:"'\r\n\t\x20-]|(?<=[^\s:="'])[\x20\t]{1,64}(?=[^\s:="'])""")
+SPACES = re.compile(rb"\x20{65,}")
+PIECE, FED = 1 << 20, 1 << 16
 WORDS_OF_ASSIGN = ("password", "passwd", "secret", "token", "api")
 
 
@@ -203,11 +207,24 @@ def packed_size(data: bytes) -> int:
 
 
 def whole_runs(data: Iterator[bytes]) -> Iterator[str]:
-    """Unpacked data as texts that overlap."""
-    tail = b""
+    """Unpacked data as texts of about ``PIECE`` bytes, cut only where no secret and no encoded stretch can go on."""
+    held, looked = bytearray(), 0
     for piece in data:
-        yield (tail + piece).decode(errors="replace")
-        tail = (tail + piece)[-OVERLAP:]
+        held += SPACES.sub(b" " * 64, piece)      # places inside don't matter, as all that is unpacked has one origin
+        if len(held) < PIECE:
+            continue
+        at = 0
+        for low in (max(len(held) - 4096, looked), looked):
+            for m in BREAK.finditer(held, low):
+                at = m.start()
+            if at:
+                break
+        if at:
+            yield held[:at].decode(errors="replace")
+            del held[:at]
+        looked = max(len(held) - 70, 1)
+    if held:
+        yield held.decode(errors="replace")
 
 
 def as_text(data: bytes) -> str | None:

@@ -128,3 +128,16 @@ def test_words_on_the_next_line_stay():
         assert ss.redacted(f"see\n{hidden}\nNext line", "#") == "see\n#\nNext line", hidden
         bare = hidden.rstrip("=")
         assert ss.redacted(f"see\n{bare}\n\nNext line", "#").endswith("line")
+
+
+def test_layers_over_the_border_of_unpacked_pieces_are_whole():
+    inner = noise(30_000) + " " + SECRET
+    for hidden, kind in ((b64(inner), "base64/assign"), (b64(gzip.compress((random.Random(3).randbytes(9000).hex().upper() + SECRET).encode(), mtime=0)), "packed/assign"),
+                         ("".join(f"%{b:02X}" for b in (b64(inner)).encode()), "base64/assign")):
+        lines = "\n".join(hidden[i:i + 76] for i in range(0, len(hidden), 76))
+        for blob in (hidden, lines):
+            if blob is lines and "%" in blob:
+                continue
+            for before in (5_001, 5_002):
+                payload = noise(ss.PIECE)[:ss.PIECE - before - 1] + " " + blob + " " + noise(40_000)
+                assert kind in found(b64(gzip.compress(payload.encode(), 1, mtime=0))), (kind, before)
