@@ -11,7 +11,7 @@ character of a layer knows the stretch of the original text that it came from: s
 reported there, as ``layer/kind``.
 
 Runs of base64 are read line by line and over line ends, and at all four alignments, so that what stands before or
-behind them (a path, a key, a dash) does no harm. Compressed data is unpacked in pieces of
+behind them (a path, a key, a dash) does no harm. Compressed data may have several members. It is unpacked in pieces of
 about ``PIECE`` bytes that end where nothing can go on, so a bomb costs time and as much memory as its longest unbroken
 run of base64 or escape characters.
 
@@ -170,16 +170,17 @@ def opener(data: bytes):
         return bz2.BZ2Decompressor()
     if data[:6] == b"\xfd7zXZ\x00":
         return lzma.LZMADecompressor()
-    if data[:2] in (b"x\x01", b"x\x9c", b"x\xda"):
+    # method 8, window of 32 KB at most, no dictionary, check bits
+    if len(data) > 1 and data[0] & 15 == 8 and data[0] >> 4 < 8 and not data[1] & 32 and (data[0] << 8 | data[1]) % 31 == 0:
         return zlib.decompressobj()
     return None
 
 
 def unpacked(data: bytes) -> Generator[bytes, None, int]:
-    """Compressed data piece by piece; nothing if it isn't compressed.
+    """Compressed data piece by piece, one member or stream after the other; nothing if it isn't compressed.
     Returns the number of bytes that were read."""
     at = 0
-    if (unpacker := opener(data[at:at + 6])) is not None:
+    while (unpacker := opener(data[at:at + 6])) is not None:
         rest, at = data[at:at + FED], at + FED
         try:
             while not unpacker.eof:
@@ -194,6 +195,8 @@ def unpacked(data: bytes) -> Generator[bytes, None, int]:
         except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
             return len(data)
         at = min(at, len(data)) - len(unpacker.unused_data)
+        while data[at:at + 1] == b"\0":      # members may be padded
+            at += 1
     return at
 
 

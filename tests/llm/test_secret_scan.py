@@ -1,8 +1,10 @@
 import base64
 import bz2
 import gzip
+import lzma
 import random
 import re
+import zlib
 from urllib.parse import quote
 
 from ledgerloom.llm import secret_scan as ss
@@ -124,12 +126,23 @@ def test_wrapped_and_prefixed_base64_is_read_whole():
 
 
 def test_words_on_the_next_line_stay():
-    for hidden in (b64(gzip.compress((noise(90) + SECRET + "x").encode(), mtime=0)), b64(SECRET)):
+    for hidden in (b64(gzip.compress((noise(90) + SECRET + "x").encode(), mtime=0)), b64(zlib.compress(SECRET.encode())), b64(SECRET)):
         assert ss.redacted(f"see\n{hidden}\nNext line", "#") == "see\n#\nNext line", hidden
         bare = hidden.rstrip("=")
         assert ss.redacted(f"see\n{bare}\n\nNext line", "#").endswith("line")
 
 
+def test_all_zlib_levels_and_joined_members():
+    for level in range(10):
+        assert "packed/assign" in found(b64(zlib.compress((noise(300) + SECRET).encode(), level))), level
+    for bits in range(9, 16):
+        z = zlib.compressobj(6, zlib.DEFLATED, bits)
+        assert "packed/assign" in found(b64(z.compress(SECRET.encode()) + z.flush())), bits
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zlib.compress):
+        for last in (SECRET, noise(200_000) + " " + SECRET):
+            assert "packed/assign" in found(b64(pack(noise(200).encode()) + pack(b"") + pack(last.encode()))), pack
+
+
 def test_layers_over_the_border_of_unpacked_pieces_are_whole():
     inner = noise(30_000) + " " + SECRET
     for hidden, kind in ((b64(inner), "base64/assign"), (b64(gzip.compress((random.Random(3).randbytes(9000).hex().upper() + SECRET).encode(), mtime=0)), "packed/assign"),
