@@ -53,6 +53,9 @@ WORDS_OF = {
     NEGATION: "not no never nobody isnt arent wasnt dont nicht kein keine nie ne pas jamais nunca ningún",
     REPORT: "said says say called calls quoted wrote claimed reported sagte schrieb nannte dit écrit appelé dijo escribió llamó",
 }
+# what stands before the n't of a contraction is cut from its t by an ASCII apostrophe; with a typographic one it is one word
+CONTRACTED = ("isn aren wasn weren don doesn didn won wouldn can couldn shan shouldn mustn mightn needn hasn haven hadn ain daren").split()
+WORDS_OF[NEGATION] += "".join(f" {w}{mark}t" for w in CONTRACTED for mark in "\u2019\u2018\u02bc\uff07")
 SCOPE, AIM = 3, 3          # words that a negation and a target reach
 
 
@@ -224,6 +227,15 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, doc
     return learned(rows)
 
 
+def contractions(words: Words, hasher: Hasher) -> np.ndarray:
+    """Places of the t of isn't, don't and the like. It stands for the negation, so that the scope is that of *not*."""
+    t = np.flatnonzero(words.hash == hasher([b"t"]).hash[0])
+    t = t[t > 0]
+    near = (words.start[t] == words.end[t - 1] + 1) & np.isin(words.data[words.end[t - 1]], list(b"'`"))
+    t = t[near]
+    return t[np.isin(words.hash[t - 1], hasher([" ".join(CONTRACTED).encode()]).hash)]
+
+
 def score_texts(texts: list[bytes], hasher: Hasher, tags: dict[int, np.ndarray], lexicon: np.ndarray, weights: np.ndarray, grammar: Grammar) -> list[float]:
     ends = np.zeros(256, dtype=bool)
     ends[list(b".!?;:\n|")] = True
@@ -234,6 +246,7 @@ def score_texts(texts: list[bytes], hasher: Hasher, tags: dict[int, np.ndarray],
         weight = np.ones(len(words.hash))
         for t, known in tags.items():
             tag[np.isin(words.hash, known)] = t
+        tag[contractions(words, hasher)] = NEGATION
         if len(lexicon):
             found = np.zeros(len(words.hash))
             for f in beginnings(words, hasher):

@@ -93,3 +93,17 @@ def test_without_labels_and_rows(spark):
     got = tx.score(frame(spark, rows), [], {"doc_id": F.col("doc_id"), "text": F.col("text")}).collect()
     assert len(got) == len(rows) and {r.doc_id for r in got if r.predicted} == {900}
     assert tx.score(empty(spark), [], {"doc_id": F.col("doc_id")}).collect() == []
+
+
+def test_negation_by_contraction_counts_like_not():
+    for verb, short in (("are", "aren"), ("is", "isn"), ("was", "wasn"), ("do", "don"), ("will", "won"), ("ca", "can"), ("does", "doesn")):
+        plain = score(f"You {verb} not stupid, it seems.")[0]
+        assert plain < 0.5
+        for mark in "'`\u2019\u02bc":
+            for word in (f"{short}{mark}t", f"{short}{mark}t".upper()):
+                assert score(f"You {word} stupid, it seems.")[0] == plain, word
+    assert score("I won't kill you.")[0] < 0.5 <= score("I will kill you.")[0]
+    # out of scope, in another clause, or no contraction
+    direct = score("You are stupid.")[0]
+    toxic = score("You aren't one of the stupid ones, you moron.", "I don't. You are stupid.", "You are stupid, aren't you.", "You are stupid; t aren 't.", "Don, t you stupid.")
+    assert all(x >= 0.5 for x in toxic) and toxic[1] == toxic[2] == toxic[3] == direct
