@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import (
-    ann_forest, decontam, langid, license_scan, mixing, near_dedup, secret_scan, token_lengths, toxicity, warc,
+    ann_forest, decontam, langid, license_scan, mixing, near_dedup, secret_scan, token_lengths, toxicity, warc, whitening,
 )
 from ledgerloom.session import new_stage_path
 
@@ -183,3 +183,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_nearest")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_forest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
