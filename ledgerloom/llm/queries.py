@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import (
-    ann_forest, decontam, langid, license_scan, mixing, near_dedup, secret_scan, token_lengths, toxicity, warc, whitening,
+    ann_forest, decontam, langid, license_scan, mixing, near_dedup, secret_scan, structure, token_lengths, toxicity,
+    warc, whitening,
 )
+from ledgerloom.llm.common import numbered
 from ledgerloom.session import new_stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,6 +187,76 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_forest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op11_repair", r"""
+with recursive keyed as (
+  select *, coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations
+), coded as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         xor(list_reduce([4294967295::bigint] || list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::bigint),
+           lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, _: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)),
+           4294967295::bigint) % 20 as code
+  from keyed
+), damaged as (
+  select conv_id, turn, case code when 4 then 'user' else role end as role,
+         case code when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from coded, range(2) copies(i) where code <> 0 and (i = 0 or code = 3)
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as p,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as t
+  from damaged
+), faulty as (
+  select *, case when t = '' then 'b' when p > min(p) over (partition by conv_id, role, text) then 'd' when right(t, 1) not in ('.', '!', '?') then 't' else '' end as fault,
+         left(role, 1) || left(coalesce(lead(role) over (partition by conv_id order by p), ''), 1) as two,
+         lead(p) over (partition by conv_id order by p) is not null as follows
+  from placed
+), stats as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank,
+         count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated,
+         count(*) filter (follows and two not in ('su', 'ua', 'au')) as illegal, count(*) as n
+  from faulty group by conv_id
+), step(q, r, q2) as (values ('E', 's', 'S'), ('E', 'u', 'U'), ('S', 'u', 'U'), ('U', 'a', 'A'), ('A', 'u', 'U')),
+-- up to two insertions, then the edit of a row or, at the end, nothing
+put(q, q2, cost, audit, lines) as (
+  select q, q, 0, '', []::varchar[] from (values ('E'), ('S'), ('U'), ('A')) s(q)
+  union all select q, q2, 2, 'I', [case r when 'u' then 'user:' else 'assistant:' end] from step where r <> 's'
+  union all select x.q, y.q2, 4, 'II', [case x.r when 'u' then 'user:' else 'assistant:' end, case y.r when 'u' then 'user:' else 'assistant:' end]
+  from step x join step y on x.q2 = y.q where x.r <> 's' and y.r <> 's'
+), best as (
+  select conv_id, 0::bigint as p, 'E' as q, 0::bigint as cost, '' as audit, []::varchar[] as lines from stats
+  union all
+  select conv_id, p, q, w.cost, w.audit, w.lines from (
+    select conv_id, p, q, min({'cost': cost, 'audit': audit, 'lines': lines}) as w from (
+      select b.conv_id, f.p, case e.edit when 'D' then put.q2 else step.q2 end as q,
+             b.cost + put.cost + case e.edit when 'D' then 3 when 'R' then 2 else 0 end + case when e.edit <> 'D' and f.fault = 't' then 1 else 0 end as cost,
+             b.audit || put.audit || e.edit as audit,
+             b.lines || put.lines || case e.edit when 'D' then [] when 'K' then [f.role || ':' || f.text]
+               else [case step.r when 'u' then 'user:' else 'assistant:' end || f.text] end as lines
+      from best b join faulty f on f.conv_id is not distinct from b.conv_id and f.p = b.p + 1 join put on put.q = b.q
+      cross join (values ('K'), ('R'), ('D')) e(edit) left join step on step.q = put.q2 and e.edit <> 'D'
+      where e.edit = 'D' or (f.fault not in ('b', 'd') and step.q is not null
+            and ((e.edit = 'K' and left(f.role, 1) = step.r) or (e.edit = 'R' and step.r <> 's')))
+    ) options group by conv_id, p, q
+  ) picked
+), goals as (
+  select s.conv_id, min({'cost': b.cost + put.cost, 'audit': b.audit || put.audit, 'lines': b.lines || put.lines}) as w
+  from stats s join best b on b.conv_id is not distinct from s.conv_id and b.p = s.n join put on put.q = b.q
+  where put.q2 in ('E', 'A') group by s.conv_id
+)
+select c.conv_id, coalesce(s.gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, coalesce(g.w.cost, 0) as cost, coalesce(g.w.audit, '') as audit,
+       sha256(coalesce(array_to_string(g.w.lines, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join stats s on s.conv_id is not distinct from c.conv_id
+left join goals g on g.conv_id is not distinct from c.conv_id
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, name = numbered(table(spark, sf_dir, "conversations"))
+    repair = structure.Conversations(structure.damage(rows, name), name="name")
+    every = rows.select(structure.conversation_key("conv_id").alias("key"), "conv_id").distinct()
+    out = every.join(repair.summary().drop("conv_id"), "key", "left").join(repair.digests(), "key", "left")
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                      F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 @query("op12_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
