@@ -90,15 +90,23 @@ def summed(rows: DataFrame, per_batch, size: int) -> np.ndarray:
 
 
 def column_sums(rows: DataFrame, size: int) -> list[int]:
-    """Exact sums of all columns, as whole numbers of any size: halves are summed apart."""
-    half = 1 << 26
-    low = F.transform("x", lambda v: F.pmod(v, F.lit(half)))
-    high = F.transform("x", lambda v: F.floor(v / half))
-    parts = rows.select(F.posexplode(F.arrays_zip(high.alias("h"), low.alias("l"))).alias("i", "v"))
-    entries = parts.groupBy("i").agg(F.sum(F.col("v.h").cast("decimal(38,0)")), F.sum(F.col("v.l").cast("decimal(38,0)"))).collect()
+    """Exact sums of all columns, as whole numbers of any size: upper and lower bits are summed apart, first inside the tasks."""
+    bits = 26
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        high, low = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                x = matrix(batch)
+                high += (x >> bits).sum(axis=0)
+                low += (x & ((1 << bits) - 1)).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(high), pa.array(low)], names=["i", "high", "low"])
+
+    parts = rows.mapInArrow(run, "i int, high long, low long")
+    entries = parts.groupBy("i").agg(*[F.sum(F.col(c).cast("decimal(38,0)")) for c in ("high", "low")]).collect()
     out = [0] * size
-    for i, h, l in entries:
-        out[i] = int(h) * half + int(l)
+    for i, high, low in entries:
+        out[i] = (int(high) << bits) + int(low)
     return out
 
 

@@ -156,6 +156,6 @@ def test_whole_query_on_messy_rows(spark, tmp_path):
 
 
 @pytest.mark.parametrize("word,cost,audit", [("", 0, ""), ("d", 2, "KI"), ("g", 2, "IK"), ("dd", 2, "KR"), ("a", 3, "D"), ("ad", 2, "KKI"),
-                                             ("dgdg", 0, "KKKK"), ("adg", 0, "KKK"), ("dhf", 4, "KKD")])
+                                             ("dgdg", 0, "KKKK"), ("adg", 0, "KKK"), ("dhf", 6, "KDR")])
 def test_small_cases(word, cost, audit):
     assert structure.repair_word(word) == (cost, audit)
