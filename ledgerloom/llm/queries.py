@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import (
-    ann_forest, decontam, langid, license_scan, mixing, near_dedup, secret_scan, structure, token_lengths, toxicity,
-    warc, whitening,
+    ann_forest, decontam, katz, langid, license_scan, mixing, near_dedup, secret_scan, structure, token_lengths,
+    toxicity, warc, whitening,
 )
 from ledgerloom.llm.common import numbered
 from ledgerloom.session import new_stage_path
@@ -260,3 +260,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+@query("op13_katz")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(checksum("doc_id", 7) == 2, F.lit(False))
+    return katz.Katz(docs, ~held_out, order=2, keep={"doc_id": F.col("doc_id"), "held_out": held_out}).scores()
