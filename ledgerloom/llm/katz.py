@@ -40,7 +40,7 @@ from ledgerloom.llm import words as text_words
 from ledgerloom.llm.common import row_numbers, shuffle_partitions, small_batches, written
 from ledgerloom.session import new_stage_path
 
-CHUNK = 3_000_000            # tokens of a chunk, unless one text has more
+CHUNK = 1_000_000            # tokens of a chunk, unless one text has more
 BUCKET = 2_000_000           # n-grams of a bucket at most, repeats within chunks counted
 HOT = 200_000                # a context that occurs more often is dealt over several buckets
 LARGEST = 5                  # largest count that may be discounted
