@@ -121,14 +121,14 @@ class Chunk:
         self.local, self.length = unpack(parts[0], np.int32), unpack(parts[1])
         self.learn = unpack(parts[2], np.int8)
         self.first = np.concatenate([[0], np.cumsum(self.length)])[:-1].astype(np.int64)     # no text is without its end
-        self.place = np.arange(len(self.local)) - np.repeat(self.first, self.length)
+        self.place = (np.arange(len(self.local)) - np.repeat(self.first, self.length)).astype(np.int32)
         self.learned = np.repeat(self.learn, self.length)
 
     def words(self, ids: np.ndarray, counts: np.ndarray, level: Level, tokens: int) -> None:
         """Answers of the first level, in the order of the chunk's vocabulary."""
         self.id, self.count, self.level = ids[self.local], counts[self.local], 1
-        self.known = self.count
         self.p = level.seen(self.count, tokens)
+        self.shorter = self.count, np.broadcast_to(np.int64(tokens), self.count.shape)
         self.context = np.where(self.place == 0, START, np.roll(self.id, 1).astype(U64))
         self.of = np.roll(self.count, 1)
 
@@ -136,23 +136,26 @@ class Chunk:
         """Contexts of the first tokens were seen once for each learned text."""
         self.of = np.where(self.place == 0, texts, self.of)
 
-    def grams(self, buckets: int) -> None:
-        """Sort the distinct n-grams of the next level whose context was seen; ``at`` are their tokens."""
+    def grams(self, buckets: int, ask: bool = False) -> None:
+        """Sort the distinct n-grams of the next level whose context was seen; ``at`` are their tokens. The rest is for asking."""
         self.at = np.flatnonzero((self.of > 0) & (self.place >= self.level - 1))
-        context, word, of = self.context[self.at], self.id[self.at], self.of[self.at]
-        salt = text_words.mix(word.astype(U64)) % (1 + of // HOT).astype(U64)
-        spread = text_words.mix(context + salt * U64(0x9E3779B97F4A7C15))
-        bucket = (spread >> U64(32)) * U64(buckets) >> U64(32)
+        context, word = self.context[self.at], self.id[self.at]
+        bucket = bucket_of(context, word, self.of[self.at], buckets)
         order = np.lexsort((word, context, bucket))
-        b, c, w = bucket[order], context[order], word[order]
-        new = np.concatenate([[True], (w[1:] != w[:-1]) | (c[1:] != c[:-1])]) if len(order) else np.empty(0, dtype=bool)
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = np.diff(word[order]) != 0
+        new[1:] |= np.diff(context[order]) != 0
         start = np.flatnonzero(new)
-        self.gram_of = np.empty(len(order), dtype=np.int64)
-        self.gram_of[order] = np.cumsum(new) - 1
-        self.bucket, self.g_context, self.g_word, self.g_of = b[start].astype(np.int64), c[start], w[start], of[order][start]
-        learned = self.learned[self.at][order]
-        self.g_learned = np.add.reduceat(learned, start, dtype=np.int64) if len(start) else start
-        self.g_lower = np.where(self.g_learned > 0, self.p[self.at][order][start], 0.0)
+        self.gram_of = np.empty(len(order), dtype=np.int32)
+        self.gram_of[order] = np.cumsum(new, dtype=np.int32) - 1
+        if ask:
+            first = order[start]
+            self.bucket, self.g_context, self.g_word, self.g_of = bucket[first], context[first], word[first], self.of[self.at[first]]
+            learned = self.learned[self.at[order]]
+            self.g_learned = np.add.reduceat(learned, start, dtype=np.int64) if len(start) else start
+            # a learned n-gram was seen in the shorter context as well: how often, of how many
+            shorter = np.where(self.g_learned > 0, self.at[first], -1)
+            self.g_shorter = [np.where(shorter < 0, 0, part[shorter]) for part in self.shorter]
 
     def requests(self, chunk: int, level: int) -> Iterator[pa.RecordBatch]:
         limits = np.append(cuts(self.bucket), len(self.bucket))
@@ -161,10 +164,10 @@ class Chunk:
             run = cuts(context)
             yield row(chunk, level, int(self.bucket[low]), [
                 pack(context[run]), pack(np.diff(np.append(run, high - low)).astype(np.int64)), pack(self.g_of[low:high][run]),
-                pack(self.g_word[low:high]), pack(self.g_learned[low:high]), pack(self.g_lower[low:high])])
+                pack(self.g_word[low:high]), pack(self.g_learned[low:high]), *[pack(part[low:high]) for part in self.g_shorter]])
 
     def answered(self, counts: np.ndarray, level: Level, unseen: tuple[np.ndarray, np.ndarray] | None) -> None:
-        """Counts of the n-grams of this level, and the backoff weights of contexts in which some was not seen."""
+        """Counts of the n-grams of this level, and, for a score, the backoff weights of contexts in which some was not seen."""
         self.level += 1
         count = np.zeros(len(self.local), dtype=np.int64)
         count[self.at] = counts[self.gram_of]
@@ -176,13 +179,21 @@ class Chunk:
                 there = (contexts[found] == self.context) & (count == 0) & (self.of > 0) & (self.place >= self.level - 2)
                 weight[there] = weights[found[there]]
             self.p = np.where(count > 0, level.seen(count, self.of), weight * self.p)
-        else:
-            # only what was seen is needed to ask for the next level
-            self.p = np.where(count > 0, level.seen(count, self.of), self.p)
         longer = text_words.mix(np.roll(self.context, 1) * U64(text_words.BASE) + np.roll(self.id, 1).astype(U64) + U64(self.level))
+        self.shorter = count, self.of
         self.context, self.of = longer, np.where(self.place >= self.level - 1, np.roll(count, 1), 0)
 
 
+def bucket_of(context: np.ndarray, word: np.ndarray, of: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of n-grams: by context, and by word as well where the context is frequent."""
+    spread = context
+    hot = of >= HOT
+    if hot.any():
+        spread = context.copy()
+        spread[hot] += text_words.mix(word[hot].astype(U64)) % (1 + of[hot] // HOT).astype(U64) * U64(0x9E3779B97F4A7C15)
+    return ((text_words.mix(spread) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+
+
 def by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[list[bytes]]], pa.RecordBatch]]:
     """Rows of neighbouring batches by chunk: the parts of each level in order of buckets, and the batch row of the chunk itself."""
     current, levels, own = None, {}, None
@@ -381,25 +392,27 @@ class Katz:
         return rows.repartition("chunk").sortWithinPartitions("chunk", F.col("level") != 0, "level", "bucket")
 
     def _grams(self, level: int) -> None:
-        state, buckets = self._state(), self.buckets
+        state, buckets, below_level = self._state(), self.buckets, self.levels[-1]
 
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for number, found, _ in by_chunk(batches):
                 chunk = state(found, False)
-                chunk.grams(buckets)
+                chunk.grams(buckets, ask=True)
                 yield from chunk.requests(number, level)
 
         def merge(bucket: int, rows: list) -> Iterator[tuple[str, pa.RecordBatch]]:
-            sizes, context, of, word, learned, lower = [], [], [], [], [], []
+            sizes, context, of, word, learned, shorter, shorter_of = [], [], [], [], [], [], []
             for _, parts in rows:
                 run = unpack(parts[1])
                 context.append(np.repeat(unpack(parts[0], U64), run))
                 of.append(np.repeat(unpack(parts[2]), run))
                 word.append(unpack(parts[3]))
                 learned.append(unpack(parts[4]))
-                lower.append(unpack(parts[5], np.float64))
+                shorter.append(unpack(parts[5]))
+                shorter_of.append(unpack(parts[6]))
                 sizes.append(len(word[-1]))
-            context, of, word, learned, lower = map(np.concatenate, (context, of, word, learned, lower))
+            context, of, word, learned = map(np.concatenate, (context, of, word, learned))
+            lower = below_level.seen(np.concatenate(shorter), np.concatenate(shorter_of))
             order = np.lexsort((word, context))
             c, w = context[order], word[order]
             new = np.concatenate([[True], (w[1:] != w[:-1]) | (c[1:] != c[:-1])])
@@ -479,9 +492,9 @@ class Katz:
             for _, found, own in by_chunk(batches):
                 chunk = state(found, True)
                 who = own.column("docs").flatten()
-                base = np.log10((chunk.known + 1) / (tokens + 1 * (distinct + 1)))
+                base = np.log10((chunk.count + 1) / (tokens + 1 * (distinct + 1)))
                 add = lambda values: np.add.reduceat(values, chunk.first)
-                columns = [chunk.length, add((chunk.known > 0).astype(np.int64)), np.full(len(chunk.length), tokens),
+                columns = [chunk.length, add((chunk.count > 0).astype(np.int64)), np.full(len(chunk.length), tokens),
                            add(base), add(np.log10(chunk.p))]
                 yield pa.RecordBatch.from_arrays([*[who.field(f.name) for f in fields], *[pa.array(c, type=t) for c, (_, t) in zip(columns, results)]],
                                                  names=[*[f.name for f in fields], *[n for n, _ in results]])
