@@ -30,31 +30,57 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "lef
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_on_{k}" for k in on])
 
 
-def _ranged(df: DataFrame, order: Sequence[Column], partitions: int | None = None, ties: bool = True,
-            scanned: bool = False) -> DataFrame:
-    """Add ``_slice`` and ``_in_slice``, the 0-based place of every row in its slice of the total order.
-
-    The ranged rows are written out, so that slices and places stay fixed if executors are
-    lost. With ``ties`` a tie-breaker spreads even equal rows over the ranges; it is taken from
-    written rows, so a task that runs again gives the same value. ``scanned`` says that ``df`` itself only reads written
-    files, row by row (a scan, filters and projections), so that they need not be written once more.
+def in_order(df: DataFrame, order: Sequence[Column], partitions: int | None = None, ties: bool = True,
+             out: str = "_place") -> DataFrame:
+    """Sort rows over range slices and add ``out``: number of the slice and place in it, as one long value.
+
+    Nothing is written here. The value holds for the rows as they are written from this frame, in one pass: write it with them and read
+    it back. With ``ties`` even equal rows are spread, by the task that they come from. That is known again when a task runs
+    once more, so the rows of a lost task go where they went before.
     """
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = list(order)
     if ties:
-        df = df if scanned else cut_lineage(df, "ties")
-        df = df.withColumn("_tie", F.monotonically_increasing_id())
+        df = df.withColumn("_tie", F.spark_partition_id())
         keys.append(F.col("_tie"))
-    ranged = cut_lineage(
-        df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
-        .drop("_tie").withColumn("_mid", F.monotonically_increasing_id()),
-        "positions",
-    )
-    return (
-        ranged.withColumn("_slice", F.shiftright("_mid", 33))
-        .withColumn("_in_slice", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop("_mid")
-    )
+    ranged = df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+    return ranged.drop("_tie").withColumn(out, F.monotonically_increasing_id())
+
+
+def slice_of(place: str = "_place") -> Column:
+    return F.shiftright(place, 33)
+
+
+def in_slice(place: str = "_place") -> Column:
+    return F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+
+
+def _ranged(df: DataFrame, order: Sequence[Column], partitions: int | None = None, ties: bool = True) -> DataFrame:
+    """Add ``_slice`` and ``_in_slice``, the 0-based place of every row in its slice of the total order. The ranged rows are
+    written out, so that slices and places stay fixed if executors are lost."""
+    ranged = cut_lineage(in_order(df, order, partitions, ties), "positions")
+    return ranged.withColumn("_slice", slice_of()).withColumn("_in_slice", in_slice()).drop("_place")
+
+
+def numbers_from_places(rows: DataFrame, keys: Sequence[str], place: str, out: str, writes: Sequence[str] = ()) -> DataFrame:
+    """Row numbers per key from the places that the rows of a written frame stand at (see :func:`in_order`).
+
+    Rows of a key are neighbours in the order. They are counted inside each slice, and the rows of a key that began in an earlier slice
+    are moved on by what that slice holds of it: one key per slice at most. ``writes`` name the write that a row
+    comes from, where there are several.
+    """
+    keys = [*writes, *keys]
+    part = slice_of(place)
+    held = rows.groupBy(part.alias("_s"), *keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    moved = held.withColumn("_moved", F.sum("_n").over(before)).where("_moved > 0").select(
+        "_s", *[F.col(k).alias(f"_k_{k}") for k in keys], "_moved")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_slice") == F.col("_s"))
+    rows = rows.withColumn("_slice", part)
+    rows = rows.withColumn("_inside", F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(place)))
+    numbered = rows.join(F.broadcast(moved), same, "left")      # one row per slice at most
+    number = (F.col("_inside") + F.coalesce("_moved", F.lit(0))).cast("long")
+    return numbered.withColumn(out, number).drop("_slice", "_inside", "_moved", "_s", *[f"_k_{k}" for k in keys])
 
 
 def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | None = None,
@@ -74,26 +100,15 @@ def global_positions(df: DataFrame, order: Sequence[Column], partitions: int | N
     )
 
 
-def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, scanned: bool = False) -> DataFrame:
+def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` that survives a hot key.
 
-    Rows are sorted by keys and order over range slices, numbered per key inside their slice, and
-    the rows of a key that began in an earlier slice are moved on by what that slice held of it. Equal rows are
-    spread over slices as well.
+    Rows are sorted by keys and order over range slices and written once; numbers follow from the places. Equal rows are spread
+    over slices as well.
     """
     keys = list(keys)
-    placed = _ranged(df, [*[F.col(k) for k in keys], *order], scanned=scanned)
-    inside = F.row_number().over(Window.partitionBy("_slice", *keys).orderBy("_in_slice"))
-    held = placed.groupBy("_slice", *keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # only the first key of a slice can have begun before it: one row per slice at most
-    moved = held.withColumn("_moved", F.sum("_n").over(before)).where("_moved > 0").select(
-        F.col("_slice").alias("_s"), *[F.col(k).alias(f"_k_{k}") for k in keys], "_moved")
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_slice") == F.col("_s"))
-    numbered = placed.withColumn("_inside", inside).join(F.broadcast(moved), same, "left")
-    number = (F.col("_inside") + F.coalesce("_moved", F.lit(0))).cast("int")
-    return numbered.withColumn(out, number).drop(
-        "_slice", "_in_slice", "_inside", "_moved", "_s", *[f"_k_{k}" for k in keys])
+    placed = cut_lineage(in_order(df, [*[F.col(k) for k in keys], *order]), "positions")
+    return numbers_from_places(placed, keys, "_place", out).drop("_place")
 
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], totals: dict[str, Column]) -> DataFrame:

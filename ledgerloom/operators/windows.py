@@ -13,10 +13,10 @@ def line_numbers(df: DataFrame, doc: str | Sequence[str], order: Sequence[Column
                  out: str = "line_no", scanned: bool = False) -> DataFrame:
     """Line numbers in steps per document. The order should cover all business columns: rows that
     still tie are identical, so any numbering of them is the same result. The rows are written on the way: select what
-    is needed first. ``scanned`` spares one of two writes for rows read from files without a join or an aggregate."""
+    is needed first. (``scanned`` has no effect any more: rows of every origin are written once.)"""
     keys = [doc] if isinstance(doc, str) else list(doc)
-    numbered = row_number_by(df, keys, order, out, scanned)
-    return numbered.withColumn(out, F.col(out).cast("long") * step)
+    numbered = row_number_by(df, keys, order, out)
+    return numbered.withColumn(out, F.col(out) * step)
 
 
 def dense_rank_global(df: DataFrame, key: str, out: str = "rank", partitions: int | None = None) -> DataFrame:

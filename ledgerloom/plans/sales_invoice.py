@@ -7,48 +7,67 @@ on-behalf documents and split into headers and lines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerloom.functions.scalars import (
     as_col, concat_skip_null, dated_doc, head, posting_date, posting_description, tail, unit_price,
 )
 from ledgerloom.operators.aggs import completeness, drop_secondary_owners, string_distinct, unique_or_unknown
 from ledgerloom.operators.derive import (
-    code_map, doc_number, obh_expand, owner_route, parent_sku, promo_price, update_from, update_where,
+    code_map, doc_number, obh_expand, parent_sku, promo_price, update_from, update_where,
 )
-from ledgerloom.operators.incremental import exclude_posted, incremental, latest_per_key, latest_snapshot, not_in
+from ledgerloom.operators.incremental import composite_anti, incremental, latest_per_key, latest_snapshot, not_in
 from ledgerloom.operators.joins import constant_dim, contains_join, fallback_join, interval_join, member_flag
-from ledgerloom.operators.skew import lookup
+from ledgerloom.operators.skew import in_order, lookup, numbers_from_places
 from ledgerloom.operators.windows import line_numbers
 from ledgerloom.plans import config as c
 from ledgerloom.plans.config import ChannelConfig
 from ledgerloom.schemas import HEADER, LINE, SNAPSHOT, conform
 from ledgerloom.session import cut_lineage
-from ledgerloom.sources.io import SNAPSHOT_COL, SNAPSHOT_PARTITION
+from ledgerloom.sources.versions import SNAPSHOT_COL, SNAPSHOT_PARTITION, SnapshotLog
 
 Tables = Mapping[str, DataFrame]
 
+LINE_STEP = 10000
+# what a placed load has besides the snapshot layout: the document lines are numbered in, their place, and the write they belong to
+NUMBERED_IN, PLACE, WRITE = "numbered_in", "log_place", "log_write"
+PLACES = StructType([StructField(NUMBERED_IN, StringType()), StructField(PLACE, LongType()), StructField(WRITE, StringType())])
+
 
 # ---- shared pieces ------------------------------------------------------------------------------
 def as_candidates(df: DataFrame, fixed: Mapping[str, object], line_order: Sequence[str], run_ts: datetime,
-                  number_by: str = "external_doc_no", numbered: bool = True) -> DataFrame:
+                  number_by: str = "external_doc_no", numbered: bool = True, placed: bool = False) -> DataFrame:
     """Add the channel's constants and, if ``numbered``, the line numbers, in the snapshot layout.
 
-    Numbering writes the rows. A reader of amounts alone does without it; line numbers are then null.
+    Numbering writes the rows. A reader of amounts alone does without it; line numbers are then null. Rows that go into a
+    snapshot log anyway are ``placed`` instead: sorted over range slices for the write of the log itself, each with the document that it is
+    numbered in and its place. :func:`numbered_load` takes the numbers from what was written.
     """
     base = {"document_type": "Order", "source_code": "DATAMART_SI", "type": "ITEM", "uom": "pcs",
             "vat_product_posting_group": "VAT-NOT", "is_valid_record": True, "data_updated_time": run_ts}
     values = {k: v if isinstance(v, Column) else F.lit(v) for k, v in {**base, **fixed}.items()}
-    rows = df
-    if numbered:
-        # numbering writes its rows, so what it does not need is added after it
-        early = {k: values.pop(k) for k in (number_by, *line_order) if k in values}
-        rows = line_numbers(rows.withColumns(early), number_by, [F.col(o) for o in line_order])
-    return conform(rows.withColumns(values), SNAPSHOT)
+    if not numbered and not placed:
+        return conform(df.withColumns(values), SNAPSHOT)
+    # sorting and numbering move the rows, so what they do not need is added after them
+    early = {k: values.pop(k) for k in (number_by, *line_order) if k in values}
+    rows, order = df.withColumns(early), [F.col(o) for o in line_order]
+    if not placed:
+        return conform(line_numbers(rows, number_by, order).withColumns(values), SNAPSHOT)
+    rows = in_order(rows, [F.col(number_by), *order], out=PLACE).withColumn(NUMBERED_IN, F.col(number_by))
+    rows = rows.withColumns({**values, WRITE: F.lit(uuid.uuid4().hex)})
+    return conform(rows, StructType([*SNAPSHOT.fields, *PLACES.fields]))
+
+
+def numbered_load(load: DataFrame) -> DataFrame:
+    """A load of placed candidates, whole as it was written, with line numbers instead of places."""
+    rows = numbers_from_places(load, [NUMBERED_IN], PLACE, "_number", writes=[WRITE])
+    return rows.withColumn("line_no", F.col("_number") * LINE_STEP).drop("_number", NUMBERED_IN, PLACE, WRITE)
 
 
 def item_owners(items: DataFrame, company: str) -> DataFrame:
@@ -87,62 +106,75 @@ def line_layout(staging: DataFrame) -> DataFrame:
 
 def stage_own(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date) -> DataFrame:
     """Own-goods staging rows that are not posted yet."""
-    own, _ = owner_route(candidates, "belong_to_company", cfg.own)
-    return _stage(own, tables, cfg, as_of, own_goods=True)
+    return stage(candidates, tables, cfg, as_of).where("_own").drop("_own")
 
 
 def stage_on_behalf(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date) -> DataFrame:
-    _, obh = owner_route(candidates, "belong_to_company", cfg.own)
-    staged = _stage(obh, tables, cfg, as_of, own_goods=False)
-    return staged.withColumn("wh_location", cfg.obh_location()) if cfg.obh_location else staged
+    return stage(candidates, tables, cfg, as_of).where("not _own").drop("_own")
 
 
-def _stage(rows: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date, own_goods: bool) -> DataFrame:
-    posted = tables["posted_header"]
+def stage(rows: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date) -> DataFrame:
+    """Staging rows that are not posted yet, own and on-behalf goods told apart by ``_own``, from one pass over the candidates.
+
+    The lists of what is posted differ between the two, so an entry names the branch that it counts for.
+    """
+    own, on_behalf = F.lit(True), F.lit(False)
+    counts = F.upper("document_type").isin(*cfg.posted_types)
+    for name, values in cfg.posted_scope.items():
+        counts = counts & F.col(name).isin(*values)
     # an original number is shared with returns, so there the document type counts for both branches
-    if own_goods or cfg.posted_key != "external_doc_no":
-        posted = posted.where(F.upper("document_type").isin(*cfg.posted_types))
-        for name, values in cfg.posted_scope.items():
-            posted = posted.where(F.col(name).isin(*values))
-    lists = [(posted, cfg.posted_key)]
-    if own_goods and cfg.use_excluded:
-        lists.append((tables["excluded"], "external_doc_no"))
-    rows = exclude_posted(
-        rows.where(F.col("is_valid_record") & F.col("order_date").between(F.lit(cfg.date_from), F.lit(as_of))),
-        cfg.posted_key, *lists)
-    if own_goods and cfg.po_exclusion:
-        shipped = tables["posted_line"].where(~F.col("location_code").rlike("SRT"))
-        rows = exclude_posted(rows, "po_number", (shipped, "po_number"))
-    by_rule = own_goods or cfg.obh_posting_by_rule
+    for_obh = F.lit(True) if cfg.posted_key == "external_doc_no" else counts
+    branches = F.explode(F.array_compact(F.array(F.when(counts, own), F.when(for_obh, on_behalf))))
+    seen = tables["posted_header"].select(F.col(cfg.posted_key), branches.alias("_own"))
+    if cfg.use_excluded:
+        seen = seen.union(tables["excluded"].select(F.col("external_doc_no"), own))
+    rows = rows.where(F.col("is_valid_record") & F.col("order_date").between(F.lit(cfg.date_from), F.lit(as_of)))
+    # a row without an owner goes to neither branch
+    rows = rows.withColumn("_own", F.col("belong_to_company").isin(*cfg.own)).where("_own is not null")
+    rows = composite_anti(rows, seen, [cfg.posted_key, "_own"])
+    if cfg.po_exclusion:
+        shipped = tables["posted_line"].where(~F.col("location_code").rlike("SRT")).select("po_number", own.alias("_own"))
+        rows = composite_anti(rows, shipped, ["po_number", "_own"])
+    by_rule = F.lit(True) if cfg.obh_posting_by_rule else F.col("_own")
     stamp = F.col("order_date") if cfg.description_by_order_date else F.lit(as_of)
+    place = F.col("wh_location")
     return rows.withColumns({
-        "posting_date": posting_date("order_date", as_of, cfg.legacy_month_number) if by_rule else F.lit(as_of),
+        "posting_date": F.when(by_rule, posting_date("order_date", as_of, cfg.legacy_month_number)).otherwise(F.lit(as_of)),
         "posting_description": posting_description("country", "sales_channel", "external_doc_no", stamp),
+        "wh_location": F.when(F.col("_own"), place).otherwise(cfg.obh_location()) if cfg.obh_location else place,
     })
 
 
-def run_channel(candidates: DataFrame, tables: Tables, cfg: ChannelConfig, as_of: date,
-                snapshot_log: DataFrame | None = None, evidence_since: date | None = None,
+def run_channel(candidates: DataFrame | None, tables: Tables, cfg: ChannelConfig, as_of: date,
+                snapshot_log: SnapshotLog | DataFrame | None = None, evidence_since: date | None = None,
                 extra_invoices: DataFrame | None = None, shipments: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Headers and lines of one channel as of a day.
 
     The staged rows of both branches are written once; headers and lines are read from them.
 
     ``snapshot_log``, when given, is the log the candidates were written to: the newest load *of
-    this channel* is read from it, so a channel without new rows does not pick up another's load.
+    this channel* is read from it, so a channel without new rows does not pick up another's load. A :class:`SnapshotLog` knows that load
+    without reading others. Where its rows are placed but not numbered, they are numbered here.
     """
     rows = candidates
-    if snapshot_log is not None:
+    ours = F.col("internal_sales_channel").isin(*cfg.channels)
+    if isinstance(snapshot_log, SnapshotLog):
+        newest = snapshot_log.newest(*[[channel] for channel in cfg.channels]).drop(SNAPSHOT_PARTITION)
+        rows = (numbered_load(newest) if PLACE in newest.columns else newest).where(ours)
+    elif snapshot_log is not None:
         stamp = SNAPSHOT_PARTITION if SNAPSHOT_PARTITION in snapshot_log.columns else SNAPSHOT_COL
-        rows = latest_snapshot(snapshot_log, stamp, F.col("internal_sales_channel").isin(*cfg.channels))
+        if PLACE in snapshot_log.columns:
+            # other channels of the same write may hold lines of the same documents
+            newest = snapshot_log.where(F.col(stamp) == snapshot_log.where(ours).select(F.max(stamp)).scalar())
+            rows = numbered_load(newest).where(ours)
+        else:
+            rows = latest_snapshot(snapshot_log, stamp, ours)
         rows = rows.drop(SNAPSHOT_PARTITION)
-    own = stage_own(rows, tables, cfg, as_of)
+    both = stage(rows, tables, cfg, as_of)
     if cfg.evidence:
         places = warehouse_locations(tables["transactions"], cfg.evidence, evidence_since or cfg.date_from)
-        own = update_from(own, places, cfg.evidence_key, "transaction_id", "wh_location", "location",
-                          F.col("wh_location") == c.UNIDENTIFIED)
-    both = own.withColumn("_own", F.lit(True)).unionByName(
-        stage_on_behalf(rows, tables, cfg, as_of).withColumn("_own", F.lit(False)))
+        both = update_from(both, places, cfg.evidence_key, "transaction_id", "wh_location", "location",
+                           F.col("_own") & (F.col("wh_location") == c.UNIDENTIFIED))
     both = cut_lineage(both, "staged")
     own, obh = both.where("_own").drop("_own"), both.where("not _own").drop("_own")
     header_rows = line_rows = own
@@ -260,7 +292,8 @@ def document_lines(header: DataFrame, line: DataFrame) -> DataFrame:
 
 # ---- candidates per channel ---------------------------------------------------------------------
 def settlement_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, owner: str, company: str,
-                          numbered: bool = True) -> DataFrame:
+                          numbered: bool = True,
+                          placed: bool = False) -> DataFrame:
     """Settled sale rows; one document per purchase order and report date."""
     rows = t["settlements"].where(
         (F.col("transaction_type") == "SALE") & F.col("settlement_date").between(F.lit(since), F.lit(as_of)))
@@ -277,11 +310,12 @@ def settlement_candidates(t: Tables, as_of: date, run_ts: datetime, since: date,
         "customer_posting_group": c.POSTING_GROUP, "payment_term": "14D", "wh_location": c.UNIDENTIFIED,
         "sales_channel": "CHAN-WMMKP", "country": "REG-USA", "internal_sales_channel": "WM WFS",
         "original_company_id": company, "belong_to_company": owner,
-    }, ["asin", "amount", "quantity", "order_date"], run_ts, numbered=numbered)
+    }, ["asin", "amount", "quantity", "order_date"], run_ts, numbered=numbered, placed=placed)
 
 
 def dropship_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, owner: str, company: str,
-                        orders_since: date, sku_alias: Mapping[str, str] | None = None, numbered: bool = True) -> DataFrame:
+                        orders_since: date, sku_alias: Mapping[str, str] | None = None, numbered: bool = True,
+                        placed: bool = False) -> DataFrame:
     """Lines of fully settled orders, priced with promotions found through the catalogue item ids."""
     lines = t["order_lines"].where(F.col("order_date").cast("date").between(F.lit(orders_since), F.lit(as_of)))
     settled = completeness(lines, "purchase_order_id", "order_line_status", ["Delivered", "Shipped"], ["Cancelled"])
@@ -327,12 +361,13 @@ def dropship_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, o
         "customer_posting_group": c.POSTING_GROUP, "payment_term": "60D", "wh_location": c.UNIDENTIFIED,
         "sales_channel": "CHAN-WMDSV", "country": "REG-USA", "internal_sales_channel": "WM DSV",
         "original_company_id": company, "belong_to_company": owner,
-    }, ["asin", "order_line_id", "unit_price", "quantity", "amount"], run_ts, numbered=numbered)
+    }, ["asin", "order_line_id", "unit_price", "quantity", "amount"], run_ts, numbered=numbered, placed=placed)
 
 
 def basecost_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str], company: str,
                         item_company: str, accounts: Mapping[str, str], castle_locations: Mapping[str, str],
-                        skip_invoices: Sequence[str] = (), numbered: bool = True) -> DataFrame:
+                        skip_invoices: Sequence[str] = (), numbered: bool = True,
+                        placed: bool = False) -> DataFrame:
     """Invoices priced with the base cost valid when the order was placed.
 
     ``accounts`` maps account name to region, ``castle_locations`` account name to the location of
@@ -373,11 +408,12 @@ def basecost_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, o
     return as_candidates(rows, {
         "bill_to_customer": c.CUSTOMER_WF, "sell_to_customer": c.CUSTOMER_WF, "platform": "PLF-WF-1",
         "payment_term": "60D", "sales_channel": "CHAN-WAYFAIR", "original_company_id": company,
-    }, ["asin", "unit_price", "quantity", "amount"], run_ts, number_by="numbering_doc", numbered=numbered)
+    }, ["asin", "unit_price", "quantity", "amount"], run_ts, number_by="numbering_doc", numbered=numbered, placed=placed)
 
 
 def direct_fulfil_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str], company: str,
-                             no_stock: Sequence[str] = c.NO_STOCK_OWNERS, numbered: bool = True) -> DataFrame:
+                             no_stock: Sequence[str] = c.NO_STOCK_OWNERS, numbered: bool = True,
+                             placed: bool = False) -> DataFrame:
     """Item lines of accepted direct-fulfilment invoices."""
     heads = t["df_summary"].where(
         F.col("invoicedate").cast("date").between(F.lit(since), F.lit(as_of)) & (F.col("status") != "REJECTED"))
@@ -404,11 +440,12 @@ def direct_fulfil_candidates(t: Tables, as_of: date, run_ts: datetime, since: da
         "bill_to_customer": c.CUSTOMER_AMZ, "sell_to_customer": c.CUSTOMER_AMZ, "platform": "PLF-AMZ-1",
         "payment_term": "60D", "sales_channel": "CHAN-AVC", "internal_sales_channel": "AVC DS",
         "original_company_id": company,
-    }, ["asin", "amount", "quantity"], run_ts, number_by="numbering_doc", numbered=numbered)
+    }, ["asin", "amount", "quantity"], run_ts, number_by="numbering_doc", numbered=numbered, placed=placed)
 
 
 def payment_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str],
-                       no_stock: Sequence[str] = c.NO_STOCK_OWNERS, numbered: bool = True) -> DataFrame:
+                       no_stock: Sequence[str] = c.NO_STOCK_OWNERS, numbered: bool = True,
+                       placed: bool = False) -> DataFrame:
     """Payment rows of type Order; seller SKU to product id to item through two order extracts."""
     payments = t["payments"].where(
         F.col("date_time").cast("date").between(F.lit(since), F.lit(as_of)) & (F.col("type") == "Order"))
@@ -449,12 +486,13 @@ def payment_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, ow
     return as_candidates(rows, {
         "bill_to_customer": c.CUSTOMER_AMZ, "sell_to_customer": c.CUSTOMER_AMZ, "platform": "PLF-AMZ-1",
         "payment_term": "14D", "sales_channel": "CHAN-ASC",
-    }, ["asin", "amount", "quantity", "discount", "internal_sales_channel"], run_ts, numbered=numbered)
+    }, ["asin", "amount", "quantity", "discount", "internal_sales_channel"], run_ts, numbered=numbered, placed=placed)
 
 
 def vendor_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own: Sequence[str], company: str,
                       stock_vendors: Sequence[str], gpe_vendors: Sequence[str], skip_invoices: Sequence[str] = (),
-                      no_stock: Sequence[str] = c.NO_STOCK_OWNERS, home: str = "USA", numbered: bool = True) -> DataFrame:
+                      no_stock: Sequence[str] = c.NO_STOCK_OWNERS, home: str = "USA", numbered: bool = True,
+                      placed: bool = False) -> DataFrame:
     """Vendor invoices by purchase order; the vendor code tells import, stock or GPE channel."""
     channel = (
         F.when(F.col("vendor").isin(*stock_vendors), F.lit("AVC WH"))
@@ -499,4 +537,4 @@ def vendor_candidates(t: Tables, as_of: date, run_ts: datetime, since: date, own
     return as_candidates(rows, {
         "bill_to_customer": c.CUSTOMER_AMZ, "sell_to_customer": c.CUSTOMER_AMZ, "platform": "PLF-AMZ-1",
         "sales_channel": "CHAN-AVC", "original_company_id": company,
-    }, ["asin", "amount", "quantity", "po_number"], run_ts, numbered=numbered)
+    }, ["asin", "amount", "quantity", "po_number"], run_ts, numbered=numbered, placed=placed)

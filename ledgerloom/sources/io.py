@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.functions.scalars import blank_to_null
+from ledgerloom.sources.versions import SNAPSHOT_COL, SNAPSHOT_PARTITION, SnapshotLog  # noqa: F401
 
-SNAPSHOT_COL = "data_updated_time"
-SNAPSHOT_PARTITION = "load_stamp"
 
 
 def scan(spark: SparkSession, directory: str, table: str, cols: Sequence[str] | None = None,
@@ -92,8 +91,11 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def replace(df: DataFrame, path: str) -> None:
-    """Full replacement: the frame is written beside the target and then takes its place. The
-    frame may read its own target, and a job that dies before the swap leaves the old rows."""
+    """Full replacement of a plain folder of files: the frame is written beside the target and then takes its place.
+
+    The frame may read its own target. For readers that know a plain folder only: between the two renames there is no target.
+    :func:`ledgerloom.sources.versions.publish` has no such moment.
+    """
     spark = df.sparkSession
     new, old = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}", f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
     df.write.parquet(new)
@@ -109,17 +111,14 @@ def replace(df: DataFrame, path: str) -> None:
 
 
 def snapshot_append(df: DataFrame, path: str, run_ts: datetime, stamp: str = SNAPSHOT_COL,
-                    within: Sequence[str] = ()) -> DataFrame:
-    """Append with one load stamp for the whole write.
+                    within: Sequence[str] = (), covers: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """Append with one load stamp for the whole write, and return the log.
 
-    One directory per value of ``within`` (a channel) and stamp, so reading the newest load of a
-    channel prunes all others. Writing a stamp again replaces its rows instead of doubling them.
+    One folder per value of ``within`` (a channel) and stamp, so reading the newest load of a channel prunes all others. Writing a stamp
+    again replaces its rows instead of doubling them, also those of channels without rows in the second run; see
+    :class:`ledgerloom.sources.versions.SnapshotLog`, which also reads the newest load alone.
     """
-    stamped = df.withColumn(stamp, F.lit(run_ts)).withColumn(
-        SNAPSHOT_PARTITION, F.lit(run_ts.strftime("%Y%m%d%H%M%S%f")))
-    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*within, SNAPSHOT_PARTITION).parquet(path)
-    # the given schema keeps codes in directory names from being read as numbers
-    return df.sparkSession.read.schema(stamped.schema).parquet(path).select(*stamped.columns)
+    return SnapshotLog(df.sparkSession, path, within).append(df, run_ts, covers, stamp)
 
 
 def report_frame(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ledgerloom.plans import accrual, config as c, expense, recon, sales_invoice as si
 from ledgerloom.plans.config import ChannelConfig, GlConfig
@@ -237,3 +237,24 @@ def test_booked_only_rows_on_request(spark):
     booked = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "booked_doc string, booked_amount double")
     assert recon.recon_documents(source, booked).count() == 0
     assert rows(recon.recon_documents(source, booked, booked_only=True), "source_doc", "booked_doc") == [(None, "b")]
+
+
+def test_placed_log_numbers_documents_over_slices_and_channels(spark, tmp_path):
+    """One write: the log itself. Numbers match a window over all candidates, also where a document lies in several slices and channels."""
+    raw = spark.createDataFrame([(f"d{i % 3}" if i % 5 else "hot", f"sku{i % 7}", i % 11, "A" if i % 4 else "B", "M" if i % 6 else None) for i in range(400)],
+                                "external_doc_no string, asin string, quantity int, internal_sales_channel string, belong_to_company string").repartition(5)
+    raw = raw.unionByName(raw.where("external_doc_no = 'hot'"))
+    args = ({}, ["asin", "quantity"], datetime(2025, 1, 20))
+    path = str(tmp_path / "log")
+    log = snapshot_append(si.as_candidates(raw, *args, placed=True), path, datetime(2025, 1, 20), within=["internal_sales_channel"])
+    slices = log.where("external_doc_no = 'hot'").select(F.shiftright("log_place", 33)).distinct().count()
+    assert slices > 1
+    cols = ["external_doc_no", "asin", "quantity", "line_no"]
+    window = Window.partitionBy("external_doc_no").orderBy("asin", "quantity")
+    want = raw.withColumn("line_no", F.row_number().over(window) * 10000).withColumn("quantity", F.col("quantity").cast("decimal(18,6)"))
+    assert rows(si.numbered_load(log), *cols) == rows(want, *cols)
+    # a second write under the same stamp is numbered by itself
+    other = raw.withColumn("internal_sales_channel", F.lit("C"))
+    log = snapshot_append(si.as_candidates(other, *args, placed=True), path, datetime(2025, 1, 20), within=["internal_sales_channel"])
+    assert rows(si.numbered_load(log).where("internal_sales_channel = 'C'"), *cols) == rows(want, *cols)
+    assert rows(si.numbered_load(log).where("internal_sales_channel <> 'C'"), *cols) == rows(want, *cols)

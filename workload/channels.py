@@ -5,7 +5,7 @@ from datetime import date, datetime
 from ledgerloom.plans import config as c
 from ledgerloom.plans import sales_invoice as si
 from ledgerloom.session import new_stage_path
-from ledgerloom.sources.io import snapshot_append
+from ledgerloom.sources.versions import SnapshotLog
 from workload.registry import query
 
 AS_OF = date(2001, 7, 20)
@@ -91,7 +91,8 @@ def unposted(pst: str, exc: str | None, types: str = "'ORDER'", key: str = "exte
 
 def booked(t, cand, tables, cfg, **more):
     """Write the candidates to a snapshot log once, then book the newest load from it."""
-    log = snapshot_append(cand, new_stage_path(t.spark, "snapshot_log"), RUN_TS, within=["internal_sales_channel"])
+    log = SnapshotLog(t.spark, new_stage_path(t.spark, "snapshot_log"), ["internal_sales_channel"])
+    log.append(cand, RUN_TS, covers=[[channel] for channel in cfg.channels])
     return si.document_lines(*si.run_channel(cand, tables, cfg, AS_OF, snapshot_log=log, **more)).select(*SHOWN)
 
 
@@ -119,7 +120,7 @@ with cand as (
     and s.po_number not in (select po_number from shipped_lines where not regexp_matches(location_code, 'SRT'))''', RUN_DAY, 'txn_wfs', 'po_number')})
 {final_sql(f'select {OWN_LINE} from own', f'select {OWN_HEAD} from own')}""")
 def si_settlement(t):
-    cand = si.settlement_candidates(t.pick(settlements="settlements", companies="companies"), AS_OF, RUN_TS, SINCE, "MAIN", "CO1")
+    cand = si.settlement_candidates(t.pick(settlements="settlements", companies="companies"), AS_OF, RUN_TS, SINCE, "MAIN", "CO1", placed=True)
     cfg = c.settlement_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_wfs", "exc_wfs", "txn_wfs", posted_line=t["shipped_lines"]), cfg)
 
@@ -163,7 +164,7 @@ cand as (select cast(order_date as date) as order_date, purchase_order_id as ext
 def si_dropship_promo(t):
     raw = t.pick(order_lines="order_lines", catalogue="catalogue", promo_log="promo_log", promo_sheet="promo_sheet",
                  companies="companies", posted_header="pst_dsv")
-    cand = si.dropship_candidates(raw, AS_OF, RUN_TS, SINCE, "MAIN", "CO1", SINCE)
+    cand = si.dropship_candidates(raw, AS_OF, RUN_TS, SINCE, "MAIN", "CO1", SINCE, placed=True)
     cfg = c.dropship_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_dsv", "exc_dsv", "txn_dsv"), cfg)
 
@@ -208,7 +209,7 @@ def si_invoice_basecost(t):
     raw = t.pick(invoices="invoices", orders_export="orders_export", base_cost="base_cost", items="items",
                  companies="companies", dropship_export="dropship_export")
     cand = si.basecost_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO2", "CO1", {"ACCT_US": "REG-USA", "ACCT_CA": "REG-CAN"},
-                                  {"ACCT_US": "157-WFC-US", "ACCT_CA": "157-WF-CAN"})
+                                  {"ACCT_US": "157-WFC-US", "ACCT_CA": "157-WF-CAN"}, placed=True)
     cfg = c.basecost_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_wf", "exc_wf", "txn_wf"), cfg)
 
@@ -244,7 +245,7 @@ DF_OPEN = """s.original_external_doc_no not in (select original_external_doc_no
   "select * from heads where not (external_doc_no in (select external_doc_no from mixed) and belong_to_company in ('SIDE', 'JOINT'))")}""")
 def si_direct_fulfil(t):
     raw = t.pick(df_items="df_items", df_summary="df_summary", profiles="profiles", items="items", companies="companies")
-    cand = si.direct_fulfil_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1")
+    cand = si.direct_fulfil_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", placed=True)
     cfg = c.direct_fulfil_channel(CORE, SINCE, "MAIN")
     return booked(t, cand, core(t, "pst_ds", None, "txn_ds"), cfg)
 
@@ -285,7 +286,7 @@ cand as (select date_time as order_date, case when belong_to_company in ('MAIN',
 def si_payment_report(t):
     raw = t.pick(payments="payments", seller_orders_a="seller_orders_a", seller_orders_b="seller_orders_b",
                  profiles="profiles", items="items", companies="companies")
-    cand = si.payment_candidates(raw, AS_OF, RUN_TS, SINCE, CORE)
+    cand = si.payment_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, placed=True)
     cfg = c.payment_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_asc", "exc_asc", "txn_asc"), cfg)
 
@@ -342,7 +343,7 @@ EXTRA_LINE = LINE.format(type=f"case when {EXTRA} then 'G/L Account' else 'ITEM'
 def si_vendor_invoice(t):
     raw = t.pick(vendor_invoices="vendor_invoices", vendor_invoice_detail="vendor_invoice_detail", purchase_orders="purchase_orders",
                  profiles="profiles", second_skus="second_skus", items="items", companies="companies")
-    cand = si.vendor_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", ["VENA", "VENB"], ["VENG"])
+    cand = si.vendor_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", ["VENA", "VENB"], ["VENG"], placed=True)
     cfg = c.vendor_channel(CORE, SINCE)
     return booked(t, cand, core(t, "pst_avc", "exc_avc", None), cfg, extra_invoices=t["extra_invoices"],
                   shipments=t["shipments"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import incremental as inc
 from ledgerloom.session import new_stage_path
 from ledgerloom.sources import io
+from ledgerloom.sources.versions import current, publish
 from workload.registry import query
 
 CUTOFF = date(1998, 1, 1)
@@ -57,9 +58,8 @@ def append_sink(t):
 @query("replace_sink", "select o_orderkey, o_orderstatus, cast(o_totalprice as decimal(18,2))::double as o_totalprice from orders where o_orderstatus <> 'P'")
 def replace_sink(t):
     path = stage(t, "replace")
-    io.replace(t["orders"].select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice")), path)
-    io.replace(t.spark.read.parquet(path).where("o_orderstatus <> 'P'"), path)
-    return t.spark.read.parquet(path)
+    publish(t["orders"].select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice")), path)
+    return publish(current(t.spark, path).where("o_orderstatus <> 'P'"), path)
 
 
 @query("snapshot_append", """select o_orderkey, o_orderstatus, '2001-07-20 06:00:00' as data_updated_time from orders where o_orderstatus <> 'F'""")
