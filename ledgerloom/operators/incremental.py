@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerloom.sources.ledgers import KeyedLedger
+
 
 def latest_snapshot(df: DataFrame, ts: str, within: Column | None = None) -> DataFrame:
     """Rows carrying the newest stamp, ties kept; ``within`` limits which rows count (a channel)."""
@@ -23,19 +25,28 @@ def keys_of(df: DataFrame, key: str, alias: str | None = None) -> DataFrame:
     return df.select(F.col(key).alias(alias or key)).distinct()
 
 
-def exclude_posted(df: DataFrame, key: str, *lists: tuple[DataFrame, str]) -> DataFrame:
-    """Rows whose key is in none of the lists; each list is ``(frame, key column)``. Null keys stay."""
-    seen = reduce(DataFrame.union, [other.select(F.col(k).alias(key)) for other, k in lists])
+def exclude_posted(df: DataFrame, key: str, *lists: tuple[DataFrame, str] | KeyedLedger) -> DataFrame:
+    """Rows whose key is in none of the lists; each list is ``(frame, key column)`` or a ledger laid out by key, which is not
+    shuffled. Null keys stay."""
+    for ledger in lists:
+        if isinstance(ledger, KeyedLedger):
+            df = ledger.exclude(df, key)
+    frames = [other for other in lists if not isinstance(other, KeyedLedger)]
+    if not frames:
+        return df
+    seen = reduce(DataFrame.union, [other.select(F.col(k).alias(key)) for other, k in frames])
     return df.join(seen, key, "left_anti")
 
 
-def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None = None,
+def not_in(df: DataFrame, key: str, other: DataFrame | KeyedLedger, other_key: str | None = None,
            null_aware: bool = True) -> DataFrame:
     """``key NOT IN (select other_key from other)``.
 
     A null in the list empties the result; a null key passes only against an empty list. Done as
     a shuffled anti join and scalar facts about the list, so the list is never broadcast whole.
     """
+    if isinstance(other, KeyedLedger):
+        return other.not_in(df, key) if null_aware else other.exclude(df, key)
     other_key = other_key or key
     listed = other.select(F.col(other_key).alias(key))
     kept = df.join(listed, key, "left_anti")
@@ -70,7 +81,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rn", F.row_number().over(rank)).where("_rn = 1").drop("_rn")
 
 
-def promote(daily_h: DataFrame, daily_l: DataFrame, final_h: DataFrame, final_l: DataFrame,
+def promote(daily_h: DataFrame, daily_l: DataFrame, final_h: DataFrame | KeyedLedger, final_l: DataFrame | KeyedLedger,
             header_doc: str = "external_doc_no", line_doc: str = "document_no",
             flag: str = "is_processed") -> tuple[DataFrame, DataFrame]:
     """Daily rows to add to the final tables: unseen headers with flag 0, and unseen distinct lines

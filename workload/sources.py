@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import incremental as inc
 from ledgerloom.session import new_stage_path
 from ledgerloom.sources import io
+from ledgerloom.sources.ledgers import KeyedLedger
 from ledgerloom.sources.versions import current, publish
 from workload.registry import query
 
@@ -182,6 +183,43 @@ def promote_to_final(t):
     return header.unionByName(line.select(F.lit("line").alias("kind"), F.col("document_no").alias("doc"), F.col("l_partkey").alias("part"), F.col("l_quantity").alias("qty")))
 
 
+@query("promote_to_keyed_ledger", f"""with {DAILY_H}, {FINAL_H}, daily_l as (select l_orderkey as document_no, l_partkey, l_quantity from lineitem),
+  final_l as (select document_no from daily_l where document_no in (select external_doc_no from final_h)),
+  new_h as (select * from daily_h where is_processed = 0 and external_doc_no not in (select external_doc_no from final_h)),
+  new_l as (select distinct * from daily_l where document_no not in (select document_no from final_l)
+    and document_no in (select external_doc_no from daily_h where is_processed = 0))
+  select 'header' as kind, count(*) as n, count(distinct external_doc_no) as documents from (select external_doc_no from final_h union all select external_doc_no from new_h)
+  union all select 'line', count(*), count(distinct document_no) from (select document_no from final_l union all select document_no from new_l)
+  union all select 'second run', 0, 0""")
+def promote_to_keyed_ledger(t):
+    """The day's documents go into ledgers laid out by key; a second run of the day finds nothing to add."""
+    daily_h = t["orders"].where(F.col("o_orderdate") >= F.lit(date(1997, 1, 1))).select(
+        F.col("o_orderkey").alias("external_doc_no"), F.when(F.col("o_orderstatus") == "P", 2).otherwise(0).alias("is_processed"))
+    old_h = t["orders"].where(F.col("o_orderdate") < F.lit(CUTOFF)).select(F.col("o_orderkey").alias("external_doc_no"))
+    daily_l = t["lineitem"].select(F.col("l_orderkey").alias("document_no"), "l_partkey", "l_quantity")
+    old_l = daily_l.join(old_h.withColumnRenamed("external_doc_no", "document_no"), "document_no", "left_semi")
+    final_h = KeyedLedger(t.spark, stage(t, "final_header"), "external_doc_no", 8).replace(old_h)
+    final_l = KeyedLedger(t.spark, stage(t, "final_line"), "document_no", 8).replace(old_l)
+    header, line = inc.promote(daily_h, daily_l, final_h, final_l)
+    final_h.append(header.select("external_doc_no"))
+    # the lines were planned on the line ledger alone, so the order of the two writes doesn't matter
+    final_l.append(line)
+    again_h, again_l = inc.promote(daily_h, daily_l, final_h, final_l)
+    tally = lambda df, kind, key: df.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("documents"))
+    second = again_h.select("external_doc_no").union(again_l.select("document_no"))
+    return tally(final_h.rows(), "header", "external_doc_no").union(tally(final_l.rows(), "line", "document_no")).union(tally(second, "second run", "external_doc_no"))
+
+
+@query("posted_exclusion_keyed", """select o_orderkey, o_totalprice from orders where o_orderkey not in
+  (select o_orderkey from orders where upper(o_orderstatus) = 'F' union select l_orderkey from lineitem where l_returnflag = 'R' and l_orderkey is not null)""")
+def posted_exclusion_keyed(t):
+    """As ``posted_exclusion``, the posted documents and the exclusion list being one ledger laid out by key, written in two steps."""
+    posted = t["orders"].where(F.upper("o_orderstatus") == "F").select("o_orderkey")
+    returned = t["lineitem"].where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    ledger = KeyedLedger(t.spark, stage(t, "posted"), "o_orderkey", 8).replace(posted).append(returned)
+    return inc.exclude_posted(t["orders"].select("o_orderkey", "o_totalprice"), "o_orderkey", ledger)
+
+
 LEDGER = """select l_orderkey as external_document_no, l_suppkey as region_code, cast(l_shipdate as date) as posting_date,
   cast(l_shipdate as date) as document_date, case when l_linenumber = 4 then cast(0 as decimal(18,2)) else cast(l_extendedprice as decimal(18,2)) end as amount,
   {flag} as is_processed from lineitem"""
