@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -162,50 +161,47 @@ def promo_accrual(t: Tables, period: str, run_ts: datetime, own: Sequence[str],
     and the newest estimate log for everything after it."""
     day = period_day(period, end_day)
     low, high = (F.lit(x) for x in frozen_range)
-    frozen = t["estimate_log"].where(in_period("run_time", frozen_period) & F.col("report_date").between(low, high))
-    keys = ["promotion_id", "country", "platform", "sale_channel", "platform_prd_id", "report_date"]
+    keys = ["country", "platform", "sale_channel", "platform_prd_id", "report_date"]
 
+    # one pass over the estimates; a row counts for the frozen branch, the open one, or both
+    log = t["estimate_log"]
+    frozen = in_period("run_time", frozen_period) & F.col("report_date").between(low, high)
+    fresh = (F.col("run_time") == log.select(F.max("run_time")).scalar()) & F.col("report_date").between(F.lit(open_from), F.lit(day))
+    branch = F.explode(F.array_compact(F.array(F.when(frozen, "frozen"), F.when(fresh, "open"))))
     # the source joins estimate rows to invoice rows of one key and then sums: each sum is the sum
     # of one side times the row count of the other, so both sides are summed before they meet
-    estimates = frozen.groupBy("promotion_id", *keys[1:]).agg(
-        F.count(F.lit(1)).alias("_est"), F.sum("pro_est_adj_usd").alias("pro_est_adj_usd"),
-        F.sum("pro_est_adj_lc").alias("pro_est_adj_lc")).withColumn("_promo", F.coalesce("promotion_id", F.lit("")))
-    # a blank promotion stands for a null one
+    estimates = log.where(frozen | fresh).withColumn("branch", branch).groupBy("branch", "promotion_id", *keys).agg(
+        F.count(F.lit(1)).alias("_est"), F.sum("pro_est_adj_usd").alias("est_usd"), F.sum("pro_est_adj_lc").alias("est_lc"),
+        F.sum("invoiced_amt_usd").alias("own_usd"), F.sum("invoiced_amt_lc").alias("own_lc"), F.collect_set("invoices_list").alias("own_lists"))
+    # a blank promotion stands for a null one; only frozen estimates meet today's invoices
+    estimates = estimates.withColumn("_promo", F.when(F.col("branch") == "frozen", F.coalesce("promotion_id", F.lit(""))))
+    # lists are gathered as sets beside the sums: what a key gathers is what its text in the result holds
     invoiced = t["promo_spend"].where(F.col("report_date").between(low, high)).groupBy(
-        F.coalesce("promotion_id", F.lit("")).alias("_promo"), *keys[1:]).agg(
-        F.count(F.lit(1)).alias("_inv"),
-        F.sum("invoiced_amt_usd").alias("invoiced_amt_usd"), F.sum("invoiced_amt_lc").alias("invoiced_amt_lc"))
-    frozen = estimates.join(invoiced, ["_promo", *keys[1:]], "left")
-    times = lambda c, n: (F.col(c) * F.coalesce(F.col(n), F.lit(1))).alias(c)
-    listed = frozen.select(*keys, "_promo").join(
-        t["promo_spend"].where(F.col("report_date").between(low, high)).select(
-            F.coalesce("promotion_id", F.lit("")).alias("_promo"), *keys[1:], "invoices_list").distinct(), ["_promo", *keys[1:]])
-    frozen = frozen.select(*keys, times("pro_est_adj_usd", "_inv"), times("pro_est_adj_lc", "_inv"),
-                           times("invoiced_amt_usd", "_est"), times("invoiced_amt_lc", "_est"))
-    fresh = latest_snapshot(t["estimate_log"], "run_time").where(
-        F.col("report_date").between(F.lit(open_from), F.lit(day)))
+        F.coalesce("promotion_id", F.lit("")).alias("_promo"), *keys).agg(
+        F.count(F.lit(1)).alias("_inv"), F.sum("invoiced_amt_usd").alias("inv_usd"), F.sum("invoiced_amt_lc").alias("inv_lc"),
+        F.collect_set("invoices_list").alias("inv_lists"))
+    both = estimates.join(invoiced, ["_promo", *keys], "left")
+    is_open = F.col("branch") == "open"
+    paired = lambda c: F.col(c) * F.coalesce("_inv", F.lit(1))
+    rows = both.select(
+        "branch", "promotion_id", *keys, paired("est_usd").alias("est_usd"), paired("est_lc").alias("est_lc"),
+        F.when(is_open, F.col("own_usd")).otherwise(F.col("inv_usd") * F.col("_est")).alias("invoiced_usd"),
+        F.when(is_open, F.col("own_lc")).otherwise(F.col("inv_lc") * F.col("_est")).alias("invoiced_lc"),
+        F.when(is_open, F.col("own_lists")).otherwise(F.coalesce("inv_lists", F.array().cast("array<string>"))).alias("lists"))
     # a product may be listed on several platforms with different owners
     owners = t["profiles"].where(F.col("platform_short") == platform_short).select(
         F.col("platform_product_id").alias("platform_prd_id"), F.col("pims_company").alias("_owner"))
+    rows = rows.join(owners, "platform_prd_id", "left").where(F.coalesce("_owner", F.lit(main or own[0])).isin(*own))
     group = ["report_month", "promotion_id", "platform_prd_id", "platform", "country"]
-
-    def owned(rows: DataFrame) -> DataFrame:
-        rows = rows.join(owners, "platform_prd_id", "left").where(F.coalesce("_owner", F.lit(main or own[0])).isin(*own))
-        return rows.withColumn("report_month", date_text("report_date", "YYYY-MM"))
-
-    def summed(rows: DataFrame, lists: DataFrame) -> DataFrame:
-        texts = owned(lists).select(*group, "invoices_list").distinct().groupBy(*[F.col(k).alias(f"_l_{k}") for k in group]).agg(
-            string_distinct("invoices_list", "|").alias("list_invoice_number"))
-        grouped = owned(rows).groupBy(*group).agg(
-            F.sum("pro_est_adj_usd").alias("est_amt_usd"), F.sum("pro_est_adj_lc").alias("est_amt_lcy"),
-            F.sum("invoiced_amt_usd").alias("invoiced_amt_usd"), F.sum("invoiced_amt_lc").alias("invoiced_amt_lcy"))
-        grouped = grouped.join(texts, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_l_{k}")) for k in group]), "left").select(
-            *group, "list_invoice_number", "est_amt_usd", "est_amt_lcy", "invoiced_amt_usd", "invoiced_amt_lcy")
-        return grouped.withColumns({
-            "accrual_usd": positive_gap("est_amt_usd", "invoiced_amt_usd"),
-            "accrual_lcy": positive_gap("est_amt_lcy", "invoiced_amt_lcy")})
-
-    rows = summed(frozen, listed).unionByName(summed(fresh, fresh)).distinct()
+    # rows of a group are the days and sales channels of a month by now
+    lists = F.array_distinct(F.flatten(F.collect_list("lists")))
+    grouped = rows.withColumn("report_month", date_text("report_date", "YYYY-MM")).groupBy("branch", *group).agg(
+        F.when(F.size(lists) > 0, F.array_join(F.array_sort(lists), "|")).alias("list_invoice_number"),
+        F.sum("est_usd").alias("est_amt_usd"), F.sum("est_lc").alias("est_amt_lcy"),
+        F.sum("invoiced_usd").alias("invoiced_amt_usd"), F.sum("invoiced_lc").alias("invoiced_amt_lcy"))
+    rows = grouped.drop("branch").withColumns({
+        "accrual_usd": positive_gap("est_amt_usd", "invoiced_amt_usd"),
+        "accrual_lcy": positive_gap("est_amt_lcy", "invoiced_amt_lcy")}).distinct()
     return rows.withColumns({
         "posting_date": F.lit(day), "run_time": F.lit(run_ts),
         "external_doc_no": concat_skip_null(F.lit("PROMOACRAMZ"), "country", F.lit(day.strftime("%Y%m")))})
