@@ -84,16 +84,16 @@ class Layer:
     text: str
     origin: list[tuple[int, int, int | None]]
 
+    def __post_init__(self):
+        self.firsts = [first for first, _, _ in self.origin]
+
     def span(self, start: int, end: int) -> tuple[int, int]:
-        low, high = None, 0
-        runs = self.origin
-        for i, (first, at, whole) in enumerate(runs):
-            last = runs[i + 1][0] if i + 1 < len(runs) else len(self.text)
-            if last <= start or first >= end:
-                continue
-            a, b = (at, whole) if whole is not None else (at + max(start, first) - first, at + min(end, last) - first)
-            low, high = a if low is None else min(low, a), max(high, b)
-        return low, high
+        """Where a stretch stands in the original. Runs are in its order, so the first and the last one tell."""
+        first, low, whole = self.origin[bisect.bisect_right(self.firsts, start) - 1]
+        if whole is None:
+            low += start - first
+        first, at, high = self.origin[bisect.bisect_left(self.firsts, end) - 1]
+        return low, at + end - first if high is None else high
 
 
 def merged(origin: list[tuple[int, int, int | None]]) -> list[tuple[int, int, int | None]]:
@@ -114,7 +114,7 @@ def undone(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | None
         if plain is None:
             continue
         if m.start() > last:
-            origin += [(size + x, a, b) for x, a, b in pieces(layer, last, m.start())]
+            origin += pieces(layer, last, m.start(), size)
             out.append(layer.text[last:m.start()])
             size += m.start() - last
         if plain:
@@ -124,19 +124,20 @@ def undone(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | None
         last = m.end()
     if not last:
         return None
-    origin += [(size + x, a, b) for x, a, b in pieces(layer, last, len(layer.text))]
+    origin += pieces(layer, last, len(layer.text), size)
     out.append(layer.text[last:])
     return Layer(name, "".join(out), merged(origin))
 
 
-def pieces(layer: Layer, start: int, end: int) -> list[tuple[int, int, int | None]]:
-    """The origin of a stretch, as runs from its first character on."""
-    out = []
-    for i, (first, at, whole) in enumerate(layer.origin):
-        last = layer.origin[i + 1][0] if i + 1 < len(layer.origin) else len(layer.text)
-        if last > start and first < end:
-            skip = max(start - first, 0)
-            out.append((max(first - start, 0), at if whole is not None else at + skip, whole))
+def pieces(layer: Layer, start: int, end: int, size: int) -> list[tuple[int, int, int | None]]:
+    """The origin of a stretch, as runs whose first characters are counted from ``size``."""
+    if start >= end:
+        return []
+    low, high = bisect.bisect_right(layer.firsts, start) - 1, bisect.bisect_left(layer.firsts, end)
+    first, at, whole = layer.origin[low]
+    out = [(size, at + start - first if whole is None else at, whole)]
+    shift = size - start
+    out += [(first + shift, at, whole) for first, at, whole in layer.origin[low + 1:high]]
     return out
 
 
