@@ -9,7 +9,8 @@ The suffix sums are made in two levels (blocks of ``BLOCK`` lengths, then within
 more than one block of lengths or one row per block.
 
 Defined results: a null or empty text has 0 tokens and is counted; equal rows count each for itself; an empty table
-has an empty histogram. Text that looks like a special token is encoded as ordinary text.
+has an empty histogram; texts of any length are counted whole, white space of any length included; only the text column is read, so
+other columns don't matter. Text that looks like a special token is encoded as ordinary text.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ledgerloom.llm.common import map_texts
+from ledgerloom.llm.common import map_texts, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 MOST_VOCABULARY = 64 << 20      # bytes of a vocabulary file that may be sent to the tasks
@@ -32,6 +33,8 @@ PIECE = 1 << 16                 # characters encoded at once
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Between a letter and a blank that is followed by a letter the pattern always splits, so a long text may be cut there.
 CUT = re.compile(r"(?<=[^\W\d_])(?= [^\W\d_])")
+# White space as the pattern knows it. Runs of this length are encoded apart.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1024,}")
 
 
 def pieces(text: str) -> list[str]:
@@ -48,6 +51,17 @@ def pieces(text: str) -> list[str]:
     return [*out, text[last:]]
 
 
+def n_tokens(text: str, encoding) -> int:
+    """Number of tokens. A long run of blanks is one piece for the merges, but for its last character where text follows: the pattern
+    leaves that one to what comes next. Such runs are encoded apart, as matching the pattern on them needs a stack as deep as they are long."""
+    count, last = 0, 0
+    for m in BLANKS.finditer(text):
+        count += sum(len(encoding.encode_ordinary(p)) for p in pieces(text[last:m.start()]))
+        last = m.end() if m.end() == len(text) else m.end() - 1
+        count += len(encoding._encode_single_piece(text[m.start():last]))
+    return count + sum(len(encoding.encode_ordinary(p)) for p in pieces(text[last:]))
+
+
 def lengths(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") -> DataFrame:
     """(n_tokens, docs): how many texts have that many tokens."""
     with open(tokenizer, "rb") as f:
@@ -61,12 +75,12 @@ def lengths(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") ->
             import tiktoken
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.value.splitlines())}
             made.append(tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}))
-        encode = made[0].encode_ordinary
-        counts = Counter(sum(len(encode(p)) for p in pieces(t)) if t else 0 for t in batch.column(0).to_pylist())
+        counts = Counter(n_tokens(t, made[0]) if t else 0 for t in batch.column(0).to_pylist())
         yield {"n_tokens": list(counts), "docs": list(counts.values())}
 
     rows = map_texts(docs.select(F.col(f"`{text}`")), per_batch, "n_tokens long, docs long")
-    return rows.groupBy("n_tokens").agg(F.sum("docs").alias("docs"))
+    # written, as readers look at the histogram more than once and texts are to be encoded once
+    return written(rows.groupBy("n_tokens").agg(F.sum("docs").alias("docs")), "lengths")
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
@@ -93,8 +107,9 @@ def at_limits(sums: DataFrame, spark: SparkSession, limits: Sequence[int]) -> Da
     """(limit, docs_over, tokens_kept, tokens_cut) for any context limits, from the sums alone."""
     asked = spark.createDataFrame([(int(x),) for x in limits], "limit long")
     # the lengths above a limit are summed up in the row of the smallest of them
-    over = asked.join(F.broadcast(sums), F.col("n_tokens") > F.col("limit"), "left").groupBy("limit").agg(
+    over = sums.join(F.broadcast(asked), F.col("n_tokens") > F.col("limit")).groupBy("limit").agg(
         F.min(F.struct("n_tokens", "docs_at_least", "tokens_at_least")).alias("o"))
+    over = asked.distinct().join(over, "limit", "left")
     total = sums.agg(F.coalesce(F.max("tokens_at_least"), F.lit(0)).alias("total"))
     cut = F.coalesce(F.col("o.tokens_at_least") - F.col("limit") * F.col("o.docs_at_least"), F.lit(0))
     return over.crossJoin(total).select("limit", F.coalesce("o.docs_at_least", F.lit(0)).alias("docs_over"),

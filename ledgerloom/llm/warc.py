@@ -7,14 +7,15 @@ with the smallest page id is a response and the others are revisits of it; the i
 found from digests alone and travel through the same sort as one small row each.
 Headers, record ids, digests and dates depend on the page alone, so a task that runs again writes the same bytes.
 
-*Commit.* A task writes under a temporary name of its attempt and renames its files when all of them are complete.
-It returns a manifest row for each file; the manifest is committed by Spark and names what belongs
-to the archive. Files are written through the file system of the given folder, which all executors must share.
+*Commit.* A task writes under a temporary name of its attempt and renames its files when all of them are complete, to names that end
+with their digests. No attempt deletes or replaces another one's files. It returns a manifest row for each file; the manifest is
+committed by Spark and names what belongs to the archive, and files that it does not name are cleared after it. Files are written through the file system of the given folder, which all executors must share.
 
 *Reading.* Files of the manifest are dealt over tasks and streamed record by record; block lengths and digests are checked.
 
 Defined results: a null html is an empty payload; a null url is named after its page; equal rows are one response and
-revisits of it; a null page id sorts before all others and can be a response only if no equal payload has an id.
+revisits of it; a null page id sorts before all others and can be a response only if no equal payload has an id. An empty table gives an archive
+without files. Only the id, the url and the html are read; the caller names them, other columns don't matter.
 """
 
 from __future__ import annotations
@@ -86,12 +87,16 @@ def revisit(page: str | None, url: str, digest: str, size: int, refers: str | No
 
 
 class Roll:
-    """Files of one task: opened under a temporary name, closed at the size limit, renamed together."""
+    """Files of one task: opened under a temporary name of the attempt, closed at the size limit, moved to their names together.
+
+    A name ends with a digest of the file, so files of one name are equal, and an attempt that comes second never has to touch what
+    an earlier one left. The manifest alone says which files belong.
+    """
 
     def __init__(self, folder: str, partition: int, limit: int):
-        self.store, self.root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-        self.partition, self.limit, self.attempt = partition, limit, uuid.uuid4().hex
-        self.temp = f"{self.root}/_temporary/{self.attempt}"
+        self.store, self.root = opened(folder)
+        self.partition, self.limit = partition, limit
+        self.temp = f"{self.root}/_temporary/{uuid.uuid4().hex}"
         self.store.create_dir(self.temp, recursive=True)
         self.files, self.out = [], None
 
@@ -99,31 +104,36 @@ class Roll:
         if self.out and self.files[-1]["bytes"] + len(record) > self.limit:
             self._close()
         if self.out is None:
-            name = f"part-{self.partition:05d}-{len(self.files):05d}.warc.gz"
-            self.out = self.store.open_output_stream(f"{self.temp}/{name}", compression=None)
+            name = f"part-{self.partition:05d}-{len(self.files):05d}"
+            self.out, self.digest = self.store.open_output_stream(f"{self.temp}/{name}", compression=None), hashlib.sha1()
             info = member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(name, "")), ("WARC-Date", DATE),
                            ("WARC-Filename", name), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
-            self.out.write(info)
-            self.files.append({"file": name, "records": 0, "revisits": 0, "bytes": len(info), "crc": zlib.crc32(info)})
-        self.out.write(record)
+            self.files.append({"temp": name, "records": 0, "revisits": 0, "bytes": 0, "crc": 0})
+            self._write(info)
+        self._write(record)
+        self.files[-1]["records"] += 1
+        self.files[-1]["revisits"] += is_revisit
+
+    def _write(self, data: bytes) -> None:
+        self.out.write(data)
+        self.digest.update(data)
         f = self.files[-1]
-        f["records"] += 1
-        f["revisits"] += is_revisit
-        f["bytes"] += len(record)
-        f["crc"] = zlib.crc32(record, f["crc"])
+        f["bytes"] += len(data)
+        f["crc"] = zlib.crc32(data, f["crc"])
 
     def _close(self) -> None:
         self.out.close()
         self.out = None
+        f = self.files[-1]
+        f["file"] = f"{f['temp']}-{self.digest.hexdigest()[:20]}.warc.gz"
 
     def commit(self) -> list[dict]:
         if self.out:
             self._close()
         for f in self.files:
-            final = f"{self.root}/{f['file']}"
-            if self.store.get_file_info(final).type != fs.FileType.NotFound:
-                self.store.delete_file(final)     # of an earlier attempt, with the same bytes
-            self.store.move(f"{self.temp}/{f['file']}", final)
+            temp, final = f"{self.temp}/{f.pop('temp')}", f"{self.root}/{f['file']}"
+            if self.store.get_file_info(final).type == fs.FileType.NotFound:
+                self.store.move(temp, final)
         self.store.delete_dir(self.temp)
         return self.files
 
@@ -180,7 +190,24 @@ def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, min_
     ordered = dealt.select(F.col("page").cast("string"), "sha", "kind", "refers", "url", "size", "record")
     manifest = ordered.mapInArrow(write, "file string, records long, revisits long, bytes long, crc long")
     manifest.write.parquet(f"{folder}/manifest")
-    return spark.read.schema(manifest.schema).parquet(f"{folder}/manifest")
+    listed = spark.read.schema(manifest.schema).parquet(f"{folder}/manifest")
+    clear_strays(folder, listed)
+    return listed
+
+
+def opened(folder: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+
+
+def clear_strays(folder: str, manifest: DataFrame) -> list[str]:
+    """Delete archive files that the written manifest doesn't name: those of attempts that died or came second."""
+    store, root = opened(folder)
+    named = {r.file for r in manifest.select("file").collect()}     # one name per file of the roll size
+    found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    strays = [f.base_name for f in found if f.type == fs.FileType.File and f.base_name.endswith(".warc.gz") and f.base_name not in named]
+    for name in strays:
+        store.delete_file(f"{root}/{name}")
+    return strays
 
 
 def members(stream) -> Iterator[bytes]:
@@ -218,7 +245,7 @@ def read_warc(spark: SparkSession, folder: str, page_type: str = "long", payload
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(n, pa.string()) for n in ("page_id", "url", "record_type", "refers_to")] + [("payload_bytes", pa.int64())]
                            + [(n, pa.string()) for n in ("payload_digest", "file")] + [("payload", pa.binary())] * payloads)
-        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store, root = opened(folder)
         for batch in batches:
             for name, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows, held, seen = [], 0, 0

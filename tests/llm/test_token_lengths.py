@@ -38,5 +38,21 @@ def test_long_texts_are_cut_where_tokens_end():
     assert tl.pieces("x" * (2 * tl.PIECE)) == ["x" * (2 * tl.PIECE)]
 
 
+def test_runs_of_blanks_count_as_within_the_whole():
+    enc, rng = encoding(), random.Random(9)
+    blanks = [" " * 1500, "\n" * 1024, "\t \u3000" * 400, " \xa0\n" * 700, "\r\n" * 600, " " * 1023]
+    for _ in range(40):
+        text = "".join(rng.choice([*blanks, "a", "é1", " 'll", "!", "  x", "\x1c"]) for _ in range(rng.randint(1, 12)))
+        assert tl.n_tokens(text, enc) == len(enc.encode_ordinary(text))
+
+
+def test_very_long_runs_are_counted_whole(spark):
+    enc, n = encoding(), 5_000_000
+    line_ends = len(enc._encode_single_piece("\n" * n))
+    texts = {" " * n: n, "\n" * n: line_ends, "x" * n: len(enc._encode_single_piece("x" * n)), " " * n + "ab": n - 1 + len(enc.encode_ordinary(" ab"))}
+    got = tl.lengths(frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()
+    assert Counter({r.n_tokens: r.docs for r in got}) == Counter(texts.values())
+
+
 def test_empty_table(spark):
     assert tl.suffix_sums(tl.lengths(empty(spark))).collect() == []

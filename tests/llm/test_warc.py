@@ -1,6 +1,7 @@
 import base64
 import glob
 import gzip
+import os
 import hashlib
 import random
 
@@ -75,6 +76,51 @@ def test_same_bytes_on_every_run_and_damage_is_seen(spark, tmp_path):
         warc.read_warc(spark, one).collect()
 
 
+def test_a_second_attempt_that_dies_leaves_every_file_of_the_manifest(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "a")
+    record = warc.response("1", "http://a/", b"payload", digest("payload"))
+
+    def attempt():
+        roll = warc.Roll(folder, 0, 200)
+        for _ in range(3):
+            roll.add(record, False)
+        return roll
+
+    first = attempt().commit()
+    before = {f["file"]: open(f"{folder}/{f['file']}", "rb").read() for f in first}
+    assert len(before) == 3
+    late = attempt()
+    steps = []
+
+    class Dying:
+        """The file system, dying at the n-th call of the commit."""
+
+        def __init__(self, store, n):
+            self.store, self.n = store, n
+
+        def __getattr__(self, name):
+            steps.append(name)
+            if len(steps) > self.n:
+                raise RuntimeError("lost")
+            return getattr(self.store, name)
+
+    for n in range(6):
+        late = attempt()
+        late._close()
+        late.store = Dying(late.store, n)
+        steps.clear()
+        try:
+            late.commit()
+        except RuntimeError:
+            pass
+        assert {name: open(f"{folder}/{name}", "rb").read() for name in before} == before
+    # a stray that no manifest names goes, the others stay
+    open(f"{folder}/part-00009-00000-x.warc.gz", "wb").write(b"x")
+    manifest = spark.createDataFrame([(f["file"],) for f in first], "file string")
+    assert warc.clear_strays(folder, manifest) == ["part-00009-00000-x.warc.gz"]
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{folder}/part-*")) == sorted(before)
+
+
 def test_empty_table(spark, tmp_path):
     folder = str(tmp_path / "a")
     assert warc.write_warc(table(spark, []), folder).collect() == [] and warc.read_warc(spark, folder).collect() == []
