@@ -123,10 +123,22 @@ g as (select *, max(case when not capped and rest = fr then rest_words end) over
 t as (select source, source_size, case when capped then cast(2 * source_size as double) else cast(weight * fl as double) / cast(2 * fr as double) end as target from g),
 p as (select *, case when source_size = 0 then 0.0 else target / source_size end as ratio from t),
 d as (
-  select doc_id, base.source, size, source_size, target, floor(ratio) as whole, ratio - floor(ratio) as part, target - floor(ratio) * source_size as remain, u
+  select doc_id, base.source, size, source_size, target, floor(ratio) as whole, ratio - floor(ratio) as part, target - floor(ratio) * source_size as remain, u,
+         cast(floor(16 * sqrt(size)) as bigint) as worth
   from base join p on base.source is not distinct from p.source
+), h as (
+  select source, worth, any_value(remain) - coalesce(sum(sum(size)) over (partition by source order by worth desc rows between unbounded preceding and 1 preceding), 0) as rest,
+         sum(worth * sum(size)) over (partition by source order by worth rows between unbounded preceding and current row) as weighted
+  from d where part > 0 and size > 0 group by source, worth
+), r as (select source, max({'worth': worth, 'rest': rest, 'weighted': weighted}) as w from h where worth * rest <= weighted group by source),
+ch as (
+  select d.*, case when worth > r.w.worth then 1.0 else coalesce(cast(worth as double) * r.w.rest / r.w.weighted, 0.0) end as chance
+  from d left join r on d.source is not distinct from r.source
+), k as (
+  select *, case when chance >= 1 then 0.0::double when chance > 0 then (u / (1 - u)) * (1 - chance) / chance else 'inf'::double end as rk from ch
 ), e as (
-  select *, coalesce(sum(size) over (partition by source order by u, doc_id, size rows between unbounded preceding and 1 preceding), 0) as reached from d
+  select *, coalesce(sum(size) over (partition by source order by case when rk = 'inf'::double then 1.0 else rk / (1 + rk) end, u, doc_id, size
+                                     rows between unbounded preceding and 1 preceding), 0) as reached from k
 )
 select doc_id, cast(size as bigint) as size, source_size, target,
        cast(case when size = 0 then 0 else size * least(whole + case when part > 0 and 2 * reached + size <= 2 * remain then 1 else 0 end, 2) end as bigint) as taken

@@ -50,6 +50,48 @@ def test_importance_changes_the_odds_only(spark):
     assert 2.2 < share[True] / share[False] < 4 and abs(out.agg(F.sum("taken")).first()[0] - 1000) <= 10
 
 
+def chances(sizes, left):
+    """Inclusion probabilities in proportion to the worth, certain documents taken out one round after the other."""
+    worth, certain = [int(16 * n ** 0.5) for n in sizes], set()
+    while True:
+        free = [i for i in range(len(sizes)) if i not in certain]
+        rate = (left - sum(sizes[i] for i in certain)) / sum(worth[i] * sizes[i] for i in free)
+        over = {i for i in free if worth[i] * rate > 1 + 1e-12}
+        if not over:
+            return [1.0 if i in certain else worth[i] * rate for i in range(len(sizes))]
+        certain |= over
+
+
+def test_inclusion_frequencies_match_unequal_chances(spark):
+    """One source for each of 500 seeds: the ids differ, and the random numbers with them."""
+    sizes = [1, 2, 3, 5, 8, 12, 20, 30, 45, 60] * 6 + [400, 900]
+    rows = [(1000 * s + i, "w " * n, "en", f"s{s:03}") for s in range(500) for i, n in enumerate(sizes)]
+    out = mixing.mix(frame(spark, rows), weights=(1,), share=(4, 5)).collect()
+    expected = chances(sizes, 0.8 * sum(sizes))
+    assert expected[-1] == expected[-2] == 1.0 and max(expected[:-2]) < 1 and min(expected) < 0.3
+    taken = [0] * len(sizes)
+    for r in out:
+        taken[r.doc_id % 1000] += r["copies"]
+    assert taken[-1] == taken[-2] == 500
+    for n in set(sizes):
+        here = [i for i, x in enumerate(sizes) if x == n]
+        assert abs(sum(taken[i] for i in here) / 500 / len(here) - expected[here[0]]) < 0.05
+    # the words stay near the target in every source
+    words = {}
+    for r in out:
+        words[r.source] = words.get(r.source, 0) + r.taken
+    assert max(abs(w - 0.8 * sum(sizes)) for w in words.values()) <= 30
+
+
+def test_order_differs_from_that_of_the_random_numbers(spark):
+    rows = [(i, "w " * (1 + i * 7 % 90), "en", "a") for i in range(400)]
+    df = frame(spark, rows).withColumn("u", mixing.uniform("doc_id", "text", "mix"))
+    out = mixing.mix(df, weights=(1,), share=(1, 2), keep=["u"]).collect()
+    assert max(r.kept_u for r in out if r["copies"]) > 2 * min(r.kept_u for r in out if not r["copies"])
+    flat = mixing.mix(df.withColumn("same", F.lit(2)), weights=(1,), share=(1, 2), keep=["u"], importance="same").collect()
+    assert max(r.kept_u for r in flat if r["copies"]) <= min(r.kept_u for r in flat if not r["copies"])
+
+
 def test_edge_tables(spark):
     assert mixing.mix(empty(spark)).collect() == []
     only_empty = mixing.mix(frame(spark, [(1, None, None, None), (2, "", None, "a")])).collect()
