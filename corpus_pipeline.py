@@ -1,14 +1,16 @@
 """Corpus pipeline: each stage applies one operator to the documents that its predecessor kept.
 
 1. toxicity: documents that score one half or more are dropped;
-2. near_dedup: of each group of near copies (Jaccard similarity of five-word shingles from 0.85 on) the first document stays;
+2. near_dedup: of each group of near copies (Jaccard similarity of five-word shingles from 0.80 on) the first document stays;
 3. decontaminate: documents that hold a window of a benchmark item are dropped;
 4. secrets: found secrets are replaced by a mark (``n_chars`` follows where the text changed);
 5. mix: each document is repeated as often as its source's target asks for, and dropped where that is never;
    ``copy`` counts the repeats from 1 and ``taken_words`` are the words of all of them.
 
 The first four return the columns of ``documents``, whatever these are. A stage keeps or drops rows by a row number that is
-fixed in a written table, not by ids, so repeated and null ids are handled like any others.
+fixed in a written table, not by ids, so repeated and null ids are handled like any others; ties go to the row that stands first in its file.
+Null, empty and very long texts are handled as each operator states: none of them is toxic, a near copy of another or hit for being so.
+An empty table of documents gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from ledgerloom.llm import decontam, mixing, near_dedup, secret_scan, toxicity
 from ledgerloom.llm.common import as_is, fresh, numbered, written
 from ledgerloom.session import new_stage_path
 
-NEAR_PERCENT = 85      # similarity that links two documents
+NEAR_PERCENT = 80      # similarity that links two documents
 
 #: The stages learn a classifier and estimate similarities: SQL cannot express them.
 ORACLE_SQL = None

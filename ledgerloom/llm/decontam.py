@@ -11,7 +11,7 @@ The corpus is read twice: to count the benchmark's shingles over all texts, and
 prefixes. Both passes hold only a bitmap of fixed size.
 
 Defined results: a null or empty text has no words and is never hit; benchmark items without text
-or without an id take no part; repeated rows of either side count each for itself (items with the
+take no part; the windows of an item without an id are hits, but no id stands for them among the items; repeated rows of either side count each for itself (items with the
 same id once); other columns of the inputs are ignored. With an empty benchmark nothing is hit.
 """
 
@@ -54,7 +54,7 @@ def benchmark_windows(benchmark: DataFrame, size: int, item_id: str = "item_id",
             yield out
 
     rows = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text"))
-    return map_texts(rows.where("item is not null and text is not null"), per_batch,
+    return map_texts(rows.where("text is not null"), per_batch,
                      "item string, words string, n int, shingles array<long>").distinct()
 
 

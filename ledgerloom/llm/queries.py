@@ -58,7 +58,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 with w as (
   select 'd' as side, doc_id as id, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents
   union all
-  select 'b', item_id, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark where item_id is not null
+  select 'b', item_id, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark
 ), windows as (
   select distinct id as item_id, array_to_string(words[s:s + least(10, len(words)) - 1], ' ') as win, least(10, len(words)) as n
   from (select *, unnest(range(1, len(words) - least(10, len(words)) + 2)) as s from w where side = 'b' and len(words) > 0)
@@ -68,7 +68,7 @@ with w as (
 ), met as (select doc_id, s, places.n, item_id from places join windows using (win)),
 hit as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + n)) as p from met) group by doc_id),
 items as (select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as ids
-          from (select distinct doc_id, cast(item_id as varchar) as i from met) group by doc_id)
+          from (select distinct doc_id, cast(item_id as varchar) as i from met where item_id is not null) group by doc_id)
 select w.id as doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from w left join hit on hit.doc_id = w.id left join items on items.doc_id = w.id where side = 'd'

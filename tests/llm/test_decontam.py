@@ -15,13 +15,14 @@ def brute(rows, items, size=10):
         for item, t in items:
             b = words(t)
             n = min(size, len(b))
-            if item is None or not n:
+            if not n:
                 continue
             windows = {tuple(b[i:i + n]) for i in range(len(b) - n + 1)}
             for i in range(len(w) - n + 1):
                 if tuple(w[i:i + n]) in windows:
                     hit.update(range(i, i + n))
-                    ids.add(str(item))
+                    if item is not None:
+                        ids.add(str(item))
         out.append((doc_id, len(w), len(hit), sorted(ids)))
     return sorted(out, key=str)
 

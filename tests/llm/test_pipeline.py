@@ -33,7 +33,7 @@ def test_stages_match_brute_force_on_what_the_stage_before_kept(spark, tmp_path)
     calm = stage(0)
     assert sorted(calm, key=str) == sorted([r for r in rows if r[0] != 600], key=str)
     one_each = stage(1)
-    expected, n = groups(calm, 85)
+    expected, n = groups(calm, 80)
     assert len(one_each) == n and sorted([r[0] for r in one_each], key=str) == sorted(
         [i for i, size, head in expected if not size] + list({head if head is not None else None: 0 for i, size, head in expected if size}), key=str)
     clean = stage(2)
