@@ -41,20 +41,21 @@ CLEAN_SHARE = 0.05         # clean texts with a beginning, as a share of the tox
 LEAST_ODDS = 4.0           # log odds of a beginning that is kept
 
 OTHER, INSULT, THREAT, MODAL, TARGET, NEGATION, REPORT = range(7)
-DENIED, QUOTED, DIRECTED, MENACE = range(7, 11)
+DENIED, QUOTED, DIRECTED, MENACE, LONE = range(7, 12)
 WEIGHT = {INSULT: 1.0, DIRECTED: 1.6, DENIED: 0.2, QUOTED: 0.3, MENACE: 2.0, THREAT: 0.0}
 
 # Words of the closed classes and common English insults.
 WORDS_OF = {
     INSULT: "idiot idiots moron morons stupid trash scum worthless disgusting pathetic loser losers clown clowns imbecile filth vermin",
     THREAT: "kill hurt destroy murder strangle stab shoot burn beat töten umbringen matar tuer",
-    MODAL: "will shall gonna going must should werde werden voy vais",
-    TARGET: "you your youre he she they them him her du dich ihr euch tu te vous toi usted ustedes eres",
+    MODAL: "will shall gonna going must should go ll m werde werden voy vais",
+    TARGET: "you your youre he she they them him her yourself yourselves himself herself themselves du dich ihr euch tu te vous toi usted ustedes eres",
     NEGATION: "not no never nobody isnt arent wasnt dont nicht kein keine nie ne pas jamais nunca ningún",
     REPORT: "said says say called calls quoted wrote claimed reported sagte schrieb nannte dit écrit appelé dijo escribió llamó",
 }
 # what stands before the n't of a contraction is cut from its t by an ASCII apostrophe; with a typographic one it is one word
 CONTRACTED = ("isn aren wasn weren don doesn didn won wouldn can couldn shan shouldn mustn mightn needn hasn haven hadn ain daren").split()
+WORDS_OF[MODAL] += "".join(f" {w}{mark}{end}" for mark in "\u2019\u2018\u02bc\uff07" for w, end in (("i", "ll"), ("we", "ll"), ("they", "ll"), ("i", "m")))
 WORDS_OF[NEGATION] += "".join(f" {w}{mark}t" for w in CONTRACTED for mark in "\u2019\u2018\u02bc\uff07")
 SCOPE, AIM = 3, 3          # words that a negation and a target reach
 
@@ -70,7 +71,10 @@ class Transducer:
         return self.moves[state, tag]
 
 
-TAGS = range(11)
+TAGS = range(12)
+
+
+MEANT = (INSULT, DIRECTED, MENACE)
 
 
 def negation() -> Transducer:
@@ -79,27 +83,32 @@ def negation() -> Transducer:
     for state in range(SCOPE + 1):
         for tag in TAGS:
             after = SCOPE if tag == NEGATION else max(state - 1, 0)
-            moves[state, tag] = after, DENIED if state and tag in (INSULT, THREAT) else tag
+            moves[state, tag] = after, DENIED if state and tag in MEANT else tag
     return Transducer(moves)
 
 
 def reported() -> Transducer:
     """After a verb of speech, the rest of the clause is quoted."""
-    return Transducer({(s, t): (int(s or t == REPORT), QUOTED if s and t in (INSULT, THREAT) else t) for s in (0, 1) for t in TAGS})
+    return Transducer({(s, t): (int(s or t == REPORT), QUOTED if s and t in MEANT else t) for s in (0, 1) for t in TAGS})
 
 
 def threat() -> Transducer:
-    """A threat counts after a modal, within its scope."""
+    """A threat counts within the scope of a modal, or as the first word of its clause, and only against a person: one that follows, or one
+    that stands between the modal and it. A state is the words left in the scope, and whether a person stood there."""
     moves = {}
-    for state in range(SCOPE + 1):
-        for tag in TAGS:
-            after = SCOPE if tag == MODAL else max(state - 1, 0)
-            moves[state, tag] = after, (MENACE if state else OTHER) if tag == THREAT else tag
-    return Transducer(moves)
+    for left in range(SCOPE + 1):
+        for person in (0, 1):
+            for tag in TAGS:
+                out = tag
+                if tag in (THREAT, LONE):
+                    out = MENACE if left and (tag == THREAT or person) else OTHER
+                after = (SCOPE, 0) if tag == MODAL else (max(left - 1, 0), int(person or left > 0 and tag == TARGET))
+                moves[2 * left + person, tag] = 2 * after[0] + after[1], out
+    return Transducer(moves, start=2)
 
 
 def target() -> Transducer:
-    """An insult near a target is directed. Read once from either end, as a target may follow."""
+    """An insult that follows a target within its reach is directed."""
     moves = {}
     for state in range(AIM + 1):
         for tag in TAGS:
@@ -108,6 +117,14 @@ def target() -> Transducer:
     return Transducer(moves)
 
 
+def object_after() -> Transducer:
+    """Read from the end: an insult before a target is directed, a threat without a target behind it stands alone."""
+    moves = dict(target().moves)
+    for state in range(AIM + 1):
+        moves[state, THREAT] = moves[state, THREAT][0], THREAT if state else LONE
+    return Transducer(moves)
+
+
 def compose(first: Transducer, second: Transducer) -> Transducer:
     """What ``first`` puts out is read by ``second``: reachable pairs of states, numbered."""
     number, moves, todo = {(first.start, second.start): 0}, {}, [(first.start, second.start)]
@@ -135,11 +152,11 @@ class Grammar:
     """The composed transducers; ``clause`` scores the tags of one clause."""
 
     def __init__(self):
-        self.forward = compose(compose(negation(), reported()), compose(threat(), target()))
-        self.back = target()
+        self.back = object_after()
+        self.forward = compose(compose(threat(), target()), compose(negation(), reported()))
 
     def clause(self, tags: list[int], weights: list[float]) -> float:
-        out = run(self.back, run(self.forward, tags)[::-1])[::-1]
+        out = run(self.forward, run(self.back, tags[::-1])[::-1])
         return sum(WEIGHT.get(tag, 0.0) * w for tag, w in zip(out, weights))
 
 

@@ -23,15 +23,21 @@ def naive(clause, classes):
     for i, t in enumerate(tag):
         if t not in (tx.INSULT, tx.THREAT):
             continue
-        before = tag[max(0, i - 3):i]
+        before, after = tag[max(0, i - 3):i], tag[i + 1:i + 4]
+        if t == tx.THREAT:
+            modals = [j for j, b in enumerate(before) if b == tx.MODAL]
+            person = tx.TARGET in after or modals and tx.TARGET in before[modals[-1]:]
+            if not person or not modals and i:
+                continue
+            meant = tx.WEIGHT[tx.MENACE]
+        else:
+            meant = tx.WEIGHT[tx.DIRECTED] if tx.TARGET in before + after else tx.WEIGHT[tx.INSULT]
         if tx.NEGATION in before:
             total += tx.WEIGHT[tx.DENIED]
         elif tx.REPORT in tag[:i]:
             total += tx.WEIGHT[tx.QUOTED]
-        elif t == tx.THREAT:
-            total += tx.WEIGHT[tx.MENACE] if tx.MODAL in before else 0
         else:
-            total += tx.WEIGHT[tx.DIRECTED] if tx.TARGET in before + tag[i + 1:i + 4] else tx.WEIGHT[tx.INSULT]
+            total += meant
     return total
 
 
@@ -55,6 +61,15 @@ def test_clauses_not_single_words_decide():
     assert score("", "a b c") == [0.0, 0.0]
 
 
+def test_threats_need_a_person():
+    calm = ["The scheduler will kill the process", "We will beat the eggs and burn fat", "You must destroy the temporary object",
+            "they will shoot the film in May", "do not kill the process", "he said to kill the job", "kill the process"]
+    assert score(*calm, ". ".join(calm * 50)) == [0.0] * (len(calm) + 1)
+    meant = ["I'll kill you", "I\u2019ll kill you", "go kill yourself", "kill you all tonight", "I will kill you", "ich werde dich töten", "je vais te tuer"]
+    assert min(score(*meant)) > 0.8
+    assert max(score("I will not kill you", "She said she will kill him")) < 0.5
+
+
 def labelled(seed=1, n=900):
     """Texts of an invented language in which words that begin with ``zork`` or ``blim`` are insults; copies abound."""
     rng = random.Random(seed)
