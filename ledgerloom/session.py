@@ -33,10 +33,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A folder every executor can reach: ``spark.checkpoint.dir`` of the session, else a folder in
-    the session's warehouse. Nothing is put into a machine's temporary folder."""
+    """A folder every executor can reach: ``spark.checkpoint.dir`` of the session. A session of one machine may go without it and
+    gets a folder in its warehouse; on a cluster that could be a folder of one machine, so it has to be named there."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    if configured:
+        return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
 
 
 def new_stage_path(spark: SparkSession, name: str) -> str:

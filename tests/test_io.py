@@ -92,3 +92,17 @@ def test_named_view_and_query(spark):
     df = io.named_view("tiny_view", lambda: spark.range(3))
     assert df.count() == 3
     assert io.query(spark, "select sum(id) as s from nums", {"nums": spark.range(4)}).first()["s"] == 6
+
+
+def test_a_cluster_has_to_name_its_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default=None: default if name == "spark.checkpoint.dir" else "/warehouse/")
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
+    Session.sparkContext.master = "local[4]"
+    assert shared_dir(Session) == "/warehouse/_stages"
