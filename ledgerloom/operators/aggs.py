@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import ColumnLike, as_col
-from ledgerloom.operators.skew import lookup
+from ledgerloom.operators.skew import in_order, lookup
+from ledgerloom.session import cut_lineage
 
 
 def completeness(df: DataFrame, doc: str, status: str, ok: Sequence[str], cancelled: Sequence[str]) -> DataFrame:
@@ -53,11 +54,27 @@ def distinct_lists(df: DataFrame, keys: Sequence[str], lists: Mapping[str, tuple
 
 
 def string_list(name: str, separator: str) -> Column:
-    """All values in ascending order (a stated order makes the result repeatable)."""
+    """All values in ascending order (a stated order makes the result repeatable). One task sorts a group: for
+    groups without a bound see :func:`ordered_lists`."""
     text = f"cast(`{name}` as string)"
     return F.expr(f"listagg({text}, '{separator}') within group (order by {text})")
 
 
+def ordered_lists(df: DataFrame, keys: Sequence[str], value: str, separator: str, out: str) -> DataFrame:
+    """:func:`string_list` per group for groups of any size: one row of ``keys`` and ``out`` each.
+
+    Rows are sorted by group and value over range slices and written. Partial lists hold at most 65,536 neighbouring rows, and
+    the partial lists of a group are joined in their order; no task sorts a whole group. The joined text itself is one row
+    and has to stay below 2 GB.
+    """
+    picked = df.select(*keys, F.col(value).cast("string").alias("_value"))
+    placed = cut_lineage(in_order(picked, [F.col(c) for c in (*keys, "_value")]), "lists")
+    parts = placed.groupBy(*keys, F.shiftright("_place", 16).alias("_part")).agg(string_list("_value", separator).alias("_text"))
+    listed = F.collect_list(F.when(F.col("_text").isNotNull(), F.struct("_part", "_text")))
+    whole = parts.groupBy(*keys).agg(F.array_sort(listed).alias("_parts"))
+    return whole.select(*keys, F.when(F.size("_parts") > 0, F.array_join("_parts._text", separator)).alias(out))
+
+
 def group_constant(df: DataFrame, label: str, name: str, *aggs: Column) -> DataFrame:
     """``GROUP BY 'literal'``: no row on empty input, unlike a global aggregate."""
     return df.groupBy(F.lit(label).alias(name)).agg(*aggs)

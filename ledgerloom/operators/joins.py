@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import ColumnLike, as_col, contains
 from ledgerloom.operators.incremental import list_facts
+from ledgerloom.operators.skew import in_order, slice_of
+from ledgerloom.session import cut_lineage
+
+MOST_CONSTANT = 10_000
 
 
 def interval_join(left: DataFrame, right: DataFrame, equi: Sequence[tuple[str, str]], at: str,
@@ -18,7 +22,7 @@ def interval_join(left: DataFrame, right: DataFrame, equi: Sequence[tuple[str, s
     Overlapping intervals multiply rows. The equality keys shuffle and the interval is a residual
     test. For keys with long histories ``bucket_days`` adds a time bucket to the equality keys:
     each interval is repeated once per bucket it touches inside the dated range of the left side,
-    so a row only meets the intervals of its own bucket.
+    so a row only meets the intervals of its own bucket. :func:`ranged_interval_join` needs no such number and spreads hot keys.
     """
     right_cols = {c: f"_r_{c}" for c in right.columns}
     renamed = right.withColumnsRenamed(right_cols)
@@ -42,27 +46,89 @@ def interval_join(left: DataFrame, right: DataFrame, equi: Sequence[tuple[str, s
     return joined.drop(*[right_cols[c] for c in clash]).withColumnsRenamed(back)
 
 
+def ranged_interval_join(left: DataFrame, right: DataFrame, equi: Sequence[tuple[str, str]], at: str, start: str, end: str,
+                         how: str = "left", partitions: int | None = None) -> DataFrame:
+    """:func:`interval_join` for long histories: a row meets the intervals near its own time only, and a key of any size is spread over tasks.
+
+    Rows (by ``at``) and intervals (by ``start``) are sorted together by key and time over range slices and written once. A row meets
+    the intervals of its key that begin in its slice, and those that began in an earlier slice and are still open at the first
+    time of this one: these are carried over the border. Only the key that a slice opens with can be carried into it, so the table
+    of borders has one row per slice and is broadcast. Null keys and times match nothing. ``how`` is ``left`` or ``inner``.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("an interval join by ranges is left or inner")
+    keys = [f"_k{i}" for i in range(len(equi))]
+    named = lambda pick: [F.col(pair[pick]).alias(k) for pair, k in zip(equi, keys)]
+    struct = lambda df: F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = left.select(*named(0), F.col(at).alias("_time"), F.lit(1).alias("_kind"), struct(left).alias("_l"))
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*[b for _, b in equi], start, end)])
+    spans = right.where(known).select(*named(1), F.col(start).alias("_time"), F.lit(0).alias("_kind"), F.col(end).alias("_end"), struct(right).alias("_r"))
+    both = in_order(rows.unionByName(spans, allowMissingColumns=True), [F.col(c) for c in (*keys, "_time", "_kind")], partitions)
+    placed = cut_lineage(both, "ranges").withColumn("_slice", slice_of())
+
+    spans = placed.where("_kind = 0").select(F.col("_slice").alias("_on"), *[F.col(k).alias(f"_r{k}") for k in keys], F.col("_time").alias("_start"), "_end", "_r")
+    opens = placed.groupBy("_slice").agg(F.min_by(F.struct(*keys, "_time"), "_place").alias("_b")).select("_slice", "_b.*")
+    same = [F.col(k) == F.col(f"_r{k}") for k in keys]
+    over = reduce(Column.__and__, same, (F.col("_slice") > F.col("_on")) & (F.col("_time") <= F.col("_end")))
+    carried = spans.join(F.broadcast(opens), over).select(F.col("_slice").alias("_on"), *spans.columns[1:])     # one row per slice
+    within = F.col("_time").between(F.col("_start"), F.col("_end"))
+    rows = placed.where("_kind = 1").select("_slice", *keys, "_time", "_l")
+    joined = rows.join(spans.unionByName(carried), reduce(Column.__and__, same, (F.col("_slice") == F.col("_on")) & within), how)
+    return joined.select("_l.*", *[F.col("_r").getField(c).alias(c) for c in right.columns if c not in left.columns])
+
+
+LONGEST_PIECE = 8
+BLOCK = 256         # a text is cut into blocks first, so that taking a piece never walks the whole text
+
+
+def _piece_length(text: str) -> Column:
+    size = F.length(text)
+    return F.when(size >= LONGEST_PIECE, LONGEST_PIECE).when(size >= 4, 4).when(size >= 2, 2).otherwise(size)
+
+
+def _pieces(df: DataFrame, text: str, lengths: Column, *keep: str) -> DataFrame:
+    """One row per place and length: the ``keep`` columns, ``_at`` (from 0) and ``_piece``. An empty piece stands at 0 only."""
+    whole = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{BLOCK + LONGEST_PIECE - 1}}})).{{1,{BLOCK}}}"), F.lit(1))
+    blocks = F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(whole)
+    rows = df.select(*keep, lengths.alias("_lengths"), F.posexplode(blocks).alias("_block", "_part"))
+    rows = rows.select(*keep, "_block", "_part", F.explode("_lengths").alias("_n"))
+    last = F.least(F.lit(BLOCK), F.length("_part") - F.col("_n") + 1)
+    piece = lambda at, text: F.struct(at.alias("_at"), text.alias("_piece"))
+    cut = F.when(F.col("_n") == 0, F.when(F.col("_block") == 0, F.array(piece(F.lit(0), F.lit(""))))).when(
+        last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: piece(
+            F.col("_block") * BLOCK + i - 1, F.substr(F.col("_part"), i, F.col("_n")))))
+    return rows.select(*keep, F.explode(cut).alias("_p")).select(*keep, "_p.*")
+
+
+def text_key(text: str) -> Column:
+    """A short key of a text, so that joins need not carry the text."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col: str) -> DataFrame:
-    """Distinct pairs with ``position(needle in hay) > 0``, without a nested loop.
+    """Distinct pairs with ``position(needle in hay) > 0``, without a nested loop: ``_text_key`` (see :func:`text_key`) and ``_needle``.
 
-    A needle of length n lies in a text exactly if it equals one of the text's pieces of length n.
-    The texts are cut into the distinct pieces of the lengths that occur among the needles, and
-    the pieces meet the needles in an equality join. A text of n characters gives up to n pieces for each
-    length, so this is meant for lists of ids, not for long texts.
+    A text that holds a needle holds every piece of it. Pieces have 8 characters, or 4, 2 or 1 where the needle is shorter. Texts are
+    cut at every place, and pieces that no needle has are dropped at once. What is left is written and counted, each needle is joined by the
+    piece that the fewest texts have, and a pair goes on if the needle fits into the text at a place of that
+    piece. Such pairs are compared in full. Pieces carry the key of their text alone, so long texts are read twice and
+    never repeated per piece. An empty needle lies in every text; nulls match nothing.
     """
-    needle = needles.select(F.col(needle_col).alias("_piece")).where(F.col("_piece").isNotNull()).distinct()
-    # at most one entry per string length: a scalar, not data
-    lengths = needle.agg(F.array_sort(F.collect_set(F.length("_piece"))).alias("n"))
+    needle = needles.select(F.col(needle_col).alias("_needle")).where(F.col("_needle").isNotNull()).distinct()
+    needle = needle.withColumn("_q", _piece_length("_needle"))
+    # at most five lengths: a scalar, not data
+    lengths = needle.agg(F.collect_set("_q")).scalar()
     texts = hay.select(F.col(hay_col).alias("_hay")).where(F.col("_hay").isNotNull()).distinct()
-    size = F.length("_hay")
-    pieces = lambda n: F.when(n == 0, F.array(F.lit(""))).when(
-        n <= size, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substr(F.col("_hay"), i, n)))
-    cut = (
-        texts.withColumn("_lengths", lengths.scalar())
-        .select("_hay", F.explode("_lengths").alias("_n"))
-        .select("_hay", F.explode(F.array_distinct(pieces(F.col("_n")))).alias("_piece"))
-    )
-    return cut.join(needle, "_piece")
+    texts = texts.withColumns({"_text_key": text_key("_hay"), "_size": F.length("_hay")})
+    own = _pieces(needle, "_needle", F.array("_q"), "_needle")
+    met = _pieces(texts, "_hay", lengths, "_text_key", "_size").join(own.select("_piece").distinct(), "_piece", "left_semi")
+    met = cut_lineage(met.groupBy("_text_key", "_size", "_piece").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last")), "pieces")
+    common = met.groupBy("_piece").agg(F.count(F.lit(1)).alias("_texts"))
+    counted = own.join(common, "_piece", "left").withColumn("_texts", F.coalesce("_texts", F.lit(0)))
+    rarest = counted.groupBy("_needle").agg(F.min(F.struct("_texts", "_at", "_piece")).alias("_p")).select("_needle", "_p.*").where("_texts > 0")
+    fits = (F.col("_last") >= F.col("_at")) & (F.col("_first") - F.col("_at") + F.length("_needle") <= F.col("_size"))
+    pairs = met.join(rarest, "_piece").where(fits).select("_text_key", "_needle")
+    return pairs.join(texts, "_text_key").where(F.contains("_hay", "_needle")).select("_text_key", "_needle")
 
 
 def contains_join(left: DataFrame, right: DataFrame, hay: str, needle: str,
@@ -72,15 +138,14 @@ def contains_join(left: DataFrame, right: DataFrame, hay: str, needle: str,
     ``(left date, right start, right end)``. Substring semantics: id 12 is found in 512.
 
     ``texts``, a frame with the column ``hay``, names a smaller source of all texts of ``left``, which
-    then need not be evaluated to find the pairs."""
+    then need not be evaluated to find the pairs. The pieces that texts and needles share are written on the way."""
     pairs = contains_pairs(left if texts is None else texts, hay, right, needle)
-    matched = pairs.join(right, F.col("_piece") == F.col(needle)).drop("_piece")
-    if window is None:
-        joined = left.join(matched, F.col(hay) == F.col("_hay"), how)
-    else:
+    matched = pairs.join(right, F.col("_needle") == F.col(needle)).drop("_needle")
+    condition = F.col("_hay_key") == F.col("_text_key")
+    if window is not None:
         at, start, end = window
-        joined = left.join(matched, (F.col(hay) == F.col("_hay")) & F.col(at).between(F.col(start), F.col(end)), how)
-    return joined.drop("_hay")
+        condition = condition & F.col(at).between(F.col(start), F.col(end))
+    return left.withColumn("_hay_key", text_key(hay)).join(matched, condition, how).drop("_hay_key", "_text_key")
 
 
 def token_join(left: DataFrame, right: DataFrame, hay: str, needle: str, separator: str = ",",
@@ -117,9 +182,13 @@ def constant_dim(df: DataFrame, dim: DataFrame, condition: Column, cols: Sequenc
     """Left join to the rows of a dimension that a constant picks; null columns if there is none.
 
     The few rows of one constant are read as a scalar list, so the main frame is not shuffled. It
-    is multiplied if the dimension lists the constant more than once, as a join does.
+    is multiplied if the dimension lists the constant more than once, as a join does. More than ``MOST_CONSTANT`` rows fail the job: such
+    a table wants a join. At most one row above that number is gathered.
     """
-    picked = dim.where(condition).agg(F.array_sort(F.array_agg(F.struct(*cols))).alias("d")).scalar()
+    some = dim.where(condition).select(*cols).limit(MOST_CONSTANT + 1)
+    rows = F.array_sort(F.array_agg(F.struct(*cols)))
+    picked = some.agg(F.when(F.count(F.lit(1)) <= MOST_CONSTANT, rows).otherwise(
+        F.raise_error(F.lit(f"a constant picks more than {MOST_CONSTANT} rows of a dimension"))).alias("d")).scalar()
     return df.withColumn("_dims", picked).withColumn("_dim", F.explode_outer("_dims")).select(*df.columns, *[F.col(f"_dim.{c}").alias(c) for c in cols])
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from ledgerloom.operators import aggs, derive, incremental as inc, joins, skew, windows
+from ledgerloom.session import cut_lineage as cut
 from tests.conftest import rows
 
 
@@ -105,6 +106,65 @@ def test_interval_join_bounds_and_overlaps(spark, bucket):
     assert out.columns.count("sku") == 1
 
 
+def test_contains_join_long_texts_and_needles(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abé\U0001F600\n") for _ in range(n))
+    texts = [word(n) for n in (0, 1, 3, 8, 255, 256, 257, 263, 264, 600, 5000, 100_000)] + ["a" * 3000, "a" * 700 + "b", None]
+    cut = lambda s, n: s[(k := rng.randrange(max(1, len(s) - n + 1))):k + n]
+    needles = {cut(rng.choice([t for t in texts if t]), n) for n in (1, 2, 3, 4, 5, 7, 8, 9, 15, 16, 40, 300) for _ in range(6)}
+    needles |= {texts[9], texts[10] + "a", "zz", "", "a" * 699 + "b", "b" + "a" * 20, texts[8][248:], texts[8][-1:], texts[7][255:]}
+    a = spark.createDataFrame(list(enumerate(texts)), "id int, hay string")
+    b = spark.createDataFrame([(n,) for n in [*needles, None]], "needle string")
+    got = rows(joins.contains_join(a, b, "hay", "needle", how="inner"), "id", "needle")
+    want = [(i, n) for i, t in enumerate(texts) if t is not None for n in needles if n in t]
+    assert sorted(got) == sorted(want)
+
+
+def test_contains_pairs_join_no_more_pieces_than_a_text_has_places(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(joins, "cut_lineage", lambda df, name: seen.append(df) or df)
+    text = "".join(random.Random(4).choice("abcdefgh,") for _ in range(20_000))
+    a = spark.createDataFrame([(text,)], "hay string")
+    b = spark.createDataFrame([(text[i:i + 8 + i % 40],) for i in range(0, 19_000, 5)], "needle string")
+    assert joins.contains_pairs(a, "hay", b, "needle").count() == b.distinct().count()
+    assert seen[0].count() <= len(text)
+
+
+def interval_case():
+    """A key with nine tenths of the rows, open and short intervals, bounds that touch, repeated and null rows."""
+    rng = random.Random(9)
+    day = lambda n: date.fromordinal(date(2020, 1, 1).toordinal() + n)
+    left = [(i, "hot" if i % 10 else rng.choice(["a", "b", None]), day(rng.randrange(1500)) if i % 97 else None, i % 2) for i in range(3000)]
+    spans = [("hot", day(n), day(n + rng.randrange(9)), n) for n in range(0, 1500, 4)] + [("hot", day(0), day(5000), -1), ("hot", day(700), day(700), -2)] * 2
+    spans += [("a", day(100), day(900), 7), ("b", day(1400), day(0), 8), (None, day(0), day(2000), 9), ("a", None, day(9), 10), ("a", day(0), None, 11), ("c", day(0), day(2000), 12)]
+    return left, spans
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_ranged_interval_join_equals_brute_force(spark, how):
+    left, spans = interval_case()
+    a = spark.createDataFrame(left, "id int, sku string, day date, price int").repartition(5)
+    b = spark.createDataFrame(spans, "sku string, low date, high date, cost int")
+    got = rows(joins.ranged_interval_join(a, b, [("sku", "sku")], "day", "low", "high", how, partitions=7), "id", "price", "cost")
+    want = []
+    for i, sku, d, price in left:
+        hits = [(i, price, c) for s, low, high, c in spans if None not in (sku, d, s, low, high) and s == sku and low <= d <= high]
+        want += hits or ([(i, price, None)] if how == "left" else [])
+    assert got == sorted(want, key=lambda r: tuple((v is not None, str(v)) for v in r))
+    assert joins.ranged_interval_join(a, b.limit(0), [("sku", "sku")], "day", "low", "high", how).count() == (3000 if how == "left" else 0)
+
+
+def test_ranged_interval_join_spreads_a_hot_key(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(joins, "cut_lineage", lambda df, name: written.append(cut(df, name)) or written[-1])
+    left, spans = interval_case()
+    a = spark.createDataFrame(left, "id int, sku string, day date, price int").repartition(5)
+    b = spark.createDataFrame(spans, "sku string, low date, high date, cost int")
+    joins.ranged_interval_join(a, b, [("sku", "sku")], "day", "low", "high", partitions=8)
+    held = written[0].where("_k0 = 'hot' and _kind = 1").groupBy(skew.slice_of()).count().collect()
+    assert len(held) >= 6 and max(r["count"] for r in held) < 2700 / 3
+
+
 def test_fallback_join(spark):
     a = spark.createDataFrame([("R61J-1",), ("ABCD-9",), ("ZZZZ",), (None,)], "sku string")
     dim = spark.createDataFrame([("R61J-1", "full"), ("R61J", "parent"), ("ABCD", "parent2")], "k string, v string")
@@ -130,6 +190,14 @@ def test_reconcile_keeps_source_only_and_drops_booked_only(spark):
     assert rows(with_null, "s", "b") == [("b", "b")]
 
 
+def test_constant_dim_refuses_a_large_table(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MOST_CONSTANT", 5)
+    one, dim = spark.range(1), spark.range(6).selectExpr("id as v")
+    assert joins.constant_dim(one, dim, F.col("v") < 5, ["v"]).count() == 5
+    with pytest.raises(Exception, match="more than 5 rows"):
+        joins.constant_dim(one, dim, F.col("v") < 6, ["v"]).collect()
+
+
 def test_constant_dim(spark):
     a = spark.range(3).select("id")
     dim = spark.createDataFrame([("A", "x"), ("B", "y")], "code string, cid string")
@@ -242,6 +310,15 @@ def test_string_lists(spark):
     assert rows(out) == [("a", "x,y", "x|x|y"), ("b", None, None)]
 
 
+def test_ordered_lists_equal_string_list(spark, monkeypatch):
+    rng = random.Random(2)
+    data = [("hot", f"v{rng.randrange(90_000)}") for _ in range(200_000)] + [("n", None), ("n", None), (None, "x"), (None, "a"), ("hot", None)]
+    df = spark.createDataFrame(data, "k string, v string").repartition(6)
+    got = {r.k: r.l for r in aggs.ordered_lists(df, ["k"], "v", " | ", "l").collect()}
+    assert got == {"hot": " | ".join(sorted(v for k, v in data if k == "hot" and v)), "n": None, None: "a | x"}
+    assert aggs.ordered_lists(df.limit(0), ["k"], "v", ",", "l").collect() == []
+
+
 # ---- derivations -----------------------------------------------------------------------------
 def test_owner_route_partitions_rows(spark):
     df = spark.createDataFrame([("M",), ("X",), (None,), ("S",)], "o string")

@@ -53,6 +53,11 @@ def join_interval_bucketed(t):
                                bucket_days=365).select(*INTERVAL_COLS)
 
 
+@query("join_interval_ranged", INTERVAL_SQL)
+def join_interval_ranged(t):
+    return joins.ranged_interval_join(t["orders_export"], t["base_cost"], INTERVAL_KEYS, "po_date_time", "effective_from", "effective_to").select(*INTERVAL_COLS)
+
+
 @query("join_contains", """with ids as (select supplier_stock_id, string_agg(distinct item_id, ',' order by item_id) as ids from catalogue group by 1),
   promo as (select item_id, current_cost, promo_start_1, promo_end_1 from promo_log where hour(data_updated_time) = 6 and day(data_updated_time) = 18),
   pairs as (select ids, promo.* from (select distinct ids from ids) join promo on position(item_id in ids) > 0)
@@ -204,7 +209,7 @@ def agg_string_distinct(t):
 
 @query("agg_string", "select po_number, string_agg(item_number, ' | ' order by item_number) as sku_list from orders_export group by 1")
 def agg_string(t):
-    return t["orders_export"].groupBy("po_number").agg(aggs.string_list("item_number", " | ").alias("sku_list"))
+    return aggs.ordered_lists(t["orders_export"], ["po_number"], "item_number", " | ", "sku_list")
 
 
 @query("agg_count_distinct", "select l_suppkey, count(distinct l_orderkey) as n_docs, count(distinct l_shipdate::date) as n_days, count(distinct l_partkey) as n_parts, sum(l_quantity) as qty from lineitem group by 1")
