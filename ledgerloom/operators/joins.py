@@ -105,14 +105,14 @@ def text_key(text: str) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col: str) -> DataFrame:
-    """Distinct pairs with ``position(needle in hay) > 0``, without a nested loop: ``_text_key`` (see :func:`text_key`) and ``_needle``.
+def contains_candidates(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col: str) -> DataFrame:
+    """Every pair with ``position(needle in hay) > 0`` once, and few others: ``_text_key`` (see :func:`text_key`) and ``_needle``.
 
     A text that holds a needle holds every piece of it. Pieces have 8 characters, or 4, 2 or 1 where the needle is shorter. Texts are
     cut at every place, and pieces that no needle has are dropped at once. What is left is written and counted, each needle is joined by the
     piece that the fewest texts have, and a pair goes on if the needle fits into the text at a place of that
-    piece. Such pairs are compared in full. Pieces carry the key of their text alone, so long texts are read twice and
-    never repeated per piece. An empty needle lies in every text; nulls match nothing.
+    piece. Pieces carry the key of their text alone, so long texts are never repeated per piece. An empty needle lies in every
+    text; nulls match nothing.
     """
     needle = needles.select(F.col(needle_col).alias("_needle")).where(F.col("_needle").isNotNull()).distinct()
     needle = needle.withColumn("_q", _piece_length("_needle"))
@@ -127,8 +127,7 @@ def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col:
     counted = own.join(common, "_piece", "left").withColumn("_texts", F.coalesce("_texts", F.lit(0)))
     rarest = counted.groupBy("_needle").agg(F.min(F.struct("_texts", "_at", "_piece")).alias("_p")).select("_needle", "_p.*").where("_texts > 0")
     fits = (F.col("_last") >= F.col("_at")) & (F.col("_first") - F.col("_at") + F.length("_needle") <= F.col("_size"))
-    pairs = met.join(rarest, "_piece").where(fits).select("_text_key", "_needle")
-    return pairs.join(texts, "_text_key").where(F.contains("_hay", "_needle")).select("_text_key", "_needle")
+    return met.join(rarest, "_piece").where(fits).select("_text_key", "_needle")
 
 
 def contains_join(left: DataFrame, right: DataFrame, hay: str, needle: str,
@@ -138,14 +137,15 @@ def contains_join(left: DataFrame, right: DataFrame, hay: str, needle: str,
     ``(left date, right start, right end)``. Substring semantics: id 12 is found in 512.
 
     ``texts``, a frame with the column ``hay``, names a smaller source of all texts of ``left``, which
-    then need not be evaluated to find the pairs. The pieces that texts and needles share are written on the way."""
-    pairs = contains_pairs(left if texts is None else texts, hay, right, needle)
-    matched = pairs.join(right, F.col("_needle") == F.col(needle)).drop("_needle")
-    condition = F.col("_hay_key") == F.col("_text_key")
+    then need not be evaluated to find the pairs. Candidates come from :func:`contains_candidates`, which writes the pieces that texts
+    and needles share, and are compared in full where they meet the rows of ``left``."""
+    pairs = contains_candidates(left if texts is None else texts, hay, right, needle)
+    matched = pairs.join(right, F.col("_needle") == F.col(needle))
+    condition = (F.col("_hay_key") == F.col("_text_key")) & F.contains(F.col(hay), F.col("_needle"))
     if window is not None:
         at, start, end = window
         condition = condition & F.col(at).between(F.col(start), F.col(end))
-    return left.withColumn("_hay_key", text_key(hay)).join(matched, condition, how).drop("_hay_key", "_text_key")
+    return left.withColumn("_hay_key", text_key(hay)).join(matched, condition, how).drop("_hay_key", "_text_key", "_needle")
 
 
 def token_join(left: DataFrame, right: DataFrame, hay: str, needle: str, separator: str = ",",

@@ -212,7 +212,7 @@ def daily_documents(runs: Sequence[tuple[DataFrame, DataFrame]]) -> tuple[DataFr
     """Daily header and line tables of all channels of a run.
 
     They are built anew from the channels' results, so a run that is repeated gives the same tables and
-    doubles nothing; write them with :func:`ledgerloom.sources.io.replace`.
+    doubles nothing; write them with :func:`ledgerloom.sources.versions.publish`.
     """
     headers, lines = zip(*runs)
     return reduce(DataFrame.unionByName, headers).distinct(), reduce(DataFrame.unionByName, lines).distinct()

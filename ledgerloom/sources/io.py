@@ -71,9 +71,11 @@ def adjustment_frame(raw: DataFrame, key: str, n_cols: int | None = None) -> Dat
 
 
 def ingest_adjustments(spark: SparkSession, path: str, key: str, n_cols: int | None = None,
-                       fmt: str = "csv", schema: StructType | None = None) -> DataFrame:
+                       fmt: str = "csv", schema: StructType | None = None, one_line: bool = False) -> DataFrame:
+    """Manual adjustments from files. A CSV field may hold line ends, so one task reads a whole file; ``one_line`` says that none
+    does, and a large file is then read by several tasks."""
     reader = spark.read.schema(schema) if schema else spark.read
-    raw = reader.csv(path, header=True, multiLine=True, escape='"') if fmt == "csv" else reader.format(fmt).load(path)
+    raw = reader.csv(path, header=True, multiLine=not one_line, escape='"') if fmt == "csv" else reader.format(fmt).load(path)
     return adjustment_frame(raw, key, n_cols)
 
 

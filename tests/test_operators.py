@@ -120,13 +120,13 @@ def test_contains_join_long_texts_and_needles(spark):
     assert sorted(got) == sorted(want)
 
 
-def test_contains_pairs_join_no_more_pieces_than_a_text_has_places(spark, monkeypatch):
+def test_contains_candidates_join_no_more_pieces_than_a_text_has_places(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(joins, "cut_lineage", lambda df, name: seen.append(df) or df)
     text = "".join(random.Random(4).choice("abcdefgh,") for _ in range(20_000))
     a = spark.createDataFrame([(text,)], "hay string")
     b = spark.createDataFrame([(text[i:i + 8 + i % 40],) for i in range(0, 19_000, 5)], "needle string")
-    assert joins.contains_pairs(a, "hay", b, "needle").count() == b.distinct().count()
+    assert joins.contains_candidates(a, "hay", b, "needle").count() == b.distinct().count()
     assert seen[0].count() <= len(text)
 
 

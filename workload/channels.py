@@ -6,7 +6,7 @@ from ledgerloom.plans import config as c
 from ledgerloom.plans import sales_invoice as si
 from ledgerloom.session import new_stage_path
 from ledgerloom.sources.versions import SnapshotLog
-from workload.registry import query
+from workload.registry import ORACLE, query
 
 AS_OF = date(2001, 7, 20)
 RUN_TS = datetime(2001, 7, 20, 5, 0, 0)
@@ -89,11 +89,28 @@ def unposted(pst: str, exc: str | None, types: str = "'ORDER'", key: str = "exte
     return f"(s.{key} is null or s.{key} not in (select x from ({lists}) y(x) where x is not null))"
 
 
-def booked(t, cand, tables, cfg, **more):
-    """Write the candidates to a snapshot log once, then book the newest load from it."""
-    log = SnapshotLog(t.spark, new_stage_path(t.spark, "snapshot_log"), ["internal_sales_channel"])
+CHANNELS = {}
+
+
+def channel(name, sql):
+    """Register a channel: ``fn(tables, log)`` gives its headers and lines, the key shows lines with the facts of their header."""
+
+    def register(fn):
+        CHANNELS[name] = fn
+        query(name, sql)(lambda t: si.document_lines(*fn(t, new_log(t))).select(*SHOWN))
+        return fn
+
+    return register
+
+
+def new_log(t):
+    return SnapshotLog(t.spark, new_stage_path(t.spark, "snapshot_log"), ["internal_sales_channel"])
+
+
+def booked(log, cand, tables, cfg, **more):
+    """Write the candidates to a snapshot log once, then book the newest load from it: headers and lines."""
     log.append(cand, RUN_TS, covers=[[channel] for channel in cfg.channels])
-    return si.document_lines(*si.run_channel(cand, tables, cfg, AS_OF, snapshot_log=log, **more)).select(*SHOWN)
+    return si.run_channel(cand, tables, cfg, AS_OF, snapshot_log=log, **more)
 
 
 def core(tables, pst, exc, txn, **more):
@@ -115,14 +132,14 @@ with cand as (
   from settlements where transaction_type = 'SALE' and settlement_date between date '1995-01-01' and {RUN_DAY})"""
 
 
-@query("si_settlement", f"""{SETTLEMENT_CAND}
+@channel("si_settlement", f"""{SETTLEMENT_CAND}
 , own as ({own_sql("'MAIN', 'SIDE', 'JOINT'", unposted('pst_wfs', 'exc_wfs') + '''
     and s.po_number not in (select po_number from shipped_lines where not regexp_matches(location_code, 'SRT'))''', RUN_DAY, 'txn_wfs', 'po_number')})
 {final_sql(f'select {OWN_LINE} from own', f'select {OWN_HEAD} from own')}""")
-def si_settlement(t):
+def si_settlement(t, log):
     cand = si.settlement_candidates(t.pick(settlements="settlements", companies="companies"), AS_OF, RUN_TS, SINCE, "MAIN", "CO1", placed=True)
     cfg = c.settlement_channel(CORE, SINCE)
-    return booked(t, cand, core(t, "pst_wfs", "exc_wfs", "txn_wfs", posted_line=t["shipped_lines"]), cfg)
+    return booked(log, cand, core(t, "pst_wfs", "exc_wfs", "txn_wfs", posted_line=t["shipped_lines"]), cfg)
 
 
 # ---- drop-ship with promotions ---------------------------------------------------------------
@@ -158,15 +175,15 @@ cand as (select cast(order_date as date) as order_date, purchase_order_id as ext
   from costed left join gtin g on item_sku = g.product_gtin)"""
 
 
-@query("si_dropship_promo", f"""{DROPSHIP_CAND}
+@channel("si_dropship_promo", f"""{DROPSHIP_CAND}
 , own as ({own_sql("'MAIN', 'SIDE', 'JOINT'", unposted('pst_dsv', 'exc_dsv'), RUN_DAY, 'txn_dsv', 'po_number')})
 {final_sql(f'select {OWN_LINE} from own', f'select {OWN_HEAD} from own')}""")
-def si_dropship_promo(t):
+def si_dropship_promo(t, log):
     raw = t.pick(order_lines="order_lines", catalogue="catalogue", promo_log="promo_log", promo_sheet="promo_sheet",
                  companies="companies", posted_header="pst_dsv")
     cand = si.dropship_candidates(raw, AS_OF, RUN_TS, SINCE, "MAIN", "CO1", SINCE, placed=True)
     cfg = c.dropship_channel(CORE, SINCE)
-    return booked(t, cand, core(t, "pst_dsv", "exc_dsv", "txn_dsv"), cfg)
+    return booked(log, cand, core(t, "pst_dsv", "exc_dsv", "txn_dsv"), cfg)
 
 
 # ---- base-cost invoices ----------------------------------------------------------------------
@@ -198,20 +215,20 @@ cand as (select order_date, case when belong_to_company in ('MAIN', 'SIDE', 'JOI
 WF_SCOPED = unposted('pst_wf', 'exc_wf')
 
 
-@query("si_invoice_basecost", f"""{BASECOST_CAND}
+@channel("si_invoice_basecost", f"""{BASECOST_CAND}
 , own as ({own_sql("'MAIN', 'SIDE', 'JOINT'", WF_SCOPED, 'order_date', 'txn_wf', 'original_external_doc_no')})
 , obh as ({obh_sql("'MAIN', 'SIDE', 'JOINT'", unposted('pst_wf', None), 'order_date', POSTING,
     "case when belong_to_company = 'HMD' then null else wh_location end")})
 {final_sql(f'''select {OWN_LINE} from own union all select {OBH_LINE} from obh
   union all select {OBH_ITEM_PRICED} from obh where belong_to_company in ('Bluestars', 'Bitis')''',
   f'select {OWN_HEAD} from own union all select {OBH_HEAD} from obh')}""")
-def si_invoice_basecost(t):
+def si_invoice_basecost(t, log):
     raw = t.pick(invoices="invoices", orders_export="orders_export", base_cost="base_cost", items="items",
                  companies="companies", dropship_export="dropship_export")
     cand = si.basecost_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO2", "CO1", {"ACCT_US": "REG-USA", "ACCT_CA": "REG-CAN"},
                                   {"ACCT_US": "157-WFC-US", "ACCT_CA": "157-WF-CAN"}, placed=True)
     cfg = c.basecost_channel(CORE, SINCE)
-    return booked(t, cand, core(t, "pst_wf", "exc_wf", "txn_wf"), cfg)
+    return booked(log, cand, core(t, "pst_wf", "exc_wf", "txn_wf"), cfg)
 
 
 # ---- direct fulfilment -----------------------------------------------------------------------
@@ -233,7 +250,7 @@ cand as (select order_date, case when belong_to_company in ('MAIN', 'SIDE', 'JOI
 DF_OPEN = """s.original_external_doc_no not in (select original_external_doc_no from pst_ds where document_type = 'Order')"""
 
 
-@query("si_direct_fulfil", f"""{DF_CAND}
+@channel("si_direct_fulfil", f"""{DF_CAND}
 , own as ({own_sql("'MAIN', 'SIDE', 'JOINT'", DF_OPEN, 'order_date', 'txn_ds', 'original_external_doc_no')})
 , obh as ({obh_sql("'MAIN', 'SIDE', 'JOINT'", DF_OPEN, 'order_date', POSTING,
     "case when belong_to_company = 'HMD' then null else '156-OBH-CA' end")})
@@ -243,11 +260,11 @@ DF_OPEN = """s.original_external_doc_no not in (select original_external_doc_no
 {final_sql(f'''select {OWN_LINE} from own union all select {OBH_LINE} from obh
   union all select {OBH_ITEM} from obh where belong_to_company <> 'HMD' ''',
   "select * from heads where not (external_doc_no in (select external_doc_no from mixed) and belong_to_company in ('SIDE', 'JOINT'))")}""")
-def si_direct_fulfil(t):
+def si_direct_fulfil(t, log):
     raw = t.pick(df_items="df_items", df_summary="df_summary", profiles="profiles", items="items", companies="companies")
     cand = si.direct_fulfil_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", placed=True)
     cfg = c.direct_fulfil_channel(CORE, SINCE, "MAIN")
-    return booked(t, cand, core(t, "pst_ds", None, "txn_ds"), cfg)
+    return booked(log, cand, core(t, "pst_ds", None, "txn_ds"), cfg)
 
 
 # ---- payment report --------------------------------------------------------------------------
@@ -277,18 +294,18 @@ cand as (select date_time as order_date, case when belong_to_company in ('MAIN',
     order_id as original_external_doc_no, asin, belong_to_company, '14D' as payment_term, '131US-MER0001-AMZ' as bill_to from base)"""
 
 
-@query("si_payment_report", f"""{PAY_CAND}
+@channel("si_payment_report", f"""{PAY_CAND}
 , own as ({own_sql("'MAIN', 'SIDE', 'JOINT'", unposted('pst_asc', 'exc_asc'), RUN_DAY, 'txn_asc', 'original_external_doc_no')})
 , obh as ({obh_sql("'MAIN', 'SIDE', 'JOINT'", unposted('pst_asc', None), RUN_DAY, RUN_DAY, "s.wh_location")})
 {final_sql(f'''select {OWN_LINE} from own union all select {OBH_LINE} from obh
   union all select {OBH_ITEM} from obh where belong_to_company <> 'HMD' ''',
   f'select {OWN_HEAD} from own union all select {OBH_HEAD} from obh')}""")
-def si_payment_report(t):
+def si_payment_report(t, log):
     raw = t.pick(payments="payments", seller_orders_a="seller_orders_a", seller_orders_b="seller_orders_b",
                  profiles="profiles", items="items", companies="companies")
     cand = si.payment_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, placed=True)
     cfg = c.payment_channel(CORE, SINCE)
-    return booked(t, cand, core(t, "pst_asc", "exc_asc", "txn_asc"), cfg)
+    return booked(log, cand, core(t, "pst_asc", "exc_asc", "txn_asc"), cfg)
 
 
 # ---- vendor invoices -------------------------------------------------------------------------
@@ -323,7 +340,7 @@ EXTRA_LINE = LINE.format(type=f"case when {EXTRA} then 'G/L Account' else 'ITEM'
                          loc="wh_location", amt="amount")
 
 
-@query("si_vendor_invoice", f"""{VENDOR_CAND}
+@channel("si_vendor_invoice", f"""{VENDOR_CAND}
 , own as ({own_sql("'MAIN', 'SIDE', 'JOINT'", unposted('pst_avc', 'exc_avc', "'ORDER', 'ACCRUAL'"), RUN_DAY, None, '')})
 , obh as ({obh_sql("'MAIN', 'SIDE', 'JOINT'", "s.external_doc_no not in (select external_doc_no from pst_avc)", RUN_DAY, RUN_DAY,
     "case when belong_to_company = 'HMD' then null else '156-OBH-CA' end")})
@@ -340,12 +357,12 @@ EXTRA_LINE = LINE.format(type=f"case when {EXTRA} then 'G/L Account' else 'ITEM'
     from (select {EXTRA_LINE} from own union all select {OBH_LINE} from obh union all select {OBH_ITEM} from obh where belong_to_company <> 'HMD') x
     left join ship on x.document_no = ship.doc)
 {final_sql('select * from lines', 'select * from heads')}""")
-def si_vendor_invoice(t):
+def si_vendor_invoice(t, log):
     raw = t.pick(vendor_invoices="vendor_invoices", vendor_invoice_detail="vendor_invoice_detail", purchase_orders="purchase_orders",
                  profiles="profiles", second_skus="second_skus", items="items", companies="companies")
     cand = si.vendor_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", ["VENA", "VENB"], ["VENG"], placed=True)
     cfg = c.vendor_channel(CORE, SINCE)
-    return booked(t, cand, core(t, "pst_avc", "exc_avc", None), cfg, extra_invoices=t["extra_invoices"],
+    return booked(log, cand, core(t, "pst_avc", "exc_avc", None), cfg, extra_invoices=t["extra_invoices"],
                   shipments=t["shipments"])
 
 
@@ -366,3 +383,19 @@ def add_in(t):
     header = header.selectExpr("'header' as kind", "external_doc_no as doc", "cast(order_date as string) as order_date", "cast(null as string) as item",
                                "cast(null as decimal(18,2)) as amount", "cast(null as decimal(18,4)) as vat_amount", "source_code")
     return header.unionByName(line.selectExpr("'line' as kind", "document_no as doc", "cast(null as string) as order_date", "original_asin_sku as item", "amount", "vat_amount", "cast(null as string) as source_code"))
+
+
+# ---- the daily job ---------------------------------------------------------------------------
+LINE_COLS = SHOWN[:SHOWN.index("posting_date")]
+HEAD_COLS = SHOWN[SHOWN.index("posting_date"):]
+
+
+@query("daily_documents", f"""with shown as materialized ({' union all '.join(f'select * from ({ORACLE[name]})' for name in CHANNELS)}),
+  l as (select distinct {', '.join(LINE_COLS)} from shown),
+  h as (select distinct document_no, {', '.join(HEAD_COLS)} from shown where internal_sales_channel is not null)
+  select l.*, {', '.join(f'h.{c}' for c in HEAD_COLS)} from l left join h on l.document_no = h.document_no""")
+def daily_documents(t):
+    """All channels of a day, one after the other from one snapshot log, into the daily tables."""
+    log = new_log(t)
+    header, line = si.daily_documents([run(t, log) for run in CHANNELS.values()])
+    return si.document_lines(header, line).select(*SHOWN).distinct()

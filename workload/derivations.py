@@ -271,9 +271,15 @@ def rate_columns(t):
     return rated_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", *[f"{r}_{k}" for r in RULES for k in ("rate", "amt")])
 
 
+# (rule, note, what must not be zero), written out here so that a wrong note in the library shows
+NOTES = [("coop_mkt", "COOP_MKT", "amount"), ("import_coop", "Coop DI", "amount"), ("jpn_service", "DI JPN AVS_SVS", "amount"),
+         ("import_service", "DI DEU GBR AVS_SVS", "rate"), ("freight", "Freight_Allowance", "amount"), ("damage", "Damage_Allowance", "rate"),
+         ("dropship_damage", "Damage_Allowance", "amount"), ("stock_damage", "Damage_Allowance", "amount"), ("furniture", "Furniture_SVS_AVS", "amount")]
+
+
 @query("unpivot_rates", f"with {RATED} " + " union all ".join(
     f"select l_orderkey, l_linenumber, l_partkey, {r}::double as rate, (amount * {r}::decimal(6,4))::double as accrual_amt, '{note}' as note from rated where "
-    + (f"{r} <> 0" if test == "rate" else f"amount * {r}::decimal(6,4) <> 0") for r, note, test in accrual.ESTIMATE_NOTES))
+    + (f"{r} <> 0" if test == "rate" else f"amount * {r}::decimal(6,4) <> 0") for r, note, test in NOTES))
 def unpivot_rates(t):
     triples = [(f"{r}_rate", f"{r}_amt", note, f"{r}_{test}") for r, note, test in accrual.ESTIMATE_NOTES]
     return d.unpivot_rates(rated_lines(t), triples, ["l_orderkey", "l_linenumber", "l_partkey"])

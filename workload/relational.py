@@ -67,7 +67,7 @@ def join_contains(t):
     ids = t["catalogue"].groupBy("supplier_stock_id").agg(aggs.string_distinct("item_id", ",").alias("ids"))
     promo = t["promo_log"].where("day(data_updated_time) = 18").select(F.col("item_id").alias("promo_item"), "current_cost", "promo_start_1", "promo_end_1")
     rows = t["order_lines"].join(ids, F.col("item_sku") == F.col("supplier_stock_id"))
-    out = joins.contains_join(rows, promo, "ids", "promo_item", ("order_date", "promo_start_1", "promo_end_1"))
+    out = joins.contains_join(rows, promo, "ids", "promo_item", ("order_date", "promo_start_1", "promo_end_1"), texts=ids)
     return out.select("purchase_order_id", "order_line_id", "item_sku", "promo_item", "current_cost")
 
 
