@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from ledgerloom.llm import license_scan as ls
 from tests.llm.data import empty, frame, messy
 
@@ -30,5 +32,30 @@ def test_base_matches_brute_force_and_method_adds_labels(spark):
         assert 0 <= r.score <= 1 and (r.score > 0) == (r.labels != "") and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
 
 
+def labels_of(spark, texts, templates=None):
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    return [r.labels for r in sorted(ls.scan(frame(spark, rows), templates=templates).collect(), key=lambda r: r.doc_id)]
+
+
+def test_usual_wordings_and_names(spark):
+    texts = ["Licensed under the terms of the Apache License, Version 2.0", "SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: MIT",
+             "licensed under the terms of the Mozilla License, version 2.0", "subject to the terms of the Eclipse Public License, version 2.0",
+             "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+             "Licensed under the terms of the big Apache License, Version 2.0", "licensed under the BSD license"]
+    assert labels_of(spark, texts) == ["apache-2.0", "gpl-3.0", "mit", "", "epl", "gpl,gpl-2.0", "apache-2.0", ""]
+
+
+def test_templates_of_the_caller_of_any_length(spark):
+    body = " ".join(f"clause{i} of" for i in range(100))             # 200 words: four sections
+    texts = ["x " + body + " y", " ".join(body.split()[50:100]), " ".join(body.split()[:20]), "released under the mit license", "cc by " + body.upper()]
+    assert labels_of(spark, texts, {body: "house"}) == ["house", "house", "", "", "cc-by,house"]
+    assert all(len(s) <= ls.SECTION for s in ls.sections(body)) and sum(ls.sections(body), []) == body.split()
+    for n in (64, 65, 66):
+        phrase = " ".join(f"w{i}" for i in range(n))
+        assert labels_of(spark, [phrase, phrase.replace("w3 ", "z ")], {phrase: "p"}) == ["p", "p"]
+    with pytest.raises(ValueError, match="needs 2 words"):
+        ls.template_table(spark, {"word": "x"})
+
+
 def test_empty_table(spark):
     assert ls.scan(empty(spark)).collect() == []
