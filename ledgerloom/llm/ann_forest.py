@@ -15,7 +15,8 @@ precision on the original vectors, and the best ``k`` of a block are kept; they
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part, nor do rows without an id; rows that repeat an id count once (with their best score), and none is its own neighbour; ties go to
-the smaller id; with fewer than ``k`` candidates all that were found are returned; an empty table gives no rows.
+the smaller id; with fewer than ``k`` candidates all that were found are returned; an empty table gives no rows; components may be as
+small or large as doubles are; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -138,7 +139,7 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TR
         return spark.createDataFrame([], result).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
     share = min(1.0, sample_rows / n)
     part = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).limit(2 * sample_rows)
-    sample = np.array([r.v for r in part.select("vec_id", "v").orderBy("vec_id").collect()] or [rows.first().v])
+    sample = scaled(np.array([r.v for r in part.select("vec_id", "v").orderBy("vec_id").collect()] or [rows.first().v]))
     forest = grow(sample, n, trees, leaf)
     budget = min(enough(forest, sample, k, recall), float(len(forest.directions))) * n
 
@@ -226,4 +227,10 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TR
 
 def matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
+    return scaled(flat.reshape(len(column), -1))
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times the power of two that brings its largest component between 0.5 and 1. That is exact and leaves cosines as they
+    are, but squares of very small or large components neither vanish nor overflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])

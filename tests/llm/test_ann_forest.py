@@ -66,3 +66,21 @@ def test_recall_on_clustered_vectors(spark):
     expected = brute(vectors, 5)
     found = {(r.query_id, r.vec_id) for r in af.neighbours(table(spark, vectors), F.col("vec_id") % 5 == 0).collect()}
     assert sum((q, i) in found for q, near in expected.items() for _, i in near) >= 0.9 * 5 * len(expected)
+
+
+def test_scores_of_extreme_vectors(spark):
+    rng = np.random.default_rng(8)
+    plain = rng.standard_normal((60, 8))
+    size = [1e-300, 1e-200, 1.0, 1e200, 1e300, 3e-320]
+    data = [(i, [float(x) for x in v * size[i % 6]]) for i, v in enumerate(plain)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = af.neighbours(frame, F.col("vec_id") % 5 == 0, recall=1.0).collect()
+    exact = np.array([[x / max(map(abs, v)) for x in v] for _, v in data])
+    exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+    assert len(got) == 60
+    for q in range(0, 60, 5):
+        near = exact @ exact[q]
+        near[q] = -2
+        found = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [i for _, i, _ in found] == list(np.argsort(-near)[:5])
+        assert all(abs(s - near[i]) < 1e-12 for _, i, s in found)
