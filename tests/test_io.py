@@ -106,3 +106,17 @@ def test_a_cluster_has_to_name_its_shared_folder():
         shared_dir(Session)
     Session.sparkContext.master = "local[4]"
     assert shared_dir(Session) == "/warehouse/_stages"
+
+
+def test_one_line_files_are_split(spark, tmp_path):
+    path = tmp_path / "long.csv"
+    path.write_text("Line No,Note\n" + "".join(f'{i},"a, {i}"\n' for i in range(5000)))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16384")
+    try:
+        whole, split = [io.ingest_adjustments(spark, str(path), "line_no", one_line=x) for x in (False, True)]
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert sorted(split.collect()) == sorted(whole.collect()) and split.count() == 5000
+    finally:
+        spark.conf.set(key, before)
