@@ -17,7 +17,7 @@ load_all()
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = """scan_filter_project latest_snapshot posted_exclusion not_in_null_aware promote_to_final ledger_rollover code_map posting_date_rule line_amounts
-  unpivot_rates shipment_location join_interval_bucketed join_contains join_full_outer agg_conditional_count agg_unique_or_unknown win_line_no win_dense_rank_global
+  unpivot_rates shipment_location join_interval_bucketed join_interval_ranged agg_string join_contains join_full_outer agg_conditional_count agg_unique_or_unknown win_line_no win_dense_rank_global
   win_allocate si_settlement recon_asc recon_promo damage_credit accrual_promo accrual_ads_amz""".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 
