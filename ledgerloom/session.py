@@ -16,6 +16,13 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# What a task reads from a shuffle is compressed: sorted rows take up to 25 times as much memory, so the default of 64 MB
+# lets a task grow to 1.6 GB. A session that asks for less keeps it.
+MOST_READ = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": 64 << 20,
+}
+
 
 def build_session(app: str = "ledgerloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -29,9 +36,16 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    for key, most in MOST_READ.items():
+        if _bytes(spark, spark.conf.get(key)) > most:
+            spark.conf.set(key, f"{most}b")
     return spark
 
 
+def _bytes(spark: SparkSession, size: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A folder every executor can reach: ``spark.checkpoint.dir`` of the session. A session of one machine may go without it and
     gets a folder in its warehouse; on a cluster that could be a folder of one machine, so it has to be named there."""
