@@ -358,31 +358,32 @@ def estimate_base(t: Tables, as_of: date, merged: Sequence[str], main: str, stoc
             "unit_price", "quantity", "amount", "sales_channel", "platform", "internal_sales_channel", "is_processed",
             "original_company_id", "type"]
 
-    sales = header.where(
-        F.col("internal_sales_channel").isin(*c.ESTIMATE_CHANNELS) & not_matches("bill_to_customer", "INTC")
-        & (F.upper("document_type") == "ORDER") & F.col("h_country").isin(*c.ESTIMATE_REGIONS))
-    sales = line.drop("country").join(sales, "document_no").withColumns({
-        "country": F.col("h_country"),
-        "amount": F.when(F.col("h_channel").isin("CHAN-WAYFAIR", "CHAN-WMDSV"),
-                         F.col("quantity") * F.col("unit_price")).otherwise(F.col("amount")),
-        "type": F.when(matches("posting_description", "Booking accrual revenue"), F.lit("SI Accrual")).otherwise(F.lit("SI Actual")),
-    }).select(*kept)
+    # lines meet their headers once, in one shuffle; sales and returns are told apart after it
+    sale = (F.col("internal_sales_channel").isin(*c.ESTIMATE_CHANNELS) & not_matches("bill_to_customer", "INTC")
+            & (F.upper("document_type") == "ORDER") & F.col("h_country").isin(*c.ESTIMATE_REGIONS))
+    back = (F.col("document_type") == "Sales Return") & (F.col("sales_channel") == "CHAN-AVC")
+    if skip_customers:
+        back = back & ~F.col("bill_to_customer").isin(*skip_customers)
+    rows = line.join(header, "document_no").withColumn("_branch", F.when(sale, "sale").when(back, "back")).where("_branch is not null")
 
     channel = (
         F.when(F.col("vendor").isin(*stock_vendors), F.lit("AVC WH")).when(F.col("vendor").isin(*gpe_vendors), F.lit("AVC GPE"))
         .when(F.col("vendor").isNull(), F.lit(c.UNIDENTIFIED)).otherwise(F.lit("AVC DI")))
-    vendors = t["purchase_orders"].select(F.col("po_id").alias("po_number"), channel.alias("po_channel")).distinct()
-    returns = header.where(F.col("document_type") == "Sales Return").drop("internal_sales_channel")
-    if skip_customers:
-        returns = returns.where(~F.col("bill_to_customer").isin(*skip_customers))
-    returns = line.where(F.col("sales_channel") == "CHAN-AVC").join(returns, "document_no").join(vendors, "po_number", "left")
-    stock = returns.where(F.col("po_channel").isin("AVC DS", "AVC WH") | F.col("po_channel").isNull()).withColumn(
-        "internal_sales_channel", F.when(matches("po_number", "DROPSHIP"), F.lit("AVC DS")).otherwise(F.lit("AVC WH")))
-    imports = returns.where((F.col("po_channel") == "AVC DI") & part("country", "-", 2).isin(*c.RETURN_REGIONS))
-    imports = imports.where(~F.col("po_number").isin(*skip_po) if skip_po else F.col("po_number").isNotNull())
-    imports = imports.withColumn("internal_sales_channel", F.col("po_channel"))
-    back = stock.unionByName(imports).withColumns({"amount": -F.col("amount"), "type": F.lit("SRT Actual")}).select(*kept)
-    return sales.unionByName(back)
+    vendors = t["purchase_orders"].select(F.col("po_id").alias("_po"), channel.alias("po_channel")).distinct()
+    is_sale, is_back = F.col("_branch") == "sale", F.col("_branch") == "back"
+    # only returns ask for the vendor
+    rows = rows.join(vendors, F.when(is_back, F.col("po_number")) == F.col("_po"), "left")
+    stock = is_back & (F.col("po_channel").isin("AVC DS", "AVC WH") | F.col("po_channel").isNull())
+    imports = is_back & (F.col("po_channel") == "AVC DI") & part("country", "-", 2).isin(*c.RETURN_REGIONS)
+    imports = imports & (~F.col("po_number").isin(*skip_po) if skip_po else F.col("po_number").isNotNull())
+    net = F.when(F.col("h_channel").isin("CHAN-WAYFAIR", "CHAN-WMDSV"), F.col("quantity") * F.col("unit_price")).otherwise(F.col("amount"))
+    booked = F.when(matches("posting_description", "Booking accrual revenue"), F.lit("SI Accrual")).otherwise(F.lit("SI Actual"))
+    by_number = F.when(matches("po_number", "DROPSHIP"), F.lit("AVC DS")).otherwise(F.lit("AVC WH"))
+    return rows.where(is_sale | stock | imports).select(*[
+        {"country": F.when(is_sale, F.col("h_country")).otherwise(F.col("country")),
+         "amount": F.when(is_sale, net).otherwise(-F.col("amount")),
+         "internal_sales_channel": F.when(is_sale, F.col("internal_sales_channel")).when(stock, by_number).otherwise(F.col("po_channel")),
+         "type": F.when(is_sale, booked).otherwise(F.lit("SRT Actual"))}.get(name, F.col(name)).alias(name) for name in kept])
 
 
 def accrual_estimate(t: Tables, as_of: date, **base_args) -> DataFrame:

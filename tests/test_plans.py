@@ -258,3 +258,35 @@ def test_placed_log_numbers_documents_over_slices_and_channels(spark, tmp_path):
     log = snapshot_append(si.as_candidates(other, *args, placed=True), path, datetime(2025, 1, 20), within=["internal_sales_channel"])
     assert rows(si.numbered_load(log).where("internal_sales_channel = 'C'"), *cols) == rows(want, *cols)
     assert rows(si.numbered_load(log).where("internal_sales_channel <> 'C'"), *cols) == rows(want, *cols)
+
+
+def test_estimate_reads_the_lines_once(spark, tmp_path):
+    day = date(2024, 4, 10)
+    heads = [("D1", "Order", "AVC WH", "131US", 1), ("D2_Return", "Sales Return", "AVC WH", "131US", 1), ("D3", "Order", "AVC WH", "136INTC", 1), ("D4", "Order", "AVC WH", "131US", 0),
+             ("D5", None, "AVC WH", "131US", 1)]
+    header = spark.createDataFrame([(d, day, day, "REG-USA", "USD", "CHAN-AVC", chan, flag, "CO1", "Booking revenue", bill, kind, "MAIN") for d, kind, chan, bill, flag in heads],
+        "external_doc_no string, posting_date date, document_date date, country string, currency string, sales_channel string, internal_sales_channel string, is_processed int, "
+        "original_company_id string, posting_description string, bill_to_customer string, document_type string, belong_to_company string")
+    lines = [(d, po, "1001", Decimal("2.00"), 3, Decimal("6.00"), "REG-DEU", "CHAN-AVC", "PLF") for d, po in (
+        ("D1", "P1"), ("D2_Return", "P1"), ("D2_Return", "P2"), ("D2_Return", "DROPSHIP-1"), ("D2_Return", None), ("D3", "P1"), ("D4", "P1"), ("D5", "P1"))]
+    spark.createDataFrame(lines, "document_no string, po_number string, no string, unit_price decimal(18,2), quantity int, amount decimal(18,2), country string, sales_channel string, "
+                          "platform string").write.parquet(f"{tmp_path}/lines")
+    # P1 is of two vendors, which doubles its returns and not its sales; P2 is a GPE order, which has no estimates
+    orders = spark.createDataFrame([("P1", "VENA"), ("P1", "VENX"), ("P2", "VENG")], "po_id string, vendor string")
+    out = accrual.estimate_base({"posted_header": header, "posted_line": spark.read.parquet(f"{tmp_path}/lines"), "purchase_orders": orders}, date(2024, 5, 20), (), "MAIN", ["VENA"], ["VENG"])
+    assert rows(out, "document_no", "po_number", "country", "internal_sales_channel", "amount", "type") == sorted([
+        ("D1", "P1", "REG-USA", "AVC WH", Decimal("6.00"), "SI Actual"), ("D2_Return", "P1", "REG-DEU", "AVC WH", Decimal("-6.00"), "SRT Actual"),
+        ("D2_Return", "P1", "REG-DEU", "AVC DI", Decimal("-6.00"), "SRT Actual"), ("D2_Return", "DROPSHIP-1", "REG-DEU", "AVC DS", Decimal("-6.00"), "SRT Actual"),
+        ("D2_Return", None, "REG-DEU", "AVC WH", Decimal("-6.00"), "SRT Actual")], key=lambda r: tuple((v is not None, str(v)) for v in r))
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
+def test_shipments_are_placed_once_for_headers_and_lines(spark):
+    ships = spark.createDataFrame([("S1", "7", "P1", date(2024, 1, 1), "Fontana")], "shipment_id string, reference_id string, purchase_order string, run_date date, ship_from_city string")
+    header = conform(spark.createDataFrame([("P1_7", "MAIN", "AVC WH", "x"), ("P2_7", "MAIN", "AVC WH", "x")], "external_doc_no string, belong_to_company string, internal_sales_channel string, location string"), HEADER)
+    line = conform(spark.createDataFrame([("P1_7", "x")], "document_no string, location_code string"), LINE)
+    header, line = si.apply_shipments(header, line, ships, ("MAIN",))
+    for df in (header, line):
+        assert "Window" not in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(header, "external_doc_no", "location") == [("P1_7", "156-3PL-FT"), ("P2_7", "x")]
+    assert rows(line, "document_no", "location_code") == [("P1_7", "156-3PL-FT")]
