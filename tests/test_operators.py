@@ -382,3 +382,15 @@ def test_lookup_ignores_null_keys(spark):
     assert rows(skew.lookup(left, right, ["k"]), "k", "v", "w") == [(None, 2, None), ("a", 1, 5)]
     assert rows(skew.lookup(left, right, ["k"], "left_anti")) == [(None, 2)]
     assert rows(skew.lookup(left, right, ["k"], "left_semi")) == [("a", 1)]
+
+
+def test_numbers_from_places_count_only_the_keys_that_slices_open_with(spark, tmp_path):
+    base = [(write, key) for write in ("a", "b") for key in [None] * 300 + ["hot"] * 900 + [f"k{i}" for i in range(200)]]
+    df = spark.createDataFrame(base, "write string, doc string")
+    for write in ("a", "b"):
+        placed = skew.in_order(df.where(F.col("write") == write), [F.col("doc")], 7)
+        placed.write.mode("append").parquet(f"{tmp_path}/load")
+    out = skew.numbers_from_places(spark.read.parquet(f"{tmp_path}/load"), ["doc"], "_place", "n", writes=["write"])
+    got = out.groupBy("write", "doc").agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"), F.countDistinct("n").alias("numbers"))
+    assert all(r.low == 1 and r.rows == r.high == r.numbers for r in got.collect()) and got.count() == 404
+    assert out._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") >= 3
