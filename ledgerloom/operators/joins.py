@@ -216,8 +216,10 @@ def reconcile(source: DataFrame, booked: DataFrame, keys: Sequence[tuple[str, st
     differs = (F.abs(gap) > tolerance) if tolerance else (F.col(measure[0]) != F.col(measure[1]))
     missing = F.col(booked_key).isNull()
     alone = F.col(src_key).isNull() & ~missing if booked_only else F.lit(False)
+    # no other row can stay. Booked rows without a source share a null key: they must not meet in one task of the join below
+    joined = joined.where(differs | missing | alone)
     if posted is None:
-        return joined.where(differs | missing | alone)
+        return joined
     listed = posted.select(F.col(posted_key or src_key).alias("_posted"))
     joined = joined.join(listed.where(F.col("_posted").isNotNull()).distinct(), F.col(src_key) == F.col("_posted"), "left")
     joined = joined.withColumn("_facts", list_facts(listed, "_posted"))

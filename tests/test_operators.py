@@ -394,3 +394,15 @@ def test_numbers_from_places_count_only_the_keys_that_slices_open_with(spark, tm
     got = out.groupBy("write", "doc").agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"), F.countDistinct("n").alias("numbers"))
     assert all(r.low == 1 and r.rows == r.high == r.numbers for r in got.collect()) and got.count() == 404
     assert out._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") >= 3
+
+
+def test_reconcile_drops_booked_only_rows_before_the_posted_list(spark):
+    source = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "source_doc string, source_amount int")
+    booked = spark.createDataFrame([("a", 1), ("b", 5), *[(f"only{i}", i) for i in range(50)]], "booked_doc string, booked_amount int")
+    posted = spark.createDataFrame([("b",), ("z",)], "doc string")
+    for guard, kept in (("missing", [("b", 2), ("c", 3)]), ("differs", [(None, 4), ("c", 3)])):
+        out = joins.reconcile(source, booked, [("source_doc", "booked_doc")], ("source_amount", "booked_amount"), posted, "doc", guard)
+        assert rows(out, "source_doc", "source_amount") == kept
+        plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        listed, full = (next(i for i, line in enumerate(plan) if f"Join {kind}" in line) for kind in ("LeftOuter", "FullOuter"))
+        assert any("Filter" in line for line in plan[listed:full])
