@@ -290,3 +290,41 @@ def test_shipments_are_placed_once_for_headers_and_lines(spark):
         assert "Window" not in df._jdf.queryExecution().executedPlan().toString()
     assert rows(header, "external_doc_no", "location") == [("P1_7", "156-3PL-FT"), ("P2_7", "x")]
     assert rows(line, "document_no", "location_code") == [("P1_7", "156-3PL-FT")]
+
+
+def test_promotions_of_a_line_stay_in_one_row_until_it_is_numbered(spark, tmp_path):
+    """The log has a row per line of an order, not one per promotion; numbers and amounts are those of all rows sorted together."""
+    at = lambda day: datetime(2025, 1, day)
+    lines = [("p1", "1", at(5), "0001-a", "Shipped", 2.0, Decimal("9.00")), ("p1", "2", at(5), "0001-b", "Shipped", 1.0, Decimal("9.00")),
+             ("p1", "3", at(5), "0009-c", "Shipped", 3.0, Decimal("4.00")), ("p2", "1", at(19), "0001-a", "Shipped", 1.0, Decimal("9.00")),
+             # one line twice, on two days: its amounts are numbered mixed
+             ("p3", "1", at(5), "0001-a", "Shipped", 1.0, Decimal("9.00")), ("p3", "1", at(6), "0001-a", "Shipped", 1.0, Decimal("9.00"))]
+    run = date(2025, 1, 1)
+    t = {"order_lines": spark.createDataFrame(lines, "purchase_order_id string, order_line_id string, order_date timestamp, item_sku string, order_line_status string, "
+                                              "order_line_quantity_amount double, unit_cost_by_logic decimal(18,2)"),
+         "catalogue": spark.createDataFrame([("0001", i, None, "DSV", "PUBLISHED", run) for i in ("15", "27", "31")],
+                                            "supplier_stock_id string, item_id string, product_gtin string, fulfillment_method string, site_status string, run_date date"),
+         # 5 and 7 lie in the text of the list, 88 does not; 31 is over
+         "promo_log": spark.createDataFrame([("5", Decimal("3.00"), at(1), at(9), at(1)), ("7", Decimal("2.00"), at(1), at(9), at(1)), ("15", Decimal("1.00"), at(1), at(9), at(1)),
+                                             ("88", Decimal("0.50"), at(1), at(9), at(1)), ("31", Decimal("0.25"), at(1), at(2), at(1))],
+                                            "item_id string, current_cost decimal(18,2), promo_start_1 timestamp, promo_end_1 timestamp, data_updated_time timestamp"),
+         "promo_sheet": spark.createDataFrame([("none", Decimal("1.00"), run, run, at(1))], "sku_supplier_stock_id string, funding_amount decimal(18,2), promo_start_1 date, promo_end_1 date, run_time timestamp"),
+         "companies": spark.createDataFrame([("CO1", "cid")], "company_code string, company_id string"),
+         "posted_header": spark.createDataFrame([("old", "Order", "WM DSV")], "original_external_doc_no string, document_type string, internal_sales_channel string")}
+    args = (t, AS_OF, RUN, date(2024, 1, 1), "M", "CO1", date(2024, 1, 1))
+    cand = si.dropship_candidates(*args, placed=True)
+    log = snapshot_append(cand, str(tmp_path / "log"), RUN, within=["internal_sales_channel"])
+    assert log.where("external_doc_no <> 'p3'").count() == 4
+    cols = ["external_doc_no", "asin", "line_no", "amount"]
+    sums = {("p1", "0001-a"): [2, 4, 6], ("p1", "0001-b"): [1, 2, 3], ("p1", "0009-c"): [12], ("p2", "0001-a"): [9], ("p3", "0001-a"): [1, 1, 2, 2, 3, 3]}
+    want, number = [], {}
+    for (doc, sku), amounts in sums.items():
+        for amount in amounts:
+            number[doc] = number.get(doc, 0) + 10000
+            want.append((doc, sku, number[doc], Decimal(f"{amount}.00")))
+    assert rows(si.numbered_load(log), *cols) == sorted(want)
+    assert rows(si.dropship_candidates(*args), *cols) == sorted(want)
+    cfg = ChannelConfig(channels=["WM DSV"], own=["M"], main="M", date_from=date(2024, 1, 1), evidence=None, dedupe_owners=False)
+    header, line = si.run_channel(None, tables(spark), cfg, AS_OF, snapshot_log=log)
+    assert rows(line, "document_no", "original_asin_sku", "line_no", "amount") == sorted(want)
+    assert rows(header, "external_doc_no") == [("p1",), ("p2",), ("p3",), ("p3",)]
