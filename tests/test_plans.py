@@ -328,3 +328,21 @@ def test_promotions_of_a_line_stay_in_one_row_until_it_is_numbered(spark, tmp_pa
     header, line = si.run_channel(None, tables(spark), cfg, AS_OF, snapshot_log=log)
     assert rows(line, "document_no", "original_asin_sku", "line_no", "amount") == sorted(want)
     assert rows(header, "external_doc_no") == [("p1",), ("p2",), ("p3",), ("p3",)]
+
+
+def test_accrual_totals_gather_no_lists_and_read_the_detail_once(spark, capsys):
+    schema = ("report_date date, promotion_id string, country string, platform string, sale_channel string, platform_prd_id string, invoices_list string, pro_est_adj_usd decimal(18,2), "
+              "pro_est_adj_lc decimal(18,2), invoiced_amt_usd decimal(18,2), invoiced_amt_lc decimal(18,2)")
+    row = lambda day, n: (day, "p", "USA", "AMZ", "AVC", "b", f"i{n}", Decimal(n), Decimal(n), Decimal(1), Decimal(1))
+    log = spark.createDataFrame([row(date(2024, 1, 5), 5), row(date(2024, 1, 6), 7)], schema).withColumn("run_time", F.lit(RUN))
+    t = {"estimate_log": log, "promo_spend": spark.createDataFrame([row(date(2023, 7, 1), 3)], schema),
+         "profiles": spark.createDataFrame([("b", "AMZ", "M")], "platform_product_id string, platform_short string, pims_company string")}
+    detail = accrual.promo_accrual(t, "2025-01", RUN, ["M"], "2024-04", (date(2023, 6, 1), date(2023, 12, 31)), date(2024, 1, 1))
+    plan = lambda df: (df.explain(), capsys.readouterr().out)[1]
+    assert "collect_" in plan(detail) and "collect_" not in plan(detail.select("country", "accrual_usd"))
+    out = accrual.marketplace_gl(detail, "2025-01", GlConfig(), RUN, "Promotion")
+    assert "accrued-" in plan(out) and "pro_est_adj_usd" not in plan(out)
+    assert rows(out, "external_document_no", "amount") == [("PROMOACRAMZUSA202501", Decimal("10.00"))]
+    # branches that share a month may give one row twice, which is one row
+    shared = accrual.promo_accrual(t, "2025-01", RUN, ["M"], "2025-01", (date(2024, 1, 1), date(2024, 1, 9)), date(2024, 1, 1))
+    assert shared.count() == shared.distinct().count()
