@@ -14,6 +14,7 @@ from ledgerloom.operators.derive import code_map
 from ledgerloom.operators.incremental import not_in
 from ledgerloom.operators.joins import interval_join, reconcile
 from ledgerloom.operators.skew import lookup
+from ledgerloom.session import cut_lineage
 
 Tables = Mapping[str, DataFrame]
 NET_CHANNELS = ("CHAN-WAYFAIR", "CHAN-WMDSV")   # fixed values: channels whose net sales differ from gross
@@ -119,6 +120,8 @@ def unidentified_location(t: Tables) -> DataFrame:
     pos = t["settlements"].select(F.col("order_id").alias("original_external_doc_no"), "po_id").distinct()
     rows = lines.join(heads, "document_no", "left").join(pos, "original_external_doc_no", "left")
     rows = rows.withColumn("transaction_id", F.coalesce("po_id", "original_external_doc_no"))
+    # lines of open documents alone, read by both sides and by the filter of the movements: written once
+    rows = cut_lineage(rows.select("original_external_doc_no", "transaction_id", "sku", "location_code", "internal_sales_channel"), "open_documents")
     # the lists of the two sides do not depend on each other: each is gathered by itself, so no
     # pairs of items and movements are formed
     doc = F.col("original_external_doc_no").alias("invoice_number")
@@ -131,7 +134,8 @@ def unidentified_location(t: Tables) -> DataFrame:
         "warehouse": ("warehouse", ","), "ims_id": ("ims_id", "|")})
     out = items.join(evidence, "invoice_number", "left")
     out = out.withColumn("sales_channel", code_map("sales_channel", {"WM WFS": "WM MKP"}, F.col("sales_channel")))
-    return out.orderBy(F.asc_nulls_last("sales_channel"), F.asc_nulls_last("invoice_number"))
+    # a sort reads its input twice, for the bounds of its ranges and for the rows
+    return cut_lineage(out, "unidentified").orderBy(F.asc_nulls_last("sales_channel"), F.asc_nulls_last("invoice_number"))
 
 
 def outbound_notes(t: Tables, by_sku: bool, low: date, high: date, date_col: str = "issue_date") -> DataFrame:

@@ -346,3 +346,16 @@ def test_accrual_totals_gather_no_lists_and_read_the_detail_once(spark, capsys):
     # branches that share a month may give one row twice, which is one row
     shared = accrual.promo_accrual(t, "2025-01", RUN, ["M"], "2025-01", (date(2024, 1, 1), date(2024, 1, 9)), date(2024, 1, 1))
     assert shared.count() == shared.distinct().count()
+
+
+def test_open_documents_are_gathered_once_and_sorted_from_a_written_result(spark, capsys):
+    t = {"daily_header": spark.createDataFrame([("d1", "o1", "Unidentified", "WM WFS"), ("d2", "o2", "156-USA-CA", "WM WFS")],
+                                               "external_doc_no string, original_external_doc_no string, location string, internal_sales_channel string"),
+         "daily_line": spark.createDataFrame([("d1", "b", "L"), ("d1", "a", "L"), ("d2", "c", "L")], "document_no string, no string, location_code string"),
+         "settlements": spark.createDataFrame([("o1", "p1"), ("o1", "p1")], "order_id string, po_id string"),
+         "transactions": spark.createDataFrame([("p1", "W2", 7), ("p1", "W1", 7), ("p9", "W9", 1)], "transaction_id string, warehouse string, ims_id int")}
+    out = recon.unidentified_location(t)
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "unidentified-" in plan and "Join" not in plan
+    assert rows(out, "invoice_number", "sku", "location", "sales_channel", "warehouse", "ims_id") == [("o1", "a,b", "L", "WM MKP", "W1,W2", "7")]
