@@ -224,6 +224,21 @@ def test_daily_documents_do_not_double(spark):
     assert header.count() == 1 and line.count() == 1
 
 
+def test_daily_documents_move_only_what_is_shown(spark, capsys):
+    cand = snapshot(spark, [("d", "M", "A", Decimal("1.00"), D, "x", "T"), ("e", "Bitis", "B", Decimal("2.00"), D, "y", "T"), ("f", "HMD", None, None, D, None, "T"),
+                            ("gone", "M", "A", Decimal("3.00"), D, "x", "T")])
+    # lines that differ in what is not shown are one
+    cand = cand.withColumn("description", F.lit("one")).union(cand.withColumn("description", F.lit("other")))
+    t, shown = tables(spark, excluded=["gone"]), ["document_no", "line_no", "type", "no", "amount", "location_code", "posting_date", "location", "header_country", "name"]
+    whole = si.document_lines(*si.daily_documents([si.run_channel(cand, t, CFG, AS_OF)])).select(*shown)
+    runs = [si.run_channel(cand, t, CFG, AS_OF, shown=shown)] * 2
+    cut = si.document_lines(*si.daily_documents(runs, shown)).select(*shown)
+    assert whole.count() == 8 and rows(cut) == rows(whole.distinct()) and cut.count() == 4
+    cut.explain()
+    plan = capsys.readouterr().out
+    assert "description" not in plan.replace("posting_description", "") and "vat_amount" not in plan and "order_date" not in plan.split("Union")[0]
+
+
 def test_presets_have_the_channels_rules():
     own, since = ["M"], date(2024, 1, 1)
     made = [c.settlement_channel(own, since), c.dropship_channel(own, since), c.basecost_channel(own, since),
