@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,7 +14,6 @@ from ledgerloom.functions.scalars import (
 from ledgerloom.operators.derive import code_map, is_own
 from ledgerloom.operators.incremental import not_in
 from ledgerloom.operators.joins import text_rule_join
-from ledgerloom.operators.skew import lookup
 from ledgerloom.operators.windows import dense_rank_global
 from ledgerloom.plans import config as c
 from ledgerloom.plans.accrual import gl_line
@@ -50,8 +50,14 @@ def clean_currency(currency: str, country: str) -> Column:
     return F.when((F.col(currency) == "USA") | blank_home, F.lit("USD")).otherwise(F.col(currency))
 
 
-def promo_invoice_by_sku(t: Tables, since: date) -> DataFrame:
-    """Promotion detail with its share of the clip fee, and merchandising fees that have no detail."""
+def promo_invoice_by_sku(t: Tables, since: date, booked: Sequence[tuple[DataFrame, str]] = ()) -> DataFrame:
+    """Promotion detail with its share of the clip fee, and merchandising fees that have no detail.
+
+    Invoices in a list of ``booked``, ``(frame, key)``, are left out as ``NOT IN`` does, before a line of them is joined.
+    """
+    def unbooked(df: DataFrame, key: str) -> DataFrame:
+        return reduce(lambda kept, other: not_in(kept, key, *other), booked, df)
+
     kinds = t["promo_stream"].select(F.col("invoice_number").alias("invoice_id"), "transaction_type")
     overview = t["promo_overview"].join(kinds, "invoice_id", "left").select(
         F.col("invoice_id").alias("invoice_number"), "invoice_date", "funding_type",
@@ -64,10 +70,15 @@ def promo_invoice_by_sku(t: Tables, since: date) -> DataFrame:
     agreements = t["promo_info"].select(
         F.col("funding_agreement").alias("agreement_id"), F.col("promotion_id").alias("agreed_promotion")).distinct()
 
-    detail = t["promo_detail"].where(F.col("invoice_date") >= F.lit(since))
-    rows = detail.drop("funding_type").join(overview.drop("invoice_date"), "invoice_number", "left")
-    rows = rows.join(agreements, "agreement_id", "left")
-    rows = lookup(lookup(rows, clips, ["invoice_number"]), totals, ["invoice_number"])
+    # what is known of an invoice is gathered per invoice, so that a line is joined once; without a number nothing is known of it
+    totals = totals.withColumns({name: F.when(F.col("invoice_number").isNotNull(), F.col(name)) for name in ("total_quantity", "total_cost")})
+    known = unbooked(totals, "invoice_number").join(clips, "invoice_number", "left")
+    known = known.join(overview.drop("invoice_date"), "invoice_number", "left").join(agreements, "agreement_id", "left").select(
+        F.col("invoice_number").alias("_invoice"), "funding_type", "sub_funding_type", "currency", "cop_ovr_amt", "agreed_promotion",
+        "total_clip_fee", "total_quantity", "total_cost")
+    detail = t["promo_detail"].where(F.col("invoice_date") >= F.lit(since)).drop("funding_type")
+    # every line has totals, so none is lost but those of booked invoices; null-safe, see skew.lookup
+    rows = detail.join(known, F.col("invoice_number").eqNullSafe(F.col("_invoice")))
     per_unit = lambda amount: F.round(
         F.col("promotion_cost") + amount * F.col("quantity") / F.when(F.col("total_quantity") != 0, F.col("total_quantity")), 2)
     residual = F.col("cop_ovr_amt") - F.col("total_cost")
@@ -84,6 +95,7 @@ def promo_invoice_by_sku(t: Tables, since: date) -> DataFrame:
     fees = t["promo_overview"].where(
         contains(fund, F.lit("STRAIGHT PAYMENT")) & contains(title, F.lit("MERCHANDISING"))
         & (F.col("invoice_date") >= F.lit(since)))
+    fees = unbooked(fees, "invoice_id")
     fee = F.round("original_balance", 2)
     label = F.lit("Base merchandising fee")
     undetailed = fees.select(
@@ -116,8 +128,14 @@ def ads_invoice_detail(t: Tables, since: date, main: str, main_company: str, sel
         .when(F.col("accountinfo_type") == "seller", seller).alias("original_company_id")).distinct()
     heads = t["ads_invoices"].select(F.col("invoice_id").alias("summary_id"), "profile_id")
     countries = t["countries"].select("country_code_2", "country_code_3")
+    adjust = t["ads_adjustments"].select("invoice_id", F.col("portfolioid").alias("portfolio_id"), F.col("amount").alias("adj"))
+    partner = t["ads_portfolios"].where(contains("name", F.lit(split_owner))).join(
+        adjust, ["invoice_id", "portfolio_id"], "left")
+    partner = partner.groupBy(F.col("invoice_id").alias("summary_id")).agg(
+        F.sum(F.col("totalamount") + F.coalesce("adj", F.lit(0)) - F.col("feeamount")).cast("decimal(10,2)").alias("partner_amt"))
+    # both joins by invoice stand together: one shuffle serves them
     raw = (
-        t["ads_invoice_detail"].join(heads, "summary_id", "left").join(profiles, "profile_id", "left")
+        t["ads_invoice_detail"].join(heads, "summary_id", "left").join(partner, "summary_id", "left").join(profiles, "profile_id", "left")
         .withColumn("country_code_2", F.coalesce("issuer_countrycode", "countrycode"))
         .join(countries, "country_code_2", "left"))
     raw = raw.where(~F.col("account_name").isin(*skip_accounts) if skip_accounts else F.col("account_name").isNotNull())
@@ -128,14 +146,9 @@ def ads_invoice_detail(t: Tables, since: date, main: str, main_company: str, sel
         F.when(F.col("currency") == "SGD", F.lit("SGP")).otherwise(F.col("country_code_3")).alias("country"), "currency",
         F.when(written_off, F.lit(0)).otherwise(F.col("amount") + F.col("tax")).alias("amount"),
         code_map("accountinfo_type", {"vendor": "AVC", "seller": "ASC"}).alias("channel"),
-        F.lit("Amazon").alias("platform"), "account_name", "original_company_id")
+        F.lit("Amazon").alias("platform"), "account_name", "original_company_id",
+        F.coalesce("partner_amt", F.lit(0)).alias("partner_amt"))
     raw = raw.where(F.col("invoice_date") >= F.lit(since))
-    adjust = t["ads_adjustments"].select("invoice_id", F.col("portfolioid").alias("portfolio_id"), F.col("amount").alias("adj"))
-    partner = t["ads_portfolios"].where(contains("name", F.lit(split_owner))).join(
-        adjust, ["invoice_id", "portfolio_id"], "left")
-    partner = partner.groupBy(F.col("invoice_id").alias("invoice_number")).agg(
-        F.sum(F.col("totalamount") + F.coalesce("adj", F.lit(0)) - F.col("feeamount")).cast("decimal(10,2)").alias("partner_amt"))
-    raw = raw.join(partner, "invoice_number", "left").withColumn("partner_amt", F.coalesce("partner_amt", F.lit(0)))
 
     # one pass: each invoice gives its own row and, if there is an amount, the partner's row
     own = F.struct(code_map("account_name", account_owner, F.lit(main)).alias("company"),
@@ -182,26 +195,37 @@ def journals(t: Tables) -> DataFrame:
         part("code", "-", 1).alias("j_currency"), F.col("displayname").alias("batch_name"))
 
 
-def promotion_gl(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str]) -> DataFrame:
-    """Promotion invoices per owner, described for the ledger."""
+def promotion_gl(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], unbooked: bool = False) -> DataFrame:
+    """Promotion invoices per owner, described for the ledger. With ``unbooked`` no invoice of the two lists is in
+    ``promo_by_sku`` any more (see :func:`promo_invoice_by_sku`), and they are not read."""
+    return _described(_promotions(t, cfg, main, merged, unbooked), cfg, main)
+
+
+def _promotions(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], unbooked: bool) -> DataFrame:
     profile = t["profiles"].where(F.col("platform") == "Amazon").select(
         F.col("platform_prd_id").alias("asin"), "country", F.col("pims_company").alias("owner"))
-    rows = not_in(t["promo_by_sku"], "invoice_number", t["old_invoices"], "original_invoice")
-    rows = not_in(rows, "invoice_number", t["withdrawn"], "invoice_id")
+    rows = t["promo_by_sku"]
+    if not unbooked:
+        rows = not_in(rows, "invoice_number", t["old_invoices"], "original_invoice")
+        rows = not_in(rows, "invoice_number", t["withdrawn"], "invoice_id")
     owner = F.when(F.col("owner").isin(*merged) | F.col("owner").isNull(), F.lit(main)).otherwise(F.col("owner"))
     # the sums are taken before the owner is known per item, so each item joins once
     rows = rows.join(profile, ["asin", "country"], "left").groupBy(
         "invoice_number", F.col("invoice_date").cast("date").alias("document_date"), "funding_type", "sub_funding_type",
         "currency", "country", owner.alias("company"), "booked_type").agg(F.sum("cop_fee_by_sku").alias("amount"))
     codes = t["dimensions"].select(F.col("db").alias("country"), F.col("erp").alias("region_code"))
-    rows = rows.join(codes, "country", "left").withColumn("original_company_id", F.lit(cfg.original_company_id))
-    return _described(rows, t, cfg, main, F.lit("CHAN-AVC"), ": Booking Promotions exps, Inv# ").withColumns({
-        "channel_code": F.lit("CHAN-AVC"), "platform_code": F.lit("PLF-AMZ-1"), "is_processed": F.lit(2),
-        "accounts": F.lit(None).cast("string")})
+    rows = rows.join(codes, "country", "left").withColumns({
+        "original_company_id": F.lit(cfg.original_company_id), "channel_code": F.lit("CHAN-AVC"), "platform_code": F.lit("PLF-AMZ-1"),
+        "is_processed": F.lit(2), "accounts": F.lit(None).cast("string"), "_text": F.lit(": Booking Promotions exps, Inv# ")})
+    return _with_journal(rows, t)
 
 
 def advertising_gl(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str]) -> DataFrame:
     """Advertising invoices per owner, described for the ledger; Singapore is held back with flag 3."""
+    return _described(_advertising(t, main, merged), cfg, main)
+
+
+def _advertising(t: Tables, main: str, merged: Sequence[str]) -> DataFrame:
     rows = not_in(t["ads_detail"], "invoice_number", t["old_invoices"], "original_invoice")
     owner = F.when(F.col("company").isin(*merged) | F.col("company").isNull(), F.lit(main)).otherwise(F.col("company"))
     rows = rows.groupBy("invoice_number", F.col("invoice_date").alias("document_date"), "acc_id", "country", "currency",
@@ -210,54 +234,76 @@ def advertising_gl(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str]) -
     for source, target in (("country", "region_code"), ("platform", "platform_code"), ("channel", "channel_code")):
         codes = t["dimensions"].select(F.col("db").alias(source), F.col("erp").alias(target))
         rows = rows.join(codes, source, "left")
-    return _described(rows, t, cfg, main, F.col("channel_code"), ": Selling exp_Marketing, Inv# ").withColumn(
-        "is_processed", F.when(F.col("country") != "SGP", F.lit(2)).otherwise(F.lit(3)))
+    return _with_journal(rows, t).withColumns({
+        "is_processed": F.when(F.col("country") != "SGP", F.lit(2)).otherwise(F.lit(3)), "_text": F.lit(": Selling exp_Marketing, Inv# ")})
+
 
+def _with_journal(rows: DataFrame, t: Tables) -> DataFrame:
+    return rows.join(journals(t), (F.col("original_company_id") == F.col("j_company")) & (F.col("currency") == F.col("j_currency")), "left")
 
-def _described(rows: DataFrame, t: Tables, cfg: GlConfig, main: str, channel: Column, text: str) -> DataFrame:
+
+def _described(rows: DataFrame, cfg: GlConfig, main: str) -> DataFrame:
     own = F.col("company") == main
-    rows = rows.join(journals(t), (F.col("original_company_id") == F.col("j_company")) & (F.col("currency") == F.col("j_currency")), "left")
     return rows.withColumns({
-        "original_invoice_company": concat_skip_null("invoice_number", F.lit("_"), "company"),
-        "descriptions": concat_skip_null(F.when(own, F.lit("")).otherwise(F.lit("OBH-")), channel, F.lit("-"), "country",
-                                         F.lit(text), "invoice_number", F.lit("_"), "company", F.lit("_"),
+        "original_invoice_company": _document(),
+        "descriptions": concat_skip_null(F.when(own, F.lit("")).otherwise(F.lit("OBH-")), "channel_code", F.lit("-"), "country",
+                                         "_text", "invoice_number", F.lit("_"), "company", F.lit("_"),
                                          date_text("document_date", "MONYYYY")),
         "amount": F.round("amount", 2), "posting_date": F.col("document_date"), "account_type": F.lit("G/L Account"),
         "journal_id": F.when(own, F.col("journal_id")).otherwise(F.lit(cfg.obh_journal_id)),
         "external_document_no": F.col("invoice_number"), "company_id": F.col("j_company_id"),
-        "original_company_id": F.col("j_company"), "currency_code": F.col("currency")})
+        "original_company_id": F.col("j_company"), "currency_code": F.col("currency")}).drop("_text")
+
+
+def _document() -> Column:
+    return concat_skip_null("invoice_number", F.lit("_"), "company")
+
+
+# an invoice-level row as it is written: what can be told from these columns is added after the ranking
+RANKED = ["invoice_number", "company", "document_date", "country", "currency", "amount", "channel_code", "region_code", "platform_code",
+          "is_processed", "accounts", "_text", "j_company", "j_company_id", "journal_id", "batch_name"]
+ACCOUNT = ["company", "account_type", "account_no", "account_name", "posting_group", "bal_account_type", "bal_account_no", "currency_code",
+           "channel_code", "region_code", "platform_code", "original_company_id", "other_name"]
+OWN, EXPENSE, CONTRA = 0, 1, 2
 
 
 def gl_format_log(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], as_of: date, run_ts: datetime,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, unbooked: bool = False) -> DataFrame:
     """Promotion and advertising invoices as GL lines.
 
     Own invoices take their accounts from the map by text; on-behalf invoices give an expense line
     and a contra line against the vendor. Document numbers rank the invoices across the whole log.
+    For ``unbooked`` see :func:`promotion_gl`.
     """
-    rows = promotion_gl(t, cfg, main, merged).unionByName(advertising_gl(t, cfg, main, merged), allowMissingColumns=True)
-    # every branch below keeps all invoices, so they can be ranked before their accounts are known;
-    # the invoice-level rows are fixed once and read by the ranking and by the three branches
-    rows = dense_rank_global(cut_lineage(rows), "original_invoice_company", "_rank", partitions)
-    company = part("original_invoice_company", "_", 2)
+    rows = _promotions(t, cfg, main, merged, unbooked).unionByName(_advertising(t, main, merged), allowMissingColumns=True)
+    # every invoice gives a line, so they can be ranked before their accounts are known;
+    # the invoice-level rows are fixed once, read by the ranking and joined to the ranks once
+    rows = cut_lineage(rows.select(*RANKED)).withColumn("original_invoice_company", _document())
+    rows = _described(dense_rank_global(rows, "original_invoice_company", "_rank", partitions), cfg, main)
     own = F.col("original_invoice_company").like(f"%{main}")
-    codes = [(F.col(name), name) for name in ("currency_code", "channel_code", "region_code", "platform_code")]
-    strict = [(company, "company"), (F.col("account_type"), "account_type"),
-              (F.col("original_company_id"), "original_company_id"), *codes]
-    accounts = t["gl_accounts"]
-    tokens = accounts.withColumn("token", part("account_name", "_", 2))
-    by_text = text_rule_join(rows.where(own), tokens, strict, ("descriptions", F.col("rule_token"))).drop("rule_token")
-    obh = rows.where(~own)
-    expense = text_rule_join(obh, accounts, strict)
-    vendors = accounts.where((F.col("company") == "OBH") & (F.col("account_type") == "Vendor"))
-    contra = text_rule_join(obh, vendors, codes).withColumns({
-        "account_type": F.col("rule_account_type"), "amount": -F.col("amount")})
-    lines = by_text.unionByName(expense).unionByName(contra).withColumns({
+    use = F.when(own, F.array(F.lit(OWN))).otherwise(F.array(F.lit(EXPENSE), F.lit(CONTRA)))
+    rows = rows.withColumn("_use", F.explode(use))
+    contra = F.col("_use") == CONTRA
+
+    # a contra line asks for the vendor and the codes alone; the accounts are written, so that their size is known to the join
+    accounts = cut_lineage(t["gl_accounts"].select(*ACCOUNT), "accounts")
+    asked = ["company", "account_type", "original_company_id"]
+    by_owner = accounts.withColumns({"contra": F.lit(False), "token": part("account_name", "_", 2), **{f"for_{name}": F.col(name) for name in asked}})
+    vendors = accounts.where((F.col("company") == "OBH") & (F.col("account_type") == "Vendor")).withColumns(
+        {"contra": F.lit(True), "token": F.lit(None).cast("string"), **{f"for_{name}": F.lit("") for name in asked}})
+    owned = {"company": part("original_invoice_company", "_", 2), "account_type": F.col("account_type"),
+             "original_company_id": F.col("original_company_id")}
+    equal = [(contra, "contra"), *[(F.when(contra, F.lit("")).otherwise(owned[name]), f"for_{name}") for name in asked],
+             *[(F.col(name), name) for name in ("currency_code", "channel_code", "region_code", "platform_code")]]
+    token = F.when(F.col("_use") == OWN, F.col("rule_token")).otherwise(F.lit(""))
+    lines = text_rule_join(rows, by_owner.unionByName(vendors), equal, ("descriptions", token)).withColumns({
         **{name: F.col(f"rule_{name}") for name in (
             "account_no", "account_name", "posting_group", "bal_account_type", "bal_account_no", "other_name")},
+        "account_type": F.when(contra, F.col("rule_account_type")).otherwise(F.col("account_type")),
         "document_no": concat_skip_null(F.lit("GJNLGEN"), date_text("posting_date", "YY"), date_text("posting_date", "MM"),
                                         (F.col("_rank") + 10000)),
-        "posting_date": posting_date("posting_date", as_of), "amount": F.round("amount", 2),
+        "posting_date": posting_date("posting_date", as_of),
+        "amount": F.round(F.when(contra, -F.col("amount")).otherwise(F.col("amount")), 2),
         "currency_code": F.when(F.col("currency_code") == "USD", F.lit("")).otherwise(F.col("currency_code")),
         "data_updated_time": F.lit(run_ts),
         **{name: F.lit("") for name in ("bal_vat_bus_posting_group", "vat_prod_posting_group",

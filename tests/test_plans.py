@@ -374,3 +374,78 @@ def test_open_documents_are_gathered_once_and_sorted_from_a_written_result(spark
     plan = capsys.readouterr().out
     assert "unidentified-" in plan and "Join" not in plan
     assert rows(out, "invoice_number", "sku", "location", "sales_channel", "warehouse", "ims_id") == [("o1", "a,b", "L", "WM MKP", "W1,W2", "7")]
+
+
+PROMO = {
+    "promo_stream": ("invoice_number string, transaction_type string", []),
+    "promo_info": ("funding_agreement string, promotion_id string", [("ag1", "PX"), ("ag1", "PY")]),
+    "clip_fees": ("invoice_number string, total_clip_fee decimal(18,2)", [("i1", Decimal("4.00")), ("i1", Decimal("4.00"))]),
+    "promo_overview": ("invoice_id string, invoice_date date, funding_type string, agreement_id string, agreement_title string, currency string, country string, original_balance decimal(18,2)", [
+        ("i1", D, "VENDOR", "ag1", "plain", "USD", "USA", Decimal("100.00")), ("i2", D, "straight payment", None, "Merchandising:M7", "USD", "USA", Decimal("40.00")),
+        ("i3", D, "straight payment", None, "Merchandising:M8", "USD", "USA", Decimal("50.00")), (None, D, "VENDOR", "ag1", "plain", "USD", "USA", Decimal("1.00"))]),
+    # i4 is in no overview, one invoice has no number, i5 is booked
+    "promo_detail": ("invoice_number string, invoice_date date, funding_type string, order_date date, ship_date date, promotion_id string, asin string, country string, quantity int, promotion_cost decimal(18,2)", [
+        ("i1", D, "x", D, None, None, "B1", "USA", 1, Decimal("30.00")), ("i1", D, "x", D, None, "P2", "B2", "USA", 3, Decimal("30.00")), ("i4", D, "x", D, None, "P3", "B2", "USA", 1, Decimal("7.00")),
+        (None, D, "x", D, None, "P4", "B1", "USA", 2, Decimal("5.00")), ("i5", D, "x", D, None, "P5", "B1", "USA", 2, Decimal("5.00")), ("i1", date(2000, 1, 1), "x", D, None, "old", "B1", "USA", 4, Decimal("1.00"))])}
+
+
+def promo_tables(spark):
+    return {name: spark.createDataFrame(data, schema) for name, (schema, data) in PROMO.items()}
+
+
+def test_promo_invoices_leave_booked_ones_out_before_the_lines(spark):
+    t, cols = promo_tables(spark), ["invoice_number", "sub_funding_type", "booked_type", "promotion_id", "quantity", "total_quantity", "clp_fee", "cop_fee_by_sku"]
+    listed = lambda *names: (spark.createDataFrame([(n,) for n in names], "k string"), "k")
+    whole = expense.promo_invoice_by_sku(t, date(2024, 1, 1))
+    vendor, fee = "Vendor Funded Sales Discount", "Base merchandising fee"
+    i1 = [("i1", vendor, "Portal", p, q, 8, Decimal("8.00"), Decimal(c)) for p in ("PX", "PY") for q, c in ((1, "31.00"), (3, "33.00"))]
+    every = [*i1, ("i4", None, "Portal", "P3", 1, 1, None, None), ("i5", None, "Portal", "P5", 2, 2, None, None), (None, None, "Portal", "P4", 2, None, None, None),
+             ("i2", fee, fee, "M7", None, None, None, Decimal("40.00")), ("i3", fee, fee, "M8", None, None, None, Decimal("50.00"))]
+    order = lambda rows_: sorted(rows_, key=lambda r: tuple((v is not None, str(v)) for v in r))
+    assert rows(whole, *cols) == order(every)
+    without = lambda *gone: order([r for r in every if r[0] not in gone])
+    assert rows(expense.promo_invoice_by_sku(t, date(2024, 1, 1), [listed("i5"), listed("i3")]), *cols) == without("i5", "i3", None)
+    # a null in a list empties the result, an empty list leaves even what has no number
+    assert rows(expense.promo_invoice_by_sku(t, date(2024, 1, 1), [listed("i5", None)]), *cols) == []
+    assert rows(expense.promo_invoice_by_sku(t, date(2024, 1, 1), [listed()]), *cols) == order(every)
+
+
+def test_gl_log_joins_ranks_and_accounts_once(spark):
+    lit = lambda schema, *data: spark.createDataFrame(list(data), schema)
+    ads = lambda no, company, amount: (no, D, "acc", "USA", "USD", company, Decimal(amount), "AVC", "Amazon", "Shop", "CO1")
+    booked = [(lit("k string", ("i5",)), "k"), (lit("k string", ("i3",)), "k")]
+    t = promo_tables(spark) | {
+        "old_invoices": lit("original_invoice string", ("i5",)), "withdrawn": lit("invoice_id string", ("i3",)),
+        "profiles": lit("platform string, platform_prd_id string, country string, pims_company string", ("Amazon", "B1", "USA", "HMD"), ("Amazon", "B2", "USA", None)),
+        "dimensions": lit("db string, erp string", ("USA", "REG-USA"), ("Amazon", "PLF-AMZ-1"), ("AVC", "CHAN-AVC")),
+        "items": lit("company_id string, original_company_id string", ("cid", "CO1")),
+        "journals": lit("id string, code string, company_id string, displayname string", ("J-USD", "USD-DATA", "cid", "batch")),
+        "ads_detail": lit("invoice_number string, invoice_date date, acc_id string, country string, currency string, company string, invoice_amount decimal(18,2), channel string, platform string, "
+                          "account_name string, original_company_id string", ads("a1", "M", "9.00"), ads("a2", "HMD", "3.00"), ads("a3", "Bitis", "2.00"))}
+    account = lambda company, kind, no, name: (company, kind, no, name, "g", "Vendor", "V", "USD", "CHAN-AVC", "REG-USA", "PLF-AMZ-1", "CO1" if company != "OBH" else "else", no)
+    t["gl_accounts"] = lit(", ".join(f"{name} string" for name in expense.ACCOUNT), account("M", "G/L Account", "1", "Selling exp_Promotions"), account("M", "G/L Account", "2", "Selling exp_Marketing"),
+                           account("HMD", "G/L Account", "3", "any"), account("HMD", "G/L Account", "4", "other"), account("OBH", "Vendor", "5", "contra"))
+    cfg = GlConfig(original_company_id="CO1", obh_journal_id="J-OBH")
+    cols = ["document_no", "external_document_no", "original_invoice_company", "account_type", "account_no", "amount", "journal_id", "descriptions"]
+    want = []
+    def line(rank, no, company, kind, account_no, amount, text):
+        own = company == "M"
+        want.append((f"GJNLGEN2501{10000 + rank}", no, f"{no}_{company}", kind, account_no, Decimal(amount), "J-USD" if own else "J-OBH",
+                     f"{'' if own else 'OBH-'}CHAN-AVC-USA: {text}, Inv# {no}_{company}_JAN2025"))
+    ads_text, promo_text, gl = "Selling exp_Marketing", "Booking Promotions exps", "G/L Account"
+    line(1, "a1", "M", gl, "2", "9.00", ads_text)
+    for no in ("3", "4"):
+        line(2, "a2", "HMD", gl, no, "3.00", ads_text)
+        line(4, "i1", "HMD", gl, no, "62.00", promo_text)
+    line(2, "a2", "HMD", "Vendor", "5", "-3.00", ads_text)
+    line(3, "a3", "Bitis", gl, None, "2.00", ads_text)
+    line(3, "a3", "Bitis", "Vendor", "5", "-2.00", ads_text)
+    line(4, "i1", "HMD", "Vendor", "5", "-62.00", promo_text)
+    line(5, "i1", "M", gl, "1", "66.00", promo_text)
+    line(6, "i2", "M", gl, "1", "40.00", promo_text)
+    for unbooked in (False, True):
+        t["promo_by_sku"] = expense.promo_invoice_by_sku(t, date(2024, 1, 1), booked if unbooked else ())
+        out = expense.gl_format_log(t, cfg, "M", ["M"], date(2025, 1, 20), RUN, unbooked=unbooked)
+        found = out.where("external_document_no <> 'i4'")
+        assert rows(found, *cols) == sorted(want, key=lambda r: tuple((v is not None, str(v)) for v in r))
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2

@@ -41,9 +41,9 @@ promo_rows as (select strftime(coalesce(order_date, ship_date), '%Y') as year_or
     where upper(funding_type) like '%STRAIGHT PAYMENT%' and upper(agreement_title) like '%MERCHANDISING%')"""
 
 
-def promo_rows(t):
+def promo_rows(t, booked=()):
     return expense.promo_invoice_by_sku(t.pick(
-        promo_stream="promo_stream", promo_overview="promo_overview", promo_detail="promo_detail", clip_fees="clip_fees", promo_info="promo_info"), SINCE)
+        promo_stream="promo_stream", promo_overview="promo_overview", promo_detail="promo_detail", clip_fees="clip_fees", promo_info="promo_info"), SINCE, booked)
 
 
 @query("promo_invoice_by_sku", f"""with {PROMO_SQL} select year_order_date, report_date::varchar as report_date, invoice_number, invoice_date::varchar as invoice_date, funding_type, sub_funding_type,
@@ -117,8 +117,9 @@ acc as (select l.*, g.account_no, g.bal_account_no, g.other_name, 'G/L Account'
     invoice_date::varchar end as posting_date, invoice_number as external_document_no from acc""")
 def gl_format_log(t):
     tables = t.pick(**{n: n for n in ("profiles", "old_invoices", "withdrawn", "dimensions", "journals", "items", "gl_accounts")})
-    tables |= {"promo_by_sku": promo_rows(t), "ads_detail": ads_rows(t)}
-    out = expense.gl_format_log(tables, GL, "MAIN", MERGED, AS_OF, RUN_TS)
+    booked = [(tables["old_invoices"], "original_invoice"), (tables["withdrawn"], "invoice_id")]
+    tables |= {"promo_by_sku": promo_rows(t, booked), "ads_detail": ads_rows(t)}
+    out = expense.gl_format_log(tables, GL, "MAIN", MERGED, AS_OF, RUN_TS, unbooked=True)
     return out.select("document_no", "account_type", "account_no", "bal_account_no", "other_name", "amount", "descriptions", "currency_code", "channel_code", "region_code", "platform_code",
                       "is_processed", "journal_id", "batch_name", "posting_date", "external_document_no")
 
