@@ -198,7 +198,8 @@ def journals(t: Tables) -> DataFrame:
 def promotion_gl(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], unbooked: bool = False) -> DataFrame:
     """Promotion invoices per owner, described for the ledger. With ``unbooked`` no invoice of the two lists is in
     ``promo_by_sku`` any more (see :func:`promo_invoice_by_sku`), and they are not read."""
-    return _described(_promotions(t, cfg, main, merged, unbooked), cfg, main)
+    rows = _coded(_promotions(t, cfg, main, merged, unbooked), t["dimensions"], journals(t))
+    return _described(rows, cfg, main).drop("channel", "platform")
 
 
 def _promotions(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], unbooked: bool) -> DataFrame:
@@ -213,33 +214,35 @@ def _promotions(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], unbo
     rows = rows.join(profile, ["asin", "country"], "left").groupBy(
         "invoice_number", F.col("invoice_date").cast("date").alias("document_date"), "funding_type", "sub_funding_type",
         "currency", "country", owner.alias("company"), "booked_type").agg(F.sum("cop_fee_by_sku").alias("amount"))
-    codes = t["dimensions"].select(F.col("db").alias("country"), F.col("erp").alias("region_code"))
-    rows = rows.join(codes, "country", "left").withColumns({
-        "original_company_id": F.lit(cfg.original_company_id), "channel_code": F.lit("CHAN-AVC"), "platform_code": F.lit("PLF-AMZ-1"),
-        "is_processed": F.lit(2), "accounts": F.lit(None).cast("string"), "_text": F.lit(": Booking Promotions exps, Inv# ")})
-    return _with_journal(rows, t)
+    unknown = F.lit(None).cast("string")
+    return rows.withColumns({"original_company_id": F.lit(cfg.original_company_id), "accounts": unknown, "channel": unknown,
+                             "platform": unknown, "_promo": F.lit(True)})
 
 
 def advertising_gl(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str]) -> DataFrame:
     """Advertising invoices per owner, described for the ledger; Singapore is held back with flag 3."""
-    return _described(_advertising(t, main, merged), cfg, main)
+    return _described(_coded(_advertising(t, main, merged), t["dimensions"], journals(t)), cfg, main)
 
 
 def _advertising(t: Tables, main: str, merged: Sequence[str]) -> DataFrame:
     rows = not_in(t["ads_detail"], "invoice_number", t["old_invoices"], "original_invoice")
     owner = F.when(F.col("company").isin(*merged) | F.col("company").isNull(), F.lit(main)).otherwise(F.col("company"))
-    rows = rows.groupBy("invoice_number", F.col("invoice_date").alias("document_date"), "acc_id", "country", "currency",
+    return rows.groupBy("invoice_number", F.col("invoice_date").alias("document_date"), "acc_id", "country", "currency",
                         owner.alias("company"), "channel", "platform", F.col("account_name").alias("accounts"),
-                        "original_company_id").agg(F.sum("invoice_amount").alias("amount"))
-    for source, target in (("country", "region_code"), ("platform", "platform_code"), ("channel", "channel_code")):
-        codes = t["dimensions"].select(F.col("db").alias(source), F.col("erp").alias(target))
-        rows = rows.join(codes, source, "left")
-    return _with_journal(rows, t).withColumns({
-        "is_processed": F.when(F.col("country") != "SGP", F.lit(2)).otherwise(F.lit(3)), "_text": F.lit(": Selling exp_Marketing, Inv# ")})
+                        "original_company_id").agg(F.sum("invoice_amount").alias("amount")).withColumn("_promo", F.lit(False))
 
 
-def _with_journal(rows: DataFrame, t: Tables) -> DataFrame:
-    return rows.join(journals(t), (F.col("original_company_id") == F.col("j_company")) & (F.col("currency") == F.col("j_currency")), "left")
+def _coded(rows: DataFrame, dimensions: DataFrame, books: DataFrame) -> DataFrame:
+    """Ledger codes and journals of promotion and advertising invoices (``_promo`` tells them apart)."""
+    for source, target in (("country", "region_code"), ("platform", "platform_code"), ("channel", "channel_code")):
+        rows = rows.join(dimensions.select(F.col("db").alias(source), F.col("erp").alias(target)), source, "left")
+    rows = rows.join(books, (F.col("original_company_id") == F.col("j_company")) & (F.col("currency") == F.col("j_currency")), "left")
+    promo = F.col("_promo")
+    return rows.withColumns({
+        "channel_code": F.when(promo, F.lit("CHAN-AVC")).otherwise(F.col("channel_code")),
+        "platform_code": F.when(promo, F.lit("PLF-AMZ-1")).otherwise(F.col("platform_code")),
+        "is_processed": F.when(promo | (F.col("country") != "SGP"), F.lit(2)).otherwise(F.lit(3)),
+        "_text": F.when(promo, F.lit(": Booking Promotions exps, Inv# ")).otherwise(F.lit(": Selling exp_Marketing, Inv# "))})
 
 
 def _described(rows: DataFrame, cfg: GlConfig, main: str) -> DataFrame:
@@ -248,11 +251,20 @@ def _described(rows: DataFrame, cfg: GlConfig, main: str) -> DataFrame:
         "original_invoice_company": _document(),
         "descriptions": concat_skip_null(F.when(own, F.lit("")).otherwise(F.lit("OBH-")), "channel_code", F.lit("-"), "country",
                                          "_text", "invoice_number", F.lit("_"), "company", F.lit("_"),
-                                         date_text("document_date", "MONYYYY")),
+                                         _day_text("document_date", "MONYYYY")),
         "amount": F.round("amount", 2), "posting_date": F.col("document_date"), "account_type": F.lit("G/L Account"),
         "journal_id": F.when(own, F.col("journal_id")).otherwise(F.lit(cfg.obh_journal_id)),
         "external_document_no": F.col("invoice_number"), "company_id": F.col("j_company_id"),
-        "original_company_id": F.col("j_company"), "currency_code": F.col("currency")}).drop("_text")
+        "original_company_id": F.col("j_company"), "currency_code": F.col("currency")}).drop("_text", "_promo")
+
+
+def _day_text(day: str, pattern: str) -> Column:
+    """:func:`date_text` of a date column from its year and month; formatters are dear where there are many rows."""
+    year, month = F.year(day), F.month(day)
+    two = lambda number: F.lpad(number.cast("string"), 2, "0")
+    quick = {"YY": two(year % 100), "MM": two(month), "MONYYYY": F.concat(
+        F.element_at(F.array(*[F.lit(name) for name in MONTHS]), month), F.lpad(year.cast("string"), 4, "0"))}[pattern]
+    return F.when(year.between(1, 9999), quick).otherwise(date_text(day, pattern))
 
 
 def _document() -> Column:
@@ -260,11 +272,12 @@ def _document() -> Column:
 
 
 # an invoice-level row as it is written: what can be told from these columns is added after the ranking
-RANKED = ["invoice_number", "company", "document_date", "country", "currency", "amount", "channel_code", "region_code", "platform_code",
-          "is_processed", "accounts", "_text", "j_company", "j_company_id", "journal_id", "batch_name"]
+RANKED = ["invoice_number", "company", "document_date", "country", "currency", "amount", "accounts", "original_company_id", "channel",
+          "platform", "_promo"]
 ACCOUNT = ["company", "account_type", "account_no", "account_name", "posting_group", "bal_account_type", "bal_account_no", "currency_code",
            "channel_code", "region_code", "platform_code", "original_company_id", "other_name"]
 OWN, EXPENSE, CONTRA = 0, 1, 2
+MONTHS = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC".split()
 
 
 def gl_format_log(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], as_of: date, run_ts: datetime,
@@ -275,17 +288,20 @@ def gl_format_log(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], as
     and a contra line against the vendor. Document numbers rank the invoices across the whole log.
     For ``unbooked`` see :func:`promotion_gl`.
     """
-    rows = _promotions(t, cfg, main, merged, unbooked).unionByName(_advertising(t, main, merged), allowMissingColumns=True)
+    rows = _promotions(t, cfg, main, merged, unbooked).select(*RANKED).unionByName(_advertising(t, main, merged).select(*RANKED))
     # every invoice gives a line, so they can be ranked before their accounts are known;
     # the invoice-level rows are fixed once, read by the ranking and joined to the ranks once
-    rows = cut_lineage(rows.select(*RANKED)).withColumn("original_invoice_company", _document())
-    rows = _described(dense_rank_global(rows, "original_invoice_company", "_rank", partitions), cfg, main)
+    rows = cut_lineage(rows).withColumn("original_invoice_company", _document())
+    rows = dense_rank_global(rows, "original_invoice_company", "_rank", partitions)
+    # small tables are written, so that their size is known to the joins
+    rows = _coded(rows, cut_lineage(t["dimensions"].select("db", "erp"), "codes"), cut_lineage(journals(t), "journals"))
+    rows = _described(rows, cfg, main)
     own = F.col("original_invoice_company").like(f"%{main}")
     use = F.when(own, F.array(F.lit(OWN))).otherwise(F.array(F.lit(EXPENSE), F.lit(CONTRA)))
     rows = rows.withColumn("_use", F.explode(use))
     contra = F.col("_use") == CONTRA
 
-    # a contra line asks for the vendor and the codes alone; the accounts are written, so that their size is known to the join
+    # a contra line asks for the vendor and the codes alone
     accounts = cut_lineage(t["gl_accounts"].select(*ACCOUNT), "accounts")
     asked = ["company", "account_type", "original_company_id"]
     by_owner = accounts.withColumns({"contra": F.lit(False), "token": part("account_name", "_", 2), **{f"for_{name}": F.col(name) for name in asked}})
@@ -300,7 +316,7 @@ def gl_format_log(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], as
         **{name: F.col(f"rule_{name}") for name in (
             "account_no", "account_name", "posting_group", "bal_account_type", "bal_account_no", "other_name")},
         "account_type": F.when(contra, F.col("rule_account_type")).otherwise(F.col("account_type")),
-        "document_no": concat_skip_null(F.lit("GJNLGEN"), date_text("posting_date", "YY"), date_text("posting_date", "MM"),
+        "document_no": concat_skip_null(F.lit("GJNLGEN"), _day_text("posting_date", "YY"), _day_text("posting_date", "MM"),
                                         (F.col("_rank") + 10000)),
         "posting_date": posting_date("posting_date", as_of),
         "amount": F.round(F.when(contra, -F.col("amount")).otherwise(F.col("amount")), 2),

@@ -448,4 +448,12 @@ def test_gl_log_joins_ranks_and_accounts_once(spark):
         out = expense.gl_format_log(t, cfg, "M", ["M"], date(2025, 1, 20), RUN, unbooked=unbooked)
         found = out.where("external_document_no <> 'i4'")
         assert rows(found, *cols) == sorted(want, key=lambda r: tuple((v is not None, str(v)) for v in r))
-        assert out._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
+        joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+        assert [sum(name in line for line in joins) for name in ("_rank_key", "rule_currency_code")] == [1, 1]
+
+
+def test_day_text_from_year_and_month(spark):
+    days = spark.createDataFrame([(date(y, m, 7),) for y in (1, 99, 2000, 2025, 9999) for m in range(1, 13)] + [(None,)], "d date")
+    days = days.union(spark.sql("select date_add(date '9999-12-31', 1)"))
+    for pattern in ("YY", "MM", "MONYYYY"):
+        assert days.where(~expense._day_text("d", pattern).eqNullSafe(expense.date_text("d", pattern))).count() == 0
