@@ -239,6 +239,32 @@ def test_daily_documents_move_only_what_is_shown(spark, capsys):
     assert "description" not in plan.replace("posting_description", "") and "vat_amount" not in plan and "order_date" not in plan.split("Union")[0]
 
 
+def test_rows_of_a_load_move_once_to_be_numbered_and_matched(spark, tmp_path, capsys):
+    """What is posted, shipped and placed is asked for the keys of documents, not for their rows."""
+    lines = [(f"d{i % 8}", "M" if i % 3 else "HMD", D, f"p{i % 8}", i) for i in range(40)] + [(None, "M", D, "p9", 40), (None, "HMD", D, "p3", 41), (None, "M", date(2023, 1, 1), "p9", 42)]
+    df = spark.createDataFrame(lines, "external_doc_no string, belong_to_company string, order_date date, po_number string, no int")
+    cand = si.as_candidates(df.withColumn("original_external_doc_no", F.col("po_number")), {
+        "internal_sales_channel": "T", "wh_location": c.UNIDENTIFIED, "country": "REG-USA", "sales_channel": "CHAN-AVC", "bill_to_customer": "CUST"}, ["no"], RUN, placed=True)
+    log = snapshot_append(cand, str(tmp_path / "log"), RUN, within=["internal_sales_channel"])
+    t = tables(spark, [("d1", "p1", "Order", "T"), ("d5", "p5", "Return", "T")], ["d6"], [("T", "p7", "CRA", D, 1, 1, 1), ("T", "p9", "FLO", D, 1, 1, 1)])
+    for key, posted in (("po_number", "external_doc_no"), ("original_external_doc_no", "external_doc_no"), ("po_number", "original_external_doc_no")):
+        cfg = ChannelConfig(channels=["T"], own=["M"], main="M", date_from=date(2024, 1, 1), po_exclusion=True, evidence="T", evidence_key=key, posted_key=posted,
+                            use_excluded=posted == "external_doc_no", obh_stock=lambda: F.lit(True))
+        plain = si.numbered_load(log).drop("load_stamp")
+        got, want = si.run_channel(None, t, cfg, AS_OF, snapshot_log=log), si.run_channel(plain, t, cfg, AS_OF)
+        for a, b in zip(got, want):
+            assert a.count() > 10 and rows(a) == rows(b)
+    places = si.warehouse_locations(t["transactions"], "T", D)
+    placed = si.by_slice(log)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        si.stage(si.first_numbers(placed), t, cfg, AS_OF, places, placed).explain("formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [part for part in capsys.readouterr().out.split("\n\n") if "Exchange\n" in part and "bill_to_customer" in part]
+    assert len(moved) == 1
+
+
 def test_presets_have_the_channels_rules():
     own, since = ["M"], date(2024, 1, 1)
     made = [c.settlement_channel(own, since), c.dropship_channel(own, since), c.basecost_channel(own, since),
