@@ -40,7 +40,9 @@ def source_totals(rows: DataFrame, doc: str, amount: str, day: str, as_of: date,
 
 def recon_documents(source: DataFrame, booked: DataFrame, posted: DataFrame | None = None,
                     guard: str = "missing", booked_only: bool = False) -> DataFrame:
-    """Source against booked per document, see :func:`ledgerloom.operators.joins.reconcile`."""
+    """Source against booked per document, see :func:`ledgerloom.operators.joins.reconcile`. Each side is written first, so that the
+    files of its joins are gone before those of the other come."""
+    source, booked = cut_lineage(source, "source"), cut_lineage(booked, "booked")
     return reconcile(source, booked, [("source_doc", "booked_doc")], ("source_amount", "booked_amount"),
                      posted, "original_external_doc_no", guard, booked_only=booked_only)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.incremental import unbooked
 from ledgerloom.plans import recon
 from ledgerloom.plans import sales_invoice as si
+from ledgerloom.session import cut_lineage
 from workload import channels as ch
 from workload.registry import query
 
@@ -68,7 +69,7 @@ def recon_avc_di_wh(t):
     raw = t.pick(vendor_invoice_detail="vendor_invoice_detail", purchase_orders="purchase_orders", profiles="profiles",
                  second_skus="second_skus", items="items", companies="companies")
     detail = t["vendor_invoice_detail"].select("invoice_number", F.col("invoice_price").alias("total_amount"))
-    good = recon.consistent_invoices(t["vendor_summary"], detail, t["vendor_deleted"])
+    good = cut_lineage(recon.consistent_invoices(t["vendor_summary"], detail, t["vendor_deleted"]).select("invoice_number"), "consistent")
     raw["vendor_invoices"] = t["vendor_invoices"].join(good, "invoice_number", "left_semi")
     cand = si.vendor_candidates(raw, AS_OF, RUN_TS, SINCE, CORE, "CO1", ["VENA", "VENB"], ["VENG"], numbered=False)
     out = recon_query(t, cand, "avc", ["AVC DI", "AVC WH", "AVC GPE"], "pst_avc", "original_external_doc_no", "original_external_doc_no", ["order_date"])
