@@ -76,6 +76,8 @@ def promo_invoice_by_sku(t: Tables, since: date, booked: Sequence[tuple[DataFram
     known = known.join(overview.drop("invoice_date"), "invoice_number", "left").join(agreements, "agreement_id", "left").select(
         F.col("invoice_number").alias("_invoice"), "funding_type", "sub_funding_type", "currency", "cop_ovr_amt", "agreed_promotion",
         "total_clip_fee", "total_quantity", "total_cost")
+    # read once, and the files of its joins are gone before the lines move
+    known = cut_lineage(known, "known")
     detail = t["promo_detail"].where(F.col("invoice_date") >= F.lit(since)).drop("funding_type")
     # every line has totals, so none is lost but those of booked invoices; null-safe, see skew.lookup
     rows = detail.join(known, F.col("invoice_number").eqNullSafe(F.col("_invoice")))
@@ -288,10 +290,11 @@ def gl_format_log(t: Tables, cfg: GlConfig, main: str, merged: Sequence[str], as
     and a contra line against the vendor. Document numbers rank the invoices across the whole log.
     For ``unbooked`` see :func:`promotion_gl`.
     """
-    rows = _promotions(t, cfg, main, merged, unbooked).select(*RANKED).unionByName(_advertising(t, main, merged).select(*RANKED))
     # every invoice gives a line, so they can be ranked before their accounts are known;
-    # the invoice-level rows are fixed once, read by the ranking and joined to the ranks once
-    rows = cut_lineage(rows).withColumn("original_invoice_company", _document())
+    # the invoice-level rows are fixed once, read by the ranking and joined to the ranks once. The two kinds are written one after
+    # the other: the files of the joins of one are gone before those of the other come
+    kinds = [_promotions(t, cfg, main, merged, unbooked), _advertising(t, main, merged)]
+    rows = reduce(DataFrame.unionByName, [cut_lineage(kind.select(*RANKED), "ranked") for kind in kinds]).withColumn("original_invoice_company", _document())
     rows = dense_rank_global(rows, "original_invoice_company", "_rank", partitions)
     # small tables are written, so that their size is known to the joins
     rows = _coded(rows, cut_lineage(t["dimensions"].select("db", "erp"), "codes"), cut_lineage(journals(t), "journals"))
