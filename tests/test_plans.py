@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -333,6 +334,38 @@ def test_shipments_are_placed_once_for_headers_and_lines(spark):
     assert rows(line, "document_no", "location_code") == [("P1_7", "156-3PL-FT")]
 
 
+def test_lines_meet_shipments_and_imports_at_once(spark, capsys):
+    ships = spark.createDataFrame([("S1", "7", "P1,P2,P4", date(2024, 1, 1), "Fontana")], "shipment_id string, reference_id string, purchase_order string, run_date date, ship_from_city string")
+    heads = [("P1_7", "MAIN", "AVC WH"), ("P2_7", "HMD", "AVC DI"), ("P3_7", "HMD", "AVC DI"), ("P5_7", "HMD", "AVC WH"), (None, "HMD", "AVC DI")]
+    header = conform(spark.createDataFrame([(*h, "x") for h in heads], "external_doc_no string, belong_to_company string, internal_sales_channel string, location string"), HEADER)
+    line = conform(spark.createDataFrame([(d, "x") for d in ("P1_7", "P2_7", "P3_7", "P4_7", "P5_7", None)], "document_no string, location_code string"), LINE)
+    stages = spark.conf.get("spark.checkpoint.dir")
+    known = lambda name: sum(f.startswith(f"{name}-") for f in os.listdir(stages))
+    before = known("headers"), known("lines")
+    header, line = si.apply_shipments(header, line, ships, ("MAIN",))
+    assert (known("headers"), known("lines")) == (before[0] + 1, before[1] + 1)
+    assert rows(header, "external_doc_no", "location") == [
+        (None, c.OBH_IMPORT_LOCATION), ("P1_7", "156-3PL-FT"), ("P2_7", c.OBH_IMPORT_LOCATION), ("P3_7", c.OBH_IMPORT_LOCATION), ("P5_7", "x")]
+    assert rows(line, "document_no", "location_code") == [
+        (None, "x"), ("P1_7", "156-3PL-FT"), ("P2_7", c.OBH_IMPORT_LOCATION), ("P3_7", c.OBH_IMPORT_LOCATION), ("P4_7", "156-3PL-FT"), ("P5_7", "x")]
+
+
+def test_owners_are_written_so_that_joins_know_their_size(spark):
+    items = spark.createDataFrame([("0001", "CO1", "MAIN", "G"), ("0001", "CO1", "MAIN", "G"), ("0002", "CO2", "HMD", "G")],
+                                  "item_id string, original_company_id string, belong_to_company string, customer_posting_group string")
+    owners = si.item_owners(items, "CO1")
+    assert rows(owners) == [("0001", "MAIN", "G")]
+    assert "Aggregate" not in owners._jdf.queryExecution().executedPlan().toString()
+
+
+def test_each_side_of_a_comparison_is_written_before_they_meet(spark):
+    source = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("c", 1)], "source_doc string, amount int").groupBy("source_doc").agg(F.sum("amount").alias("source_amount"))
+    booked = spark.createDataFrame([("a", 2), ("b", 5), ("d", 1)], "booked_doc string, amount int").groupBy("booked_doc").agg(F.sum("amount").alias("booked_amount"))
+    out = recon.recon_documents(source, booked)
+    assert rows(out) == [("b", 1, "b", 5), ("c", 1, None, None)]
+    assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_promotions_of_a_line_stay_in_one_row_until_it_is_numbered(spark, tmp_path):
     """The log has a row per line of an order, not one per promotion; numbers and amounts are those of all rows sorted together."""
     at = lambda day: datetime(2025, 1, day)
@@ -478,6 +511,24 @@ def test_gl_log_joins_ranks_and_accounts_once(spark):
         assert [sum(name in line for line in joins) for name in ("_rank_key", "rule_currency_code")] == [1, 1]
 
 
+def test_promotions_and_advertising_are_written_one_after_the_other(spark, monkeypatch):
+    made = lambda n: spark.range(n).select(*[F.lit("x").alias(name) for name in expense.RANKED])
+    written = []
+
+    def write(df, name="stage", path=None):
+        written.append((name, df.count()))
+        return df
+
+    def rank(rows, *args):
+        raise StopIteration(rows.count())
+
+    for name, stub in {"_promotions": lambda *a: made(2), "_advertising": lambda *a: made(3), "cut_lineage": write, "dense_rank_global": rank}.items():
+        monkeypatch.setattr(expense, name, stub)
+    with pytest.raises(StopIteration) as ranked:
+        expense.gl_format_log({}, GlConfig(), "M", ["M"], AS_OF, RUN)
+    assert ranked.value.value == 5 and written == [("ranked", 2), ("ranked", 3)]
+
+
 def test_day_text_from_year_and_month(spark):
     days = spark.createDataFrame([(date(y, m, 7),) for y in (1, 99, 2000, 2025, 9999) for m in range(1, 13)] + [(None,)], "d date")
     days = days.union(spark.sql("select date_add(date '9999-12-31', 1)"))
